@@ -49,8 +49,9 @@ def shape(df: DataFrame, ts: tuple[str, ...] = (), rounded: tuple[str, ...] = ()
     return df.select(*cols)
 
 
-# DuckDB form of the readings view over ``events`` (FIXTURES §2).
-READINGS_CTE = """
+def readings_cte(extra: str = "") -> str:
+    """DuckDB form of the readings view over ``events`` (FIXTURES §2)."""
+    return f"""
 with r as (
   select ts as "timestamp",
          (user_id % 10)::varchar || lpad(user_id::varchar, 9, '0') as meter_id,
@@ -58,10 +59,13 @@ with r as (
          (225 + event_id % 11)::double as voltage,
          value / (225 + event_id % 11)::double as current,
          50 + (event_id % 5 - 2) * 0.1::double as frequency,
-         value * 5 / 60 / 1000 as energy
+         value * 5 / 60 / 1000 as energy{extra}
   from events)
 """
 
+
+READINGS_CTE = readings_cte()
+
 # Fixed parameters of the registered queries (events cover 2024-01-01..30).
 Q1_START = "2024-01-30"
 Q2_START = "2024-01-23"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,7 @@ def get_session(master: str | None = None, app: str = "meterlake",
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -57,6 +59,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/meterlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set SQL confs for the duration of one write, then restore them.
+
+    Used where a per-write option does not reach the planner (``insertInto``
+    takes the partition-overwrite mode and codec from the session).
+    """
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def unique_table(name: str) -> str:
     """Unique managed-table name for jobs that must not collide."""
     return f"{name}_{uuid.uuid4().hex[:12]}"

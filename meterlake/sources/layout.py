@@ -50,17 +50,20 @@ def with_chunk(df: DataFrame, width: str) -> DataFrame:
 
 def write_partitioned(df: DataFrame, handle: str, width: str = "1 day",
                       sort: tuple[str, ...] = DEFAULT_SORT, mode: str = "errorifexists",
-                      codec: str | None = None, num_files: int | None = None) -> None:
+                      codec: str | None = None, num_files: int | None = None,
+                      location: str | None = None) -> None:
     """Write readings partitioned by ``chunk`` of the given width.
 
     ``mode="ignore"`` is the idempotent create; ``handle`` is a folder or a
-    managed table name.
+    table name (managed, or external when ``location`` is given).
     """
     out = cluster_by_chunk(with_chunk(df, width), sort, num_files)
     writer = out.write.mode(mode).partitionBy("chunk")
     if codec:
         writer = writer.option("compression", codec)
     if is_table(handle):
+        if location:
+            writer = writer.option("path", location)
         writer.format("parquet").saveAsTable(handle)
     else:
         writer.parquet(handle)
