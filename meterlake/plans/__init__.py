@@ -1,6 +1,6 @@
 """Registered queries over the test tables with their DuckDB equivalents."""
 
-from meterlake.plans import storage  # noqa: F401  (registers the writing queries)
+from meterlake.plans import storage, streams  # noqa: F401  (register writing queries)
 from meterlake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
