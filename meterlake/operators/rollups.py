@@ -21,7 +21,7 @@ from meterlake.functions.time import (
     day_label, floor_to, time_bucket, to_utc, width_micros,
 )
 from meterlake.operators.queries import region_of, tables_equal
-from meterlake.session import scratch_path, session_conf
+from meterlake.session import scratch_path, session_conf, write_conf
 from meterlake.sources.layout import scan_range
 
 ROLLUP_COLUMNS = ["meter_id", "bucket", "sum_power", "power_count", "max_power",
@@ -86,7 +86,8 @@ def build_rollup(raw: DataFrame, table: str, width: str, mode: str = "errorifexi
               .write.mode(mode).format("parquet").partitionBy("day"))
     if location:
         writer = writer.option("path", location)
-    writer.saveAsTable(table)
+    with write_conf(raw.sparkSession):
+        writer.saveAsTable(table)
 
 
 def read_rollup(spark: SparkSession, table: str) -> DataFrame:
@@ -204,7 +205,8 @@ def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
         kept = current.filter((F.col("bucket") < F.lit(lo)) | (F.col("bucket") >= F.lit(hi)))
         fresh = fresh.select(*ROLLUP_COLUMNS).unionByName(kept.select(*ROLLUP_COLUMNS))
     staging = scratch_path(spark, f"refresh-{table}")
-    _clustered(fresh.select(*ROLLUP_COLUMNS)).write.partitionBy("day").parquet(staging)
+    with write_conf(spark):
+        _clustered(fresh.select(*ROLLUP_COLUMNS)).write.partitionBy("day").parquet(staging)
     staged = spark.read.schema(spark.table(table).schema).parquet(staging)
     written = {r[0] for r in staged.select("day").distinct().collect()}
     with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):

@@ -79,6 +79,17 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(k, v)
 
 
+# Writes of partitioned layouts cost per file as much as per byte: keep small
+# writes spread over the cores instead of letting AQE merge them into one
+# task.  Large writes are unaffected (the advisory size governs there).
+WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
+
+
+def write_conf(spark: SparkSession, extra: dict[str, str] | None = None):
+    """``session_conf`` with the write settings (plus ``extra``)."""
+    return session_conf(spark, {**WRITE_CONF, **(extra or {})})
+
+
 def unique_table(name: str) -> str:
     """Unique managed-table name for jobs that must not collide."""
     return f"{name}_{uuid.uuid4().hex[:12]}"

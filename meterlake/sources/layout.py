@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.time import chunk_label, floor_to, label_of, to_utc
+from meterlake.session import write_conf
 from meterlake.sources.schema import (
     READING_COLUMNS, derive_measures, is_table, readings, split_valid,
 )
@@ -61,12 +62,13 @@ def write_partitioned(df: DataFrame, handle: str, width: str = "1 day",
     writer = out.write.mode(mode).partitionBy("chunk")
     if codec:
         writer = writer.option("compression", codec)
-    if is_table(handle):
-        if location:
-            writer = writer.option("path", location)
-        writer.format("parquet").saveAsTable(handle)
-    else:
-        writer.parquet(handle)
+    with write_conf(df.sparkSession):
+        if is_table(handle):
+            if location:
+                writer = writer.option("path", location)
+            writer.format("parquet").saveAsTable(handle)
+        else:
+            writer.parquet(handle)
 
 
 def append_readings(df: DataFrame, handle: str, width: str = "1 day",
@@ -111,7 +113,12 @@ def time_bounds(start=None, end=None, time_col: str = "timestamp") -> Column | N
 
 def scan_range(spark: SparkSession, handle: str, start=None, end=None,
                width: str = "1 day") -> DataFrame:
-    """Readings in ``[start, end)`` read only from the partitions that hold them."""
+    """Readings in ``[start, end)`` read only from the partitions that hold them.
+
+    On a catalog table the ``chunk`` predicate prunes partitions in the
+    catalog before any folder is listed; on a plain folder every partition
+    folder is listed first and pruned after, so keep large layouts as tables.
+    """
     df = readings(spark, handle, with_chunk=True)
     part = chunk_bounds(start, end, width)
     if part is not None:

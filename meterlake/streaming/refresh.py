@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.functions.time import BUCKET_ORIGIN, day_label, to_utc, width_micros
 from meterlake.operators.rollups import ROLLUP_COLUMNS, RefreshPolicy, refresh_rollup
-from meterlake.session import session_conf
+from meterlake.session import write_conf
 from meterlake.sources.layout import cluster_by_chunk, with_chunk
 from meterlake.sources.schema import READINGS, derive_measures, split_valid
 
@@ -67,7 +67,7 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, raw_table
     rows = (with_chunk(derive_measures(good, minutes), raw_width)
             .withColumn("ingest_batch", F.lit(batch_id).cast("bigint")))
     cols = [f.name for f in READINGS.fields] + ["chunk", "ingest_batch"]
-    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+    with write_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         cluster_by_chunk(rows).select(*cols).write.insertInto(raw_table, overwrite=True)
     # Touched days, restricted to what some policy can still correct: the list
     # is bounded by the widest correction window, not by the batch size.
