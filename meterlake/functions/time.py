@@ -85,7 +85,8 @@ def time_bucket(width, ts: str | Column = "timestamp",
     w = width_micros(width)
     off = _epoch_micros(origin) % w
     m = F.unix_micros(_col(ts))
-    return F.timestamp_micros(m - F.pmod(m - F.lit(off), F.lit(w)))
+    shifted = m - F.lit(off) if off else m
+    return F.timestamp_micros(m - F.pmod(shifted, F.lit(w)))
 
 
 def chunk_label(width, ts: str | Column = "timestamp") -> Column:

@@ -141,15 +141,23 @@ def recent_profile(df: DataFrame, as_of, k: int | None = None, span: str = "1 da
 
 # --- A16-A21: dashboard datasets ---------------------------------------------
 
-def region_monthly(df: DataFrame, key_col: str = KEY, time_col: str = TS,
-                   value_col: str = POWER, energy_col: str = ENERGY) -> DataFrame:
-    """Energy, mean power and readings per region and month."""
+def region_month_totals(df: DataFrame, key_col: str = KEY, time_col: str = TS,
+                        value_col: str = POWER, energy_col: str = ENERGY) -> DataFrame:
+    """Energy, mean power and readings per region and month (unordered).
+
+    The unordered form is what other operators build on, so no sort is
+    planned under their own shuffles.
+    """
     return (df.groupBy(region_of(key_col).alias("region"),
                        F.date_trunc("month", F.col(time_col)).alias("month"))
             .agg(F.sum(energy_col).alias("total_energy"),
                  F.avg(value_col).alias("avg_power"),
-                 F.count(F.lit(1)).alias("readings"))
-            .orderBy("month", "region"))
+                 F.count(F.lit(1)).alias("readings")))
+
+
+def region_monthly(df: DataFrame, **kw) -> DataFrame:
+    """Energy, mean power and readings per region and month, by month."""
+    return region_month_totals(df, **kw).orderBy("month", "region")
 
 
 def daily_energy(df: DataFrame, time_col: str = TS, energy_col: str = ENERGY) -> DataFrame:
@@ -236,7 +244,7 @@ def region_share(df: DataFrame, by: str | None = "month", **kw) -> DataFrame:
     The window runs on the region x month result, which has at most
     (regions x months) rows, never on readings.
     """
-    grouped = region_monthly(df, **kw)
+    grouped = region_month_totals(df, **kw)
     part = Window.partitionBy(by) if by else Window.partitionBy()
     return grouped.select(
         "region", "month", "total_energy",

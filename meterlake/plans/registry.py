@@ -214,6 +214,16 @@ def recent_profile(spark, sf_dir):
     return Q.recent_profile(readings_of(spark, sf_dir), RECENT_AS_OF)
 
 
+SQL_DATE_RANGE = READINGS_CTE + """
+select min("timestamp") as earliest, max("timestamp") as latest from r"""
+
+
+@register("date_range", SQL_DATE_RANGE)
+def date_range(spark, sf_dir):
+    """First and last reading (post-load check)."""
+    return shape(Q.date_range(readings_of(spark, sf_dir)), ("earliest", "latest"))
+
+
 # --- A16-A21 -----------------------------------------------------------------------
 
 SQL_REGION_MONTHLY = READINGS_CTE + """
@@ -244,9 +254,9 @@ def region_monthly_labelled(spark, sf_dir):
     """Region rows with a label from the ``region`` dimension (left join)."""
     labels = spark.read.parquet(f"{sf_dir}/region.parquet").select(
         F.col("r_regionkey").cast("string").alias("region"), F.col("r_name").alias("region_name"))
-    monthly = shape(Q.region_monthly(readings_of(spark, sf_dir)), ("month",),
+    monthly = shape(Q.region_month_totals(readings_of(spark, sf_dir)), ("month",),
                     ("total_energy", "avg_power"))
-    return Q.with_region_label(monthly, labels)
+    return Q.with_region_label(monthly, labels).orderBy("month", "region")
 
 
 SQL_DAILY_ENERGY = READINGS_CTE + """

@@ -146,6 +146,24 @@ def compression_report(spark, sf_dir):
     return L.compression_report(catalog, stats)
 
 
+@register("compression_detail")
+def compression_detail(spark, sf_dir):
+    """Per-partition sizes and savings after compaction (rows-only)."""
+    table = write_layout(spark, sf_dir, "1d", as_table=True)
+    stats = L.compact_partitions(spark, table, "1 day", older_than="24 hours",
+                                 as_of=COMPACT_AS_OF, name="energy_readings")
+    return L.compression_detail(C.partition_catalog(spark, table, "1 day", "energy_readings"),
+                                stats)
+
+
+@register("partition_sizes")
+def partition_sizes(spark, sf_dir):
+    """Size of every partition of the three layouts (rows-only)."""
+    tables = {LAYOUTS[k][0]: (write_layout(spark, sf_dir, k), LAYOUTS[k][1])
+              for k in LAYOUTS}
+    return C.partition_sizes(C.union_catalogs(spark, tables))
+
+
 SQL_RETENTION = READINGS_CTE + """
 select count(*) as n_rows, round(avg(power), 9) as avg_power, max(power) as max_power,
        min(power) as min_power from r where "timestamp" >= timestamp '2024-01-16'"""
