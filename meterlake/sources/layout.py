@@ -52,16 +52,20 @@ def with_chunk(df: DataFrame, width: str) -> DataFrame:
 def write_partitioned(df: DataFrame, handle: str, width: str = "1 day",
                       sort: tuple[str, ...] = DEFAULT_SORT, mode: str = "errorifexists",
                       codec: str | None = None, num_files: int | None = None,
-                      location: str | None = None) -> None:
+                      location: str | None = None, meter_bloom: bool = False) -> None:
     """Write readings partitioned by ``chunk`` of the given width.
 
     ``mode="ignore"`` is the idempotent create; ``handle`` is a folder or a
     table name (managed, or external when ``location`` is given).
+    ``meter_bloom`` adds a Parquet bloom filter on ``meter_id`` so point
+    lookups skip row groups whose min/max range covers the id but not it.
     """
     out = cluster_by_chunk(with_chunk(df, width), sort, num_files)
     writer = out.write.mode(mode).partitionBy("chunk")
     if codec:
         writer = writer.option("compression", codec)
+    if meter_bloom:
+        writer = writer.option("parquet.bloom.filter.enabled#meter_id", "true")
     with write_conf(df.sparkSession):
         if is_table(handle):
             if location:

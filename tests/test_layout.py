@@ -123,3 +123,12 @@ def test_idempotent_create(spark, make_readings):
     write_partitioned(df, table, "1 day", location=loc)
     write_partitioned(df, table, "1 day", mode="ignore")
     assert readings(spark, table).count() == 1
+
+
+def test_meter_bloom_filter_layout(spark):
+    path = scratch_path(spark, "t-bloom")
+    raw = events_readings(spark, SF_MID)
+    write_partitioned(raw, path, "1 day", meter_bloom=True)
+    got = Q.meter_profile(readings(spark, path), "7000000007", "2024-01-15", "2024-01-16")
+    want = Q.meter_profile(raw, "7000000007", "2024-01-15", "2024-01-16")
+    assert sorted(got.collect()) == sorted(want.collect())
