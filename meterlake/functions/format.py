@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -45,3 +45,14 @@ def pct_change(before: str | Column, after: str | Column) -> Column:
 def speedup(slow: str | Column, fast: str | Column) -> Column:
     """``slow / fast``; NULL when fast is 0."""
     return F.try_divide(_col(slow).cast("double"), _col(fast).cast("double"))
+
+
+def sorted_report(df: DataFrame, *cols) -> DataFrame:
+    """ORDER BY for a result bounded by a small key space (time buckets,
+    hours of day, regions x days), never by the input size.
+
+    The aggregate before it stays parallel; its few output rows are moved
+    into one partition and sorted there.  A global sort would instead plan a
+    range shuffle whose boundaries cost an extra sampling job per query.
+    """
+    return df.repartition(1).sortWithinPartitions(*cols)

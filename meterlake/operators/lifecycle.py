@@ -13,7 +13,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.functions.format import human_bytes, savings_pct
+from meterlake.functions.format import human_bytes, savings_pct, sorted_report
 from meterlake.functions.time import to_utc, width_micros
 from meterlake.session import scratch_path, session_conf, write_conf
 from meterlake.sources.catalog import partition_catalog
@@ -88,26 +88,26 @@ def compression_report(catalog: DataFrame, stats: DataFrame) -> DataFrame:
         "table", F.coalesce("status", F.lit("Uncompressed")).alias("compression_status"),
         F.coalesce("before_bytes", "bytes").alias("before_bytes"),
         F.coalesce("after_bytes", "bytes").alias("after_bytes"))
-    return (joined.groupBy("table", "compression_status")
-            .agg(F.count(F.lit(1)).alias("chunk_count"),
-                 F.sum("before_bytes").alias("before_bytes"),
-                 F.sum("after_bytes").alias("after_bytes"))
-            .withColumn("before_size", human_bytes("before_bytes"))
-            .withColumn("after_size", human_bytes("after_bytes"))
-            .withColumn("savings_pct", savings_pct("before_bytes", "after_bytes", on_zero=None))
-            .orderBy("table", "compression_status"))
+    out = (joined.groupBy("table", "compression_status")
+           .agg(F.count(F.lit(1)).alias("chunk_count"),
+                F.sum("before_bytes").alias("before_bytes"),
+                F.sum("after_bytes").alias("after_bytes"))
+           .withColumn("before_size", human_bytes("before_bytes"))
+           .withColumn("after_size", human_bytes("after_bytes"))
+           .withColumn("savings_pct", savings_pct("before_bytes", "after_bytes", on_zero=None)))
+    return sorted_report(out, "table", "compression_status")
 
 
 def compression_detail(catalog: DataFrame, stats: DataFrame) -> DataFrame:
     """Per compacted partition: sizes and savings % (0 when before is 0)."""
-    return (catalog.select("table", "chunk", "range_start")
-            .join(stats.drop("table"), "chunk")
-            .select("table", "chunk", "status",
-                    human_bytes("before_bytes").alias("before_size"),
-                    human_bytes("after_bytes").alias("after_size"),
-                    savings_pct("before_bytes", "after_bytes", on_zero=0.0).alias("savings_pct"),
-                    "range_start")
-            .orderBy("range_start").drop("range_start"))
+    out = (catalog.select("table", "chunk", "range_start")
+           .join(stats.drop("table"), "chunk")
+           .select("table", "chunk", "status",
+                   human_bytes("before_bytes").alias("before_size"),
+                   human_bytes("after_bytes").alias("after_size"),
+                   savings_pct("before_bytes", "after_bytes", on_zero=0.0).alias("savings_pct"),
+                   "range_start"))
+    return sorted_report(out, "range_start").drop("range_start")
 
 
 def drop_older_than(spark: SparkSession, table: str, retention: str, as_of,

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterlake.functions.format import sorted_report
 from meterlake.functions.time import period_type, time_bucket, to_utc
 from meterlake.sources.layout import time_bounds
 
@@ -41,10 +42,10 @@ def round_numeric(c: Column, digits: int = 2) -> Column:
 def hourly_avg(df: DataFrame, start=None, end=None, width: str = "1 hour",
                time_col: str = TS, value_col: str = POWER) -> DataFrame:
     """Q1: mean of ``value_col`` per bucket from ``start`` on, by bucket."""
-    return (_in_range(df, start, end, time_col)
-            .groupBy(time_bucket(width, time_col).alias("hour"))
-            .agg(F.avg(value_col).alias("avg_power"))
-            .orderBy("hour"))
+    out = (_in_range(df, start, end, time_col)
+           .groupBy(time_bucket(width, time_col).alias("hour"))
+           .agg(F.avg(value_col).alias("avg_power")))
+    return sorted_report(out, "hour")
 
 
 def peak_periods(df: DataFrame, start=None, k: int = 10, end=None,
@@ -86,14 +87,13 @@ def meter_profile(df: DataFrame, meter_id: str, start, end,
                   width: str = "15 minutes", key_col: str = KEY,
                   time_col: str = TS, value_col: str = POWER) -> DataFrame:
     """Per-bucket mean for one meter in ``[start, end)`` (filters reach Parquet)."""
-    return (_in_range(for_meter(df, meter_id, key_col), start, end, time_col)
-            .groupBy(F.col(key_col), time_bucket(width, time_col).alias("bucket"))
-            .agg(F.avg(value_col).alias("avg_power"))
-            .orderBy("bucket"))
+    out = (_in_range(for_meter(df, meter_id, key_col), start, end, time_col)
+           .groupBy(F.col(key_col), time_bucket(width, time_col).alias("bucket"))
+           .agg(F.avg(value_col).alias("avg_power")))
+    return sorted_report(out, "bucket")
 
 
 # --- A9 / A10 / A13-A15: data-quality and load checks ------------------------
-
 def quality_summary(df: DataFrame, name: str = "energy_readings", key_col: str = KEY,
                     time_col: str = TS, value_col: str = POWER) -> DataFrame:
     """Row count, distinct meters, time range and 2-place mean/min/max."""
@@ -110,10 +110,10 @@ def quality_summary(df: DataFrame, name: str = "energy_readings", key_col: str =
 
 def hourly_profile(df: DataFrame, time_col: str = TS, value_col: str = POWER) -> DataFrame:
     """Mean per hour of day with its band label (label applied after grouping)."""
-    return (df.groupBy(F.hour(time_col).alias("hour"))
-            .agg(round_numeric(F.avg(value_col)).alias("avg_power"))
-            .withColumn("period_type", period_type("hour"))
-            .orderBy("hour"))
+    out = (df.groupBy(F.hour(time_col).alias("hour"))
+           .agg(round_numeric(F.avg(value_col)).alias("avg_power"))
+           .withColumn("period_type", period_type("hour")))
+    return sorted_report(out, "hour")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -132,10 +132,9 @@ def recent_profile(df: DataFrame, as_of, k: int | None = None, span: str = "1 da
                    time_col: str = TS, value_col: str = POWER) -> DataFrame:
     """Hourly means of the last ``span`` before ``as_of`` (first ``k`` hours)."""
     anchor = F.lit(to_utc(as_of))
-    out = (df.filter(F.col(time_col) >= anchor - F.expr(f"INTERVAL {span}"))
-             .groupBy(F.hour(time_col).alias("hour"))
-             .agg(round_numeric(F.avg(value_col)).alias("avg_power"))
-             .orderBy("hour"))
+    out = sorted_report(df.filter(F.col(time_col) >= anchor - F.expr(f"INTERVAL {span}"))
+                        .groupBy(F.hour(time_col).alias("hour"))
+                        .agg(round_numeric(F.avg(value_col)).alias("avg_power")), "hour")
     return out.limit(k) if k else out
 
 
@@ -157,21 +156,21 @@ def region_month_totals(df: DataFrame, key_col: str = KEY, time_col: str = TS,
 
 def region_monthly(df: DataFrame, **kw) -> DataFrame:
     """Energy, mean power and readings per region and month, by month."""
-    return region_month_totals(df, **kw).orderBy("month", "region")
+    return sorted_report(region_month_totals(df, **kw), "month", "region")
 
 
 def daily_energy(df: DataFrame, time_col: str = TS, energy_col: str = ENERGY) -> DataFrame:
-    return (df.groupBy(time_bucket("1 day", time_col).alias("day"))
-            .agg(F.sum(energy_col).alias("total_energy"))
-            .orderBy("day"))
+    out = (df.groupBy(time_bucket("1 day", time_col).alias("day"))
+           .agg(F.sum(energy_col).alias("total_energy")))
+    return sorted_report(out, "day")
 
 
 def daily_power(df: DataFrame, time_col: str = TS, value_col: str = POWER) -> DataFrame:
-    return (df.groupBy(time_bucket("1 day", time_col).alias("day"))
-            .agg(F.min(value_col).alias("min_power"),
-                 F.avg(value_col).alias("avg_power"),
-                 F.max(value_col).alias("max_power"))
-            .orderBy("day"))
+    out = (df.groupBy(time_bucket("1 day", time_col).alias("day"))
+           .agg(F.min(value_col).alias("min_power"),
+                F.avg(value_col).alias("avg_power"),
+                F.max(value_col).alias("max_power")))
+    return sorted_report(out, "day")
 
 
 def headline(df: DataFrame, key_col: str = KEY, time_col: str = TS) -> DataFrame:
@@ -206,15 +205,15 @@ def band_check(df: DataFrame, ranges: dict[str, tuple[float, float]] | None = No
                else low.when(band == name, F.lit(float(lo))))
         high = (F.when(band == name, F.lit(float(hi))) if high is None
                 else high.when(band == name, F.lit(float(hi))))
-    return (df.groupBy(period_type(F.hour(time_col)).alias("period_type"))
-            .agg(F.avg(value_col).alias("avg_power"),
-                 F.min(value_col).alias("min_power"),
-                 F.max(value_col).alias("max_power"))
-            .withColumn("expected_low", low)
-            .withColumn("expected_high", high)
-            .withColumn("in_range", F.col("avg_power").between(
-                F.col("expected_low"), F.col("expected_high")))
-            .orderBy("period_type"))
+    out = (df.groupBy(period_type(F.hour(time_col)).alias("period_type"))
+           .agg(F.avg(value_col).alias("avg_power"),
+                F.min(value_col).alias("min_power"),
+                F.max(value_col).alias("max_power"))
+           .withColumn("expected_low", low)
+           .withColumn("expected_high", high)
+           .withColumn("in_range", F.col("avg_power").between(
+               F.col("expected_low"), F.col("expected_high"))))
+    return sorted_report(out, "period_type")
 
 
 def completeness(df: DataFrame, per_day: int = 288, key_col: str = KEY,
@@ -263,11 +262,11 @@ def day_over_day(df: DataFrame, day, time_col: str = TS, value_col: str = POWER)
     d = to_utc(day).date()
     start, end = to_utc(d) - timedelta(days=1), to_utc(d) + timedelta(days=1)
     today = F.to_date(F.col(time_col)) == F.lit(d)
-    return (_in_range(df, start, end, time_col)
-            .groupBy(F.hour(time_col).alias("hour"))
-            .agg(F.avg(F.when(today, F.col(value_col))).alias("today_avg"),
-                 F.avg(F.when(~today, F.col(value_col))).alias("yesterday_avg"))
-            .orderBy("hour"))
+    out = (_in_range(df, start, end, time_col)
+           .groupBy(F.hour(time_col).alias("hour"))
+           .agg(F.avg(F.when(today, F.col(value_col))).alias("today_avg"),
+                F.avg(F.when(~today, F.col(value_col))).alias("yesterday_avg")))
+    return sorted_report(out, "hour")
 
 
 def with_region_label(df: DataFrame, labels: DataFrame, region_col: str = "region") -> DataFrame:

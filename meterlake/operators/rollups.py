@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.time import (
     day_label, floor_to, time_bucket, to_utc, width_micros,
 )
+from meterlake.functions.format import sorted_report
 from meterlake.operators.queries import region_of, tables_equal
 from meterlake.session import scratch_path, session_conf, write_conf
 from meterlake.sources.layout import scan_range
@@ -110,8 +111,9 @@ def rollup_range(rollup: DataFrame, start=None, end=None) -> DataFrame:
 
 def rollup_point_read(rollup: DataFrame, meter_id: str, start, end) -> DataFrame:
     """The A5 question answered from a rollup: no aggregation at read time."""
-    return (rollup_range(rollup, start, end).filter(F.col("meter_id") == F.lit(meter_id))
-            .select("meter_id", "bucket", "avg_power").orderBy("bucket"))
+    out = (rollup_range(rollup, start, end).filter(F.col("meter_id") == F.lit(meter_id))
+           .select("meter_id", "bucket", "avg_power"))
+    return sorted_report(out, "bucket")
 
 
 # --- re-aggregation to coarser keys --------------------------------------------
@@ -128,17 +130,17 @@ def region_daily(rollup_daily: DataFrame, weighted: bool = False,
     out = (rollup_daily.groupBy(region_of("meter_id").alias("region"),
                                 F.col("bucket").alias("day"))
            .agg(F.sum("total_energy").alias("region_energy"),
-                _mean(weighted).alias("region_avg_power"))
-           .orderBy("day", "region"))
+                _mean(weighted).alias("region_avg_power")))
+    out = sorted_report(out, "day", "region")
     return out.limit(limit) if limit else out
 
 
 def peak_hours(rollup_hourly: DataFrame, weighted: bool = False) -> DataFrame:
     """Hour of day: mean power (mean of means by default) and peak power."""
-    return (rollup_hourly.groupBy(F.hour("bucket").alias("hour_of_day"))
-            .agg(_mean(weighted).alias("average_power"),
-                 F.max("max_power").alias("peak_power"))
-            .orderBy("hour_of_day"))
+    out = (rollup_hourly.groupBy(F.hour("bucket").alias("hour_of_day"))
+           .agg(_mean(weighted).alias("average_power"),
+                F.max("max_power").alias("peak_power")))
+    return sorted_report(out, "hour_of_day")
 
 
 def rollup_vs_raw(raw_answer: DataFrame, rollup_answer: DataFrame) -> DataFrame:
@@ -236,7 +238,7 @@ def rollup_status(raw: DataFrame, rollups: dict[str, tuple[DataFrame, str]],
         F.lit(None).cast("timestamp").alias("materialized_until"), "raw_latest")
     everything = reduce(DataFrame.unionByName, rows + [raw_row])
     latest = F.max("raw_latest").over(Window.partitionBy())
-    return (everything.withColumn("raw_latest", latest).filter(F.col("rollup").isNotNull())
-            .withColumn("lag_seconds", (F.unix_micros("raw_latest")
-                                        - F.unix_micros("materialized_until")) / F.lit(1e6))
-            .orderBy("rollup"))
+    out = (everything.withColumn("raw_latest", latest).filter(F.col("rollup").isNotNull())
+           .withColumn("lag_seconds", (F.unix_micros("raw_latest")
+                                       - F.unix_micros("materialized_until")) / F.lit(1e6)))
+    return sorted_report(out, "rollup")

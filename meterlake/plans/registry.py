@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.functions.format import sorted_report
 from meterlake.functions.time import as_ntz
 from meterlake.operators import queries as Q
 from meterlake.session import configure
@@ -256,7 +257,7 @@ def region_monthly_labelled(spark, sf_dir):
         F.col("r_regionkey").cast("string").alias("region"), F.col("r_name").alias("region_name"))
     monthly = shape(Q.region_month_totals(readings_of(spark, sf_dir)), ("month",),
                     ("total_energy", "avg_power"))
-    return Q.with_region_label(monthly, labels).orderBy("month", "region")
+    return sorted_report(Q.with_region_label(monthly, labels), "month", "region")
 
 
 SQL_DAILY_ENERGY = READINGS_CTE + """

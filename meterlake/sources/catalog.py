@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.functions.format import human_bytes
+from meterlake.functions.format import human_bytes, sorted_report
 from meterlake.functions.time import width_micros
 from meterlake.sources.schema import is_table
 
@@ -70,29 +70,29 @@ def union_catalogs(spark: SparkSession, tables: dict[str, tuple[str, str]],
 
 def partition_summary(catalog: DataFrame) -> DataFrame:
     """Partition count and date range per table."""
-    return (catalog.groupBy("table")
-            .agg(F.count(F.lit(1)).alias("num_chunks"),
-                 F.min(F.to_date("range_start")).alias("earliest_chunk"),
-                 F.max(F.to_date("range_end")).alias("latest_chunk"))
-            .orderBy("table"))
+    out = catalog.groupBy("table").agg(
+        F.count(F.lit(1)).alias("num_chunks"),
+        F.min(F.to_date("range_start")).alias("earliest_chunk"),
+        F.max(F.to_date("range_end")).alias("latest_chunk"))
+    return sorted_report(out, "table")
 
 
 def partition_sizes(catalog: DataFrame) -> DataFrame:
     """Per-partition size with readable text, in time order."""
-    return (catalog.select("table", "chunk", F.to_date("range_start").alias("start_date"),
-                           F.to_date("range_end").alias("end_date"), "n_files", "bytes",
-                           human_bytes("bytes").alias("chunk_size"))
-            .orderBy("table", "chunk"))
+    out = catalog.select("table", "chunk", F.to_date("range_start").alias("start_date"),
+                         F.to_date("range_end").alias("end_date"), "n_files", "bytes",
+                         human_bytes("bytes").alias("chunk_size"))
+    return sorted_report(out, "table", "chunk")
 
 
 def table_catalog(catalog: DataFrame) -> DataFrame:
     """Totals per table from a partition catalogue, largest first."""
-    return (catalog.groupBy("table")
-            .agg(F.count(F.lit(1)).alias("n_partitions"),
-                 F.sum("n_files").alias("n_files"),
-                 F.sum("bytes").alias("bytes"))
-            .withColumn("total_size", human_bytes("bytes"))
-            .orderBy(F.col("bytes").desc(), "table"))
+    out = (catalog.groupBy("table")
+           .agg(F.count(F.lit(1)).alias("n_partitions"),
+                F.sum("n_files").alias("n_files"),
+                F.sum("bytes").alias("bytes"))
+           .withColumn("total_size", human_bytes("bytes")))
+    return sorted_report(out, F.col("bytes").desc(), "table")
 
 
 def table_sizes(spark: SparkSession, tables: dict[str, tuple[str, str]]) -> DataFrame:
