@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.format import human_bytes, savings_pct, sorted_report
 from meterlake.functions.time import to_utc, width_micros
-from meterlake.session import scratch_path, session_conf, write_conf
+from meterlake.session import scratch_path, session_conf
 from meterlake.sources.catalog import partition_catalog
 from meterlake.sources.layout import cluster_by_chunk
 from meterlake.sources.schema import READING_COLUMNS, is_table, readings
@@ -51,21 +51,27 @@ def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
         before.select("chunk", "bytes").collect(), "chunk string, bytes bigint")
     source = readings(spark, handle, with_chunk=True).filter(F.col("chunk").isin(chunks))
     staging = scratch_path(spark, "compact")
-    with write_conf(spark):
-        (cluster_by_chunk(source.select(*READING_COLUMNS, "chunk"), order_by)
-         .write.option("compression", codec).partitionBy("chunk").parquet(staging))
+    # Default AQE sizing (not the small-write spread): compaction is about
+    # fewer, larger files per partition.
+    (cluster_by_chunk(source.select(*READING_COLUMNS, "chunk"), order_by)
+     .write.option("compression", codec).partitionBy("chunk").parquet(staging))
     staged = spark.read.schema(source.schema).parquet(staging)
     n_src, n_staged = source.count(), staged.count()
     if n_src != n_staged:
         raise RuntimeError(f"compaction staged {n_staged} rows for {n_src}; nothing replaced")
     out = staged.select(*READING_COLUMNS, "chunk")
-    if is_table(handle):
-        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic",
-                                  "spark.sql.parquet.compression.codec": codec}):
-            out.write.insertInto(handle, overwrite=True)
-    else:
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", codec).partitionBy("chunk").parquet(handle))
+    try:
+        if is_table(handle):
+            with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic",
+                                      "spark.sql.parquet.compression.codec": codec}):
+                out.write.insertInto(handle, overwrite=True)
+        else:
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .option("compression", codec).partitionBy("chunk").parquet(handle))
+    except Exception as err:
+        # Plain Parquet has no transaction: the verified copy stays in place
+        # so the swap can be repeated from it.
+        raise RuntimeError(f"compaction swap failed; verified copy kept at {staging}") from err
     after = partition_catalog(spark, handle, width, name).filter(F.col("chunk").isin(chunks))
     return _stats(spark, before_bytes, after, name)
 
@@ -80,11 +86,12 @@ def _stats(spark: SparkSession, before: DataFrame, after: DataFrame, name: str)
 def compression_report(catalog: DataFrame, stats: DataFrame) -> DataFrame:
     """Per table and status: partitions, bytes before/after, savings %.
 
-    Every partition of the catalogue appears; one without statistics (never
-    compacted) counts as Uncompressed at its current size.  Savings use the
-    NULLIF rule: NULL when the before-size is 0.
+    ``catalog`` may hold several tables (``union_catalogs``); statistics join
+    on (table, chunk), and every partition of the catalogue appears: one
+    without statistics (never compacted) counts as Uncompressed at its
+    current size.  Savings use the NULLIF rule: NULL when before is 0.
     """
-    joined = catalog.join(stats.drop("table"), "chunk", "left").select(
+    joined = catalog.join(stats, ["table", "chunk"], "left").select(
         "table", F.coalesce("status", F.lit("Uncompressed")).alias("compression_status"),
         F.coalesce("before_bytes", "bytes").alias("before_bytes"),
         F.coalesce("after_bytes", "bytes").alias("after_bytes"))
@@ -101,13 +108,13 @@ def compression_report(catalog: DataFrame, stats: DataFrame) -> DataFrame:
 def compression_detail(catalog: DataFrame, stats: DataFrame) -> DataFrame:
     """Per compacted partition: sizes and savings % (0 when before is 0)."""
     out = (catalog.select("table", "chunk", "range_start")
-           .join(stats.drop("table"), "chunk")
+           .join(stats, ["table", "chunk"])
            .select("table", "chunk", "status",
                    human_bytes("before_bytes").alias("before_size"),
                    human_bytes("after_bytes").alias("after_size"),
                    savings_pct("before_bytes", "after_bytes", on_zero=0.0).alias("savings_pct"),
                    "range_start"))
-    return sorted_report(out, "range_start").drop("range_start")
+    return sorted_report(out, "table", "range_start").drop("range_start")
 
 
 def drop_older_than(spark: SparkSession, table: str, retention: str, as_of,

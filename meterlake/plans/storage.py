@@ -8,6 +8,8 @@ comes from the stored data.  Tables are external tables at those folders.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,12 +140,15 @@ def compacted_table_stats(spark, sf_dir):
 
 @register("compression_report")
 def compression_report(spark, sf_dir):
-    """Per-table compression totals after age-based compaction (rows-only)."""
-    table = write_layout(spark, sf_dir, "1d", as_table=True)
-    stats = L.compact_partitions(spark, table, "1 day", older_than="24 hours",
-                                 as_of=COMPACT_AS_OF, name="energy_readings")
-    catalog = C.partition_catalog(spark, table, "1 day", "energy_readings")
-    return L.compression_report(catalog, stats)
+    """Per-table, per-status totals after compacting the
+    three layouts' partitions older than 24 hours (file sizes: rows-only)."""
+    tables = {LAYOUTS[k][0]: (write_layout(spark, sf_dir, k, as_table=True), LAYOUTS[k][1])
+              for k in LAYOUTS}
+    stats = [L.compact_partitions(spark, handle, width, older_than="24 hours",
+                                  as_of=COMPACT_AS_OF, name=name)
+             for name, (handle, width) in tables.items()]
+    return L.compression_report(C.union_catalogs(spark, tables),
+                                reduce(DataFrame.unionByName, stats))
 
 
 @register("compression_detail")
