@@ -9,10 +9,26 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (~100 TB of readings, ~1000 executors).  AQE
+# can only merge shuffle partitions, never split them, so start with many and
+# let it coalesce to the advisory size; size-first coalescing keeps tasks near
+# that size instead of chasing parallelism; larger scan splits cut task count.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
 def get_session(master: str | None = None, app: str = "meterlake",
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
-    """Session with the settings the package relies on (UTC, AQE, no UI)."""
+                extra: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
+    """Session with the settings the package relies on (UTC, AQE, no UI).
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF``; explicit arguments win.
+    """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -25,6 +41,8 @@ def get_session(master: str | None = None, app: str = "meterlake",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
     }
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
