@@ -76,16 +76,21 @@ def main() -> None:
     for q, fn in questions(compacted, "1 day").items():
         runs[f"{q}_1d_compressed"] = fn
 
-    # Raw vs rollup: one meter, one day, 15-minute buckets.
-    rollup = unique_table("bench_rollup_15min")
-    setup["rollup_15min_build"] = timed(lambda: R.build_rollup(
-        readings(spark, paths["1d"]), rollup, "15 minutes",
-        location=scratch_path(spark, "bench-rollup")))
-    runs["point_raw"] = lambda: Q.meter_profile(
-        scan_range(spark, paths["1d"], PROFILE_START, PROFILE_END, "1 day"),
-        PROFILE_METER, PROFILE_START, PROFILE_END).collect()
-    runs["point_rollup"] = lambda: R.rollup_point_read(
-        R.read_rollup(spark, rollup), PROFILE_METER, PROFILE_START, PROFILE_END).collect()
+    # Raw vs rollup: one meter, one day, 15-minute and hourly buckets.  The
+    # three tiers are built with one raw scan (coarser tiers merged from finer).
+    tiers = {unique_table("bench_rollup_15min"): "15 minutes",
+             unique_table("bench_rollup_hourly"): "1 hour",
+             unique_table("bench_rollup_daily"): "1 day"}
+    rollup, hourly = list(tiers)[:2]
+    setup["rollups_3_tiers_build"] = timed(lambda: R.build_rollups(
+        readings(spark, paths["1d"]), tiers,
+        locations={t: scratch_path(spark, "bench-rollup") for t in tiers}))
+    for label, width, table in (("point", "15 minutes", rollup), ("hourly", "1 hour", hourly)):
+        runs[f"{label}_raw"] = lambda w=width: Q.meter_profile(
+            scan_range(spark, paths["1d"], PROFILE_START, PROFILE_END, "1 day"),
+            PROFILE_METER, PROFILE_START, PROFILE_END, width=w).collect()
+        runs[f"{label}_rollup"] = lambda t=table: R.rollup_point_read(
+            R.read_rollup(spark, t), PROFILE_METER, PROFILE_START, PROFILE_END).collect()
     for key in WIDTHS:
         runs[f"full_scan_{key}"] = lambda k=key: readings(spark, paths[k]).agg(
             {"power": "avg"}).collect()

@@ -66,6 +66,23 @@ def rollup_state(df: DataFrame, width: str, key_col: str = "meter_id",
             .withColumn("day", day_label("bucket")))
 
 
+def merge_state(state: DataFrame, width: str) -> DataFrame:
+    """Re-bucket rollup state to a coarser width by merging it.
+
+    Sums, counts, minima and maxima merge exactly, so a coarser tier built
+    from a finer one equals one built from raw rows (up to float summation
+    order).  ``width`` must be a whole multiple of the finer width.
+    """
+    return (state.groupBy("meter_id", time_bucket(width, "bucket").alias("bucket"))
+            .agg(F.sum("sum_power").alias("sum_power"),
+                 F.sum("power_count").alias("power_count"),
+                 F.max("max_power").alias("max_power"),
+                 F.min("min_power").alias("min_power"),
+                 F.sum("total_energy").alias("total_energy"),
+                 F.sum("reading_count").alias("reading_count"))
+            .withColumn("day", day_label("bucket")))
+
+
 def with_avg(state: DataFrame) -> DataFrame:
     """Expose ``avg_power`` (NULL when a bucket has no power values)."""
     return state.withColumn("avg_power", F.try_divide(F.col("sum_power"),
@@ -91,6 +108,32 @@ def build_rollup(raw: DataFrame, table: str, width: str, mode: str = "errorifexi
         writer.saveAsTable(table)
 
 
+def build_rollups(raw: DataFrame, tiers: dict[str, str], mode: str = "errorifexists",
+                  locations: dict[str, str] | None = None) -> None:
+    """Build several tiers with one scan of the raw rows.
+
+    ``tiers`` maps table -> width.  The finest tier is aggregated from raw
+    rows; each coarser tier is merged from the previous tier's stored table
+    (3-12x smaller than raw for 5-minute readings), which also cuts lineage.
+    """
+    ordered = sorted(tiers.items(), key=lambda kv: width_micros(kv[1]))
+    for (_, fine), (_, coarse) in zip(ordered, ordered[1:]):
+        if width_micros(coarse) % width_micros(fine):
+            raise ValueError(f"{coarse} is not a multiple of {fine}")
+    spark = raw.sparkSession
+    previous = None
+    for table, width in ordered:
+        state = rollup_state(raw, width) if previous is None \
+            else merge_state(spark.table(previous), width)
+        writer = (_clustered(state).select(*ROLLUP_COLUMNS)
+                  .write.mode(mode).format("parquet").partitionBy("day"))
+        if locations and table in locations:
+            writer = writer.option("path", locations[table])
+        with write_conf(spark):
+            writer.saveAsTable(table)
+        previous = table
+
+
 def read_rollup(spark: SparkSession, table: str) -> DataFrame:
     return with_avg(spark.table(table))
 

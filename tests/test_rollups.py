@@ -134,3 +134,19 @@ def test_rollup_status_lag(spark, make_readings):
     got = {r.rollup: r.lag_seconds for r in R.rollup_status(raw, tiers).collect()}
     # newest row 02:25; 15-minute rollup reaches 02:30, daily reaches Jan 2
     assert got == {"15min": -300.0, "daily": -(21 * 3600 + 35 * 60)}
+
+
+def test_cascade_equals_direct_build(spark, make_readings):
+    rows = grid("1000000001", "2024-01-04 00:00:00", 600, 10.0) + \
+        grid("2000000002", "2024-01-04 07:02:00", 100, 33.0, 7)
+    raw = make_readings(rows)
+    tables = {unique_table("c15"): "15 minutes", unique_table("c1h"): "1 hour",
+              unique_table("c1d"): "1 day"}
+    R.build_rollups(raw, tables, locations={t: scratch_path(spark, "t-casc") for t in tables})
+    for table, width in tables.items():
+        direct = R.read_rollup(spark, _rollup(spark, raw, width))
+        cols = ["meter_id", "bucket", "reading_count", "power_count", "max_power", "min_power"]
+        assert sorted(spark.table(table).select(*cols).collect()) == \
+            sorted(direct.select(*cols).collect())
+    with pytest.raises(ValueError):
+        R.build_rollups(raw, {unique_table("x"): "15 minutes", unique_table("y"): "20 minutes"})
