@@ -88,3 +88,18 @@ def test_savings_rules(spark):
     nullif_rule = [r[0] for r in df.select(savings_pct("b", "a", on_zero=None)).collect()]
     assert case_rule == [53.1, 0.0]
     assert nullif_rule == [53.1, None]
+
+
+def test_chunk_label_before_1970(spark):
+    value = ts("1969-12-31 22:30:00")
+    assert _one(spark, lambda c: chunk_label("3 hours", c), value) == "1969-12-31-21"
+    assert _one(spark, lambda c: chunk_label("1 day", c), value) == "1969-12-31-00"
+
+
+def test_scan_last_relative_window(spark, make_readings):
+    from meterlake.sources.layout import scan_last
+    df = make_readings([("2024-01-30 23:00:00", "1000000001", 1.0),
+                        ("2024-01-29 23:59:59", "1000000001", 2.0)])
+    got = [r.power for r in scan_last(df, "1 day", as_of="2024-01-31 00:00:00").collect()]
+    assert got == [1.0]
+    assert scan_last(df, "1 day").count() == 0        # NOW() is long after the data
