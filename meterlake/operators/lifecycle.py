@@ -43,6 +43,11 @@ def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
     a lost executor or a crash never leaves a partition short of rows.
     """
     name = name or handle
+    if is_table(handle):
+        parts = [c.name for c in spark.catalog.listColumns(handle) if c.isPartition]
+        if parts != ["chunk"]:
+            raise ValueError(f"compaction swaps whole chunk partitions; {handle} is "
+                             f"partitioned by {parts}")
     before = _older_than(partition_catalog(spark, handle, width, name), older_than, as_of)
     chunks = sorted(r[0] for r in before.select("chunk").collect())
     if not chunks:

@@ -80,3 +80,11 @@ def test_watermark_drops_rows_later_than_it(spark, make_readings):
     rows = spark.read.parquet(out)
     assert rows.filter(F.col("max_power") == 99.0).count() == 0
     assert rows.count() == 48
+
+
+def test_compaction_refuses_stream_fed_table(spark):
+    import pytest
+    from meterlake.operators.lifecycle import compact_partitions
+    raw, _ = _tables(spark)
+    with pytest.raises(ValueError):
+        compact_partitions(spark, raw)
