@@ -150,3 +150,17 @@ def test_cascade_equals_direct_build(spark, make_readings):
             sorted(direct.select(*cols).collect())
     with pytest.raises(ValueError):
         R.build_rollups(raw, {unique_table("x"): "15 minutes", unique_table("y"): "20 minutes"})
+
+
+def test_empty_input(spark, make_readings):
+    empty = make_readings([])
+    assert Q.table_stats(empty).first().n_rows == 0
+    assert Q.peak_periods(empty).count() == 0
+    assert Q.hourly_profile(empty).count() == 0
+    table = _rollup(spark, empty, "1 hour")
+    assert spark.table(table).count() == 0
+    raw = _raw_table(spark, empty)
+    assert R.refresh_rollup(spark, raw, table, "1 hour", touched_days=[]) == []
+    assert R.refresh_rollup(spark, raw, table, "1 hour", touched_days=["2024-01-01"]) == \
+        ["2024-01-01"]
+    assert spark.table(table).count() == 0
