@@ -4,7 +4,7 @@ the point query on raw rows vs the 15-minute rollup.
 Reads ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]``
 and prints one JSON line.  Setup (writing the three layouts, compaction,
 rollup build) is timed separately and reported as ``setup``; each query is
-run once to warm up, then ``$BENCH_REPEAT`` times (default 3) and the median
+run once to warm up, then ``$BENCH_REPEAT`` times (default 5) and the median
 is reported in seconds.
 """
 
@@ -40,8 +40,10 @@ def timed(fn) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = get_session(f"local[{cpus}]", "meterlake-bench", shuffle_partitions=cpus)
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
+    # local mode: every executor thread shares the driver JVM's heap
+    spark = get_session(f"local[{cpus}]", "meterlake-bench", shuffle_partitions=cpus,
+                        extra={"spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")})
     spark.sparkContext.setLogLevel("ERROR")
 
     raw = events_readings(spark, sf_dir)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.time import chunk_label, floor_to, label_of, to_utc
 from meterlake.session import write_conf
 from meterlake.sources.schema import (
-    READING_COLUMNS, derive_measures, is_table, readings, split_valid,
+    READING_COLUMNS, derive_measures, is_table, readings, split_valid, stored_readings,
 )
 
 DEFAULT_SORT = ("meter_id", "-timestamp")
@@ -123,13 +123,10 @@ def scan_range(spark: SparkSession, handle: str, start=None, end=None,
     catalog before any folder is listed; on a plain folder every partition
     folder is listed first and pruned after, so keep large layouts as tables.
     """
-    df = readings(spark, handle, with_chunk=True)
-    part = chunk_bounds(start, end, width)
+    df = stored_readings(spark, handle)
+    part, rows = chunk_bounds(start, end, width), time_bounds(start, end)
     if part is not None:
-        df = df.filter(part)
-    rows = time_bounds(start, end)
-    if rows is not None:
-        df = df.filter(rows)
+        df = df.filter(part & rows)
     return df.select(*READING_COLUMNS)
 
 

@@ -36,14 +36,23 @@ def read_dataset(spark: SparkSession, handle: str,
     return reader.parquet(handle)
 
 
+READINGS_WITH_CHUNK = T.StructType(READINGS.fields + [T.StructField("chunk", T.StringType())])
+
+
+def stored_readings(spark: SparkSession, handle: str) -> DataFrame:
+    """A stored layout as written: reading columns plus ``chunk`` (plus any
+    further partition column of a table), no projection applied."""
+    return read_dataset(spark, handle, None if is_table(handle) else READINGS_WITH_CHUNK)
+
+
 def readings(spark: SparkSession, handle: str, with_chunk: bool = False) -> DataFrame:
-    """Readings with the declared schema; ``chunk`` kept only when asked."""
-    schema = READINGS
-    if not is_table(handle):
-        schema = T.StructType(READINGS.fields + [T.StructField("chunk", T.StringType())])
-    df = read_dataset(spark, handle, schema)
-    cols = READING_COLUMNS + (["chunk"] if with_chunk and "chunk" in df.columns else [])
-    return df.select(*cols)
+    """Readings with the declared schema; ``chunk`` kept only when asked.
+
+    One projection over the stored dataset and no schema round trip: each
+    extra DataFrame step costs a driver-side re-analysis per query.
+    """
+    cols = READING_COLUMNS + (["chunk"] if with_chunk else [])
+    return stored_readings(spark, handle).select(*cols)
 
 
 def meter_id_from_user(user_id: Column) -> Column:
