@@ -92,7 +92,7 @@ def main() -> None:
             scan_range(spark, paths["1d"], PROFILE_START, PROFILE_END, "1 day"),
             PROFILE_METER, PROFILE_START, PROFILE_END, width=w).collect()
         runs[f"{label}_rollup"] = lambda t=table: R.rollup_point_read(
-            R.read_rollup(spark, t), PROFILE_METER, PROFILE_START, PROFILE_END).collect()
+            spark.table(t), PROFILE_METER, PROFILE_START, PROFILE_END).collect()
     for key in WIDTHS:
         runs[f"full_scan_{key}"] = lambda k=key: readings(spark, paths[k]).agg(
             {"power": "avg"}).collect()

@@ -87,7 +87,9 @@ def meter_profile(df: DataFrame, meter_id: str, start, end,
                   width: str = "15 minutes", key_col: str = KEY,
                   time_col: str = TS, value_col: str = POWER) -> DataFrame:
     """Per-bucket mean for one meter in ``[start, end)`` (filters reach Parquet)."""
-    out = (_in_range(for_meter(df, meter_id, key_col), start, end, time_col)
+    cond = F.col(key_col) == F.lit(meter_id)
+    bounds = time_bounds(start, end, time_col)
+    out = (df.filter(cond if bounds is None else cond & bounds)
            .groupBy(F.col(key_col), time_bucket(width, time_col).alias("bucket"))
            .agg(F.avg(value_col).alias("avg_power")))
     return sorted_report(out, "bucket")

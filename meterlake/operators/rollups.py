@@ -140,22 +140,30 @@ def read_rollup(spark: SparkSession, table: str) -> DataFrame:
 
 def rollup_range(rollup: DataFrame, start=None, end=None) -> DataFrame:
     """Rows with ``start <= bucket < end``; the ``day`` bound prunes partitions."""
-    out = rollup
+    cond = _range_condition(start, end)
+    return rollup if cond is None else rollup.filter(cond)
+
+
+def _range_condition(start=None, end=None) -> Column | None:
+    cond = None
     if start is not None:
         s = to_utc(start)
-        out = out.filter((F.col("day") >= F.lit(s.strftime("%Y-%m-%d")))
-                         & (F.col("bucket") >= F.lit(s)))
+        cond = (F.col("day") >= F.lit(s.strftime("%Y-%m-%d"))) & (F.col("bucket") >= F.lit(s))
     if end is not None:
         e = to_utc(end)
         last = (e - timedelta(microseconds=1)).strftime("%Y-%m-%d")
-        out = out.filter((F.col("day") <= F.lit(last)) & (F.col("bucket") < F.lit(e)))
-    return out
+        upper = (F.col("day") <= F.lit(last)) & (F.col("bucket") < F.lit(e))
+        cond = upper if cond is None else cond & upper
+    return cond
 
 
 def rollup_point_read(rollup: DataFrame, meter_id: str, start, end) -> DataFrame:
     """The A5 question answered from a rollup: no aggregation at read time."""
-    out = (rollup_range(rollup, start, end).filter(F.col("meter_id") == F.lit(meter_id))
-           .select("meter_id", "bucket", "avg_power"))
+    cond = F.col("meter_id") == F.lit(meter_id)
+    bounds = _range_condition(start, end)
+    out = rollup.filter(cond if bounds is None else cond & bounds).select(
+        "meter_id", "bucket", F.try_divide(F.col("sum_power"), F.col("power_count"))
+        .alias("avg_power"))
     return sorted_report(out, "bucket")
 
 
