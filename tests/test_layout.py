@@ -132,3 +132,19 @@ def test_meter_bloom_filter_layout(spark):
     got = Q.meter_profile(readings(spark, path), "7000000007", "2024-01-15", "2024-01-16")
     want = Q.meter_profile(raw, "7000000007", "2024-01-15", "2024-01-16")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_hot_chunk_and_meter_split_over_writers(spark, make_readings):
+    """One meter holding every row of one chunk is still written by several
+    tasks: range boundaries include the time column."""
+    import glob
+    from datetime import datetime, timedelta
+    t0 = datetime(2024, 1, 4)
+    rows = [((t0 + timedelta(seconds=7 * i)).isoformat(sep=" "), "1000000001", float(i % 97))
+            for i in range(6000)]
+    rows += [("2024-01-05 01:00:00", "2000000002", 1.0)]
+    path = scratch_path(spark, "t-hot")
+    write_partitioned(make_readings(rows), path, "1 day", num_files=4)
+    hot = glob.glob(path + "/chunk=2024-01-04-00/*.parquet")
+    assert len(hot) >= 3
+    assert readings(spark, path).count() == 6001
