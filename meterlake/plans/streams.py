@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from meterlake.operators import rollups as R
-from meterlake.plans.registry import readings_of, register, shape
+from meterlake.plans.registry import readings_of, register
 from meterlake.plans.storage import _late_rows, _rollup_sql, rollup_output
 from meterlake.session import scratch_path, unique_table
 from meterlake.sources.schema import READINGS, readings_from_events
