@@ -8,6 +8,7 @@ partition names from the file catalogue, never rows.
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,15 @@ def _older_than(catalog: DataFrame, age: str | None, as_of) -> DataFrame:
     return catalog.filter(F.col("range_end") <= F.lit(cutoff))
 
 
+COMPACTED_BATCH = -1
+
+
+def _partition_columns(spark: SparkSession, handle: str) -> list[str]:
+    if not is_table(handle):
+        return ["chunk"]
+    return [c.name for c in spark.catalog.listColumns(handle) if c.isPartition]
+
+
 def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
                        order_by: tuple[str, ...] = COMPACT_ORDER, codec: str = "zstd",
                        older_than: str | None = None, as_of=None,
@@ -41,13 +51,16 @@ def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
     after_bytes).  The rewrite is staged under the shared checkpoint folder
     and swapped in only after the staged row count equals the source's, so
     a lost executor or a crash never leaves a partition short of rows.
+
+    A stream-fed table partitioned by (chunk, ingest_batch) has its batch
+    partitions of each eligible chunk merged into one (``ingest_batch = -1``)
+    by a static-partition overwrite of that chunk: one distributed job per
+    chunk, looping over partition names only.
     """
     name = name or handle
-    if is_table(handle):
-        parts = [c.name for c in spark.catalog.listColumns(handle) if c.isPartition]
-        if parts != ["chunk"]:
-            raise ValueError(f"compaction swaps whole chunk partitions; {handle} is "
-                             f"partitioned by {parts}")
+    parts = _partition_columns(spark, handle)
+    if parts not in (["chunk"], ["chunk", "ingest_batch"]):
+        raise ValueError(f"cannot compact {handle}: partitioned by {parts}")
     before = _older_than(partition_catalog(spark, handle, width, name), older_than, as_of)
     chunks = sorted(r[0] for r in before.select("chunk").collect())
     if not chunks:
@@ -66,7 +79,9 @@ def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
         raise RuntimeError(f"compaction staged {n_staged} rows for {n_src}; nothing replaced")
     out = staged.select(*READING_COLUMNS, "chunk")
     try:
-        if is_table(handle):
+        if parts == ["chunk", "ingest_batch"]:
+            _swap_batched_chunks(spark, handle, out, chunks, codec)
+        elif is_table(handle):
             with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic",
                                       "spark.sql.parquet.compression.codec": codec}):
                 out.write.insertInto(handle, overwrite=True)
@@ -81,6 +96,27 @@ def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
     return _stats(spark, before_bytes, after, name)
 
 
+def _swap_batched_chunks(spark: SparkSession, table: str, staged: DataFrame,
+                         chunks: list[str], codec: str) -> None:
+    """Replace every (chunk, *) partition of each chunk by (chunk, -1).
+
+    A static spec on ``chunk`` with a static-mode overwrite removes all of
+    the chunk's batch partitions and writes the merged one in one job.
+    """
+    view = f"compact_{uuid.uuid4().hex[:12]}"
+    staged.withColumn("ingest_batch", F.lit(COMPACTED_BATCH).cast("bigint")) \
+        .createOrReplaceTempView(view)
+    cols = ", ".join(f"`{c}`" for c in READING_COLUMNS)
+    try:
+        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "static",
+                                  "spark.sql.parquet.compression.codec": codec}):
+            for chunk in chunks:
+                spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (chunk = '{chunk}', ingest_batch) "
+                          f"SELECT {cols}, ingest_batch FROM {view} WHERE chunk = '{chunk}'")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def _stats(spark: SparkSession, before: DataFrame, after: DataFrame, name: str) -> DataFrame:
     return (after.select("chunk", F.col("bytes").alias("after_bytes"))
             .join(before.select("chunk", F.col("bytes").alias("before_bytes")), "chunk")
