@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from meterlake.operators import lifecycle as L
+from meterlake.operators import queries as Q
 from meterlake.operators import rollups as R
-from meterlake.plans.registry import readings_of, register
+from meterlake.plans.registry import SQL_TABLE_STATS, readings_of, register, shape
 from meterlake.plans.storage import _late_rows, _rollup_sql, rollup_output
 from meterlake.session import scratch_path, unique_table
-from meterlake.sources.schema import READINGS, readings_from_events
+from meterlake.sources.schema import READINGS, readings, readings_from_events
 from meterlake.streaming.refresh import (
     create_raw_table, create_rollup_table, stream_refresh, stream_rollup,
 )
@@ -29,15 +31,9 @@ def _run_refresh_stream(spark: SparkSession, source: str, raw: str, rollup: str,
     q.awaitTermination()
 
 
-@register("stream_refresh_daily", _rollup_sql("1 day", """
-where "timestamp" >= timestamp '2024-01-02' and "timestamp" < timestamp '2024-01-31'"""))
-def stream_refresh_daily(spark, sf_dir):
-    """File stream + foreachBatch refresh of the daily rollup.
-
-    Two runs on one checkpoint: on-time rows, then the late batch (views
-    from Jan 20 on).  With the daily policy at 2024-02-01 the window is
-    [Jan 2, Jan 31), so Jan 1 and Jan 31 stay outside the rollup.
-    """
+def _two_drop_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Feed the on-time rows, then the late batch, through the refresh stream;
+    return the raw and daily rollup tables."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     source = scratch_path(spark, "stream-src")
     raw, rollup = unique_table("energy_readings"), unique_table("energy_readings_daily")
@@ -48,9 +44,31 @@ def stream_refresh_daily(spark, sf_dir):
     _run_refresh_stream(spark, source, raw, rollup, checkpoint)
     readings_from_events(events.filter(_late_rows(events))).write.mode("append").parquet(source)
     _run_refresh_stream(spark, source, raw, rollup, checkpoint)
+    return raw, rollup
+
+
+@register("stream_refresh_daily", _rollup_sql("1 day", """
+where "timestamp" >= timestamp '2024-01-02' and "timestamp" < timestamp '2024-01-31'"""))
+def stream_refresh_daily(spark, sf_dir):
+    """File stream + foreachBatch refresh of the daily rollup.
+
+    Two runs on one checkpoint: on-time rows, then the late batch (views
+    from Jan 20 on).  With the daily policy at 2024-02-01 the window is
+    [Jan 2, Jan 31), so Jan 1 and Jan 31 stay outside the rollup.
+    """
+    _, rollup = _two_drop_stream(spark, sf_dir)
     return rollup_output(R.read_rollup(spark, rollup))
 
 
+@register("stream_raw_compacted_stats", SQL_TABLE_STATS)
+def stream_raw_compacted_stats(spark, sf_dir):
+    """L7 on a stream-fed table: both drops' batch partitions of every chunk
+    merged into one, then Q4 over the raw table (same answer as the source)."""
+    raw, _ = _two_drop_stream(spark, sf_dir)
+    L.compact_partitions(spark, raw, "1 day")
+    return shape(Q.table_stats(readings(spark, raw)), rounded=("avg_power",))
+
+
 STREAM_WATERMARK = "1 day"
 
 
