@@ -151,6 +151,38 @@ def compression_report(spark, sf_dir):
                                 reduce(DataFrame.unionByName, stats))
 
 
+def _status_sql(tables: dict[str, str], cutoff: str) -> str:
+    parts = "\n  union all\n".join(
+        f"""  select '{name}' as "table", time_bucket(interval '{w}', "timestamp",
+         timestamp '1970-01-01') + interval '{w}' as range_end from r group by 1, 2"""
+        for name, w in tables.items())
+    return READINGS_CTE + f""", c as (
+{parts})
+select "table", case when range_end <= timestamp '{cutoff}' then 'Compressed'
+                     else 'Uncompressed' end as compression_status,
+       count(*) as chunk_count
+from c group by 1, 2"""
+
+
+STATUS_TABLES = {LAYOUTS["1d"][0]: LAYOUTS["1d"][1], LAYOUTS["1w"][0]: LAYOUTS["1w"][1]}
+
+
+@register("compression_status_counts", _status_sql(STATUS_TABLES, "2024-01-30"))
+def compression_status_counts(spark, sf_dir):
+    """A12 / J1-J2 without byte sizes: partitions per table and status after
+    compacting everything older than 24 hours at 2024-01-31 (1-day and
+    1-week layouts; a week still open at the cutoff stays Uncompressed)."""
+    keys = {"energy_readings": "1d", "energy_readings_week": "1w"}
+    tables = {name: (write_layout(spark, sf_dir, keys[name], as_table=True), width)
+              for name, width in STATUS_TABLES.items()}
+    stats = [L.compact_partitions(spark, handle, width, older_than="24 hours",
+                                  as_of=COMPACT_AS_OF, name=name)
+             for name, (handle, width) in tables.items()]
+    report = L.compression_report(C.union_catalogs(spark, tables),
+                                  reduce(DataFrame.unionByName, stats))
+    return report.select("table", "compression_status", "chunk_count")
+
+
 @register("compression_detail")
 def compression_detail(spark, sf_dir):
     """Per-partition sizes and savings after compaction (rows-only)."""
