@@ -23,7 +23,7 @@ from meterlake.functions.time import (
 from meterlake.functions.format import sorted_report
 from meterlake.operators.queries import region_of, tables_equal
 from meterlake.session import scratch_path, session_conf, write_conf
-from meterlake.sources.layout import scan_range
+from meterlake.sources.layout import scan_days
 
 ROLLUP_COLUMNS = ["meter_id", "bucket", "sum_power", "power_count", "max_power",
                   "min_power", "total_energy", "reading_count", "day"]
@@ -227,8 +227,8 @@ def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
 
     * Only buckets inside the policy's window are recomputed; rows of the
       same days outside it are carried over from the current rollup.
-    * The raw scan reads only the partitions of those days (literal bounds
-      on ``chunk``) and the day list is bounded by the window length.
+    * The raw scan reads only the partitions overlapping those days (an
+      ``IN`` list on ``chunk``), and the day list is bounded by the window.
     * New rows are staged under the shared checkpoint folder, then swapped
       in with dynamic partition overwrite, so a failed or repeated run leaves
       the same result; days that come back empty are dropped.
@@ -247,10 +247,7 @@ def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
         lo = hi = None
     if not days:
         return []
-    first = datetime.fromisoformat(days[0])
-    last = datetime.fromisoformat(days[-1]) + timedelta(days=1)
-    in_days = day_label("timestamp").isin(days)
-    raw = scan_range(spark, raw_handle, first, last, raw_width).filter(in_days)
+    raw = scan_days(spark, raw_handle, days, raw_width)
     fresh = rollup_state(raw, width)
     current = spark.table(table).filter(F.col("day").isin(days))
     if lo is not None:

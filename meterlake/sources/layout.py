@@ -14,7 +14,9 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.functions.time import chunk_label, floor_to, label_of, to_utc
+from meterlake.functions.time import (
+    chunk_label, day_label, floor_to, label_of, to_utc, width_micros,
+)
 from meterlake.session import write_conf
 from meterlake.sources.schema import (
     READING_COLUMNS, derive_measures, is_table, readings, split_valid, stored_readings,
@@ -130,6 +132,29 @@ def scan_range(spark: SparkSession, handle: str, start=None, end=None,
     return df.select(*READING_COLUMNS)
 
 
+def chunks_for_days(days: list[str], width: str = "1 day") -> list[str]:
+    """Labels of every ``width`` partition overlapping the given UTC days."""
+    w = timedelta(microseconds=width_micros(width))
+    labels = set()
+    for day in days:
+        start = to_utc(day)
+        c = floor_to(start, width)
+        while c < start + timedelta(days=1):
+            labels.add(label_of(c))
+            c += w
+    return sorted(labels)
+
+
+def scan_days(spark: SparkSession, handle: str, days: list[str],
+              width: str = "1 day") -> DataFrame:
+    """Readings of the given UTC days, read only from the partitions that
+    overlap them (an ``IN`` list on ``chunk``, however scattered the days)."""
+    df = stored_readings(spark, handle)
+    in_days = F.col("chunk").isin(chunks_for_days(days, width)) & \
+        day_label("timestamp").isin(list(days))
+    return df.filter(in_days).select(*READING_COLUMNS)
+
+
 def scan_last(df: DataFrame, span: str = "1 day", as_of=None,
               time_col: str = "timestamp") -> DataFrame:
     """Rows of the last ``span`` before ``as_of`` (``NOW()`` when None)."""

@@ -148,3 +148,18 @@ def test_hot_chunk_and_meter_split_over_writers(spark, make_readings):
     hot = glob.glob(path + "/chunk=2024-01-04-00/*.parquet")
     assert len(hot) >= 3
     assert readings(spark, path).count() == 6001
+
+
+def test_scan_days_prunes_scattered_days(spark):
+    from meterlake.sources.layout import chunks_for_days, scan_days
+    assert chunks_for_days(["2024-01-04"], "1 week") == ["2024-01-04-00"]
+    assert chunks_for_days(["2024-01-05"], "1 week") == ["2024-01-04-00"]
+    assert len(chunks_for_days(["2024-01-04", "2024-01-20"], "3 hours")) == 16
+    table = unique_table("t_days")
+    raw = events_readings(spark, SF_MID)
+    write_partitioned(raw, table, "3 hours", location=scratch_path(spark, "t-days"))
+    df = scan_days(spark, table, ["2024-01-02", "2024-01-29"], "3 hours")
+    files = df.inputFiles()
+    assert files and all(("chunk=2024-01-02-" in f) or ("chunk=2024-01-29-" in f) for f in files)
+    want = raw.filter(F.to_date("timestamp").isin("2024-01-02", "2024-01-29")).count()
+    assert df.count() == want
