@@ -174,6 +174,24 @@ def drop_older_than(spark: SparkSession, table: str, retention: str, as_of,
     expired = _older_than(partition_catalog(spark, table, width), retention, as_of)
     chunks = sorted(r[0] for r in expired.select("chunk").collect())
     if chunks:
-        specs = ", ".join(f"PARTITION (chunk='{c}')" for c in chunks)
+        specs = ", ".join(f"PARTITION ({spec})" for spec in _full_specs(spark, table, chunks))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     return chunks
+
+
+def _full_specs(spark: SparkSession, table: str, chunks: list[str]) -> list[str]:
+    """Complete partition specs under each chunk.
+
+    A partial spec does not drop the (chunk, ingest_batch) partitions of a
+    stream-fed table, so each chunk is expanded through the catalogue's
+    partition names (metadata only).
+    """
+    if _partition_columns(spark, table) == ["chunk"]:
+        return [f"chunk='{c}'" for c in chunks]
+    specs = []
+    for c in chunks:
+        for (name,) in spark.sql(f"SHOW PARTITIONS {table} PARTITION (chunk='{c}')").collect():
+            pairs = [part.split("=", 1) for part in name.split("/")]
+            specs.append(", ".join(
+                f"{k}='{v}'" if k == "chunk" else f"{k}={v}" for k, v in pairs))
+    return specs

@@ -102,3 +102,16 @@ def test_compaction_merges_stream_batches(spark, make_readings):
     # a replay of a recent batch still overwrites only its own partition
     ingest_batch(spark, make_readings(_grid("2024-01-03 06:00:00", 30, 3.0)), 2, raw, tiers)
     assert spark.table(raw).count() == len(before)
+
+
+def test_retention_on_stream_fed_table(spark, make_readings):
+    from meterlake.operators.lifecycle import drop_older_than
+    raw, rollup = _tables(spark)
+    tiers = {rollup: ("1 day", None)}
+    ingest_batch(spark, make_readings(_grid("2024-01-01 00:00:00", 24, 1.0)), 0, raw, tiers)
+    ingest_batch(spark, make_readings(_grid("2024-01-01 12:30:00", 40, 2.0)), 1, raw, tiers)
+    dropped = drop_older_than(spark, raw, "30 days", "2024-02-01")
+    assert dropped == ["2024-01-01-00"]              # Jan 2 ends Jan 3, after the cutoff
+    days = {r.chunk for r in spark.sql(f"select distinct chunk from {raw}").collect()}
+    assert days == {"2024-01-02-00", "2024-01-03-00"}  # batch 1 runs to Jan 3 03:30
+    assert spark.table(raw).count() == 28            # batch 1 rows from Jan 2 00:30 on
