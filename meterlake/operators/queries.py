@@ -3,7 +3,8 @@
 Every function takes and returns a DataFrame and is built from built-in
 column expressions, so Catalyst plans each one as scan (filters and column
 pruning pushed to Parquet) -> partial aggregate -> one exchange -> final
-aggregate, with top-k answers fused into ``TakeOrderedAndProject``.  Column
+aggregate, with top-k answers fused into ``TakeOrderedAndProject`` and
+reports bounded by a small key space ordered by ``sorted_report``.  Column
 names are parameters so the same code runs on other time-stamped tables.
 """
 
