@@ -106,8 +106,8 @@ def main() -> None:
         runs[f"{label}_raw"] = lambda w=width: Q.meter_profile(
             scan_range(spark, paths["1d"], PROFILE_START, PROFILE_END, "1 day"),
             PROFILE_METER, PROFILE_START, PROFILE_END, width=w).collect()
-        runs[f"{label}_rollup"] = lambda t=table: R.rollup_point_read(
-            spark.table(t), PROFILE_METER, PROFILE_START, PROFILE_END).collect()
+        runs[f"{label}_rollup"] = lambda t=table, w=width: R.rollup_point_read(
+            spark.table(t), PROFILE_METER, PROFILE_START, PROFILE_END, w).collect()
     for key in WIDTHS:
         runs[f"full_scan_{key}"] = lambda k=key: readings(spark, paths[k]).agg(
             {"power": "avg"}).collect()

@@ -17,10 +17,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.format import sorted_report
-from meterlake.functions.time import period_type, time_bucket, to_utc
+from meterlake.functions.time import (
+    BUCKET_ORIGIN, floor_to, period_type, time_bucket, to_utc, width_micros,
+)
 from meterlake.sources.layout import time_bounds
 
 TS, KEY, POWER, ENERGY = "timestamp", "meter_id", "power", "energy"
+HOURS_PER_DAY = 24
+
+
+def buckets_in(start, end, width: str) -> int | None:
+    """Number of ``width`` buckets overlapping ``[start, end)`` (None if open)."""
+    if start is None or end is None:
+        return None
+    first = floor_to(start, width, BUCKET_ORIGIN)
+    span = (to_utc(end) - first) / timedelta(microseconds=width_micros(width))
+    return max(int(-(-span // 1)), 0)
 
 
 def _in_range(df: DataFrame, start=None, end=None, time_col: str = TS) -> DataFrame:
@@ -93,7 +105,7 @@ def meter_profile(df: DataFrame, meter_id: str, start, end,
     out = (df.filter(cond if bounds is None else cond & bounds)
            .groupBy(F.col(key_col), time_bucket(width, time_col).alias("bucket"))
            .agg(F.avg(value_col).alias("avg_power")))
-    return sorted_report(out, "bucket")
+    return sorted_report(out, "bucket", max_rows=buckets_in(start, end, width))
 
 
 # --- A9 / A10 / A13-A15: data-quality and load checks ------------------------
@@ -116,7 +128,7 @@ def hourly_profile(df: DataFrame, time_col: str = TS, value_col: str = POWER) ->
     out = (df.groupBy(F.hour(time_col).alias("hour"))
            .agg(round_numeric(F.avg(value_col)).alias("avg_power"))
            .withColumn("period_type", period_type("hour")))
-    return sorted_report(out, "hour")
+    return sorted_report(out, "hour", max_rows=HOURS_PER_DAY)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -137,7 +149,8 @@ def recent_profile(df: DataFrame, as_of, k: int | None = None, span: str = "1 da
     anchor = F.lit(to_utc(as_of))
     out = sorted_report(df.filter(F.col(time_col) >= anchor - F.expr(f"INTERVAL {span}"))
                         .groupBy(F.hour(time_col).alias("hour"))
-                        .agg(round_numeric(F.avg(value_col)).alias("avg_power")), "hour")
+                        .agg(round_numeric(F.avg(value_col)).alias("avg_power")), "hour",
+                        max_rows=HOURS_PER_DAY)
     return out.limit(k) if k else out
 
 
@@ -216,7 +229,7 @@ def band_check(df: DataFrame, ranges: dict[str, tuple[float, float]] | None = No
            .withColumn("expected_high", high)
            .withColumn("in_range", F.col("avg_power").between(
                F.col("expected_low"), F.col("expected_high"))))
-    return sorted_report(out, "period_type")
+    return sorted_report(out, "period_type", max_rows=4)
 
 
 def completeness(df: DataFrame, per_day: int = 288, key_col: str = KEY,
@@ -269,7 +282,7 @@ def day_over_day(df: DataFrame, day, time_col: str = TS, value_col: str = POWER)
            .groupBy(F.hour(time_col).alias("hour"))
            .agg(F.avg(F.when(today, F.col(value_col))).alias("today_avg"),
                 F.avg(F.when(~today, F.col(value_col))).alias("yesterday_avg")))
-    return sorted_report(out, "hour")
+    return sorted_report(out, "hour", max_rows=HOURS_PER_DAY)
 
 
 def with_region_label(df: DataFrame, labels: DataFrame, region_col: str = "region") -> DataFrame:

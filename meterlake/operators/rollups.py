@@ -21,7 +21,7 @@ from meterlake.functions.time import (
     day_label, floor_to, time_bucket, to_utc, width_micros,
 )
 from meterlake.functions.format import sorted_report
-from meterlake.operators.queries import region_of, tables_equal
+from meterlake.operators.queries import HOURS_PER_DAY, buckets_in, region_of, tables_equal
 from meterlake.session import scratch_path, session_conf, write_conf
 from meterlake.sources.layout import scan_days
 
@@ -157,14 +157,20 @@ def _range_condition(start=None, end=None) -> Column | None:
     return cond
 
 
-def rollup_point_read(rollup: DataFrame, meter_id: str, start, end) -> DataFrame:
-    """The A5 question answered from a rollup: no aggregation at read time."""
+def rollup_point_read(rollup: DataFrame, meter_id: str, start, end,
+                      width: str | None = None) -> DataFrame:
+    """The A5 question answered from a rollup: no aggregation at read time.
+
+    With the rollup's ``width`` the result is ordered without a shuffle (the
+    range's bucket count bounds the rows: one row per meter and bucket).
+    """
     cond = F.col("meter_id") == F.lit(meter_id)
     bounds = _range_condition(start, end)
     out = rollup.filter(cond if bounds is None else cond & bounds).select(
         "meter_id", "bucket", F.try_divide(F.col("sum_power"), F.col("power_count"))
         .alias("avg_power"))
-    return sorted_report(out, "bucket")
+    bound = buckets_in(start, end, width) if width else None
+    return sorted_report(out, "bucket", max_rows=bound)
 
 
 # --- re-aggregation to coarser keys --------------------------------------------
@@ -191,7 +197,7 @@ def peak_hours(rollup_hourly: DataFrame, weighted: bool = False) -> DataFrame:
     out = (rollup_hourly.groupBy(F.hour("bucket").alias("hour_of_day"))
            .agg(_mean(weighted).alias("average_power"),
                 F.max("max_power").alias("peak_power")))
-    return sorted_report(out, "hour_of_day")
+    return sorted_report(out, "hour_of_day", max_rows=HOURS_PER_DAY)
 
 
 def rollup_vs_raw(raw_answer: DataFrame, rollup_answer: DataFrame) -> DataFrame:

@@ -267,7 +267,7 @@ def rollup_cascade_daily(spark, sf_dir):
 def rollup_point_read(spark, sf_dir):
     """The one-meter, one-day question answered from the 15-minute rollup."""
     rollup = build_tier(spark, readings_of(spark, sf_dir), "15min")
-    out = R.rollup_point_read(rollup, PROFILE_METER, PROFILE_START, PROFILE_END)
+    out = R.rollup_point_read(rollup, PROFILE_METER, PROFILE_START, PROFILE_END, "15 minutes")
     return shape(out, ("bucket",), ("avg_power",))
 
 
@@ -280,7 +280,7 @@ def rollup_vs_raw(spark, sf_dir):
     raw_answer = shape(Q.meter_profile(raw, PROFILE_METER, PROFILE_START, PROFILE_END),
                        rounded=("avg_power",))
     rollup_answer = shape(R.rollup_point_read(rollup, PROFILE_METER, PROFILE_START,
-                                              PROFILE_END), rounded=("avg_power",))
+                                              PROFILE_END, "15 minutes"), rounded=("avg_power",))
     return R.rollup_vs_raw(raw_answer, rollup_answer)
 
 

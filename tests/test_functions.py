@@ -103,3 +103,11 @@ def test_scan_last_relative_window(spark, make_readings):
     got = [r.power for r in scan_last(df, "1 day", as_of="2024-01-31 00:00:00").collect()]
     assert got == [1.0]
     assert scan_last(df, "1 day").count() == 0        # NOW() is long after the data
+
+
+def test_buckets_in_bounds():
+    from meterlake.operators.queries import buckets_in
+    assert buckets_in("2024-01-15", "2024-01-16", "15 minutes") == 96
+    assert buckets_in("2024-01-15 00:10:00", "2024-01-15 01:00:00", "15 minutes") == 4
+    assert buckets_in("2024-01-15", "2024-01-16", "1 hour") == 24
+    assert buckets_in("2024-01-15", None, "1 hour") is None

@@ -45,8 +45,8 @@ def main():
             Q.meter_profile(scan_range(spark, table, "2024-01-15", "2024-01-16"),
                             "7000000007", "2024-01-15", "2024-01-16"),
         "S9 same question on the 15-minute rollup":
-            R.rollup_point_read(R.read_rollup(spark, rollup), "7000000007",
-                                "2024-01-15", "2024-01-16"),
+            R.rollup_point_read(spark.table(rollup), "7000000007",
+                                "2024-01-15", "2024-01-16", "15 minutes"),
         "U2 tables_equal": Q.tables_equal(raw, readings(spark, table)),
     }
     out = ["# PLANS", "",
