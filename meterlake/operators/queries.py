@@ -58,7 +58,7 @@ def hourly_avg(df: DataFrame, start=None, end=None, width: str = "1 hour",
     out = (_in_range(df, start, end, time_col)
            .groupBy(time_bucket(width, time_col).alias("hour"))
            .agg(F.avg(value_col).alias("avg_power")))
-    return sorted_report(out, "hour")
+    return sorted_report(out, "hour", max_rows=buckets_in(start, end, width))
 
 
 def peak_periods(df: DataFrame, start=None, k: int = 10, end=None,

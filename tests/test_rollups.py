@@ -163,3 +163,10 @@ def test_empty_input(spark, make_readings):
     assert R.refresh_rollup(spark, raw, table, "1 hour", touched_days=["2024-01-01"]) == \
         ["2024-01-01"]
     assert spark.table(table).count() == 0
+
+
+def test_bounded_range_report_keeps_every_bucket(spark, make_readings):
+    raw = make_readings(grid("1000000001", "2024-01-04 00:00:00", 288, 5.0))
+    got = Q.hourly_avg(raw, "2024-01-04", "2024-01-05").collect()
+    assert [r.hour for r in got] == [ts("2024-01-04 00:00:00") + timedelta(hours=h)
+                                     for h in range(24)]
