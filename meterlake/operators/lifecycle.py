@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.format import human_bytes, savings_pct, sorted_report
 from meterlake.functions.time import to_utc, width_micros
-from meterlake.session import scratch_path, session_conf
+from meterlake.session import session_conf, staging_path
 from meterlake.sources.catalog import partition_catalog
 from meterlake.sources.layout import cluster_by_chunk
 from meterlake.sources.schema import READING_COLUMNS, is_table, readings
@@ -68,11 +68,12 @@ def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
     before_bytes = spark.createDataFrame(
         before.select("chunk", "bytes").collect(), "chunk string, bytes bigint")
     source = readings(spark, handle, with_chunk=True).filter(F.col("chunk").isin(chunks))
-    staging = scratch_path(spark, "compact")
+    staging = staging_path(spark, "compact", handle)
     # Default AQE sizing (not the small-write spread): compaction is about
     # fewer, larger files per partition.
     (cluster_by_chunk(source.select(*READING_COLUMNS, "chunk"), order_by)
-     .write.option("compression", codec).partitionBy("chunk").parquet(staging))
+     .write.mode("overwrite").option("compression", codec).partitionBy("chunk")
+     .parquet(staging))
     staged = spark.read.schema(source.schema).parquet(staging)
     n_src, n_staged = source.count(), staged.count()
     if n_src != n_staged:

@@ -22,7 +22,7 @@ from meterlake.functions.time import (
 )
 from meterlake.functions.format import sorted_report
 from meterlake.operators.queries import HOURS_PER_DAY, buckets_in, region_of, tables_equal
-from meterlake.session import scratch_path, session_conf, write_conf
+from meterlake.session import session_conf, staging_path, write_conf
 from meterlake.sources.layout import scan_days
 
 ROLLUP_COLUMNS = ["meter_id", "bucket", "sum_power", "power_count", "max_power",
@@ -260,9 +260,10 @@ def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
         fresh = fresh.filter((F.col("bucket") >= F.lit(lo)) & (F.col("bucket") < F.lit(hi)))
         kept = current.filter((F.col("bucket") < F.lit(lo)) | (F.col("bucket") >= F.lit(hi)))
         fresh = fresh.select(*ROLLUP_COLUMNS).unionByName(kept.select(*ROLLUP_COLUMNS))
-    staging = scratch_path(spark, f"refresh-{table}")
+    staging = staging_path(spark, "refresh", table)
     with write_conf(spark):
-        _clustered(fresh.select(*ROLLUP_COLUMNS)).write.partitionBy("day").parquet(staging)
+        (_clustered(fresh.select(*ROLLUP_COLUMNS)).write.mode("overwrite")
+         .partitionBy("day").parquet(staging))
     staged = spark.read.schema(spark.table(table).schema).parquet(staging)
     written = {r[0] for r in staged.select("day").distinct().collect()}
     with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):

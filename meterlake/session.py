@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -77,6 +79,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/meterlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staging_path(spark: SparkSession, kind: str, handle: str) -> str:
+    """The one staging folder of a (job kind, dataset) pair, overwritten by
+    every run: repeated refreshes do not pile up copies in the shared
+    folder, and a rerun after a crash reuses the same place."""
+    safe = re.sub(r"[^A-Za-z0-9_.-]", "_", handle)[-80:]
+    digest = hashlib.sha1(handle.encode()).hexdigest()[:8]
+    return f"{checkpoint_root(spark)}/meterlake/staging/{kind}-{safe}-{digest}"
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
     """Set SQL confs for the duration of one write, then restore them.
