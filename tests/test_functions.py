@@ -111,3 +111,35 @@ def test_buckets_in_bounds():
     assert buckets_in("2024-01-15 00:10:00", "2024-01-15 01:00:00", "15 minutes") == 4
     assert buckets_in("2024-01-15", "2024-01-16", "1 hour") == 24
     assert buckets_in("2024-01-15", None, "1 hour") is None
+
+
+def test_bucket_expressions_match_python_floor(spark):
+    """Property check: Spark's bucket/label expressions equal a plain Python
+    floor on random instants (1900-2100, microsecond precision)."""
+    from datetime import timezone
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from meterlake.functions.time import BUCKET_ORIGIN, EPOCH
+
+    widths = ["15 minutes", "1 hour", "3 hours", "1 day", "1 week"]
+    instants = st.datetimes(min_value=ts("1900-01-01"), max_value=ts("2100-01-01"))
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(instants, min_size=20, max_size=60))
+    def check(values):
+        df = spark.createDataFrame([(v.replace(tzinfo=timezone.utc),) for v in values],
+                                   "t timestamp")
+        cols = [time_bucket(w, "t").alias(f"b{i}") for i, w in enumerate(widths)]
+        cols += [chunk_label(w, "t").alias(f"c{i}") for i, w in enumerate(widths[1:], 1)]
+        rows = df.select("t", *cols).collect()
+        for r in rows:
+            t = r.t.replace(tzinfo=timezone.utc)
+            for i, w in enumerate(widths):
+                want = floor_to(t, w, BUCKET_ORIGIN).replace(tzinfo=None)
+                assert r[f"b{i}"] == want, (t, w)
+            for i, w in enumerate(widths[1:], 1):
+                assert r[f"c{i}"] == label_of(floor_to(t, w, EPOCH)), (t, w)
+
+    check()
