@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.format import sorted_report
 from meterlake.functions.time import (
-    BUCKET_ORIGIN, floor_to, period_type, time_bucket, to_utc, width_micros,
+    BUCKET_ORIGIN, floor_to, period_type, sql_name, sql_string, time_bucket, to_utc,
+    width_micros,
 )
 from meterlake.sources.layout import time_bounds
 
@@ -100,7 +101,7 @@ def meter_profile(df: DataFrame, meter_id: str, start, end,
                   width: str = "15 minutes", key_col: str = KEY,
                   time_col: str = TS, value_col: str = POWER) -> DataFrame:
     """Per-bucket mean for one meter in ``[start, end)`` (filters reach Parquet)."""
-    cond = F.col(key_col) == F.lit(meter_id)
+    cond = F.expr(f"{sql_name(key_col)} = {sql_string(meter_id)}")
     bounds = time_bounds(start, end, time_col)
     out = (df.filter(cond if bounds is None else cond & bounds)
            .groupBy(F.col(key_col), time_bucket(width, time_col).alias("bucket"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.time import (
-    day_label, floor_to, time_bucket, to_utc, width_micros,
+    day_label, floor_to, sql_string, sql_timestamp, time_bucket, to_utc, width_micros,
 )
 from meterlake.functions.format import sorted_report
 from meterlake.operators.queries import HOURS_PER_DAY, buckets_in, region_of, tables_equal
@@ -144,17 +144,21 @@ def rollup_range(rollup: DataFrame, start=None, end=None) -> DataFrame:
     return rollup if cond is None else rollup.filter(cond)
 
 
-def _range_condition(start=None, end=None) -> Column | None:
-    cond = None
+def _range_terms(start=None, end=None) -> list[str]:
+    terms = []
     if start is not None:
         s = to_utc(start)
-        cond = (F.col("day") >= F.lit(s.strftime("%Y-%m-%d"))) & (F.col("bucket") >= F.lit(s))
+        terms += [f"day >= '{s.strftime('%Y-%m-%d')}'", f"bucket >= {sql_timestamp(s)}"]
     if end is not None:
         e = to_utc(end)
         last = (e - timedelta(microseconds=1)).strftime("%Y-%m-%d")
-        upper = (F.col("day") <= F.lit(last)) & (F.col("bucket") < F.lit(e))
-        cond = upper if cond is None else cond & upper
-    return cond
+        terms += [f"day <= '{last}'", f"bucket < {sql_timestamp(e)}"]
+    return terms
+
+
+def _range_condition(start=None, end=None) -> Column | None:
+    terms = _range_terms(start, end)
+    return F.expr(" AND ".join(terms)) if terms else None
 
 
 def rollup_point_read(rollup: DataFrame, meter_id: str, start, end,
@@ -164,9 +168,8 @@ def rollup_point_read(rollup: DataFrame, meter_id: str, start, end,
     With the rollup's ``width`` the result is ordered without a shuffle (the
     range's bucket count bounds the rows: one row per meter and bucket).
     """
-    cond = F.col("meter_id") == F.lit(meter_id)
-    bounds = _range_condition(start, end)
-    out = rollup.filter(cond if bounds is None else cond & bounds).select(
+    terms = [f"meter_id = {sql_string(meter_id)}"] + _range_terms(start, end)
+    out = rollup.filter(" AND ".join(terms)).select(
         "meter_id", "bucket", F.try_divide(F.col("sum_power"), F.col("power_count"))
         .alias("avg_power"))
     bound = buckets_in(start, end, width) if width else None

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.time import (
-    chunk_label, day_label, floor_to, label_of, to_utc, width_micros,
+    chunk_label, day_label, floor_to, label_of, sql_name, sql_timestamp, to_utc, width_micros,
 )
 from meterlake.session import write_conf
 from meterlake.sources.schema import (
@@ -94,27 +94,37 @@ def relayout(spark: SparkSession, src: str, dst: str, width: str,
     write_partitioned(readings(spark, src), dst, width, sort=sort, mode=mode)
 
 
-def chunk_bounds(start=None, end=None, width: str = "1 day") -> Column | None:
-    """Predicate on ``chunk`` implied by ``start <= timestamp < end``."""
-    cond = None
+def _chunk_sql(start=None, end=None, width: str = "1 day") -> list[str]:
+    terms = []
     if start is not None:
-        cond = F.col("chunk") >= F.lit(label_of(floor_to(start, width)))
+        terms.append(f"chunk >= '{label_of(floor_to(start, width))}'")
     if end is not None:
         last = floor_to(to_utc(end) - timedelta(microseconds=1), width)
-        upper = F.col("chunk") <= F.lit(label_of(last))
-        cond = upper if cond is None else cond & upper
-    return cond
+        terms.append(f"chunk <= '{label_of(last)}'")
+    return terms
 
 
-def time_bounds(start=None, end=None, time_col: str = "timestamp") -> Column | None:
-    """Half-open ``[start, end)`` on the time column; either side optional."""
-    cond = None
+def _time_sql(start=None, end=None, time_col: str = "timestamp") -> list[str]:
+    terms = []
     if start is not None:
-        cond = F.col(time_col) >= F.lit(to_utc(start))
+        terms.append(f"{sql_name(time_col)} >= {sql_timestamp(start)}")
     if end is not None:
-        upper = F.col(time_col) < F.lit(to_utc(end))
-        cond = upper if cond is None else cond & upper
-    return cond
+        terms.append(f"{sql_name(time_col)} < {sql_timestamp(end)}")
+    return terms
+
+
+def _all(terms: list[str]) -> Column | None:
+    return F.expr(" AND ".join(terms)) if terms else None
+
+
+def chunk_bounds(start=None, end=None, width: str = "1 day") -> Column | None:
+    """Predicate on ``chunk`` implied by ``start <= timestamp < end``."""
+    return _all(_chunk_sql(start, end, width))
+
+
+def time_bounds(start=None, end=None, time_col: str = "timestamp") -> Column | None:
+    """Half-open ``[start, end)`` on the time column; either side optional."""
+    return _all(_time_sql(start, end, time_col))
 
 
 def scan_range(spark: SparkSession, handle: str, start=None, end=None,
@@ -126,9 +136,9 @@ def scan_range(spark: SparkSession, handle: str, start=None, end=None,
     folder is listed first and pruned after, so keep large layouts as tables.
     """
     df = stored_readings(spark, handle)
-    part, rows = chunk_bounds(start, end, width), time_bounds(start, end)
-    if part is not None:
-        df = df.filter(part & rows)
+    cond = _all(_chunk_sql(start, end, width) + _time_sql(start, end))
+    if cond is not None:
+        df = df.filter(cond)
     return df.select(*READING_COLUMNS)
 
 
