@@ -229,9 +229,27 @@ def _days_between(lo: datetime, hi: datetime) -> list[str]:
     return out
 
 
+def refresh_days(policy: RefreshPolicy | None, as_of, width: str,
+                 touched_days: list[str] | None) -> tuple[list[str], datetime | None,
+                                                      datetime | None]:
+    """Days a refresh rewrites and its window bounds (None without a policy)."""
+    if policy is None:
+        return sorted(set(touched_days or [])), None, None
+    if as_of is None:
+        raise ValueError("a refresh policy needs as_of")
+    lo, hi = refresh_window(policy, as_of, width)
+    if lo >= hi:
+        return [], lo, hi
+    window_days = _days_between(lo, hi)
+    days = sorted(set(window_days) & set(touched_days)) if touched_days is not None \
+        else window_days
+    return days, lo, hi
+
+
 def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
                    raw_width: str = "1 day", policy: RefreshPolicy | None = None,
-                   as_of=None, touched_days: list[str] | None = None) -> list[str]:
+                   as_of=None, touched_days: list[str] | None = None,
+                   raw_rows: DataFrame | None = None) -> list[str]:
     """Recompute the rollup for the days that changed; return the days rewritten.
 
     * Only buckets inside the policy's window are recomputed; rows of the
@@ -241,22 +259,16 @@ def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
     * New rows are staged under the shared checkpoint folder, then swapped
       in with dynamic partition overwrite, so a failed or repeated run leaves
       the same result; days that come back empty are dropped.
+    * ``raw_rows`` may hand in raw readings already read for a superset of
+      the days (several tiers refreshed from one scan).
     """
-    if policy is not None:
-        if as_of is None:
-            raise ValueError("a refresh policy needs as_of")
-        lo, hi = refresh_window(policy, as_of, width)
-        if lo >= hi:
-            return []
-        window_days = _days_between(lo, hi)
-        days = sorted(set(window_days) & set(touched_days)) if touched_days is not None \
-            else window_days
-    else:
-        days = sorted(set(touched_days or []))
-        lo = hi = None
+    days, lo, hi = refresh_days(policy, as_of, width, touched_days)
     if not days:
         return []
-    raw = scan_days(spark, raw_handle, days, raw_width)
+    if raw_rows is None:
+        raw = scan_days(spark, raw_handle, days, raw_width)
+    else:
+        raw = raw_rows.filter(day_label("timestamp").isin(days))
     fresh = rollup_state(raw, width)
     current = spark.table(table).filter(F.col("day").isin(days))
     if lo is not None:

@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.functions.time import BUCKET_ORIGIN, day_label, to_utc, width_micros
-from meterlake.operators.rollups import ROLLUP_COLUMNS, RefreshPolicy, refresh_rollup
+from meterlake.operators.rollups import (
+    ROLLUP_COLUMNS, RefreshPolicy, refresh_days, refresh_rollup,
+)
 from meterlake.session import write_conf
-from meterlake.sources.layout import cluster_by_chunk, with_chunk
+from meterlake.sources.layout import cluster_by_chunk, scan_days, with_chunk
 from meterlake.sources.schema import READINGS, derive_measures, split_valid
 
 RAW_DDL = ("`timestamp` TIMESTAMP, meter_id STRING, power DOUBLE, voltage DOUBLE, "
@@ -76,8 +78,18 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, raw_table
     if lowest is not None:
         days = days.filter(F.col("day") >= F.lit(lowest))
     touched = sorted(r[0] for r in days.collect())
-    for table, (width, policy) in rollups.items():
-        refresh_rollup(spark, raw_table, table, width, raw_width, policy, now, touched)
+    # Read the raw rows of every day any tier rewrites once, for all tiers.
+    needed = sorted({d for width, policy in rollups.values()
+                     for d in refresh_days(policy, now, width, touched)[0]})
+    if not needed:
+        return touched
+    raw_rows = scan_days(spark, raw_table, needed, raw_width).persist()
+    try:
+        for table, (width, policy) in rollups.items():
+            refresh_rollup(spark, raw_table, table, width, raw_width, policy, now, touched,
+                           raw_rows=raw_rows)
+    finally:
+        raw_rows.unpersist()
     return touched
 
 

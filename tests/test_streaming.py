@@ -115,3 +115,18 @@ def test_retention_on_stream_fed_table(spark, make_readings):
     days = {r.chunk for r in spark.sql(f"select distinct chunk from {raw}").collect()}
     assert days == {"2024-01-02-00", "2024-01-03-00"}  # batch 1 runs to Jan 3 03:30
     assert spark.table(raw).count() == 28            # batch 1 rows from Jan 2 00:30 on
+
+
+def test_one_raw_scan_refreshes_all_tiers(spark, make_readings):
+    raw, _ = _tables(spark)
+    tiers = {}
+    for width in ("15 minutes", "1 hour", "1 day"):
+        table = unique_table("s_tier")
+        create_rollup_table(spark, table, scratch_path(spark, "s-tier"))
+        tiers[table] = (width, None)
+    ingest_batch(spark, make_readings(_grid("2024-01-01 00:00:00", 100, 2.0, 20)), 0, raw, tiers)
+    ingest_batch(spark, make_readings(_grid("2024-01-01 10:05:00", 50, 5.0, 20)), 1, raw, tiers)
+    cols = ["meter_id", "bucket", "reading_count", "power_count", "max_power", "min_power"]
+    for table, (width, _) in tiers.items():
+        want = R.rollup_state(spark.table(raw), width).select(*cols)
+        assert sorted(spark.table(table).select(*cols).collect()) == sorted(want.collect())
