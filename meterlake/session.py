@@ -24,16 +24,14 @@ CLUSTER_CONF = {
 }
 
 
-def get_session(master: str | None = None, app: str = "meterlake",
-                shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
-    """Session with the settings the package relies on (UTC, AQE, no UI).
+def session_settings(profile: str = "local", shuffle_partitions: int | None = None,
+                     extra: dict[str, str] | None = None) -> dict[str, str]:
+    """Settings the package relies on (UTC, AQE, no UI), plus the profile's.
 
     ``profile="cluster"`` adds ``CLUSTER_CONF``; explicit arguments win.
     """
-    b = SparkSession.builder.appName(app)
-    if master:
-        b = b.master(master)
+    if profile not in ("local", "cluster"):
+        raise ValueError(f"unknown profile {profile!r}")
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
@@ -48,7 +46,17 @@ def get_session(master: str | None = None, app: str = "meterlake",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    for k, v in conf.items():
+    return conf
+
+
+def get_session(master: str | None = None, app: str = "meterlake",
+                shuffle_partitions: int | None = None,
+                extra: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
+    """Session with ``session_settings(profile, shuffle_partitions, extra)``."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
+    for k, v in session_settings(profile, shuffle_partitions, extra).items():
         b = b.config(k, v)
     return configure(b.getOrCreate())
 

@@ -143,3 +143,20 @@ def test_bucket_expressions_match_python_floor(spark):
                 assert r[f"c{i}"] == label_of(floor_to(t, w, EPOCH)), (t, w)
 
     check()
+
+
+def test_session_settings_profiles(spark):
+    from meterlake.session import CLUSTER_CONF, checkpoint_root, session_settings
+    local = session_settings()
+    assert local["spark.sql.session.timeZone"] == "UTC"
+    assert local["spark.sql.adaptive.enabled"] == "true"
+    assert "spark.sql.adaptive.advisoryPartitionSizeInBytes" not in local
+    cluster = session_settings("cluster", shuffle_partitions=4096)
+    assert cluster["spark.sql.shuffle.partitions"] == "4096"        # explicit wins
+    assert cluster["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert set(CLUSTER_CONF) <= set(cluster)
+    with pytest.raises(ValueError):
+        session_settings("laptop")
+    # the shared folder comes from the session, never invented when configured
+    assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir",
+                                                    checkpoint_root(spark)).rstrip("/")
