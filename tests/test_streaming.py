@@ -130,3 +130,19 @@ def test_one_raw_scan_refreshes_all_tiers(spark, make_readings):
     for table, (width, _) in tiers.items():
         want = R.rollup_state(spark.table(raw), width).select(*cols)
         assert sorted(spark.table(table).select(*cols).collect()) == sorted(want.collect())
+
+
+def test_many_micro_batches_in_one_run(spark, make_readings):
+    raw, rollup = _tables(spark)
+    source, ckpt = scratch_path(spark, "s-src"), scratch_path(spark, "s-ckpt")
+    for i in range(3):   # three files -> three micro-batches with one file each
+        make_readings(_grid(f"2024-01-0{i + 1} 03:00:00", 30, float(i + 1))) \
+            .coalesce(1).write.mode("append").parquet(source)
+    q = stream_refresh(spark, source, raw, {rollup: ("1 hour", None)}, ckpt,
+                       {"availableNow": True}, max_files_per_trigger=1)
+    q.awaitTermination()
+    batches = {r[0] for r in spark.sql(f"select distinct ingest_batch from {raw}").collect()}
+    assert batches == {0, 1, 2}
+    cols = ["meter_id", "bucket", "reading_count", "sum_power"]
+    want = R.rollup_state(spark.table(raw), "1 hour").select(*cols)
+    assert sorted(spark.table(rollup).select(*cols).collect()) == sorted(want.collect())
