@@ -61,3 +61,13 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(cols)
     assert len(rows) == len(expected)
     assert _rows(df.columns, rows) == _rows(cols, expected)
+
+
+def test_limits_only_where_top_k_is_the_feature():
+    """No oracle (and so no registered answer) is cut by a row cap, except the
+    top-k reports whose limit is the question itself."""
+    top_k = {"peak_periods", "layout_1d_peak_periods", "ranked_peaks", "monthly_per_key",
+             "monthly_per_key_orders", "layout_1w_monthly"}
+    for name, sql in oracle_sql().items():
+        if " limit " in f" {sql.lower()} ":
+            assert name in top_k, name
