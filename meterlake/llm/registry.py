@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from meterlake.llm.chat import OP6_SQL, op6_chat_format
 from meterlake.llm.mixing import op3_mix_sources
 from meterlake.llm.packing import op4_best_fit_packing
+from meterlake.llm.quality import op2_quality_rules
 from meterlake.llm.token_store import op10_token_store
 
 QUERIES = {f.__name__: f for f in (
-    op3_mix_sources, op4_best_fit_packing, op10_token_store)}
-ORACLES: dict[str, str] = {}
+    op2_quality_rules, op3_mix_sources, op4_best_fit_packing, op6_chat_format, op10_token_store)}
+# The others cannot be said in SQL (learned rules, seeded hashes, tokenizers, packing); tests/llm has brute-force
+# versions of them.
+ORACLES = {"op6_chat_format": OP6_SQL.strip()}
