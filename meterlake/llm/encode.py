@@ -12,20 +12,27 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 END_ID = 2
 
-_CHUNK = re.compile(r" ?[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+(?![^ \t\n\r\x0b\f])|[ \t\n\r\x0b\f]")
-_ODD_SPACE = re.compile(r"[^\S \t\n\r\x0b\f]")
-
 
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# A word of Latin letters, else whatever stands between white space, each with
+# the single blank before it; or white space.  Each starts a pre-token.
+_CHUNK = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]++(?!\w)| ?[^ \t\n\r\x0b\f]+"
+                    r"|[ \t\n\r\x0b\f]+(?![^ \t\n\r\x0b\f])|[ \t\n\r\x0b\f]")
+_ODD_SPACE = re.compile(r"[^\S \t\n\r\x0b\f]")
+# Characters of texts, and new chunks in one string, that are handled at once.
+_PART, _JOIN = 1 << 20, 2000
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -33,38 +40,65 @@ class Encoder:
     used for a whole generation is forgotten.
     """
 
-    def __init__(self, path: str, room: int = 250_000):
+    def __init__(self, path: str, room: int = 350_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # byte-level: a character stands for a byte
+            self.n_bytes[i] = len(token)
         self.room, self.young, self.old = room, {}, {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
+        return [np.array(e.ids, "<u4") for e in got]
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: set[str]) -> None:
         young, old = self.young, self.old
-        new = []
-        for c in set(chunks).difference(young):
+        plain, odd = [], []
+        for c in chunks.difference(young):
             ids = old.get(c)
-            if ids is None:
-                new.append(c)
-            else:
+            if ids is not None:
                 young[c] = ids
-        young.update(zip(new, self._ids(new)))
-
-    def encode(self, text: str | None) -> bytes:
-        text = text or ""
-        if _ODD_SPACE.search(text) or any(s in text for s in self.special):
-            return self._ids([text])[0]
-        chunks = _CHUNK.findall(text)
-        self._learn(chunks)
-        out = b"".join(map(self.young.__getitem__, chunks))
+            elif len(c) > 1 and c[0] == " " and not c[1].isspace():
+                plain.append(c)
+            else:
+                odd.append(c)
+        young.update(zip(odd, (x.tobytes() for x in self._ids(odd))))
+        # Chunks that start with a blank are encoded as one string and told apart by their bytes.
+        groups = [plain[i:i + _JOIN] for i in range(0, len(plain), _JOIN)]
+        for group, ids in zip(groups, self._ids(["".join(g) for g in groups])):
+            ends = np.cumsum([len(c.encode()) for c in group])
+            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
+            data, at = ids.tobytes(), 0
+            for c, cut in zip(group, (4 * cuts).tolist()):
+                young[c] = data[at:cut]
+                at = cut
+
+    def _whole(self, text: str) -> bool:
+        return bool(_ODD_SPACE.search(text)) or any(s in text for s in self.special)
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text in turn; NULL counts as empty."""
+        part, size = [], 0
+        for text in texts:
+            part.append(text or "")
+            size += len(part[-1])
+            if size > _PART:
+                yield from self._part(part)
+                part, size = [], 0
+        yield from self._part(part)
+
+    def _part(self, texts: list[str]) -> Iterator[bytes]:
+        chunks = [None if self._whole(t) else _CHUNK.findall(t) for t in texts]
+        self._learn(set().union(*(c for c in chunks if c)))
+        known = self.young.__getitem__
+        for text, c in zip(texts, chunks):
+            yield self._ids([text])[0].tobytes() if c is None else b"".join(map(known, c))
         if len(self.young) > self.room:
             self.young, self.old = {}, self.young
-        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}

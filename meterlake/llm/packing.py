@@ -32,8 +32,8 @@ def _cut_rows(path: str, end_id: int | None, capacity: int):
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 rows, ids = [], []
-                for i, text in enumerate(part.column("text").to_pylist()):
-                    full = enc.encode(text) + end
+                for i, full in enumerate(enc.encode(part.column("text").to_pylist())):
+                    full += end
                     ids.append(full)
                     n = len(full) // 4
                     cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n else [0, 0]

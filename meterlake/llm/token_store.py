@@ -36,7 +36,7 @@ def _encode_rows(path: str, end_id: int | None):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):  # bounds the ids held at once
                 part = batch.slice(at, 500)
-                ids = [enc.encode(t) + end for t in part.column("text").to_pylist()]
+                ids = [x + end for x in enc.encode(part.column("text").to_pylist())]
                 offsets = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
                 flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                 yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), flat)],
