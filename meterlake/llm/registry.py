@@ -7,13 +7,14 @@ from meterlake.llm.minhash import op7_minhash_fingerprints
 from meterlake.llm.mixing import op3_mix_sources
 from meterlake.llm.packing import op4_best_fit_packing
 from meterlake.llm.quality import op2_quality_rules
+from meterlake.llm.simhash import op9_simhash_near_dedup
 from meterlake.llm.token_counts import op5_token_counts
 from meterlake.llm.token_store import op10_token_store
 from meterlake.llm.url_rules import op1_url_rules
 
 QUERIES = {f.__name__: f for f in (
     op1_url_rules, op2_quality_rules, op3_mix_sources, op4_best_fit_packing, op5_token_counts,
-    op6_chat_format, op7_minhash_fingerprints, op10_token_store)}
+    op6_chat_format, op7_minhash_fingerprints, op9_simhash_near_dedup, op10_token_store)}
 # The others cannot be said in SQL (learned rules, seeded hashes, tokenizers, packing); tests/llm has brute-force
 # versions of them.
 ORACLES = {"op6_chat_format": OP6_SQL.strip()}
