@@ -210,6 +210,15 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
+def _verdicts(stats: DataFrame, labels: DataFrame, doc_id: str, label: str, options: dict) -> DataFrame:
+    seen = pick(labels, label_id=doc_id, label=label)
+    train = (stats.filter(~base_failed()).join(seen, F.col("doc_id") == F.col("label_id"))
+             .withColumn("bad", 1 - F.col("label")))
+    rules = learn_rules(train, **options)
+    return stats.withColumns({"base_failed": base_failed(), "rule": rules.fired()}).withColumn(
+        "kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
 def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "quality", **options) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, statistics, features,
@@ -217,15 +226,21 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     The list is learned from rows within the base limits whose id ``labels``
     has (``doc_id``, ``label`` 0/1, 0 is bad); several labels of one id count
-    once each.
+    once each.  NULL ids have no label, NULL text fails the base limits.
     """
     stats = saved(text_stats(pick(docs, doc_id=doc_id, text=text)).drop("text"), "text-stats")
-    seen = pick(labels, label_id=doc_id, label=label)
-    train = (stats.filter(~base_failed()).join(seen, F.col("doc_id") == F.col("label_id"))
-             .withColumn("bad", 1 - F.col("label")))
-    rules = learn_rules(train, **options)
-    return stats.withColumns({"base_failed": base_failed(), "rule": rules.fired()}).withColumn(
-        "kept", ~F.col("base_failed") & F.col("rule").isNull())
+    return _verdicts(stats, labels, doc_id, label, options)
+
+
+def judged_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                label: str = "quality", **options) -> DataFrame:
+    """As ``judge``, with the whole row of ``docs`` in the struct column ``row``.
+
+    Rows are written with their statistics, so they need no join afterwards.
+    """
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return _verdicts(saved(text_stats(rows).drop("text"), "judged-rows"), labels, doc_id, label, options)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
