@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.shared import pick, saved, table
+from meterlake.llm.shared import by_batch, pick, saved, table
 from meterlake.llm.shingles import constants, window_hashes, word_hashes
 
 SHINGLE_WORDS = 5
@@ -151,7 +151,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             got = signatures([t or "" for t in batch.column("text").to_pylist()])
             yield pa.record_batch([batch.column("doc_id"), pa.array([r.tobytes() for r in got], pa.binary())],
                                   names=["doc_id", "fingerprint"])
-    return pick(docs, doc_id=doc_id, text=text).mapInArrow(run, f"doc_id {kind}, fingerprint binary")
+    return pick(docs, doc_id=doc_id, text=text).transform(by_batch, run, f"doc_id {kind}, fingerprint binary")
 
 
 def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -170,13 +170,13 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("h", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
     schema = f"doc_id {kind.simpleString()}, {_SCHEMA}"
-    got = saved(rows.select("doc_id", "text").mapInArrow(_chain(arrow), schema), "fingerprints")
+    got = saved(rows.select("doc_id", "text").transform(by_batch, _chain(arrow), schema), "fingerprints")
     edges = got.filter("part is not null")
     after = Window.orderBy("part")  # one row per task
     following = F.coalesce(F.lead("first_text").over(after),
                            F.first("first_text").over(after.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     edges = edges.select("doc_id", "last_text", following.alias("next_text"))
-    return got.filter("part is null").unionByName(edges.mapInArrow(_edges(arrow), schema)).drop(
+    return got.filter("part is null").unionByName(edges.transform(by_batch, _edges(arrow), schema)).drop(
         "part", "first_text", "last_text")
 
 
@@ -215,7 +215,7 @@ def shingle_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for batch in batches:
             got = [np.unique(shingle_hashes(t or "")).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(got, pa.list_(pa.int64()))], names=["doc_id", "s"])
-    return pick(docs, doc_id=doc_id, text=text).mapInArrow(run, f"doc_id {kind}, s array<bigint>")
+    return pick(docs, doc_id=doc_id, text=text).transform(by_batch, run, f"doc_id {kind}, s array<bigint>")
 
 
 def op7_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.encode import END_ID, encoder, end_mark, tokenizer_path
-from meterlake.llm.shared import pick, saved, table
+from meterlake.llm.shared import by_batch, pick, saved, ship, table
 
 CAPACITY = 1024
 PIECE_SCHEMA = "piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
@@ -59,8 +59,7 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", to
     full.  A NULL text counts as empty.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    return pick(docs, doc_id=doc_id, text=text).mapInArrow(
-        _cut_rows(tokenizer or tokenizer_path(), end_id, capacity), f"doc_id {kind}, {PIECE_SCHEMA}")
+    return pick(docs, doc_id=doc_id, text=text).transform(by_batch, _cut_rows(tokenizer or tokenizer_path(), end_id, capacity), f"doc_id {kind}, {PIECE_SCHEMA}")
 
 
 @dataclass
@@ -165,6 +164,7 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
     counts = {r[0]: r[1] for r in pieces.filter("length > 0").groupBy("length").count().collect()}  # <= capacity rows
+    ship(spark)
     slots = spark.sparkContext.broadcast(_slots(best_two_fit(counts, capacity)))
 
     @F.pandas_udf("sequence_id bigint, offset bigint")

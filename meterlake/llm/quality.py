@@ -129,7 +129,7 @@ def learn_rules(train: DataFrame, bad: str = "bad", key: str = "doc_id", feature
     with the best (p - n) / (p + n) on the others, and is accepted while it
     covers ``min_covered`` bad rows there at ``min_precision``; its rows are
     then taken away.  ``max_rows`` bounds the labelled sample, drawn by hash
-    of the key; thresholds are quantiles of that sample.  Ties go to the
+    of the key; thresholds lie halfway between quantiles of the two classes.  Ties go to the
     earlier feature and lower threshold.  Rows with NULL label are ignored;
     no rows or one class only: an empty list.
     """
@@ -143,7 +143,8 @@ def learn_rules(train: DataFrame, bad: str = "bad", key: str = "doc_id", feature
     steps = [(i + 0.5) / n_thresholds for i in range(n_thresholds)]
     quantiles = train.agg(*(F.percentile_approx(F.when(F.col("y") == y, F.col(f)), steps, 10_000).alias(f"{f}_{y}")
                             for f in features for y in (0, 1))).first()
-    cuts = {f: sorted({float(x) for y in (0, 1) for x in quantiles[f"{f}_{y}"] or ()}) for f in features}
+    seen = {f: sorted({float(x) for y in (0, 1) for x in quantiles[f"{f}_{y}"] or ()}) for f in features}
+    cuts = {f: [(a + b) / 2 for a, b in zip(x, x[1:])] for f, x in seen.items()}
     learned, rest = DecisionList(), train
     while len(learned.rules) < max_rules:
         rule: list[Condition] = []

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from meterlake.llm.shared import fresh, pick, release, saved, table
+from meterlake.llm.shared import by_batch, fresh, pick, release, saved, ship, table
 from meterlake.llm.shingles import constants, window_hashes, word_hashes
 
 WINDOW, BLOCK = 50, 25
@@ -297,15 +297,15 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(LEAST_SHARES, size // SHARE_BYTES)
-    anchors = rows.mapInArrow(_anchor_rows(parts), _PACKED)
-    hits = saved(_share(anchors).mapInArrow(_match(_hashes5), _HITS), "anchor-hits")
+    anchors = rows.transform(by_batch, _anchor_rows(parts), _PACKED)
+    hits = saved(_share(anchors).transform(by_batch, _match(_hashes5), _HITS), "anchor-hits")
     del anchors
     release(spark)
     side = lambda k: F.collect_list(F.when(F.col("side") == k, F.col("pos")))
     hits = hits.groupBy("doc_id").agg(side(0).alias("refs"), side(1).alias("probes"))
     around = rows.join(hits, "doc_id").withColumn("text_hash", F.xxhash64("text"))
-    windows = around.select("doc_id", "text_hash", "text", "refs", "probes").mapInArrow(_window_rows(parts), _PACKED)
-    found = saved(_share(windows).mapInArrow(_match(_hashes12), _HITS), "window-hits")
+    windows = around.select("doc_id", "text_hash", "text", "refs", "probes").transform(by_batch, _window_rows(parts), _PACKED)
+    found = saved(_share(windows).transform(by_batch, _match(_hashes12), _HITS), "window-hits")
     del around, windows
     release(spark)
 
@@ -315,8 +315,7 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             got = [[{"start": s, "end": e} for s, e in _merge(p)] for p in batch.column("pos").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(got, kind)],
                                   names=["doc_id", "text_hash", "spans"])
-    return found.groupBy("doc_id", "text_hash").agg(F.collect_list("pos").alias("pos")).mapInArrow(
-        spans, "doc_id bigint, text_hash bigint, spans array<struct<start:bigint,end:bigint>>")
+    return found.groupBy("doc_id", "text_hash").agg(F.collect_list("pos").alias("pos")).transform(by_batch, spans, "doc_id bigint, text_hash bigint, spans array<struct<start:bigint,end:bigint>>")
 
 
 def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
@@ -349,6 +348,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``n_chars``, where there is such a column, follows the text.
     """
     d, name = with_spans(docs, doc_id, text)
+    ship(docs.sparkSession)
 
     @F.pandas_udf("string")
     def cut(t, spans):
@@ -378,8 +378,7 @@ def removal_digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 digest.append(hashlib.sha256(b" ".join(words)).hexdigest())
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                                    pa.array(digest, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
-    return d.select("doc_id", "text", F.col(name).alias("spans")).mapInArrow(
-        run, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
+    return d.select("doc_id", "text", F.col(name).alias("spans")).transform(by_batch, run, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import gc
+import os
+from collections.abc import Callable
 
+import meterlake
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,25 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers started from now on import this package from where it lies.
+
+    On a cluster the package is installed or sent with the job; this helps
+    where driver and workers share the folder but not the working directory.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(meterlake.__file__)))
+    env = spark.sparkContext.environment
+    paths = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def by_batch(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs.
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from meterlake.llm.components import components
-from meterlake.llm.shared import fresh, pick, saved, table
+from meterlake.llm.shared import by_batch, fresh, pick, saved, table
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
             yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(fp.view(np.int64))],
                                   names=["doc_id", "text_hash", "fp"])
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("text_hash", F.xxhash64("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, fp bigint")
+    return rows.transform(by_batch, run, f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
 def segment_counts(half: Column) -> Column:
@@ -142,8 +142,7 @@ def link_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if not 0 <= max_bits <= 3:
         raise ValueError("the grid finds links of at most 3 bits")
     rows = grid_rows(fps)
-    links = rows.repartition("cell").sortWithinPartitions("cell", "probe").mapInArrow(
-        _cell_links(max_bits), "a bigint, b bigint")
+    links = rows.repartition("cell").sortWithinPartitions("cell", "probe").transform(by_batch, _cell_links(max_bits), "a bigint, b bigint")
     return components(links)
 
 

@@ -16,7 +16,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.shared import fresh, pick, saved, table
+from meterlake.llm.shared import fresh, pick, saved, ship, table
 
 BLOCK_ITEM = "label=block"
 # The listed rules of the registered query: fixed values.
@@ -137,6 +137,7 @@ def rule_index(rules: list[MinedRule], counts: dict[str, int] | None = None) ->
 
 def match_rules(spark: SparkSession, rules: list[MinedRule], tokens: Column) -> Column:
     """The mined rule of highest confidence whose tokens are all there, else NULL."""
+    ship(spark)
     index = spark.sparkContext.broadcast({k: [(r.confidence, str(r), frozenset(r.tokens)) for r in v]
                                           for k, v in rule_index(rules).items()})
 
