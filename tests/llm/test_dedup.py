@@ -1,0 +1,275 @@
+"""Fingerprints, near-duplicates, repeated passages and components against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from meterlake.llm import minhash, repeats, simhash
+from meterlake.llm.components import components
+from odd_documents import documents, empty, odd  # noqa: F401
+
+
+def union(n, links):
+    parent = list(range(n))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+    for a, b in links:
+        parent[find(a)] = find(b)
+    return [find(i) for i in range(n)]
+
+
+# --- MinHash ----------------------------------------------------------------------
+
+def shingles(text):
+    w = (text or "").encode().split()
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def check_fingerprints(docs):
+    rows = docs.collect()
+    got = minhash.compare_with_next(docs).collect()
+    assert len(got) == len(rows)
+    order = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0))
+    ids = [r.doc_id for r in rows]
+    shown = {}
+    for i, r in enumerate(order):
+        after = order[(i + 1) % len(order)]
+        if ids.count(r.doc_id) > 1 or ids.count(after.doc_id) > 1:
+            continue  # rows of one id are ordered by a hash
+        text, follower = r.text or "", after.text or ""
+        half = len(text) // 2
+        edited = text[:len(text) - half] + follower[:half]
+        g, = [x for x in got if x.doc_id == r.doc_id]
+        assert (g.n_chars, g.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert abs(g.near_edited - jaccard(text, edited)) < 0.2
+        assert abs(g.near_next - jaccard(text, follower)) < 0.2
+        assert shown.setdefault(text, g.fingerprint) == g.fingerprint
+
+
+def test_fingerprints(documents, odd, empty):
+    check_fingerprints(documents)
+    check_fingerprints(odd)
+    assert minhash.compare_with_next(empty).count() == 0
+    one = documents.limit(1)
+    r, g = one.first(), minhash.compare_with_next(one).first()
+    assert (g.doc_id, g.near_next, g.n_chars) == (r.doc_id, 1.0, len(r.text))
+
+
+def test_followers_across_many_partitions(spark, documents):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        check_fingerprints(documents)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_signature_blocks_do_not_matter(monkeypatch):
+    texts = ["a b c d e f " * 50, "", "x", " ".join(map(str, range(900)))]
+    whole = minhash.signatures(texts)
+    monkeypatch.setattr(minhash, "_BLOCK", 7)
+    assert (minhash.signatures(texts) == whole).all()
+    x = minhash.shingle_hashes(texts[3])
+    slow = [min((int(v) * int(a) + int(b)) % 2**64 for v in x) >> 48 for a, b in zip(minhash._A, minhash._B)]
+    assert whole[3].tolist() == slow
+
+
+def test_near_duplicate_pairs(spark, documents, odd, empty):
+    rng = random.Random(9)
+    base = [rng.choices([f"w{i}" for i in range(300)], k=rng.randint(5, 120)) for _ in range(12)]
+    rows = []
+    for words in base:
+        for _ in range(6):
+            copy = list(words)
+            for _ in range(rng.randint(0, 2)):
+                copy[rng.randrange(len(copy))] = "changed"
+            rows.append((len(rows), " ".join(copy)))
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    for docs in (documents, odd, made, empty):
+        least = {}
+        for r in sorted((r for r in docs.collect() if r.doc_id is not None), key=lambda r: r.doc_id):
+            if shingles(r.text):
+                least.setdefault(r.text, r.doc_id)
+        items = sorted((i, t) for t, i in least.items())
+        want = {(a, b) for k, (a, s) in enumerate(items) for b, t in items[k + 1:] if a < b and jaccard(s, t) >= 0.8}
+        assert {(r.a, r.b) for r in minhash.near_duplicate_pairs(docs).collect()} == want
+
+
+# --- SimHash ------------------------------------------------------------------------
+
+def plain_simhash(text):
+    text = re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    s = [" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    h = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in s]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def check_simhash(docs):
+    rows = docs.collect()
+    fp = [plain_simhash(r.text) for r in rows]
+    root = union(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (fp[i] ^ fp[j]).bit_count() <= 3])
+    ids = {}
+    for r, k in zip(rows, root):
+        ids.setdefault(k, []).append(r.doc_id)
+    least = {k: min((x for x in v if x is not None), default=None) for k, v in ids.items()}
+    want = sorted(((r.doc_id, f, least[k]) for r, f, k in zip(rows, fp, root)), key=repr)
+    got = sorted(((r.doc_id, r.fp % 2**64, r.component_id) for r in simhash.near_duplicates(docs).collect()), key=repr)
+    assert got == want
+    return len(set(root))
+
+
+def test_simhash(documents, odd, empty):
+    n = check_simhash(documents)
+    assert simhash.keep_first(documents).count() == n
+    check_simhash(odd)
+    check_simhash(empty)
+
+
+def test_keep_first(spark, odd):
+    kept = simhash.keep_first(odd)
+    assert kept.columns == odd.columns
+    groups = {}
+    for r in simhash.near_duplicates(odd).collect():
+        groups.setdefault((r.component_id, r.first_hash), []).append(r.doc_id)
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((k for k, _ in groups), key=repr)
+    once = spark.createDataFrame([(6, "one two three")] * 5 + [(None, "none at all here")] * 3 + [(None, "other words so far")],
+                                 "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_first(once).collect()), key=repr) == sorted(
+        [(6, "one two three"), (None, "none at all here"), (None, "other words so far")], key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_grid_loses_no_link(spark, seed):
+    """Dense clusters and chains of fingerprints, linked at up to 3 bits."""
+    rng = random.Random(seed)
+    fps = {rng.getrandbits(64) for _ in range(300)} | {0, 2**64 - 1, 2**63}
+    for _ in range(12):
+        f = rng.getrandbits(64)
+        for _ in range(40):
+            fps.add(f)
+            for _ in range(rng.randint(1, 5)):
+                f ^= 1 << rng.randrange(64)
+    fps = sorted(fps)
+    signed = [f - 2**64 if f >> 63 else f for f in fps]
+    got = {r.node: r.root for r in simhash.link_components(spark.createDataFrame([(f,) for f in signed], "fp long")).collect()}
+    links = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    root = union(len(fps), links)
+    least = {}
+    for s, k in zip(signed, root):
+        least[k] = min(s, least.get(k, s))
+    assert [got.get(s, s) for s in signed] == [least[k] for k in root]
+
+
+def test_segment_distance_is_a_lower_bound():
+    rng = random.Random(2)
+    counts = lambda x: [(x >> 2 * j & 3).bit_count() for j in range(32)]
+    for _ in range(500):
+        a, b = rng.getrandbits(64), rng.getrandbits(64)
+        assert sum(abs(x - y) for x, y in zip(counts(a), counts(b))) <= (a ^ b).bit_count()
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(80)] + [(300, 300), (5, 4)]
+    edges += [(rng.randrange(400, 900), rng.randrange(400, 900)) for _ in range(300)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    root = union(900, edges)
+    least = {}
+    for i, k in enumerate(root):
+        least[k] = min(i, least.get(k, i))
+    touched = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {i: least[root[i]] for i in touched}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# --- repeated passages ----------------------------------------------------------------
+
+def plain_removal(rows):
+    """Per row: words, and which of them go."""
+    least = {}
+    split = [(r.doc_id, (r.text or "").encode().split()) for r in rows]
+    for i, w in split:
+        if i is not None:
+            for k in range(len(w) - 49):
+                key = tuple(w[k:k + 50])
+                least[key] = min(i, least.get(key, i))
+    out = []
+    for i, w in split:
+        gone = [False] * len(w)
+        if i is not None:
+            for k in range(len(w) - 49):
+                if least[tuple(w[k:k + 50])] < i:
+                    gone[k:k + 50] = [True] * 50
+        out.append((i, w, gone))
+    return out
+
+
+def check_repeats(docs):
+    rows = docs.collect()
+    want = sorted(((i, len(w), sum(gone), hashlib.sha256(b" ".join(x for x, g in zip(w, gone) if not g)).hexdigest())
+                   for i, w, gone in plain_removal(rows)), key=repr)
+    assert sorted(map(tuple, repeats.removal_digest(docs).collect()), key=repr) == want
+    kept = repeats.remove_repeats(docs)
+    assert kept.columns == docs.columns
+    words = sorted((b" ".join(x for x, g in zip(w, gone) if not g) for _, w, gone in plain_removal(rows)))
+    got = kept.collect()
+    assert sorted(b" ".join((r.text or "").encode().split()) for r in got) == words
+    assert all(r.n_chars == len(r.text) for r in got if "n_chars" in docs.columns and r.text is not None)
+
+
+def test_repeats(documents, odd, empty):
+    for docs in (documents, odd, empty):
+        check_repeats(docs)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_planted_passages(spark, seed, monkeypatch):
+    """Passages of 45 to 120 words at any place, chained and overlapping, shared by many."""
+    rng = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    make = lambda n: rng.choices(vocabulary, k=n)
+    passages = [make(rng.randint(45, 120)) for _ in range(6)]
+    passages.append(passages[0][20:] + passages[1][:60])
+    rows = []
+    for i in range(60):
+        words = make(rng.randint(0, 80))
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passages)
+            cut = rng.randint(0, 30)
+            words += p[cut:] + make(rng.randint(0, 40))
+        rows.append((rng.choice([i, i, rng.randrange(60)]), rng.choice([" ", "\n"]).join(words), 0))
+    monkeypatch.setattr(repeats, "LEAST_SHARES", rng.choice([1, 7, 100]))
+    check_repeats(spark.createDataFrame(rows, "doc_id long, text string, n_chars long"))
+
+
+def test_cut_words_keeps_white_space():
+    assert repeats.cut_words("  a\tb  c\n\nd e ", [(1, 3)]) == "  a\td e "
+    assert repeats.cut_words("a b", [(0, 2)]) == ""
+    assert repeats.cut_words("a b c d", [(0, 1), (3, 4)]) == "b c "
+
+
+def test_index_lookup_tells_equal_halves_apart():
+    least = repeats._Least()
+    h = np.array([5, 5, 7, 5], np.uint64)
+    least.add(h, np.array([1, 2, 1, 1], np.uint32), np.array([30, 20, 10, 25]))
+    least.settle()
+    rows, places = least.find(np.array([5, 5, 7, 9, 5], np.uint64), np.array([2, 1, 2, 1, 3], np.uint32))
+    assert {int(r): int(least.doc[p]) for r, p in zip(rows, places)} == {0: 20, 1: 25}
