@@ -36,6 +36,11 @@ def savings_pct(before: str | Column, after: str | Column,
     return F.when(b > 0, pct).otherwise(fallback)
 
 
+def grouped_number(c: str | Column) -> Column:
+    """Whole number with thousands separators (``4,033,000``)."""
+    return F.format_number(_col(c), 0)
+
+
 def pct_change(before: str | Column, after: str | Column) -> Column:
     """``(after / before - 1) * 100``; NULL when before is 0."""
     return (F.try_divide(_col(after).cast("double"), _col(before).cast("double"))
@@ -47,19 +52,13 @@ def speedup(slow: str | Column, fast: str | Column) -> Column:
     return F.try_divide(_col(slow).cast("double"), _col(fast).cast("double"))
 
 
-def sorted_report(df: DataFrame, *cols, max_rows: int | None = None) -> DataFrame:
+def sorted_report(df: DataFrame, *cols) -> DataFrame:
     """ORDER BY for a result bounded by a small key space (time buckets,
     hours of day, regions x days), never by the input size.
 
     The aggregate before it stays parallel; its few output rows are moved
     into one partition and sorted there.  A global sort would instead plan a
     range shuffle whose boundaries cost an extra sampling job per query.
-
-    ``max_rows`` is a proven upper bound on the row count (24 hours of day,
-    the buckets of a range for one meter).  With it the order is planned as
-    ``TakeOrderedAndProject`` (no extra shuffle); the limit equals the bound,
-    so no row can be cut.
+    No row is ever cut, whatever NULL keys or widths the data bring.
     """
-    if max_rows is not None:
-        return df.orderBy(*cols).limit(max_rows)
     return df.repartition(1).sortWithinPartitions(*cols)

@@ -17,23 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.format import sorted_report
-from meterlake.functions.time import (
-    BUCKET_ORIGIN, floor_to, period_type, sql_name, sql_string, time_bucket, to_utc,
-    width_micros,
-)
-from meterlake.sources.layout import time_bounds
+from meterlake.functions.time import period_type, sql_name, sql_string, time_bucket, to_utc
+from meterlake.sources.layout import scan_last, time_bounds
 
 TS, KEY, POWER, ENERGY = "timestamp", "meter_id", "power", "energy"
-HOURS_PER_DAY = 24
-
-
-def buckets_in(start, end, width: str) -> int | None:
-    """Number of ``width`` buckets overlapping ``[start, end)`` (None if open)."""
-    if start is None or end is None:
-        return None
-    first = floor_to(start, width, BUCKET_ORIGIN)
-    span = (to_utc(end) - first) / timedelta(microseconds=width_micros(width))
-    return max(int(-(-span // 1)), 0)
 
 
 def _in_range(df: DataFrame, start=None, end=None, time_col: str = TS) -> DataFrame:
@@ -59,7 +46,7 @@ def hourly_avg(df: DataFrame, start=None, end=None, width: str = "1 hour",
     out = (_in_range(df, start, end, time_col)
            .groupBy(time_bucket(width, time_col).alias("hour"))
            .agg(F.avg(value_col).alias("avg_power")))
-    return sorted_report(out, "hour", max_rows=buckets_in(start, end, width))
+    return sorted_report(out, "hour")
 
 
 def peak_periods(df: DataFrame, start=None, k: int = 10, end=None,
@@ -80,7 +67,7 @@ def monthly_per_key(df: DataFrame, k: int | None = 20, key_col: str = KEY,
     out = (df.groupBy(F.col(key_col), F.date_trunc("month", F.col(time_col)).alias("month"))
              .agg(F.sum(value_col).alias(alias))
              .orderBy(F.col("month"), F.col(alias).desc_nulls_first(), F.col(key_col)))
-    return out.limit(k) if k else out
+    return out.limit(k) if k is not None else out
 
 
 def table_stats(df: DataFrame, value_col: str = POWER) -> DataFrame:
@@ -93,10 +80,6 @@ def table_stats(df: DataFrame, value_col: str = POWER) -> DataFrame:
 
 # --- A5: one meter, one range ------------------------------------------------
 
-def for_meter(df: DataFrame, meter_id: str, key_col: str = KEY) -> DataFrame:
-    return df.filter(F.col(key_col) == F.lit(meter_id))
-
-
 def meter_profile(df: DataFrame, meter_id: str, start, end,
                   width: str = "15 minutes", key_col: str = KEY,
                   time_col: str = TS, value_col: str = POWER) -> DataFrame:
@@ -106,7 +89,7 @@ def meter_profile(df: DataFrame, meter_id: str, start, end,
     out = (df.filter(cond if bounds is None else cond & bounds)
            .groupBy(F.col(key_col), time_bucket(width, time_col).alias("bucket"))
            .agg(F.avg(value_col).alias("avg_power")))
-    return sorted_report(out, "bucket", max_rows=buckets_in(start, end, width))
+    return sorted_report(out, "bucket")
 
 
 # --- A9 / A10 / A13-A15: data-quality and load checks ------------------------
@@ -129,7 +112,7 @@ def hourly_profile(df: DataFrame, time_col: str = TS, value_col: str = POWER) ->
     out = (df.groupBy(F.hour(time_col).alias("hour"))
            .agg(round_numeric(F.avg(value_col)).alias("avg_power"))
            .withColumn("period_type", period_type("hour")))
-    return sorted_report(out, "hour", max_rows=HOURS_PER_DAY)
+    return sorted_report(out, "hour")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -147,12 +130,10 @@ def date_range(df: DataFrame, time_col: str = TS) -> DataFrame:
 def recent_profile(df: DataFrame, as_of, k: int | None = None, span: str = "1 day",
                    time_col: str = TS, value_col: str = POWER) -> DataFrame:
     """Hourly means of the last ``span`` before ``as_of`` (first ``k`` hours)."""
-    anchor = F.lit(to_utc(as_of))
-    out = sorted_report(df.filter(F.col(time_col) >= anchor - F.expr(f"INTERVAL {span}"))
+    out = sorted_report(scan_last(df, span, as_of, time_col)
                         .groupBy(F.hour(time_col).alias("hour"))
-                        .agg(round_numeric(F.avg(value_col)).alias("avg_power")), "hour",
-                        max_rows=HOURS_PER_DAY)
-    return out.limit(k) if k else out
+                        .agg(round_numeric(F.avg(value_col)).alias("avg_power")), "hour")
+    return out.limit(k) if k is not None else out
 
 
 # --- A16-A21: dashboard datasets ---------------------------------------------
@@ -230,7 +211,7 @@ def band_check(df: DataFrame, ranges: dict[str, tuple[float, float]] | None = No
            .withColumn("expected_high", high)
            .withColumn("in_range", F.col("avg_power").between(
                F.col("expected_low"), F.col("expected_high"))))
-    return sorted_report(out, "period_type", max_rows=4)
+    return sorted_report(out, "period_type")
 
 
 def completeness(df: DataFrame, per_day: int = 288, key_col: str = KEY,
@@ -283,7 +264,7 @@ def day_over_day(df: DataFrame, day, time_col: str = TS, value_col: str = POWER)
            .groupBy(F.hour(time_col).alias("hour"))
            .agg(F.avg(F.when(today, F.col(value_col))).alias("today_avg"),
                 F.avg(F.when(~today, F.col(value_col))).alias("yesterday_avg")))
-    return sorted_report(out, "hour", max_rows=HOURS_PER_DAY)
+    return sorted_report(out, "hour")
 
 
 def with_region_label(df: DataFrame, labels: DataFrame, region_col: str = "region") -> DataFrame:

@@ -21,7 +21,7 @@ from meterlake.functions.time import (
     day_label, floor_to, sql_string, sql_timestamp, time_bucket, to_utc, width_micros,
 )
 from meterlake.functions.format import sorted_report
-from meterlake.operators.queries import HOURS_PER_DAY, buckets_in, region_of, tables_equal
+from meterlake.operators.queries import region_of, tables_equal
 from meterlake.session import session_conf, staging_path, write_conf
 from meterlake.sources.layout import scan_days
 
@@ -161,19 +161,13 @@ def _range_condition(start=None, end=None) -> Column | None:
     return F.expr(" AND ".join(terms)) if terms else None
 
 
-def rollup_point_read(rollup: DataFrame, meter_id: str, start, end,
-                      width: str | None = None) -> DataFrame:
-    """The A5 question answered from a rollup: no aggregation at read time.
-
-    With the rollup's ``width`` the result is ordered without a shuffle (the
-    range's bucket count bounds the rows: one row per meter and bucket).
-    """
+def rollup_point_read(rollup: DataFrame, meter_id: str, start, end) -> DataFrame:
+    """The A5 question answered from a rollup: no aggregation at read time."""
     terms = [f"meter_id = {sql_string(meter_id)}"] + _range_terms(start, end)
     out = rollup.filter(" AND ".join(terms)).select(
         "meter_id", "bucket", F.try_divide(F.col("sum_power"), F.col("power_count"))
         .alias("avg_power"))
-    bound = buckets_in(start, end, width) if width else None
-    return sorted_report(out, "bucket", max_rows=bound)
+    return sorted_report(out, "bucket")
 
 
 # --- re-aggregation to coarser keys --------------------------------------------
@@ -192,7 +186,7 @@ def region_daily(rollup_daily: DataFrame, weighted: bool = False,
            .agg(F.sum("total_energy").alias("region_energy"),
                 _mean(weighted).alias("region_avg_power")))
     out = sorted_report(out, "day", "region")
-    return out.limit(limit) if limit else out
+    return out.limit(limit) if limit is not None else out
 
 
 def peak_hours(rollup_hourly: DataFrame, weighted: bool = False) -> DataFrame:
@@ -200,7 +194,7 @@ def peak_hours(rollup_hourly: DataFrame, weighted: bool = False) -> DataFrame:
     out = (rollup_hourly.groupBy(F.hour("bucket").alias("hour_of_day"))
            .agg(_mean(weighted).alias("average_power"),
                 F.max("max_power").alias("peak_power")))
-    return sorted_report(out, "hour_of_day", max_rows=HOURS_PER_DAY)
+    return sorted_report(out, "hour_of_day")
 
 
 def rollup_vs_raw(raw_answer: DataFrame, rollup_answer: DataFrame) -> DataFrame:

@@ -105,12 +105,21 @@ def test_scan_last_relative_window(spark, make_readings):
     assert scan_last(df, "1 day").count() == 0        # NOW() is long after the data
 
 
-def test_buckets_in_bounds():
-    from meterlake.operators.queries import buckets_in
-    assert buckets_in("2024-01-15", "2024-01-16", "15 minutes") == 96
-    assert buckets_in("2024-01-15 00:10:00", "2024-01-15 01:00:00", "15 minutes") == 4
-    assert buckets_in("2024-01-15", "2024-01-16", "1 hour") == 24
-    assert buckets_in("2024-01-15", None, "1 hour") is None
+def test_reports_keep_rows_with_null_times(spark, make_readings):
+    from meterlake.operators import queries as Q
+    rows = [(f"2024-01-05 {h:02d}:10:00", "1000000001", float(h)) for h in range(24)]
+    df = make_readings(rows + [(None, "1000000001", 5.0)])
+    assert Q.hourly_profile(df).count() == 25
+    assert Q.recent_profile(df, "2024-01-06", k=0).count() == 0
+    assert Q.monthly_per_key(df, k=0).count() == 0
+    assert [r.hour for r in Q.hourly_profile(df).collect()] == [None, *range(24)]
+
+
+def test_grouped_number_and_ratios(spark):
+    from meterlake.functions.format import grouped_number, pct_change, speedup
+    r = spark.range(1).select(grouped_number(F.lit(4033000)).alias("n"), pct_change(F.lit(50), F.lit(75)).alias("p"),
+                              pct_change(F.lit(0), F.lit(1)).alias("z"), speedup(F.lit(9.0), F.lit(3)).alias("s")).first()
+    assert tuple(r) == ("4,033,000", 50.0, None, 3.0)
 
 
 def test_bucket_expressions_match_python_floor(spark):
