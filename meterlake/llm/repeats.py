@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from meterlake.llm.shared import by_batch, fresh, pick, release, saved, ship, table
+from meterlake.llm.shared import by_batch, fresh, id_filter, maybe_in, pick, release, saved, ship, table
 from meterlake.llm.shingles import constants, window_hashes, word_hashes
 
 WINDOW, BLOCK = 50, 25
@@ -61,7 +61,8 @@ def _packed_rows(parts: int, kind: int, h: np.ndarray, key: np.ndarray, pos: np.
         s, e = int(cuts[p]), int(cuts[p + 1])
         new = np.flatnonzero(np.diff(doc[s:e], prepend=-1))
         own = doc[s:e][new]
-        out.append((p, kind, h[s:e].tobytes(), _planes(pos[s:e]), ids[own].tobytes(), hashes[own].tobytes(),
+        out.append((p, kind, h[s:e].tobytes(), _planes(pos[s:e]),
+                    np.diff(ids[own], prepend=np.int64(0)).tobytes(), hashes[own].tobytes(),
                     _planes(np.diff(np.append(new, e - s)))))
     return out
 
@@ -77,7 +78,7 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple]:
     for i in range(batch.num_rows):
         n = _unplanes(c[6][i].as_py())
         yield (c[0][i].as_py(), c[1][i].as_py(), c[2][i].as_py(), _unplanes(c[3][i].as_py()),
-               np.frombuffer(c[4][i].as_py(), np.int64), np.frombuffer(c[5][i].as_py(), np.int64), n)
+               np.cumsum(np.frombuffer(c[4][i].as_py(), np.int64)), np.frombuffer(c[5][i].as_py(), np.int64), n)
 
 
 def _block_hashes(words: list[bytes]) -> np.ndarray:
@@ -205,7 +206,7 @@ def _match(decode: Callable) -> Callable:
                 own = np.repeat(np.arange(len(n)), n)[row]
                 for k in np.unique(own).tolist():
                     s, e = np.searchsorted(own, [k, k + 1])
-                    out.append((int(ids[k]), int(hashes[k]), int(kind == PROBE), pos[row[s:e]].astype("<u4").tobytes()))
+                    out.append((int(ids[k]), int(hashes[k]), int(kind == PROBE), _planes(pos[row[s:e]])))
             if out:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(
                     zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
@@ -220,7 +221,7 @@ def _marked(places: list[bytes] | None, before: int, n: int) -> np.ndarray:
     """Window starts 0..n-1 that lie at, or up to ``before`` ahead of, a place."""
     step = np.zeros(n + 1, np.int64)
     if places:
-        p = np.frombuffer(b"".join(places), "<u4").astype(np.int64)
+        p = np.concatenate([_unplanes(x) for x in places])
         np.add.at(step, np.clip(p - before, 0, n), 1)
         np.add.at(step, np.clip(p + 1, 0, n), -1)
     return np.flatnonzero(np.cumsum(step[:n]) > 0)
@@ -273,7 +274,7 @@ def _window_rows(parts: int) -> Callable:
 
 def _merge(places: list[bytes]) -> list[tuple[int, int]]:
     """Maximal word spans covered by the windows that start at these places."""
-    p = np.unique(np.frombuffer(b"".join(places), "<u4").astype(np.int64))
+    p = np.unique(np.concatenate([_unplanes(x) for x in places]))
     new = np.flatnonzero(np.diff(p, prepend=-WINDOW - 1) > WINDOW)
     last = np.append(new[1:] - 1, len(p) - 1)
     return list(zip(p[new].tolist(), (p[last] + WINDOW).tolist()))
@@ -303,10 +304,12 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     release(spark)
     side = lambda k: F.collect_list(F.when(F.col("side") == k, F.col("pos")))
     hits = hits.groupBy("doc_id").agg(side(0).alias("refs"), side(1).alias("probes"))
-    around = rows.join(hits, "doc_id").withColumn("text_hash", F.xxhash64("text"))
+    hits = saved(hits, "documents-hit")  # places of a document together, and its id for the filter
+    near, _ = maybe_in(rows, "doc_id", id_filter(hits, "doc_id"))
+    around = near.join(hits, "doc_id").withColumn("text_hash", F.xxhash64("text"))
     windows = around.select("doc_id", "text_hash", "text", "refs", "probes").transform(by_batch, _window_rows(parts), _PACKED)
     found = saved(_share(windows).transform(by_batch, _match(_hashes12), _HITS), "window-hits")
-    del around, windows
+    del around, windows, near
     release(spark)
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,12 +322,21 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with a column of spans (NULL: nothing to remove), and its name."""
+    """``docs`` with a column of spans (NULL: nothing to remove), and its name.
+
+    Only rows whose id may have spans are joined with them.
+    """
     h, name, a, b = fresh(docs, "text_hash", "spans", "span_id", "span_hash")
     spans = saved(repeat_spans(docs, doc_id, text), "spans").toDF(a, b, name)
-    d = docs.withColumn(h, F.xxhash64(F.col(f"`{text}`")))
-    d = d.join(spans, (F.col(f"`{doc_id}`") == F.col(a)) & (F.col(h) == F.col(b)), "left")
-    return d.select(*(f"`{c}`" for c in docs.columns), name), name
+    release(docs.sparkSession)
+    d = docs.withColumn(doc_id, F.col(f"`{doc_id}`").cast("bigint"))
+    some, none = maybe_in(d, doc_id, id_filter(spans, a))
+    some = some.withColumn(h, F.xxhash64(F.col(f"`{text}`")))
+    some = some.join(spans, (F.col(f"`{doc_id}`") == F.col(a)) & (F.col(h) == F.col(b)), "left")
+    none = none.withColumn(name, F.lit(None).cast(spans.schema[name].dataType))
+    names = [*(f"`{c}`" for c in docs.columns), name]
+    got = some.select(*names).unionByName(none.select(*names))
+    return got.withColumn(doc_id, F.col(f"`{doc_id}`").cast(docs.schema[doc_id].dataType)), name
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")

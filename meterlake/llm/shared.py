@@ -56,12 +56,46 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs.
 
     They go when the driver collects the objects that own them; on a large
-    job this keeps the disk from holding every earlier shuffle.
+    job this keeps the disk from holding every earlier shuffle.  The scheduler
+    holds the last job's plan until another one ends, so an empty one is run.
     """
     gc.collect()
+    spark.range(1).write.format("noop").mode("overwrite").save()
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
+# Words of 64 bits in an id filter: the table has at most so many rows.
+FILTER_WORDS = 1 << 20
+
+
+def id_filter(ids: DataFrame, column: str) -> DataFrame:
+    """Bit table of a set of ids, for ``maybe_in``; at most ``FILTER_WORDS`` rows of 16 bytes."""
+    word, bit = _filter_place(F.col(column))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    return ids.select(word.alias("word"), one.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+
+def _filter_place(key: Column) -> tuple[Column, Column]:
+    h = F.xxhash64(key)
+    return F.pmod(h, F.lit(FILTER_WORDS)), F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int")
+
+
+def maybe_in(df: DataFrame, column: str, bits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` that may have an id of the set, and those that have none.
+
+    Wrongly taken rows are few while the set is smaller than the table's 64
+    million bits, and more beyond; none is missed.  It spares large rows a
+    shuffle before an exact join; the table's fixed size allows its broadcast.
+    """
+    w, b, hit = fresh(df, "word", "bits", "hit")
+    word, bit = _filter_place(F.col(f"`{column}`"))
+    d = df.withColumn(w, word).join(F.broadcast(bits.select(F.col("word").alias(w), F.col("bits").alias(b))), w, "left")
+    d = d.withColumn(hit, F.coalesce(F.getbit(b, bit), F.lit(0)) == 1)
+    names = [f"`{c}`" for c in df.columns]
+    return d.filter(hit).select(*names), d.filter(~F.col(hit)).select(*names)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have (in any case)."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from meterlake.llm.components import components
-from meterlake.llm.shared import by_batch, fresh, pick, saved, table
+from meterlake.llm.shared import by_batch, fresh, id_filter, maybe_in, pick, saved, table
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -169,13 +169,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of every component of ``docs``: that with the least id (then text hash)."""
-    groups = near_duplicates(docs, doc_id, text, **options)
-    first = groups.select(F.col("component_id").alias("id"), F.col("first_hash").alias("hash")).distinct()
+    """One row of every component of ``docs``: that with the least id (then text hash).
+
+    Only rows whose id may be dropped, or that may be there twice, are
+    shuffled; the others go through as they are read.
+    """
+    groups = saved(near_duplicates(docs, doc_id, text, **options), "near-duplicates")
+    mine = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
+    rows = groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.max(mine).alias("first"))
+    rows = saved(rows, "near-duplicate-rows")
+    doubtful = id_filter(rows.filter(~F.col("first") | (F.col("n") > 1)), "doc_id")
+    some, none = maybe_in(docs, doc_id, doubtful)
     h, a, b = fresh(docs, "text_hash", "first_id", "first_hash")
-    d = docs.withColumn(h, F.xxhash64(F.col(f"`{text}`")))
-    got = d.join(first.toDF(a, b), F.col(f"`{doc_id}`").eqNullSafe(F.col(a)) & (F.col(h) == F.col(b)), "left_semi")
-    return got.dropDuplicates([doc_id, h]).drop(h)
+    first = rows.filter("first").select(F.col("doc_id").alias(a), F.col("text_hash").alias(b))
+    some = some.withColumn(h, F.xxhash64(F.col(f"`{text}`")))
+    some = some.join(first, F.col(f"`{doc_id}`").eqNullSafe(F.col(a)) & (F.col(h) == F.col(b)), "left_semi")
+    return some.dropDuplicates([doc_id, h]).drop(h).unionByName(none)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
