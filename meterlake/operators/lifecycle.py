@@ -3,36 +3,49 @@
 Compaction rewrites whole partitions sorted (time descending by default)
 with a stronger codec; it is the Parquet counterpart of turning row chunks
 into compressed columnar ones.  The only lists that reach the driver are
-partition names from the file catalogue, never rows.
+partition names and sizes from the file catalogue, never rows.
+
+A run writes each row once, into a folder of its own beside the dataset, and
+publishes the files as they are by renaming them.  A marker written before
+the first rename lists what is replaced, so a run that broke off is finished
+by the next one.  One compaction of a dataset runs at a time.
 """
 
 from __future__ import annotations
 
 import uuid
-from datetime import timedelta
+from collections.abc import Iterable
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.format import human_bytes, savings_pct, sorted_report
-from meterlake.functions.time import to_utc, width_micros
-from meterlake.session import session_conf, staging_path
-from meterlake.sources.catalog import partition_catalog
+from meterlake.functions.time import parse_label, to_utc, width_micros
+from meterlake.operators.rollups import TIERS, RefreshPolicy
+from meterlake.sources import files
+from meterlake.sources.catalog import list_partitions, location, partition_catalog
 from meterlake.sources.layout import cluster_by_chunk
-from meterlake.sources.schema import READING_COLUMNS, is_table, readings
+from meterlake.sources.schema import READING_COLUMNS, is_table, stored_readings
 
 COMPACT_ORDER = ("-timestamp",)
+COMPACTED_BATCH = -1
+STATE_SCHEMA = ("chunk string, codec string, file_order string, before_bytes bigint, after_bytes bigint, "
+                "after_files bigint, finished timestamp")
+MARKER_SCHEMA = "chunk string, ingest_batch bigint, n_files bigint, bytes bigint, codec string, file_order string"
+STATS_SCHEMA = "table string, chunk string, status string, before_bytes bigint, after_bytes bigint"
 
 
-def _older_than(catalog: DataFrame, age: str | None, as_of) -> DataFrame:
-    """Partitions whose whole range ended at least ``age`` before ``as_of``."""
+def _ended(chunk: str, width: str, age: str | None, as_of) -> bool:
+    """Whether the partition's whole range ended at least ``age`` before ``as_of``."""
+    try:
+        start = parse_label(chunk)
+    except ValueError:  # rows without a time have no age
+        return False
     if age is None:
-        return catalog
+        return True
     cutoff = to_utc(as_of) - timedelta(microseconds=width_micros(age))
-    return catalog.filter(F.col("range_end") <= F.lit(cutoff))
-
-
-COMPACTED_BATCH = -1
+    return start + timedelta(microseconds=width_micros(width)) <= cutoff
 
 
 def _partition_columns(spark: SparkSession, handle: str) -> list[str]:
@@ -41,88 +54,167 @@ def _partition_columns(spark: SparkSession, handle: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(handle) if c.isPartition]
 
 
+def _home(spark: SparkSession, handle: str) -> str:
+    """Folder of a dataset's compaction runs and their statistics, beside it."""
+    return location(spark, handle).rstrip("/") + "__compaction"
+
+
+def _by_chunk(rows: Iterable) -> dict[str, list]:
+    out: dict[str, list] = {}
+    for r in rows:
+        out.setdefault(r["chunk"], []).append(r)
+    return out
+
+
+def _totals(rows: list) -> tuple[int, int]:
+    return sum(r["n_files"] for r in rows), sum(r["bytes"] for r in rows)
+
+
 def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
                        order_by: tuple[str, ...] = COMPACT_ORDER, codec: str = "zstd",
                        older_than: str | None = None, as_of=None,
-                       name: str | None = None) -> DataFrame:
+                       name: str | None = None, committed_below: int | None = None) -> DataFrame:
     """Rewrite eligible partitions sorted by ``order_by`` with ``codec``.
 
-    Returns per-partition statistics (table, chunk, status, before_bytes,
-    after_bytes).  The rewrite is staged under the shared checkpoint folder
-    and swapped in only after the staged row count equals the source's, so
-    a lost executor or a crash never leaves a partition short of rows.
+    Returns the statistics of the partitions rewritten now (table, chunk,
+    status, before_bytes, after_bytes); ``compaction_stats`` has those of all
+    runs.  Partitions that an earlier run left in this order and codec, and
+    that have not changed since, are not touched.
 
     A stream-fed table partitioned by (chunk, ingest_batch) has its batch
-    partitions of each eligible chunk merged into one (``ingest_batch = -1``)
-    by a static-partition overwrite of that chunk: one distributed job per
-    chunk, looping over partition names only.
+    partitions of each eligible chunk merged into one (``ingest_batch = -1``).
+    Only batches below ``committed_below`` take part; by default the newest
+    batch of the table is left out, as it may be replayed.  Batches that
+    arrive meanwhile are other partitions and stay.  A partition of another
+    dataset that changed while it was rewritten is left for the next run.
     """
-    name = name or handle
     parts = _partition_columns(spark, handle)
     if parts not in (["chunk"], ["chunk", "ingest_batch"]):
         raise ValueError(f"cannot compact {handle}: partitioned by {parts}")
-    before = _older_than(partition_catalog(spark, handle, width, name), older_than, as_of)
-    chunks = sorted(r[0] for r in before.select("chunk").collect())
+    batched, home, file_order = len(parts) == 2, _home(spark, handle), ",".join(order_by)
+    finish_compactions(spark, handle)
+    listing = list_partitions(spark, handle)
+    if batched and committed_below is None:
+        committed_below = max((r["ingest_batch"] for r in listing), default=0)
+    found = _by_chunk(r for r in listing if _ended(r["chunk"], width, older_than, as_of)
+                      and (not batched or r["ingest_batch"] < committed_below))
+    done = {r["chunk"]: r for r in _state(spark, home).filter(
+        (F.col("codec") == codec) & (F.col("file_order") == file_order)).collect()}
+    chunks = [c for c, rows in sorted(found.items()) if not (
+        c in done and _totals(rows) == (done[c]["after_files"], done[c]["after_bytes"]))]
     if not chunks:
-        return _stats(spark, before.limit(0), before.limit(0), name)
-    before_bytes = spark.createDataFrame(
-        before.select("chunk", "bytes").collect(), "chunk string, bytes bigint")
-    source = readings(spark, handle, with_chunk=True).filter(F.col("chunk").isin(chunks))
-    staging = staging_path(spark, "compact", handle)
+        return spark.createDataFrame([], STATS_SCHEMA)
+    source = stored_readings(spark, handle).filter(F.col("chunk").isin(chunks))
+    if batched:
+        source = source.filter(F.col("ingest_batch") < committed_below)
+    run = f"{home}/run-{uuid.uuid4().hex[:12]}"
     # Default AQE sizing (not the small-write spread): compaction is about
     # fewer, larger files per partition.
     (cluster_by_chunk(source.select(*READING_COLUMNS, "chunk"), order_by)
-     .write.mode("overwrite").option("compression", codec).partitionBy("chunk")
-     .parquet(staging))
-    staged = spark.read.schema(source.schema).parquet(staging)
-    n_src, n_staged = source.count(), staged.count()
-    if n_src != n_staged:
+     .write.option("compression", codec).partitionBy("chunk").parquet(f"{run}/data"))
+    n_src, n_staged = source.count(), spark.read.schema(source.schema).parquet(f"{run}/data").count()
+    if n_src != n_staged:  # both counts come from file footers
+        files.delete(spark, run)
         raise RuntimeError(f"compaction staged {n_staged} rows for {n_src}; nothing replaced")
-    out = staged.select(*READING_COLUMNS, "chunk")
-    try:
-        if parts == ["chunk", "ingest_batch"]:
-            _swap_batched_chunks(spark, handle, out, chunks, codec)
-        elif is_table(handle):
-            with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic",
-                                      "spark.sql.parquet.compression.codec": codec}):
-                out.write.insertInto(handle, overwrite=True)
-        else:
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .option("compression", codec).partitionBy("chunk").parquet(handle))
-    except Exception as err:
-        # Plain Parquet has no transaction: the verified copy stays in place
-        # so the swap can be repeated from it.
-        raise RuntimeError(f"compaction swap failed; verified copy kept at {staging}") from err
-    after = partition_catalog(spark, handle, width, name).filter(F.col("chunk").isin(chunks))
-    return _stats(spark, before_bytes, after, name)
-
-
-def _swap_batched_chunks(spark: SparkSession, table: str, staged: DataFrame,
-                         chunks: list[str], codec: str) -> None:
-    """Replace every (chunk, *) partition of each chunk by (chunk, -1).
-
-    A static spec on ``chunk`` with a static-mode overwrite removes all of
-    the chunk's batch partitions and writes the merged one in one job.
-    """
-    view = f"compact_{uuid.uuid4().hex[:12]}"
-    staged.withColumn("ingest_batch", F.lit(COMPACTED_BATCH).cast("bigint")) \
-        .createOrReplaceTempView(view)
-    cols = ", ".join(f"`{c}`" for c in READING_COLUMNS)
-    try:
-        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "static",
-                                  "spark.sql.parquet.compression.codec": codec}):
-            for chunk in chunks:
-                spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (chunk = '{chunk}', ingest_batch) "
-                          f"SELECT {cols}, ingest_batch FROM {view} WHERE chunk = '{chunk}'")
-    finally:
-        spark.catalog.dropTempView(view)
+    marker = [(c, r["ingest_batch"], r["n_files"], r["bytes"], codec, file_order) for c in chunks for r in found[c]]
+    spark.createDataFrame(marker, MARKER_SCHEMA).coalesce(1).write.parquet(f"{run}/ready")
+    rewritten = _publish(spark, handle, run)
+    return spark.createDataFrame([(name or handle, c, "Compressed", before, after)
+                                  for c, before, after in rewritten], STATS_SCHEMA)
+
+
+def finish_compactions(spark: SparkSession, handle: str) -> None:
+    """Finish runs that broke off after their marker; drop those before it."""
+    home = _home(spark, handle)
+    for run in files.children(spark, home):
+        if run.startswith("run-"):
+            if files.exists(spark, f"{home}/{run}/ready/_SUCCESS"):
+                _publish(spark, handle, f"{home}/{run}")
+            else:
+                files.delete(spark, f"{home}/{run}")
+
 
+def _publish(spark: SparkSession, handle: str, run: str) -> list[tuple[str, int, int]]:
+    """Put a run's files in place of what its marker lists; may be repeated.
 
-def _stats(spark: SparkSession, before: DataFrame, after: DataFrame, name: str) -> DataFrame:
-    return (after.select("chunk", F.col("bytes").alias("after_bytes"))
-            .join(before.select("chunk", F.col("bytes").alias("before_bytes")), "chunk")
-            .select(F.lit(name).alias("table"), "chunk", F.lit("Compressed").alias("status"),
-                    "before_bytes", "after_bytes"))
+    Replaced folders are moved aside and deleted at the end.  Returns chunk,
+    bytes before and after.
+    """
+    root, home = location(spark, handle).rstrip("/"), _home(spark, handle)
+    batched = len(_partition_columns(spark, handle)) == 2
+    frozen = _by_chunk(spark.read.schema(MARKER_SCHEMA).parquet(f"{run}/ready").collect())
+    now = _by_chunk(list_partitions(spark, handle))
+    skipped = set()
+    for chunk, rows in frozen.items():
+        staged, aside = f"{run}/data/chunk={chunk}", f"{run}/old/chunk={chunk}"
+        target = f"{root}/chunk={chunk}" + (f"/ingest_batch={COMPACTED_BATCH}" if batched else "")
+        waiting = files.exists(spark, staged)
+        if not batched and waiting and not files.exists(spark, aside) and \
+                _totals(now.get(chunk, [])) != _totals(rows):
+            skipped.add(chunk)  # rows came in since it was read
+            continue
+        for r in rows:
+            old = f"{root}/chunk={chunk}" + (f"/ingest_batch={r['ingest_batch']}" if batched else "")
+            aside_part = f"{aside}/{r['ingest_batch']}"
+            if files.exists(spark, old) and not files.exists(spark, aside_part) and (waiting or old != target):
+                files.move(spark, old, aside_part)
+        if waiting:
+            for f in files.children(spark, staged):
+                files.move(spark, f"{staged}/{f}", f"{target}/{f}")
+            files.delete(spark, staged)
+    chunks = [c for c in frozen if c not in skipped]
+    if is_table(handle):
+        if batched and chunks:
+            spec = lambda c, b: f"PARTITION (chunk='{c}', ingest_batch={b})"
+            merged = " ".join(spec(c, COMPACTED_BATCH) for c in chunks)
+            spark.sql(f"ALTER TABLE {handle} ADD IF NOT EXISTS {merged}")
+            gone = [spec(c, r["ingest_batch"]) for c in chunks for r in frozen[c] if r["ingest_batch"] != COMPACTED_BATCH]
+            if gone:
+                spark.sql(f"ALTER TABLE {handle} DROP IF EXISTS {', '.join(gone)}")
+        spark.catalog.refreshTable(handle)
+    else:
+        spark.catalog.refreshByPath(root)
+    after = _by_chunk(r for r in list_partitions(spark, handle)
+                      if not batched or r["ingest_batch"] == COMPACTED_BATCH)
+    stamp = datetime.now(timezone.utc)
+    state = [(c, frozen[c][0]["codec"], frozen[c][0]["file_order"], _totals(frozen[c])[1],
+              _totals(after.get(c, []))[1], _totals(after.get(c, []))[0], stamp) for c in chunks]
+    if state:
+        (spark.createDataFrame(state, STATE_SCHEMA).coalesce(1).write.mode("overwrite")
+         .parquet(f"{home}/state/{run.rsplit('/', 1)[1]}"))
+    files.delete(spark, run)
+    return [(r[0], r[3], r[4]) for r in state]
+
+
+def _state(spark: SparkSession, home: str) -> DataFrame:
+    """The newest statistics row of every chunk (one small file per run)."""
+    runs = [f"{home}/state/{r}" for r in files.children(spark, f"{home}/state")]
+    if not runs:
+        return spark.createDataFrame([], STATE_SCHEMA)
+    newest = Window.partitionBy("chunk").orderBy(F.col("finished").desc())
+    return (spark.read.schema(STATE_SCHEMA).parquet(*runs).withColumn("n", F.row_number().over(newest))
+            .filter("n = 1").drop("n"))
+
+
+def compaction_stats(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """Stored statistics of ``{name: handle}``: table, chunk, status, bytes before and after.
+
+    A partition counts as compressed while its files are those that its last
+    run left; one that has received rows since has no row here.
+    """
+    rows = []
+    for name, handle in tables.items():
+        batched = len(_partition_columns(spark, handle)) == 2
+        now = _by_chunk(list_partitions(spark, handle))
+        for r in _state(spark, _home(spark, handle)).collect():
+            here = now.get(r["chunk"], [])
+            if batched:
+                whole = all(x["ingest_batch"] == COMPACTED_BATCH for x in here)
+            else:
+                whole = True
+            if whole and _totals(here) == (r["after_files"], r["after_bytes"]):
+                rows.append((name, r["chunk"], "Compressed", r["before_bytes"], r["after_bytes"]))
+    return spark.createDataFrame(rows, STATS_SCHEMA)
 
 
 def compression_report(catalog: DataFrame, stats: DataFrame) -> DataFrame:
@@ -159,40 +251,38 @@ def compression_detail(catalog: DataFrame, stats: DataFrame) -> DataFrame:
     return sorted_report(out, "table", "range_start").drop("range_start")
 
 
-def drop_older_than(spark: SparkSession, table: str, retention: str, as_of,
-                    width: str = "1 day", min_retention: str = "30 days") -> list[str]:
-    """Drop raw partitions whose range ended ``retention`` before ``as_of``.
-
-    Refuses a retention shorter than ``min_retention`` (the largest rollup
-    correction horizon): refreshing a window whose raw rows are gone would
-    erase rollup rows.  Works on managed tables, where dropping a partition
-    removes its files too.
-    """
-    if width_micros(retention) < width_micros(min_retention):
-        raise ValueError(f"retention {retention} is shorter than {min_retention}")
-    if not is_table(table):
-        raise ValueError("retention drops partitions of a managed table")
-    expired = _older_than(partition_catalog(spark, table, width), retention, as_of)
-    chunks = sorted(r[0] for r in expired.select("chunk").collect())
-    if chunks:
-        specs = ", ".join(f"PARTITION ({spec})" for spec in _full_specs(spark, table, chunks))
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-    return chunks
+def _is_managed(spark: SparkSession, table: str) -> bool:
+    kind = (spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Type")
+            .select("data_type").take(1))
+    return bool(kind) and kind[0][0].upper() == "MANAGED"
 
 
-def _full_specs(spark: SparkSession, table: str, chunks: list[str]) -> list[str]:
-    """Complete partition specs under each chunk.
+def drop_older_than(spark: SparkSession, table: str, retention: str, as_of, width: str = "1 day",
+                    policies: Iterable[RefreshPolicy] | None = None) -> list[str]:
+    """Drop raw partitions whose range ended ``retention`` before ``as_of``, and their files.
 
-    A partial spec does not drop the (chunk, ingest_batch) partitions of a
-    stream-fed table, so each chunk is expanded through the catalogue's
-    partition names (metadata only).
+    Refuses a retention shorter than the longest correction horizon of the
+    refresh ``policies`` in use (the standard tiers' by default): refreshing a
+    window whose raw rows are gone would erase rollup rows.  On an external
+    table the catalogue forgets a partition without its files, so they are
+    deleted here; metastore, listing and disk agree afterwards.
     """
-    if _partition_columns(spark, table) == ["chunk"]:
-        return [f"chunk='{c}'" for c in chunks]
-    specs = []
-    for c in chunks:
-        for (name,) in spark.sql(f"SHOW PARTITIONS {table} PARTITION (chunk='{c}')").collect():
-            pairs = [part.split("=", 1) for part in name.split("/")]
-            specs.append(", ".join(
-                f"{k}='{v}'" if k == "chunk" else f"{k}={v}" for k, v in pairs))
-    return specs
+    used = [p for _, p in TIERS.values()] if policies is None else list(policies)
+    floor = max((p.start_offset for p in used), key=width_micros, default=None)
+    if floor is not None and width_micros(retention) < width_micros(floor):
+        raise ValueError(f"retention {retention} is shorter than the refresh horizon {floor}")
+    if not is_table(table):
+        raise ValueError("retention drops partitions of a table")
+    root, parts = location(spark, table).rstrip("/"), _partition_columns(spark, table)
+    expired = _by_chunk(r for r in list_partitions(spark, table) if _ended(r["chunk"], width, retention, as_of))
+    if not expired:
+        return []
+    specs = ", ".join(f"PARTITION ({s})" for c, rows in expired.items() for s in (
+        [f"chunk='{c}'"] if len(parts) == 1 else
+        [f"chunk='{c}', ingest_batch={r['ingest_batch']}" for r in rows]))
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    if not _is_managed(spark, table):
+        for c in expired:
+            files.delete(spark, f"{root}/chunk={c}")
+    spark.catalog.refreshTable(table)
+    return sorted(expired)

@@ -279,19 +279,36 @@ def with_region_label(df: DataFrame, labels: DataFrame, region_col: str = "regio
 
 # --- U2: equality of two copies -------------------------------------------------
 
+EQUAL_BUCKETS = 1024
+
+
+def _bucket_digests(df: DataFrame, cols: list[str], side: str) -> DataFrame:
+    """Row count and sum of row hashes of every hash bucket."""
+    h = F.xxhash64(*cols)
+    return (df.select(F.pmod(h, F.lit(EQUAL_BUCKETS)).alias("bucket"), h.cast("decimal(38,0)").alias("h"))
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias(f"n_{side}"), F.sum("h").alias(f"h_{side}")))
+
+
 def tables_equal(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows only in ``a`` and only in ``b``, counted as multisets.
+    """Rows only in ``a`` and only in ``b``, counted as multisets, and the rows of each.
 
-    One union and one group-by over all columns: the partial aggregate
-    collapses duplicated rows before the single shuffle, so a row repeated
-    a million times costs one shuffled record per task.
+    Both sides are first summed into ``EQUAL_BUCKETS`` hash buckets, which
+    shuffles no row.  Only rows of buckets that differ are then grouped over
+    all columns, with duplicates collapsed before that shuffle.
     """
-    cols = a.columns
-    tagged = (a.select(*cols, F.lit(1).alias("_in_a"), F.lit(0).alias("_in_b"))
-              .unionByName(b.select(*cols, F.lit(0).alias("_in_a"), F.lit(1).alias("_in_b"))))
-    per_row = tagged.groupBy(*cols).agg(F.sum("_in_a").alias("na"), F.sum("_in_b").alias("nb"))
-    return per_row.agg(
-        F.coalesce(F.sum(F.greatest(F.col("na") - F.col("nb"), F.lit(0))), F.lit(0))
-        .cast("bigint").alias("only_left"),
-        F.coalesce(F.sum(F.greatest(F.col("nb") - F.col("na"), F.lit(0))), F.lit(0))
-        .cast("bigint").alias("only_right"))
+    spark, cols = a.sparkSession, a.columns
+    b = b.select(*cols)
+    digests = (_bucket_digests(a, cols, "a").join(_bucket_digests(b, cols, "b"), "bucket", "full")
+               .na.fill(0, ["n_a", "n_b"]).collect())  # at most EQUAL_BUCKETS rows
+    n_a, n_b = sum(r.n_a for r in digests), sum(r.n_b for r in digests)
+    differ = [r.bucket for r in digests if (r.n_a, r.h_a) != (r.n_b, r.h_b)]
+    only_left = only_right = 0
+    if differ:
+        here = F.pmod(F.xxhash64(*cols), F.lit(EQUAL_BUCKETS)).isin(differ)
+        tagged = (a.filter(here).select(*cols, F.lit(1).alias("_in_a"), F.lit(0).alias("_in_b"))
+                  .unionByName(b.filter(here).select(*cols, F.lit(0).alias("_in_a"), F.lit(1).alias("_in_b"))))
+        per_row = tagged.groupBy(*cols).agg(F.sum("_in_a").alias("na"), F.sum("_in_b").alias("nb"))
+        only = lambda x, y: F.coalesce(F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0))), F.lit(0))
+        only_left, only_right = per_row.agg(only("na", "nb"), only("nb", "na")).first()
+    return spark.createDataFrame([(only_left, only_right, n_a, n_b)],
+                                 "only_left bigint, only_right bigint, rows_left bigint, rows_right bigint")

@@ -23,6 +23,7 @@ from meterlake.functions.time import (
 from meterlake.functions.format import sorted_report
 from meterlake.operators.queries import region_of, tables_equal
 from meterlake.session import session_conf, staging_path, write_conf
+from meterlake.sources import files
 from meterlake.sources.layout import scan_days
 
 ROLLUP_COLUMNS = ["meter_id", "bucket", "sum_power", "power_count", "max_power",
@@ -198,7 +199,7 @@ def peak_hours(rollup_hourly: DataFrame, weighted: bool = False) -> DataFrame:
 
 
 def rollup_vs_raw(raw_answer: DataFrame, rollup_answer: DataFrame) -> DataFrame:
-    """Rows only in the raw answer / only in the rollup answer (both 0 = same)."""
+    """Rows only in the raw answer and only in the rollup answer (both 0: same), and the rows of each."""
     return tables_equal(raw_answer, rollup_answer.select(*raw_answer.columns))
 
 
@@ -271,7 +272,7 @@ def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
         fresh = fresh.select(*ROLLUP_COLUMNS).unionByName(kept.select(*ROLLUP_COLUMNS))
     staging = staging_path(spark, "refresh", table)
     with write_conf(spark):
-        (_clustered(fresh.select(*ROLLUP_COLUMNS)).write.mode("overwrite")
+        (_clustered(fresh.select(*ROLLUP_COLUMNS)).write
          .partitionBy("day").parquet(staging))
     staged = spark.read.schema(spark.table(table).schema).parquet(staging)
     written = {r[0] for r in staged.select("day").distinct().collect()}
@@ -281,6 +282,7 @@ def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
     if empty:
         specs = ", ".join(f"PARTITION (day='{d}')" for d in empty)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    files.delete(spark, staging)
     return days
 
 

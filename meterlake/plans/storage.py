@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.functions.format import grouped_number, human_bytes, pct_change, savings_pct, speedup
 from meterlake.functions.time import day_label
 from meterlake.operators import lifecycle as L
 from meterlake.operators import queries as Q
@@ -24,8 +25,8 @@ from meterlake.plans.registry import (
 )
 from meterlake.session import scratch_path, unique_table
 from meterlake.sources import catalog as C
-from meterlake.sources.layout import relayout, scan_range, write_partitioned
-from meterlake.sources.schema import readings, readings_from_events
+from meterlake.sources.layout import append_readings, relayout, scan_range, write_partitioned
+from meterlake.sources.schema import derive_measures, readings, readings_from_events
 
 # The reference's three layouts (table name, partition width).
 LAYOUTS = {
@@ -89,8 +90,8 @@ def row_counts(spark, sf_dir):
                          for k in ("1d", "3h", "1w")})
 
 
-@register("relayout_compare",
-          "select 0::bigint as only_left, 0::bigint as only_right")
+@register("relayout_compare", READINGS_CTE + """
+select 0::bigint as only_left, 0::bigint as only_right, count(*) as rows_left, count(*) as rows_right from r""")
 def relayout_compare(spark, sf_dir):
     """The 3-hour copy of the data equals the source readings, row for row."""
     src = readings_of(spark, sf_dir)
@@ -117,12 +118,32 @@ def partition_summary(spark, sf_dir):
     return C.partition_summary(C.union_catalogs(spark, tables))
 
 
-@register("table_sizes")
+def _chunks_sql(name: str, width: str) -> str:
+    return f"""select '{name}' as "table", time_bucket(interval '{width}', "timestamp",
+         timestamp '1970-01-01') as range_start,
+         time_bucket(interval '{width}', "timestamp", timestamp '1970-01-01') + interval '{width}' as range_end,
+         count(*) as n_rows from r group by 1, 2, 3"""
+
+
+CHUNKS_CTE = READINGS_CTE + ", c as (" + "\nunion all\n".join(_chunks_sql(n, w) for n, w in LAYOUTS.values()) + ")\n"
+
+
+def _layout_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.union_catalogs(spark, {LAYOUTS[k][0]: (write_layout(spark, sf_dir, k), LAYOUTS[k][1])
+                                    for k in LAYOUTS})
+
+
+@register("table_sizes", CHUNKS_CTE + """
+select "table", count(*) as n_partitions, true as has_bytes, true as partitions_sum_to_table from c group by 1""")
 def table_sizes(spark, sf_dir):
-    """Files, partitions and bytes per layout (sizes: rows-only check)."""
-    tables = {LAYOUTS[k][0]: (write_layout(spark, sf_dir, k), LAYOUTS[k][1])
-              for k in LAYOUTS}
-    return C.table_sizes(spark, tables)
+    """Totals per layout; that files and bytes are there and the
+    partitions' sizes add up to the table's, as sizes themselves are not in the data."""
+    catalog = _layout_catalog(spark, sf_dir)
+    parts = C.partition_sizes(catalog).groupBy("table").agg(F.sum("bytes").alias("part_bytes"))
+    return (C.table_catalog(catalog).join(parts, "table")
+            .select("table", "n_partitions", ((F.col("bytes") > 0) & (F.col("n_files") >= F.col("n_partitions"))
+                                              & F.col("total_size").isNotNull()).alias("has_bytes"),
+                    (F.col("bytes") == F.col("part_bytes")).alias("partitions_sum_to_table")))
 
 
 # --- L7 / L8 / L9 / L11: compaction and retention -------------------------------
@@ -138,67 +159,109 @@ def compacted_table_stats(spark, sf_dir):
     return shape(Q.table_stats(readings(spark, table)), rounded=("avg_power",))
 
 
-@register("compression_report")
-def compression_report(spark, sf_dir):
-    """Per-table, per-status totals after compacting the
-    three layouts' partitions older than 24 hours (file sizes: rows-only)."""
-    tables = {LAYOUTS[k][0]: (write_layout(spark, sf_dir, k, as_table=True), LAYOUTS[k][1])
-              for k in LAYOUTS}
-    stats = [L.compact_partitions(spark, handle, width, older_than="24 hours",
-                                  as_of=COMPACT_AS_OF, name=name)
-             for name, (handle, width) in tables.items()]
-    return L.compression_report(C.union_catalogs(spark, tables),
-                                reduce(DataFrame.unionByName, stats))
+def _compacted_layouts(spark: SparkSession, sf_dir: str) -> dict[str, tuple[str, str]]:
+    """The three layouts with everything older than 24 hours at ``COMPACT_AS_OF`` compacted."""
+    tables = {LAYOUTS[k][0]: (write_layout(spark, sf_dir, k, as_table=True), LAYOUTS[k][1]) for k in LAYOUTS}
+    for handle, width in tables.values():
+        L.compact_partitions(spark, handle, width, older_than="24 hours", as_of=COMPACT_AS_OF)
+    return tables
+
+
+def _stored_stats(spark: SparkSession, tables: dict[str, tuple[str, str]]) -> DataFrame:
+    return L.compaction_stats(spark, {name: handle for name, (handle, _) in tables.items()})
 
 
-def _status_sql(tables: dict[str, str], cutoff: str) -> str:
-    parts = "\n  union all\n".join(
-        f"""  select '{name}' as "table", time_bucket(interval '{w}', "timestamp",
-         timestamp '1970-01-01') + interval '{w}' as range_end from r group by 1, 2"""
-        for name, w in tables.items())
-    return READINGS_CTE + f""", c as (
-{parts})
-select "table", case when range_end <= timestamp '{cutoff}' then 'Compressed'
-                     else 'Uncompressed' end as compression_status,
-       count(*) as chunk_count
-from c group by 1, 2"""
+SQL_STATUS = CHUNKS_CTE + """, s as (
+select *, case when range_end <= timestamp '2024-01-30' then 'Compressed' else 'Uncompressed' end as compression_status
+from c)
+"""
 
 
-STATUS_TABLES = {LAYOUTS["1d"][0]: LAYOUTS["1d"][1], LAYOUTS["1w"][0]: LAYOUTS["1w"][1]}
+@register("compression_report", SQL_STATUS + """
+select "table", compression_status, count(*) as chunk_count, true as has_sizes,
+       compression_status = 'Compressed' as shrunk from s group by 1, 2""")
+def compression_report(spark, sf_dir):
+    """The report over the three layouts, from the stored
+    statistics: counts, and flags in place of sizes that are not in the data."""
+    tables = _compacted_layouts(spark, sf_dir)
+    report = L.compression_report(C.union_catalogs(spark, tables), _stored_stats(spark, tables))
+    sizes = (F.col("before_bytes") > 0) & (F.col("after_bytes") > 0) & F.col("before_size").isNotNull()
+    return report.select("table", "compression_status", "chunk_count", sizes.alias("has_sizes"),
+                         (F.col("savings_pct") != 0).alias("shrunk"))
 
 
-@register("compression_status_counts", _status_sql(STATUS_TABLES, "2024-01-30"))
+@register("compression_status_counts", SQL_STATUS + """
+select "table", compression_status, count(*) as chunk_count, 0::bigint as rewritten_again from s group by 1, 2""")
 def compression_status_counts(spark, sf_dir):
-    """A12 / J1-J2 without byte sizes: partitions per table and status after
-    compacting everything older than 24 hours at 2024-01-31 (1-day and
-    1-week layouts; a week still open at the cutoff stays Uncompressed)."""
-    keys = {"energy_readings": "1d", "energy_readings_week": "1w"}
-    tables = {name: (write_layout(spark, sf_dir, keys[name], as_table=True), width)
-              for name, width in STATUS_TABLES.items()}
-    stats = [L.compact_partitions(spark, handle, width, older_than="24 hours",
-                                  as_of=COMPACT_AS_OF, name=name)
+    """A12 / J1-J2 without sizes: partitions per table and status, and how
+    many a second compaction rewrites (none: the stored state names them)."""
+    tables = _compacted_layouts(spark, sf_dir)
+    again = [L.compact_partitions(spark, handle, width, older_than="24 hours", as_of=COMPACT_AS_OF, name=name)
              for name, (handle, width) in tables.items()]
-    report = L.compression_report(C.union_catalogs(spark, tables),
-                                  reduce(DataFrame.unionByName, stats))
-    return report.select("table", "compression_status", "chunk_count")
+    again = reduce(DataFrame.unionByName, again).groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+    report = L.compression_report(C.union_catalogs(spark, tables), _stored_stats(spark, tables))
+    return report.join(again, "table", "left").select(
+        "table", "compression_status", "chunk_count", F.coalesce("n", F.lit(0).cast("bigint")).alias("rewritten_again"))
 
 
-@register("compression_detail")
+@register("compression_detail", SQL_STATUS + """
+select "table", strftime(range_start, '%Y-%m-%d-%H') as chunk, compression_status as status, true as has_sizes
+from s where compression_status = 'Compressed'""")
 def compression_detail(spark, sf_dir):
-    """Per-partition sizes and savings after compaction (rows-only)."""
-    table = write_layout(spark, sf_dir, "1d", as_table=True)
-    stats = L.compact_partitions(spark, table, "1 day", older_than="24 hours",
-                                 as_of=COMPACT_AS_OF, name="energy_readings")
-    return L.compression_detail(C.partition_catalog(spark, table, "1 day", "energy_readings"),
-                                stats)
+    """Every compacted partition of the three layouts."""
+    tables = _compacted_layouts(spark, sf_dir)
+    detail = L.compression_detail(C.union_catalogs(spark, tables), _stored_stats(spark, tables))
+    sizes = F.col("before_size").isNotNull() & F.col("after_size").isNotNull() & F.col("savings_pct").isNotNull()
+    return detail.select("table", "chunk", "status", sizes.alias("has_sizes"))
 
 
-@register("partition_sizes")
+@register("partition_sizes", CHUNKS_CTE + """
+select "table", strftime(range_start, '%Y-%m-%d-%H') as chunk, range_start::date as start_date,
+       range_end::date as end_date, true as has_bytes from c""")
 def partition_sizes(spark, sf_dir):
-    """Size of every partition of the three layouts (rows-only)."""
-    tables = {LAYOUTS[k][0]: (write_layout(spark, sf_dir, k), LAYOUTS[k][1])
-              for k in LAYOUTS}
-    return C.partition_sizes(C.union_catalogs(spark, tables))
+    """Every partition of the three layouts with its dates."""
+    has = (F.col("bytes") > 0) & (F.col("n_files") > 0) & F.col("chunk_size").isNotNull()
+    return C.partition_sizes(_layout_catalog(spark, sf_dir)).select(
+        "table", "chunk", "start_date", "end_date", has.alias("has_bytes"))
+
+
+SQL_SIZE_RATIOS = """
+with p as (select substring((user_id % 10)::varchar, 1, 1) as region,
+                  sum(octet_length(props::blob)) as all_bytes,
+                  coalesce(sum(octet_length(props::blob)) filter (event_type <> 'view'), 0) as kept_bytes,
+                  count(*) as n
+           from events group by 1),
+f as (select region, all_bytes, kept_bytes, n, 0 as no_bytes from p)
+select region,
+       case when all_bytes < 10240 then all_bytes || ' bytes'
+            when all_bytes < 10485760 then round(all_bytes / 1024.0)::bigint || ' kB'
+            when all_bytes < 10737418240 then round(all_bytes / 1048576.0)::bigint || ' MB'
+            else round(all_bytes / 1073741824.0)::bigint || ' GB' end as all_size,
+       format('{:,}', n) as n_text,
+       round(100.0 * (1 - kept_bytes::double / all_bytes), 1) as savings_pct,
+       0.0::double as savings_zero_rule, null::double as savings_null_rule,
+       round((kept_bytes::double / all_bytes - 1) * 100, 9) as change_pct, null::double as change_of_nothing,
+       round(all_bytes::double / kept_bytes, 9) as ratio, null::double as ratio_to_nothing
+from f
+"""
+
+
+@register("size_ratios", SQL_SIZE_RATIOS)
+def size_ratios(spark, sf_dir):
+    """Sizes, savings and ratios on sizes that the data
+    have (bytes of ``events.props`` per region, with and without views), and
+    each rule for a zero denominator."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    size = F.octet_length("props")
+    p = events.groupBy((F.col("user_id") % 10).cast("string").alias("region")).agg(
+        F.sum(size).alias("a"), F.coalesce(F.sum(F.when(F.col("event_type") != "view", size)), F.lit(0)).alias("k"),
+        F.count(F.lit(1)).alias("n")).withColumn("zero", F.lit(0))
+    return p.select("region", human_bytes("a").alias("all_size"), grouped_number("n").alias("n_text"),
+                    savings_pct("a", "k").alias("savings_pct"),
+                    savings_pct("zero", "k", on_zero=0.0).alias("savings_zero_rule"),
+                    savings_pct("zero", "k", on_zero=None).alias("savings_null_rule"),
+                    F.round(pct_change("a", "k"), 9).alias("change_pct"), pct_change("zero", "k").alias("change_of_nothing"),
+                    F.round(speedup("a", "k"), 9).alias("ratio"), speedup("a", "zero").alias("ratio_to_nothing"))
 
 
 SQL_RETENTION = READINGS_CTE + """
@@ -214,6 +277,59 @@ def retention_table_stats(spark, sf_dir):
     return shape(Q.table_stats(readings(spark, table)), rounded=("avg_power",))
 
 
+@register("retention_partitions", READINGS_CTE + """
+select strftime(time_bucket(interval '1 day', "timestamp"), '%Y-%m-%d-%H') as chunk, 0::bigint as dropped_again
+from r where "timestamp" >= timestamp '2024-01-16' group by 1""")
+def retention_partitions(spark, sf_dir):
+    """Partitions still on disk after retention (the listing, not the
+    metastore), and how many a second run drops."""
+    table = write_layout(spark, sf_dir, "1d", as_table=True)
+    L.drop_older_than(spark, table, "30 days", RETENTION_AS_OF)
+    again = L.drop_older_than(spark, table, "30 days", RETENTION_AS_OF)
+    return C.partition_catalog(spark, table).select(
+        "chunk", F.lit(len(again)).cast("bigint").alias("dropped_again"))
+
+
+# --- S2 / S3 / S8 / P4 / P5: ingest ---------------------------------------------------
+
+SQL_INGEST = READINGS_CTE + """
+select strftime("timestamp", '%Y-%m-%d') as day, count(*) as accepted,
+       count(*) filter (voltage <> 225) as with_current, count(energy) as with_energy,
+       round(coalesce(sum(power / voltage) filter (voltage <> 225), 0), 9) as sum_current,
+       round(sum(energy), 9) as sum_energy,
+       (select 3 * count(*) from r where voltage = 230) as rejected
+from r group by 1"""
+
+
+@register("ingest_readings", SQL_INGEST)
+def ingest_readings(spark, sf_dir):
+    """Append to a table made once, from input without
+    current and energy.
+
+    Bad rows are injected: for every reading at 230 V one without a time, one
+    without a meter and one whose meter id is too long.  Voltages of 225 are
+    set to zero, which leaves the current empty.  Accepted rows are read back
+    from the table, rejected ones are counted; creating it again changes nothing.
+    """
+    raw = readings_of(spark, sf_dir).drop("current", "energy")
+    raw = raw.withColumn("voltage", F.when(F.col("voltage") == 225, 0.0).otherwise(F.col("voltage")))
+    model = raw.filter("voltage = 230")
+    bad = (model.withColumn("timestamp", F.lit(None).cast("timestamp"))
+           .unionByName(model.withColumn("meter_id", F.lit(None).cast("string")))
+           .unionByName(model.withColumn("meter_id", F.concat("meter_id", F.lit("0")))))
+    table, place = unique_table("energy_readings"), scratch_path(spark, "ingest")
+    nothing = derive_measures(raw.filter(F.lit(False)))
+    write_partitioned(nothing, table, "1 day", mode="ignore", location=place)
+    rejected = append_readings(raw.unionByName(bad), table, "1 day").count()
+    write_partitioned(derive_measures(raw), table, "1 day", mode="ignore", location=place)
+    return (readings(spark, table).groupBy(day_label("timestamp").alias("day"))
+            .agg(F.count(F.lit(1)).alias("accepted"), F.count("current").alias("with_current"),
+                 F.count("energy").alias("with_energy"),
+                 F.round(F.coalesce(F.sum("current"), F.lit(0.0)), 9).alias("sum_current"),
+                 F.round(F.sum("energy"), 9).alias("sum_energy"))
+            .withColumn("rejected", F.lit(rejected).cast("bigint")))
+
+
 # --- A6-A8 / L3-L6 / S9 / J5: rollups ------------------------------------------------
 
 def build_tier(spark: SparkSession, raw: DataFrame, tier: str) -> DataFrame:
@@ -271,8 +387,9 @@ def rollup_point_read(spark, sf_dir):
     return shape(out, ("bucket",), ("avg_power",))
 
 
-@register("rollup_vs_raw",
-          "select 0::bigint as only_left, 0::bigint as only_right")
+@register("rollup_vs_raw", f"""
+with answer as ({SQL_METER_PROFILE})
+select 0::bigint as only_left, 0::bigint as only_right, count(*) as rows_left, count(*) as rows_right from answer""")
 def rollup_vs_raw(spark, sf_dir):
     """Raw and rollup answers of the A5 question compared row by row."""
     raw = readings_of(spark, sf_dir)

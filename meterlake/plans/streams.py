@@ -7,12 +7,17 @@ rows first, the late batch after the first run.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from datetime import timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meterlake.functions.time import to_utc
 from meterlake.operators import lifecycle as L
 from meterlake.operators import queries as Q
 from meterlake.operators import rollups as R
-from meterlake.plans.registry import SQL_TABLE_STATS, readings_of, register, shape
+from meterlake.plans.registry import READINGS_CTE, SQL_TABLE_STATS, readings_of, register, shape
 from meterlake.plans.storage import _late_rows, _rollup_sql, rollup_output
 from meterlake.session import scratch_path, unique_table
 from meterlake.sources.schema import READINGS, readings, readings_from_events
@@ -69,6 +74,55 @@ def stream_raw_compacted_stats(spark, sf_dir):
     return shape(Q.table_stats(readings(spark, raw)), rounded=("avg_power",))
 
 
+# The live stream gets the month in drops of this many hours, as they pass:
+# less than the shortest correction window (3 days) minus its publish gap.
+LIVE_START, LIVE_DROP_HOURS, LIVE_DROPS = "2024-01-01", 60, 12
+
+
+def _live_sql() -> str:
+    tiers = []
+    for tier, (width, policy) in R.TIERS.items():
+        bucket = f"time_bucket(interval '{width}', \"timestamp\")"
+        tiers.append(f"""
+select '{tier}' as tier, meter_id, {bucket} as bucket, round(avg(power), 9) as avg_power,
+       max(power) as max_power, min(power) as min_power, round(sum(energy), 9) as total_energy,
+       count(*) as reading_count
+from r where {bucket} + interval '{width}' <= timestamp '2024-01-31' - interval '{policy.end_offset}'
+group by all""")
+    return READINGS_CTE + "\nunion all\n".join(tiers)
+
+
+@register("stream_live_tiers", _live_sql())
+def stream_live_tiers(spark, sf_dir):
+    """T1 / L4 live: all three tiers fed by one stream, in drops of 60 hours
+    that arrive as they end.
+
+    Buckets inside a tier's publish gap are held back, stay pending, and come
+    out with a later batch: at the end every bucket that ends by the last
+    window's end is there.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    source, checkpoint = scratch_path(spark, "live-src"), scratch_path(spark, "live-ckpt")
+    raw = unique_table("energy_readings")
+    create_raw_table(spark, raw, scratch_path(spark, "live-raw"))
+    tables = {tier: unique_table(f"energy_readings_{tier}") for tier in R.TIERS}
+    for tier, table in tables.items():
+        create_rollup_table(spark, table, scratch_path(spark, f"live-{tier}"))
+    rollups = {tables[tier]: R.TIERS[tier] for tier in R.TIERS}
+    start = to_utc(LIVE_START)
+    for _ in range(LIVE_DROPS):
+        end = start + timedelta(hours=LIVE_DROP_HOURS)
+        now = F.col("timestamp")
+        drop = readings_from_events(events).filter((now >= F.lit(start)) & (now < F.lit(end)))
+        drop.write.mode("append").parquet(source)
+        stream_refresh(spark, source, raw, rollups, checkpoint, trigger={"availableNow": True},
+                       as_of=end).awaitTermination()
+        start = end
+    parts = [rollup_output(R.read_rollup(spark, table)).select(F.lit(tier).alias("tier"), "*")
+             for tier, table in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 STREAM_WATERMARK = "1 day"
 
 

@@ -71,12 +71,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the cluster names none (local tests) is a private one made.
+    Where none is named, a local session gets a private one; on a cluster
+    that is an error, as every machine would write to a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="meterlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -88,12 +92,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def staging_path(spark: SparkSession, kind: str, handle: str) -> str:
-    """The one staging folder of a (job kind, dataset) pair, overwritten by
-    every run: repeated refreshes do not pile up copies in the shared
-    folder, and a rerun after a crash reuses the same place."""
+    """A staging folder for one run of a job on a dataset.
+
+    Named by the database-qualified handle and a run id, so tables of the
+    same name, or two sessions, never share one; the job deletes it.
+    """
+    if "/" not in handle and "." not in handle:
+        handle = f"{spark.catalog.currentDatabase()}.{handle}"
     safe = re.sub(r"[^A-Za-z0-9_.-]", "_", handle)[-80:]
     digest = hashlib.sha1(handle.encode()).hexdigest()[:8]
-    return f"{checkpoint_root(spark)}/meterlake/staging/{kind}-{safe}-{digest}"
+    return f"{checkpoint_root(spark)}/meterlake/staging/{kind}-{safe}-{digest}-{uuid.uuid4().hex[:12]}"
 
 
 @contextmanager

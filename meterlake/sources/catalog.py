@@ -2,7 +2,8 @@
 
 The ``binaryFile`` source is used only for its listing: selecting ``path``
 and ``length`` keeps file contents unread (``ReadSchema`` is just those two
-columns), and the listing itself is done in parallel by Spark's file index.
+columns), and the listing itself is done in parallel by Spark's file index.  Files are
+summed by partition in a few tasks, and only partition rows reach the driver.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.format import human_bytes, sorted_report
 from meterlake.functions.time import width_micros
+from meterlake.session import session_conf
 from meterlake.sources.schema import is_table
 
 
@@ -37,21 +39,37 @@ def _label_start(label):
         F.lit("UTC"))
 
 
-def list_files(spark: SparkSession, handle: str, partition_col: str = "chunk") -> DataFrame:
-    """(path, length, <partition_col>) of every data file under the dataset."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .load(location(spark, handle)).select("path", "length"))
-    label = F.regexp_extract("path", f"{partition_col}=([^/]+)/", 1)
-    return files.withColumn(partition_col, F.url_decode(label))
+def list_files(spark: SparkSession, handle: str) -> DataFrame:
+    """(path, length) of every data file under the dataset."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(location(spark, handle)).select("path", "length"))
+
+
+PARTITION_SCHEMA = "chunk string, ingest_batch bigint, n_files bigint, bytes bigint"
+# A listing reads no file, so file sizes must not spread it over one task per file.
+LISTING_CONF = {"spark.sql.files.maxPartitionBytes": "1024t", "spark.sql.files.openCostInBytes": "0"}
+
+
+def list_partitions(spark: SparkSession, handle: str, partition_col: str = "chunk") -> list:
+    """Files and bytes of every stored partition, one row each.
+
+    ``ingest_batch`` is NULL where the dataset is not partitioned by it.
+    """
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+    batch = F.nullif(part("ingest_batch"), F.lit("")).cast("bigint")
+    with session_conf(spark, LISTING_CONF):
+        return (list_files(spark, handle)
+                .groupBy(F.url_decode(part(partition_col)).alias("chunk"), batch.alias("ingest_batch"))
+                .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+                .orderBy("chunk", "ingest_batch").collect())
 
 
 def partition_catalog(spark: SparkSession, handle: str, width: str = "1 day",
                       table: str | None = None, partition_col: str = "chunk") -> DataFrame:
     """One row per partition: table, chunk, range_start, range_end, n_files, bytes."""
     w = width_micros(width)
-    files = list_files(spark, handle, partition_col)
-    parts = files.groupBy(F.col(partition_col).alias("chunk")).agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+    found = spark.createDataFrame(list_partitions(spark, handle, partition_col), PARTITION_SCHEMA)
+    parts = found.groupBy("chunk").agg(F.sum("n_files").alias("n_files"), F.sum("bytes").alias("bytes"))
     start = _label_start(F.col("chunk"))
     return parts.select(
         F.lit(table or handle).alias("table"), "chunk",

@@ -1,8 +1,8 @@
 """Structured Streaming jobs for the rollups.
 
 ``stream_refresh`` (main path) is the scheduled refresh: each micro-batch
-appends its rows to the raw table and refreshes the days it touched inside
-each rollup's window.  Raw rows land in partition ``(chunk, ingest_batch)``
+appends its rows to the raw table and refreshes the days that are pending
+(touched by this or an earlier batch) inside each rollup's window.  Raw rows land in partition ``(chunk, ingest_batch)``
 with dynamic overwrite, so replaying a batch id rewrites that batch's
 partition instead of duplicating it, and the refresh itself is idempotent.
 Two late-data horizons (publish gap and correction window) stay exact,
@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.functions.time import BUCKET_ORIGIN, day_label, to_utc, width_micros
-from meterlake.operators.rollups import (
-    ROLLUP_COLUMNS, RefreshPolicy, refresh_days, refresh_rollup,
-)
+from meterlake.operators.rollups import ROLLUP_COLUMNS, refresh_days, refresh_rollup
 from meterlake.session import write_conf
+from meterlake.sources.catalog import location
 from meterlake.sources.layout import cluster_by_chunk, scan_days, with_chunk
 from meterlake.sources.schema import READINGS, derive_measures, split_valid
+from meterlake.streaming import pending as P
+from meterlake.streaming.pending import Rollups
 
 RAW_DDL = ("`timestamp` TIMESTAMP, meter_id STRING, power DOUBLE, voltage DOUBLE, "
            "current DOUBLE, frequency DOUBLE, energy DOUBLE, chunk STRING, ingest_batch BIGINT")
@@ -48,53 +49,76 @@ def create_rollup_table(spark: SparkSession, table: str, location: str | None =
               f"PARTITIONED BY (day){loc}")
 
 
-def _window_days(policies: list[RefreshPolicy | None], as_of: datetime) -> str | None:
-    """Earliest day any policy can still correct (None: no bound)."""
-    if any(p is None for p in policies):
-        return None
-    widest = max(width_micros(p.start_offset) for p in policies)
-    return (as_of - timedelta(microseconds=widest)).strftime("%Y-%m-%d")
+def pending_path(spark: SparkSession, raw_table: str) -> str:
+    """Folder of the pending days of a raw table's rollups, beside the table."""
+    return location(spark, raw_table).rstrip("/") + "__pending"
 
 
-def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, raw_table: str,
-                 rollups: dict[str, tuple[str, RefreshPolicy | None]],
-                 raw_width: str = "1 day", as_of=None, minutes: float = 5.0) -> list[str]:
-    """One micro-batch: idempotent raw append, then refresh of touched days.
+def rejects_path(spark: SparkSession, raw_table: str) -> str:
+    """Folder of the rows refused at ingest, beside the table."""
+    return location(spark, raw_table).rstrip("/") + "__rejected"
+
 
-    Returns the touched days that were refreshed.  ``rollups`` maps a rollup
-    table to ``(width, policy)``; ``as_of`` defaults to the current time.
+def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, raw_table: str,
+                 rollups: Rollups, raw_width: str = "1 day", as_of=None, minutes: float = 5.0,
+                 pending: str | None = None, rejects: str | None = None) -> list[str]:
+    """One micro-batch: idempotent raw append, then refresh of pending days.
+
+    Returns the days that were refreshed in some rollup.  ``rollups`` maps a
+    rollup table to ``(width, policy)`` and may be empty; ``as_of`` defaults
+    to the current time.  Rows that break a constraint are written to
+    ``rejects`` (by batch id), days whose buckets the refresh window does not
+    reach yet stay in ``pending``; both default to folders beside the table.
     """
     now = to_utc(as_of) if as_of is not None else datetime.now(timezone.utc)
-    good, _ = split_valid(batch)
+    good, bad = split_valid(batch)
+    rejects = rejects or rejects_path(spark, raw_table)
+    bad.write.mode("overwrite").parquet(f"{rejects}/ingest_batch={batch_id}")
     rows = (with_chunk(derive_measures(good, minutes), raw_width)
             .withColumn("ingest_batch", F.lit(batch_id).cast("bigint")))
     cols = [f.name for f in READINGS.fields] + ["chunk", "ingest_batch"]
     with write_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         cluster_by_chunk(rows).select(*cols).write.insertInto(raw_table, overwrite=True)
-    # Touched days, restricted to what some policy can still correct: the list
-    # is bounded by the widest correction window, not by the batch size.
+    if not rollups:
+        return []
+    pending = pending or pending_path(spark, raw_table)
     days = good.select(day_label("timestamp").alias("day")).distinct()
-    lowest = _window_days([p for _, p in rollups.values()], now)
-    if lowest is not None:
-        days = days.filter(F.col("day") >= F.lit(lowest))
-    touched = sorted(r[0] for r in days.collect())
-    # Read the raw rows of every day any tier rewrites once, for all tiers.
-    needed = sorted({d for width, policy in rollups.values()
-                     for d in refresh_days(policy, now, width, touched)[0]})
-    if not needed:
-        return touched
-    raw_rows = scan_days(spark, raw_table, needed, raw_width).persist()
-    try:
-        for table, (width, policy) in rollups.items():
-            refresh_rollup(spark, raw_table, table, width, raw_width, policy, now, touched,
-                           raw_rows=raw_rows)
-    finally:
-        raw_rows.unpersist()
-    return touched
+    state = P.add_touched(P.read_pending(spark, pending, before=batch_id), days, rollups)
+    return _refresh_pending(spark, raw_table, rollups, raw_width, now, pending, state, batch_id)
+
+
+def refresh_pending(spark: SparkSession, raw_table: str, rollups: Rollups, as_of=None,
+                    raw_width: str = "1 day", pending: str | None = None) -> list[str]:
+    """Refresh without a batch: publish what the windows have reached since.
+
+    For times without new rows; run it while the stream is idle.
+    """
+    now = to_utc(as_of) if as_of is not None else datetime.now(timezone.utc)
+    pending = pending or pending_path(spark, raw_table)
+    return _refresh_pending(spark, raw_table, rollups, raw_width, now, pending, P.read_pending(spark, pending), None)
+
+
+def _refresh_pending(spark: SparkSession, raw_table: str, rollups: Rollups, raw_width: str, now: datetime,
+                     pending: str, state: DataFrame, batch_id: int | None) -> list[str]:
+    wanted = {name: P.days_in_window(state, name, width, policy, now) for name, (width, policy) in rollups.items()}
+    needed = sorted({d for name, (width, policy) in rollups.items()
+                     for d in refresh_days(policy, now, width, wanted[name])[0]})
+    if needed:
+        # Read the raw rows of every day any tier rewrites once, for all tiers.
+        raw_rows = scan_days(spark, raw_table, needed, raw_width).persist()
+        try:
+            for name, (width, policy) in rollups.items():
+                refresh_rollup(spark, raw_table, name, width, raw_width, policy, now, wanted[name],
+                               raw_rows=raw_rows)
+        finally:
+            raw_rows.unpersist()
+    if batch_id is not None:  # without a batch the next one finds the same days, and refreshes them again
+        P.write_pending(spark, pending, batch_id, P.still_pending(state, rollups, now))
+    return needed
 
 
 def stream_refresh(spark: SparkSession, source: str, raw_table: str,
-                   rollups: dict[str, tuple[str, RefreshPolicy | None]], checkpoint: str,
+                   rollups: Rollups, checkpoint: str,
                    trigger: dict | None = None, raw_width: str = "1 day", as_of=None,
                    max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the refresh stream over Parquet files arriving in ``source``.

@@ -77,7 +77,7 @@ def test_three_layouts_same_answers(spark):
             _rounded(Q.monthly_per_key(df).collect()),
             _rounded(Q.table_stats(df).collect()),
         ))
-        assert Q.tables_equal(raw, df).first() == (0, 0)
+        assert Q.tables_equal(raw, df).first()[:2] == (0, 0)
     assert answers[0] == answers[1] == answers[2]
 
 

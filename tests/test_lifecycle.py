@@ -11,7 +11,7 @@ from meterlake.session import scratch_path, unique_table
 from meterlake.sources import catalog as C
 from meterlake.sources.layout import write_partitioned
 from meterlake.sources.schema import events_readings, readings
-from conftest import SF_MID
+from conftest import SF_MID, SF_SMALL
 
 
 def _layout(spark, width="1 day"):
@@ -100,3 +100,144 @@ def test_report_over_several_tables_joins_on_table_and_chunk(spark):
     report = {(r.table, r.compression_status): r.chunk_count for r in L.compression_report(
         C.union_catalogs(spark, tables), stats).collect()}
     assert report == {("day", "Compressed"): 30, ("week", "Uncompressed"): 5}
+
+
+# --- compaction under failures ------------------------------------------------------
+
+def _rows(spark, handle):
+    return sorted(map(str, readings(spark, handle).collect()))
+
+
+def _in_time_order(spark, handle):
+    rows = readings(spark, handle, with_chunk=True).select(F.input_file_name().alias("f"), "timestamp").collect()
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r.f, []).append(r.timestamp)
+    return all(t == sorted(t, reverse=True) for t in by_file.values())
+
+
+@pytest.mark.parametrize("fail_at", [1, 2, 3, 7])
+@pytest.mark.parametrize("as_table", [True, False])
+def test_broken_swap_is_finished_by_the_next_run(spark, monkeypatch, fail_at, as_table):
+    from meterlake.sources import files
+    path = scratch_path(spark, "t-swap")
+    handle = unique_table("t_swap") if as_table else path
+    write_partitioned(events_readings(spark, SF_SMALL), handle, "1 week", location=path if as_table else None)
+    before = _rows(spark, handle)
+    move, calls = files.move, []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == fail_at:
+            raise OSError("store is gone")
+        move(*args)
+    monkeypatch.setattr(files, "move", broken)
+    with pytest.raises(OSError):
+        L.compact_partitions(spark, handle, "1 week")
+    monkeypatch.setattr(files, "move", move)
+    assert L.compact_partitions(spark, handle, "1 week").count() == 0  # finishes the run, then finds all done
+    assert _rows(spark, handle) == before and _in_time_order(spark, handle)
+    assert L.compaction_stats(spark, {"t": handle}).count() == 5
+
+
+def test_run_without_marker_is_dropped(spark):
+    from meterlake.sources import files
+    table = _layout(spark, "1 week")
+    before = _rows(spark, table)
+    home = L._home(spark, table)
+    readings(spark, table).limit(5).write.parquet(f"{home}/run-unfinished/data/chunk=2024-01-04-00")
+    L.finish_compactions(spark, table)
+    assert files.children(spark, home) == [] and _rows(spark, table) == before
+
+
+def test_partition_that_changed_meanwhile_is_left(spark, monkeypatch):
+    table = _layout(spark, "1 week")
+    extra = events_readings(spark, SF_SMALL).filter("timestamp >= '2024-01-12' and timestamp < '2024-01-14'")
+    publish = L._publish
+
+    def late(*args):
+        write_partitioned(extra, table, "1 week", mode="append")
+        return publish(*args)
+    monkeypatch.setattr(L, "_publish", late)
+    n = readings(spark, table).count()
+    assert L.compact_partitions(spark, table, "1 week").count() == 4
+    monkeypatch.setattr(L, "_publish", publish)
+    assert readings(spark, table).count() == n + extra.count()
+    assert L.compact_partitions(spark, table, "1 week").count() == 1
+    assert readings(spark, table).count() == n + extra.count()
+
+
+def test_state_is_kept_and_nothing_is_rewritten_twice(spark):
+    tables = {"day": _layout(spark, "1 day"), "week": _layout(spark, "1 week")}
+    widths = {"day": "1 day", "week": "1 week"}
+    for name, t in tables.items():
+        L.compact_partitions(spark, t, widths[name], older_than="24 hours", as_of="2024-01-31")
+        assert L.compact_partitions(spark, t, widths[name], older_than="24 hours", as_of="2024-01-31").count() == 0
+    stats = L.compaction_stats(spark.newSession(), tables)
+    assert {(r.table, r.n) for r in stats.groupBy("table").agg(F.count("*").alias("n")).collect()} == {("day", 29), ("week", 4)}
+    again = L.compact_partitions(spark, tables["week"], "1 week", codec="snappy")
+    assert again.count() == 5
+    write_partitioned(events_readings(spark, SF_SMALL).filter("timestamp < '2024-01-02'"), tables["day"], "1 day", mode="append")
+    assert L.compaction_stats(spark, {"day": tables["day"]}).count() == 28
+
+
+def test_several_files_per_partition_stay_in_order(spark):
+    table = unique_table("t_files")
+    write_partitioned(events_readings(spark, SF_MID), table, "1 week", num_files=12, location=scratch_path(spark, "t-files"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        L.compact_partitions(spark, table, "1 week")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(C.list_files(spark, table).collect()) > 5
+    assert _in_time_order(spark, table)
+
+
+def test_retention_frees_the_space(spark):
+    external = _layout(spark)
+    managed = unique_table("t_managed")
+    write_partitioned(events_readings(spark, SF_SMALL), managed, "1 day")
+    for table in (external, managed):
+        assert len(L.drop_older_than(spark, table, "30 days", "2024-02-15")) == 15
+        assert len(C.list_partitions(spark, table)) == 15 == len(spark.sql(f"SHOW PARTITIONS {table}").collect())
+        assert L.drop_older_than(spark, table, "30 days", "2024-02-15") == []
+    from meterlake.operators.rollups import RefreshPolicy
+    with pytest.raises(ValueError):
+        L.drop_older_than(spark, external, "30 days", "2024-02-20", policies=[RefreshPolicy("60 days", "1 day")])
+    assert L.drop_older_than(spark, external, "7 days", "2024-01-25", policies=[RefreshPolicy("3 days", "1 hour")])
+
+
+def test_listing_takes_few_tasks(spark):
+    table = _layout(spark, "3 hours")
+    with_conf = C.session_conf(spark, {**C.LISTING_CONF})
+    with with_conf:
+        assert C.list_files(spark, table).rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert len(C.list_partitions(spark, table)) == 240
+
+
+def test_tables_equal_counts_what_differs(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "y")], "k int, s string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (2, None), (4, "z")], "k int, s string")
+    assert tuple(Q.tables_equal(a, b).first()) == (2, 2, 4, 4)
+    assert tuple(Q.tables_equal(a, a.repartition(3)).first()) == (0, 0, 4, 4)
+    assert tuple(Q.tables_equal(a.limit(0), a.limit(0)).first()) == (0, 0, 0, 0)
+    assert tuple(Q.tables_equal(a, a.limit(0)).first()) == (4, 0, 4, 0)
+
+
+def test_shared_folder_is_needed_off_local(monkeypatch):
+    from meterlake import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())

@@ -146,3 +146,83 @@ def test_many_micro_batches_in_one_run(spark, make_readings):
     cols = ["meter_id", "bucket", "reading_count", "sum_power"]
     want = R.rollup_state(spark.table(raw), "1 hour").select(*cols)
     assert sorted(spark.table(rollup).select(*cols).collect()) == sorted(want.collect())
+
+
+def _hours(start: str, n: int):
+    return _grid(start, n, 1.0)
+
+
+def test_on_time_data_is_published_in_every_tier(spark, make_readings):
+    """Five days of hourly rows in 12-hour batches, each as it ends."""
+    from datetime import timedelta
+    from meterlake.functions.time import to_utc
+    from meterlake.streaming.refresh import refresh_pending
+    raw, _ = _tables(spark)
+    tiers = {}
+    for name, (width, policy) in R.TIERS.items():
+        table = unique_table(f"s_live_{name}")
+        create_rollup_table(spark, table, scratch_path(spark, "s-live"))
+        tiers[table] = (width, policy)
+    for i in range(10):
+        start = to_utc("2024-01-01") + timedelta(hours=12 * i)
+        ingest_batch(spark, make_readings(_hours(start.strftime("%Y-%m-%d %H:%M:%S"), 12)), i, raw, tiers,
+                     as_of=start + timedelta(hours=12))
+    counts = [spark.table(t).count() for t in tiers]
+    assert counts == [119, 119, 4]        # the last hour and the last day are held back
+    refresh_pending(spark, raw, tiers, as_of="2024-01-07")
+    assert [spark.table(t).count() for t in tiers] == [120, 120, 5]
+    # the last batch again
+    ingest_batch(spark, make_readings(_hours("2024-01-05 12:00:00", 12)), 9, raw, tiers, as_of="2024-01-07")
+    assert spark.table(raw).count() == 120
+    assert [spark.table(t).agg(F.sum("reading_count")).first()[0] for t in tiers] == [120, 120, 120]
+
+
+def test_pending_state_does_not_pile_up(spark, make_readings):
+    from meterlake.sources import files
+    from meterlake.streaming import pending as P
+    from meterlake.streaming.refresh import pending_path
+    raw, rollup = _tables(spark)
+    tiers = {rollup: R.TIERS["daily"]}
+    for i in range(5):
+        ingest_batch(spark, make_readings(_hours(f"2024-01-0{i + 1} 00:00:00", 24)), i, raw, tiers, as_of=f"2024-01-0{i + 2}")
+    path = pending_path(spark, raw)
+    assert len(files.children(spark, path)) == 3
+    assert [r.day for r in P.read_pending(spark, path).collect()] == ["2024-01-05"]
+    far = make_readings([("2999-01-01 00:00:00", "1000000001", 1.0)])
+    assert ingest_batch(spark, far, 5, raw, tiers, as_of="2024-01-08") == ["2024-01-05"]
+    assert [r.day for r in P.read_pending(spark, path).collect()] == ["2999-01-01"]
+
+
+def test_rejected_rows_are_kept_and_rollups_are_optional(spark, make_readings):
+    from meterlake.streaming.refresh import rejects_path
+    raw, _ = _tables(spark)
+    bad = make_readings([("2024-01-01 00:00:00", "1000000001", 1.0), (None, "1000000001", 2.0),
+                         ("2024-01-01 00:00:00", "10000000001", 3.0)])
+    for _ in range(2):
+        assert ingest_batch(spark, bad, 0, raw, {}) == []
+    assert spark.table(raw).count() == 1
+    assert sorted(r.power for r in spark.read.parquet(rejects_path(spark, raw)).collect()) == [2.0, 3.0]
+
+
+def test_compaction_leaves_uncommitted_and_later_batches(spark, make_readings, monkeypatch):
+    from meterlake.operators import lifecycle as L
+    raw, rollup = _tables(spark)
+    tiers = {rollup: ("1 day", None)}
+    for i in range(3):
+        ingest_batch(spark, make_readings(_grid("2024-01-01 00:00:00", 8, float(i))), i, raw, tiers)
+    publish = L._publish
+
+    def late(*args):
+        ingest_batch(spark, make_readings(_grid("2024-01-01 08:00:00", 4, 9.0)), 3, raw, tiers)
+        return publish(*args)
+    monkeypatch.setattr(L, "_publish", late)
+    assert L.compact_partitions(spark, raw, "1 day").count() == 1
+    monkeypatch.setattr(L, "_publish", publish)
+    batches = lambda: {r[0] for r in spark.sql(f"select distinct ingest_batch from {raw}").collect()}
+    assert batches() == {-1, 2, 3} and spark.table(raw).count() == 28
+    # the newest batch is replayed after compaction: nothing is counted twice
+    ingest_batch(spark, make_readings(_grid("2024-01-01 08:00:00", 4, 9.0)), 3, raw, tiers)
+    assert spark.table(raw).count() == 28
+    assert spark.table(rollup).agg(F.sum("reading_count")).first()[0] == 28
+    assert L.compact_partitions(spark, raw, "1 day", committed_below=4).count() == 1
+    assert batches() == {-1} and spark.table(raw).count() == 28
