@@ -16,6 +16,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from meterlake.llm.shared import kept
+
 END_ID = 2
 
 
@@ -101,14 +103,9 @@ class Encoder:
             self.young, self.old = {}, self.young
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """This worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return kept("encode", path, Encoder)
 
 
 def end_mark(end_id: int | None) -> bytes:

@@ -59,7 +59,8 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", to
     full.  A NULL text counts as empty.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    return pick(docs, doc_id=doc_id, text=text).transform(by_batch, _cut_rows(tokenizer or tokenizer_path(), end_id, capacity), f"doc_id {kind}, {PIECE_SCHEMA}")
+    return pick(docs, doc_id=doc_id, text=text).transform(
+        by_batch, _cut_rows(tokenizer or tokenizer_path(), end_id, capacity), f"doc_id {kind}, {PIECE_SCHEMA}", owner="encode")
 
 
 @dataclass

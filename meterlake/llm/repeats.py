@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from meterlake.llm.shared import by_batch, fresh, id_filter, maybe_in, pick, release, saved, ship, table
+from meterlake.llm.shared import by_batch, fresh, id_filter, maybe_in, pick, release, saved, table
 from meterlake.llm.shingles import constants, window_hashes, word_hashes
 
 WINDOW, BLOCK = 50, 25
@@ -321,22 +321,19 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return found.groupBy("doc_id", "text_hash").agg(F.collect_list("pos").alias("pos")).transform(by_batch, spans, "doc_id bigint, text_hash bigint, spans array<struct<start:bigint,end:bigint>>")
 
 
-def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with a column of spans (NULL: nothing to remove), and its name.
+def split_by_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, str]:
+    """Rows of ``docs`` that may have words to remove, with a column of spans
+    (NULL: none after all), the other rows, and the column's name.
 
-    Only rows whose id may have spans are joined with them.
+    Only the first are joined with the spans.
     """
     h, name, a, b = fresh(docs, "text_hash", "spans", "span_id", "span_hash")
     spans = saved(repeat_spans(docs, doc_id, text), "spans").toDF(a, b, name)
     release(docs.sparkSession)
-    d = docs.withColumn(doc_id, F.col(f"`{doc_id}`").cast("bigint"))
-    some, none = maybe_in(d, doc_id, id_filter(spans, a))
+    some, none = maybe_in(docs, doc_id, id_filter(spans, a), F.col(f"`{doc_id}`").cast("bigint"))
     some = some.withColumn(h, F.xxhash64(F.col(f"`{text}`")))
     some = some.join(spans, (F.col(f"`{doc_id}`") == F.col(a)) & (F.col(h) == F.col(b)), "left")
-    none = none.withColumn(name, F.lit(None).cast(spans.schema[name].dataType))
-    names = [*(f"`{c}`" for c in docs.columns), name]
-    got = some.select(*names).unionByName(none.select(*names))
-    return got.withColumn(doc_id, F.col(f"`{doc_id}`").cast(docs.schema[doc_id].dataType)), name
+    return some.select(*(f"`{c}`" for c in docs.columns), name), none, name
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -359,24 +356,26 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     ``n_chars``, where there is such a column, follows the text.
     """
-    d, name = with_spans(docs, doc_id, text)
-    ship(docs.sparkSession)
+    some, none, name = split_by_spans(docs, doc_id, text)
+    names = docs.columns
 
-    @F.pandas_udf("string")
-    def cut(t, spans):
-        import pandas as pd
-        return pd.Series([x if s is None else cut_words(x, [(r["start"], r["end"]) for r in s])
-                          for x, s in zip(t, spans)], dtype=object)
-    d = d.withColumn(text, cut(F.col(f"`{text}`"), F.col(name)))
-    if n_chars in docs.columns:
-        d = d.withColumn(n_chars, F.length(F.col(f"`{text}`")).cast(docs.schema[n_chars].dataType))
-    return d.select(*(f"`{c}`" for c in docs.columns))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t if s is None else cut_words(t, [(x["start"], x["end"]) for x in s])
+                     for t, s in zip(batch.column(text).to_pylist(), batch.column(name).to_pylist())]
+            columns = {c: batch.column(c) for c in names}
+            columns[text] = pa.array(texts, pa.string())
+            if n_chars in columns:
+                sizes = pa.array([None if t is None else len(t) for t in texts], pa.int64())
+                columns[n_chars] = sizes.cast(columns[n_chars].type)
+            yield pa.record_batch(list(columns.values()), names=list(columns))
+    return by_batch(some, cut, docs.schema).unionByName(none)
 
 
 def removal_digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    d, name = with_spans(pick(docs, doc_id=doc_id, text=text))
+    some, none, name = split_by_spans(pick(docs, doc_id=doc_id, text=text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -390,7 +389,10 @@ def removal_digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 digest.append(hashlib.sha256(b" ".join(words)).hexdigest())
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                                    pa.array(digest, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
-    return d.select("doc_id", "text", F.col(name).alias("spans")).transform(by_batch, run, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
+    spans = F.col(name).alias("spans")
+    none = none.select("doc_id", "text", F.lit(None).cast(some.schema[name].dataType).alias("spans"))
+    return by_batch(some.select("doc_id", "text", spans).unionByName(none), run,
+                    f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

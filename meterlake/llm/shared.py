@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import gc
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import meterlake
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,10 +47,42 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def by_batch(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the workers' path."""
+# Bytes of a batch that a Python worker turns into objects at a time.
+PART_BYTES = 4 << 20
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(owner: str, key: str, make: Callable) -> object:
+    """An operator's tables in a worker, made once; those of other operators go."""
+    forget(owner)
+    if (owner, key) not in _KEPT:
+        _KEPT[owner, key] = make(key)
+    return _KEPT[owner, key]
+
+
+def by_batch(df: DataFrame, run: Callable, schema, owner: str | None = None) -> DataFrame:
+    """``mapInArrow`` in small parts, with this package on the workers' path.
+
+    ``owner``: whose tables (``kept``) the worker may go on holding.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = max(1, batch.num_rows * PART_BYTES // max(batch.nbytes, PART_BYTES))
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(owner)
+        yield from run(parts(batches))
+    return df.mapInArrow(small, schema)
+
+
+def forget(owner: str | None) -> None:
+    """Drop what this worker keeps for operators other than ``owner``."""
+    for other in [k for k in _KEPT if k[0] != owner]:
+        del _KEPT[other]
 
 
 def release(spark: SparkSession) -> None:
@@ -81,15 +114,17 @@ def _filter_place(key: Column) -> tuple[Column, Column]:
     return F.pmod(h, F.lit(FILTER_WORDS)), F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int")
 
 
-def maybe_in(df: DataFrame, column: str, bits: DataFrame) -> tuple[DataFrame, DataFrame]:
+def maybe_in(df: DataFrame, column: str, bits: DataFrame, key: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows of ``df`` that may have an id of the set, and those that have none.
 
+    ``key``: the column as the set has it, where the types differ.
+
     Wrongly taken rows are few while the set is smaller than the table's 64
     million bits, and more beyond; none is missed.  It spares large rows a
     shuffle before an exact join; the table's fixed size allows its broadcast.
     """
     w, b, hit = fresh(df, "word", "bits", "hit")
-    word, bit = _filter_place(F.col(f"`{column}`"))
+    word, bit = _filter_place(F.col(f"`{column}`") if key is None else key)
     d = df.withColumn(w, word).join(F.broadcast(bits.select(F.col("word").alias(w), F.col("bits").alias(b))), w, "left")
     d = d.withColumn(hit, F.coalesce(F.getbit(b, bit), F.lit(0)) == 1)
     names = [f"`{c}`" for c in df.columns]

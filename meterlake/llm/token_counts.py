@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm.shared import by_batch, pick, table
+from meterlake.llm.shared import by_batch, kept, pick, table
 
 BLANK_MARK = "▁"
 # The tokenizer's penalty, below the worst piece, for a character no piece covers.
@@ -102,14 +102,9 @@ class Counter:
         return sum(c for c, _ in got), sum(s for _, s in got)
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def counter(path: str) -> Counter:
     """This worker's counter for a vocabulary file."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(read_vocabulary(path))
-    return _COUNTERS[path]
+    return kept("token_counts", path, lambda p: Counter(read_vocabulary(p)))
 
 
 def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -131,7 +126,8 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 [batch.column("doc_id"), pa.array([len(t or "") for t in texts], pa.int64()),
                  pa.array([n for n, _ in got], pa.int64()), pa.array(np.array([s for _, s in got], float))],
                 names=["doc_id", "n_chars", "n_tokens", "score"])
-    return pick(docs, doc_id=doc_id, text=text).transform(by_batch, run, f"doc_id {kind}, n_chars bigint, n_tokens bigint, score double")
+    return pick(docs, doc_id=doc_id, text=text).transform(
+        by_batch, run, f"doc_id {kind}, n_chars bigint, n_tokens bigint, score double", owner="token_counts")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

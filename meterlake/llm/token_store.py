@@ -52,7 +52,8 @@ def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     path = tokenizer or tokenizer_path()
     kind = docs.schema[doc_id].dataType.simpleString()
-    return pick(docs, doc_id=doc_id, text=text).transform(by_batch, _encode_rows(path, end_id), f"doc_id {kind}, ids array<int>")
+    return pick(docs, doc_id=doc_id, text=text).transform(
+        by_batch, _encode_rows(path, end_id), f"doc_id {kind}, ids array<int>", owner="encode")
 
 
 def write_token_store(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
@@ -93,7 +94,8 @@ def store_digest(spark: SparkSession, path: str) -> DataFrame:
     ``start`` counts the ids of all rows before this one.  It is summed within
     each writing task's rows, and over the tasks' totals (one row each).
     """
-    light = saved(read_token_store(spark, path).transform(by_batch, _digest_rows, "doc_id bigint, row_id bigint, n_tokens bigint, ids_crc32 bigint"), "token-digest")
+    light = saved(read_token_store(spark, path).transform(
+        by_batch, _digest_rows, "doc_id bigint, row_id bigint, n_tokens bigint, ids_crc32 bigint", owner="encode"), "token-digest")
     light = light.withColumn("task", F.shiftright("row_id", 33))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     totals = (light.groupBy("task").agg(F.sum("n_tokens").alias("total"))

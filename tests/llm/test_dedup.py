@@ -255,7 +255,8 @@ def test_planted_passages(spark, seed, monkeypatch):
             p = rng.choice(passages)
             cut = rng.randint(0, 30)
             words += p[cut:] + make(rng.randint(0, 40))
-        rows.append((rng.choice([i, i, rng.randrange(60)]), rng.choice([" ", "\n"]).join(words), 0))
+        text = rng.choice([" ", "\n"]).join(words)
+        rows.append((rng.choice([i, i, rng.randrange(60)]), text, len(text)))
     monkeypatch.setattr(repeats, "LEAST_SHARES", rng.choice([1, 7, 100]))
     check_repeats(spark.createDataFrame(rows, "doc_id long, text string, n_chars long"))
 
