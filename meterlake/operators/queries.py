@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.functions.format import sorted_report
 from meterlake.functions.time import period_type, sql_name, sql_string, time_bucket, to_utc
@@ -282,9 +283,24 @@ def with_region_label(df: DataFrame, labels: DataFrame, region_col: str = "regio
 EQUAL_BUCKETS = 1024
 
 
-def _bucket_digests(df: DataFrame, cols: list[str], side: str) -> DataFrame:
+def _row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a row, in which NULL is a value of its own.
+
+    ``xxhash64`` skips NULLs, so each column goes in with its null flag, and a
+    nested one with its JSON text, which shows the NULLs inside.
+    """
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        parts += [F.isnull(c), c]
+        if isinstance(f.dataType, (T.StructType, T.ArrayType)):
+            parts.append(F.to_json(c, {"ignoreNullFields": "false"}))
+    return F.xxhash64(*parts)
+
+
+def _bucket_digests(df: DataFrame, side: str) -> DataFrame:
     """Row count and sum of row hashes of every hash bucket."""
-    h = F.xxhash64(*cols)
+    h = _row_hash(df)
     return (df.select(F.pmod(h, F.lit(EQUAL_BUCKETS)).alias("bucket"), h.cast("decimal(38,0)").alias("h"))
             .groupBy("bucket").agg(F.count(F.lit(1)).alias(f"n_{side}"), F.sum("h").alias(f"h_{side}")))
 
@@ -294,19 +310,20 @@ def tables_equal(a: DataFrame, b: DataFrame) -> DataFrame:
 
     Both sides are first summed into ``EQUAL_BUCKETS`` hash buckets, which
     shuffles no row.  Only rows of buckets that differ are then grouped over
-    all columns, with duplicates collapsed before that shuffle.
+    all columns, with duplicates collapsed before that shuffle.  NULLs count
+    as values in the hash, so buckets that agree differ by 64-bit chance only.
     """
     spark, cols = a.sparkSession, a.columns
     b = b.select(*cols)
-    digests = (_bucket_digests(a, cols, "a").join(_bucket_digests(b, cols, "b"), "bucket", "full")
+    digests = (_bucket_digests(a, "a").join(_bucket_digests(b, "b"), "bucket", "full")
                .na.fill(0, ["n_a", "n_b"]).collect())  # at most EQUAL_BUCKETS rows
     n_a, n_b = sum(r.n_a for r in digests), sum(r.n_b for r in digests)
     differ = [r.bucket for r in digests if (r.n_a, r.h_a) != (r.n_b, r.h_b)]
     only_left = only_right = 0
     if differ:
-        here = F.pmod(F.xxhash64(*cols), F.lit(EQUAL_BUCKETS)).isin(differ)
-        tagged = (a.filter(here).select(*cols, F.lit(1).alias("_in_a"), F.lit(0).alias("_in_b"))
-                  .unionByName(b.filter(here).select(*cols, F.lit(0).alias("_in_a"), F.lit(1).alias("_in_b"))))
+        here = lambda df: F.pmod(_row_hash(df), F.lit(EQUAL_BUCKETS)).isin(differ)
+        tagged = (a.filter(here(a)).select(*cols, F.lit(1).alias("_in_a"), F.lit(0).alias("_in_b"))
+                  .unionByName(b.filter(here(b)).select(*cols, F.lit(0).alias("_in_a"), F.lit(1).alias("_in_b"))))
         per_row = tagged.groupBy(*cols).agg(F.sum("_in_a").alias("na"), F.sum("_in_b").alias("nb"))
         only = lambda x, y: F.coalesce(F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0))), F.lit(0))
         only_left, only_right = per_row.agg(only("na", "nb"), only("nb", "na")).first()

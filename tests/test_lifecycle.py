@@ -224,6 +224,17 @@ def test_tables_equal_counts_what_differs(spark):
     assert tuple(Q.tables_equal(a, a.limit(0)).first()) == (4, 0, 4, 0)
 
 
+@pytest.mark.parametrize("left, right, columns", [
+    (("m", None, 230.0), ("m", 230.0, None), "meter_id string, power double, voltage double"),
+    ((1, (None, 2)), (1, (2, None)), "k int, s struct<a:int,b:int>"),
+    ((1, [None, 2]), (1, [2, None]), "k int, s array<int>"),
+])
+def test_tables_equal_sees_which_column_is_null(spark, left, right, columns):
+    a, b = (spark.createDataFrame([row, row], columns) for row in (left, right))
+    assert tuple(Q.tables_equal(a, b).first()) == (2, 2, 2, 2)
+    assert tuple(Q.tables_equal(a, a.repartition(3)).first()) == (0, 0, 2, 2)
+
+
 def test_shared_folder_is_needed_off_local(monkeypatch):
     from meterlake import session
 
