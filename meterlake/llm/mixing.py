@@ -8,7 +8,7 @@ part of them once more.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.shared import fresh, pick, saved, table, words
@@ -65,43 +65,41 @@ def _cut_points(rows: DataFrame, wanted: dict) -> dict:
 
     Every pass counts, per source, the sizes in the 4096 cells below the
     prefix found so far, and goes down into the cell where the sum crosses
-    the wanted number.  Only counts reach the driver, for one cell of each
-    source; 60 bits tell all but equal rows apart.
+    the wanted number.  Cells are summed up in Spark, at most 4096 rows of
+    each source; only the crossing cell, one row per source, reaches the
+    driver.  60 bits tell all but equal rows apart.
     """
     spark = rows.sparkSession
-    state = {s: (0, float(w), None) for s, w in wanted.items() if w > 0}  # prefix, words missing
+    # Prefix, words missing, words in the cell of that prefix; or the cut.
+    state = {s: (0, float(w), 0, None) for s, w in wanted.items() if w > 0}
+    upto = Window.partitionBy("none", "name").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for level in range(1, 60 // STEP_BITS + 1):
         bits = level * STEP_BITS
-        live = [(*_as_key(s), prefix) for s, (prefix, _, done) in state.items() if done is None]
+        live = [(*_as_key(s), prefix, missing) for s, (prefix, missing, _, done) in state.items() if done is None]
         if not live:
             break
-        plan = _plan_frame(spark, live, "none boolean, name string, prefix bigint")
+        plan = _plan_frame(spark, live, "none boolean, name string, prefix bigint, missing double")
         cell = F.shiftright("h", 60 - bits)
-        counts: dict = {}
-        for r in (rows.join(plan, (F.col("key.none") == plan.none) & (F.col("key.name") == plan.name))
-                  .filter(F.shiftright(cell, STEP_BITS) == F.col("prefix"))
-                  .groupBy("none", "name", cell.alias("cell")).agg(F.sum("size").alias("n"))
-                  .filter("n > 0").collect()):
-            counts.setdefault(None if r["none"] else r["name"], []).append((r["cell"], r["n"]))
-        for s, (_, missing, done) in list(state.items()):
+        cells = (rows.join(plan, (F.col("key.none") == plan.none) & (F.col("key.name") == plan.name))
+                 .filter(F.shiftright(cell, STEP_BITS) == F.col("prefix"))
+                 .groupBy("none", "name", "missing", cell.alias("cell")).agg(F.sum("size").alias("n"))
+                 .filter("n > 0"))
+        crossing = {None if r["none"] else r["name"]: r for r in
+                    cells.withColumn("upto", F.sum("n").over(upto))
+                    .filter("upto > missing and upto - n <= missing").collect()}
+        for s, (prefix, missing, _, done) in list(state.items()):
             if done is not None:
                 continue
-            cut = None
-            for c, n in sorted(counts.get(s, [])):
-                if n > missing:
-                    cut = c
-                    break
-                missing -= n
-            if cut is None:  # everything below the prefix is wanted
-                state[s] = (0, 0.0, ((state[s][0] + 1) << (60 - bits + STEP_BITS)) - 1)
+            r = crossing.get(s)
+            if r is None:  # everything below the prefix is wanted
+                state[s] = (0, 0.0, 0, ((prefix + 1) << (60 - bits + STEP_BITS)) - 1)
             else:
-                state[s] = (cut, missing, None)
+                state[s] = (r["cell"], missing - (r["upto"] - r["n"]), r["n"], None)
     out = {}
-    for s, (prefix, missing, done) in state.items():
+    for s, (prefix, missing, size, done) in state.items():
         if done is not None:
             out[s] = done
         else:  # the row (or equal rows) at the cut: in if that comes nearer
-            size = dict(counts[s])[prefix]
             out[s] = prefix if missing * 2 >= size else prefix - 1
     return out
 

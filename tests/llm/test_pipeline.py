@@ -86,6 +86,22 @@ def test_mix_rows(odd):
     assert copies == Counter({k: n * by_row[k] for k, n in rows.items() if by_row[k]})
 
 
+def test_plan_takes_one_row_per_source(spark, monkeypatch):
+    """The cuts are found in Spark: what reaches the driver does not grow with the documents."""
+    docs = spark.range(6000).selectExpr("id as doc_id", "concat('s', id % 3) as source",
+                                        "repeat('w ', cast(1 + id % 7 as int)) as text")
+    want = Counter()
+    for r in docs.collect():
+        want[r.source] += len(r.text.split())
+    target = plain_targets(want, mixing.cyclic_weights(list(want)))
+    sent, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: (lambda got: sent.append(len(got)) or got)(collect(df)))
+    mix = mixing.mix_sources(docs, mixing.cyclic_weights, F.size(words(F.col("text"))))
+    assert sent and max(sent) <= 3
+    for r in mix.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("taken")).toLocalIterator():
+        assert abs(r.taken - target[r.source]) <= 3.5 + 1e-6
+
+
 def test_stage_list():
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality rules", "simhash near-dedup", "substring dedup", "source mixing", "best-fit packing"]
