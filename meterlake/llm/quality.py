@@ -9,6 +9,7 @@ ordered conditional expression.
 from __future__ import annotations
 
 import math
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,8 @@ from meterlake.llm.shared import WORD, fresh, pick, saved, table, words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
+# Rules after which the rows still to be covered are written anew.
+RULES_A_WRITE = 8
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -120,7 +123,7 @@ def _all(rule: list[Condition]) -> Column:
 
 
 def learn_rules(train: DataFrame, bad: str = "bad", key: str = "doc_id", features: tuple[str, ...] = FEATURES,
-                max_rules: int = 8, max_conditions: int = 3, n_thresholds: int = 24,
+                max_rules: int | None = None, max_conditions: int = 3, n_thresholds: int = 24,
                 min_precision: float = 0.9, min_covered: int = 10, max_rows: int = 200_000) -> DecisionList:
     """Learn a decision list for the rows with ``bad`` = 1.
 
@@ -128,10 +131,14 @@ def learn_rules(train: DataFrame, bad: str = "bad", key: str = "doc_id", feature
     information gain on two thirds of the rows, is cut back to the prefix
     with the best (p - n) / (p + n) on the others, and is accepted while it
     covers ``min_covered`` bad rows there at ``min_precision``; its rows are
-    then taken away.  ``max_rows`` bounds the labelled sample, drawn by hash
-    of the key; thresholds lie halfway between quantiles of the two classes.  Ties go to the
-    earlier feature and lower threshold.  Rows with NULL label are ignored;
-    no rows or one class only: an empty list.
+    then taken away.  A rule that fails is grown anew from another feature or
+    side; the list ends when none is left that passes (``max_rules``: or
+    earlier), so a kind with under ``min_covered`` bad rows in the third gets
+    no rule.  ``max_rows`` bounds the labelled sample, drawn by hash of the
+    key; thresholds lie halfway between quantiles of the two classes among
+    the rows that no rule covers yet.  Ties go to the earlier feature and
+    lower threshold.  Rows with NULL label are ignored; no rows or one class
+    only: an empty list.
     """
     train = train.filter(F.col(bad).isNotNull())
     share = max_rows / max(1, train.count())
@@ -140,30 +147,57 @@ def learn_rules(train: DataFrame, bad: str = "bad", key: str = "doc_id", feature
         train = train.filter(unit(1) < share)
     train = saved(train.select(*features, (F.col(bad) == 1).cast("int").alias("y"),
                                (unit(2) < 2 / 3).alias("grow")), "labelled")
-    steps = [(i + 0.5) / n_thresholds for i in range(n_thresholds)]
-    quantiles = train.agg(*(F.percentile_approx(F.when(F.col("y") == y, F.col(f)), steps, 10_000).alias(f"{f}_{y}")
-                            for f in features for y in (0, 1))).first()
-    seen = {f: sorted({float(x) for y in (0, 1) for x in quantiles[f"{f}_{y}"] or ()}) for f in features}
-    cuts = {f: [(a + b) / 2 for a, b in zip(x, x[1:])] for f, x in seen.items()}
     learned, rest = DecisionList(), train
-    while len(learned.rules) < max_rules:
+    while max_rules is None or len(learned.rules) < max_rules:
+        rule = _next_rule(rest, features, max_conditions, n_thresholds, min_precision, min_covered)
+        if not rule:
+            break
+        learned.rules.append(rule)
+        rest = rest.filter(~_all(rule))
+        if len(learned.rules) % RULES_A_WRITE == 0:  # keeps the plan short
+            rest = saved(rest, "labelled-rest")
+    return learned
+
+
+def _next_rule(rest: DataFrame, features: tuple[str, ...], max_conditions: int, n_thresholds: int,
+               min_precision: float, min_covered: int) -> list[Condition]:
+    """The first rule that passes, starts tried by falling gain; none: empty."""
+    grow, prune = rest.filter("grow"), rest.filter(~F.col("grow"))
+    if prune.agg(F.coalesce(F.sum("y"), F.lit(0))).first()[0] < min_covered:
+        return []
+    cuts = _thresholds(rest, features, n_thresholds)
+    tried: set[tuple[str, bool]] = set()
+    while True:
         rule: list[Condition] = []
         while len(rule) < max_conditions:
-            best = _best_condition(rest.filter(F.col("grow") & _all(rule)), features, cuts)
+            best = _best_condition(grow.filter(_all(rule)), features, cuts, () if rule else tried)
             if best is None:
                 break
             rule.append(best)
-        rule = _pruned(rest.filter(~F.col("grow")), rule, min_precision, min_covered)
         if not rule:
-            break
-        learned.rules.append(rule)
-        rest = rest.filter(~_all(rule))
-    return learned
+            return []
+        tried.add((rule[0].feature, rule[0].above))
+        rule = _pruned(prune, rule, min_precision, min_covered)
+        if rule:
+            return rule
+
+
+def _thresholds(rows: DataFrame, features: tuple[str, ...], n_thresholds: int) -> dict[str, list[float]]:
+    """Per feature, the values halfway between quantiles of the two classes."""
+    steps = [(i + 0.5) / n_thresholds for i in range(n_thresholds)]
+    quantiles = rows.agg(*(F.percentile_approx(F.when(F.col("y") == y, F.col(f)), steps, 10_000).alias(f"{f}_{y}")
+                           for f in features for y in (0, 1))).first()
+    seen = {f: sorted({float(x) for y in (0, 1) for x in quantiles[f"{f}_{y}"] or ()}) for f in features}
+    return {f: [(a + b) / 2 for a, b in zip(x, x[1:])] for f, x in seen.items()}
 
 
-def _best_condition(rows: DataFrame, features: tuple[str, ...], cuts: dict[str, list[float]]) -> Condition | None:
+def _best_condition(rows: DataFrame, features: tuple[str, ...], cuts: dict[str, list[float]],
+                    but: Collection[tuple[str, bool]] = ()) -> Condition | None:
     """The condition of largest gain for the bad class, from one count of the
-    rows by feature and the cell between two thresholds that they fall in."""
+    rows by feature and the cell between two thresholds that they fall in.
+
+    ``but``: features and sides (above or not) that are left out.
+    """
     if not any(cuts.values()):
         return None
 
@@ -185,7 +219,7 @@ def _best_condition(rows: DataFrame, features: tuple[str, ...], cuts: dict[str,
         for k, c in enumerate(cuts[f]):
             low_p, low_n = low_p + got[k][0], low_n + got[k][1]
             for above, p, n in ((False, low_p, low_n), (True, pos - low_p, neg - low_n)):
-                if p and p + n < pos + neg:
+                if p and p + n < pos + neg and (f, above) not in but:
                     gain = p * (math.log2(p / (p + n)) - math.log2(pos / (pos + neg)))
                     if gain > best * (1 + 1e-12):
                         best, found = gain, Condition(f, above, c)

@@ -159,6 +159,43 @@ def test_learned_list_on_held_out_rows(spark):
     assert str(quality.learn_rules(train).rules) == str(rules.rules)
 
 
+def test_a_rare_kind_gets_its_own_thresholds(spark):
+    """Under 1/48 of the bad rows: no quantile of all bad rows tells it from the good ones."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(6000):
+        x = {f: rng.uniform(0.5, 1) for f in quality.FEATURES}
+        bad, rare = i % 2, i % 100 == 1
+        x["symbol_ratio"] = rng.uniform(0.1, 0.2) if bad and not rare else rng.uniform(0, 0.03)
+        if rare:
+            x["distinct_word_ratio"] = rng.uniform(0.1, 0.3)
+        rows.append((i, *(x[f] for f in quality.FEATURES), bad))
+    train = spark.createDataFrame(rows, FEATURE_SCHEMA)
+    rules = quality.learn_rules(train)
+    got = train.withColumn("rule", rules.fired())
+    assert got.filter("bad = 1 and rule is null").count() == 0
+    assert got.filter("bad = 0 and rule is not null").count() == 0
+
+
+def test_every_kind_gets_a_rule(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(6000):
+        x = {f: rng.uniform(0.2, 0.8) for f in quality.FEATURES}
+        kind = i % 20  # ten kinds of bad rows, 0 to 9
+        if kind < 9:
+            x[quality.FEATURES[kind]] = rng.uniform(0.9, 1)
+        elif kind == 9:
+            x[quality.FEATURES[0]] = rng.uniform(0, 0.1)
+        rows.append((i, *(x[f] for f in quality.FEATURES), int(kind < 10)))
+    train = spark.createDataFrame(rows, FEATURE_SCHEMA)
+    rules = quality.learn_rules(train)
+    assert len(rules.rules) >= 10
+    got = train.withColumn("rule", rules.fired())
+    assert got.filter("bad = 1 and rule is null").count() <= 30
+    assert got.filter("bad = 0 and rule is not null").count() <= 30
+
+
 def test_learning_steps_equal_plain_choice(spark):
     """The first condition is the one of largest gain over all thresholds."""
     import math
