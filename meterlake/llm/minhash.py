@@ -187,7 +187,9 @@ def near_duplicate_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     A class is named by its least id.  Signature bands (``BANDS`` of
     ``N_HASHES // BANDS`` values) are joined on their hash in Spark; the
     shingle sets of the candidates are then compared exactly.  Texts without
-    words are in no pair.
+    words and rows with a NULL id are in no pair.  All pairs that share a band
+    are candidates, k * (k - 1) / 2 for k different near copies, each joined
+    with two whole shingle sets.
     """
     d = pick(docs, doc_id=doc_id, text=text).filter(F.col("doc_id").isNotNull())
     d = d.groupBy(F.coalesce("text", F.lit("")).alias("text")).agg(F.min("doc_id").alias("doc_id"))
