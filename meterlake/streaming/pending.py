@@ -1,9 +1,10 @@
 """Days whose rollup rows are still to be published.
 
 A day touched by new rows stays pending for a rollup until a refresh whose
-window reaches past the day's end, so a bucket held back by the publish gap
-comes out later, however long no row arrives for it.  The state is one small
-table (rollup, day) per version; a version is written for every batch, from
+window holds the whole day, so a bucket held back by the publish gap comes out
+later.  A day that falls below the window's start before such a refresh is
+missed: it stays in the table, and a refresh without a policy
+(``refresh_pending``) publishes it.  The state is one small table (rollup, day) per version; a version is written for every batch, from
 the newest one before it, so a replayed batch leaves the same state.
 """
 
@@ -58,14 +59,15 @@ def _ceiling(hi) -> str:
 
 
 def still_pending(pending: DataFrame, rollups: Rollups, as_of) -> DataFrame:
-    """What a refresh of all rollups at ``as_of`` leaves: days not wholly below
-    the window's end.  Days before its start can no longer be corrected and go."""
+    """What a refresh of all rollups at ``as_of`` leaves: days not wholly
+    inside the window, be it that its end has not reached them or that its
+    start has passed them (missed)."""
     done = F.lit(False)
     for name, (width, policy) in rollups.items():
         last = F.lit(True)
         if policy is not None:
-            _, hi = refresh_window(policy, to_utc(as_of), width)
-            last = F.col("day") < floor_to(hi, "1 day").strftime("%Y-%m-%d")
+            lo, hi = refresh_window(policy, to_utc(as_of), width)
+            last = (F.col("day") >= _ceiling(lo)) & (F.col("day") < floor_to(hi, "1 day").strftime("%Y-%m-%d"))
         done = done | ((F.col("rollup") == name) & last)
     return pending.filter(~done)
 
@@ -75,3 +77,17 @@ def write_pending(spark: SparkSession, path: str, batch_id: int, pending: DataFr
     pending.coalesce(1).write.mode("overwrite").parquet(f"{path}/{_version(batch_id)}")
     for old in [v for v in files.children(spark, path) if v <= _version(batch_id)][:-keep]:
         files.delete(spark, f"{path}/{old}")
+
+
+def drop_published(spark: SparkSession, path: str, rollups: list[str]) -> None:
+    """Leave out the days of rollups that a refresh without a policy has published.
+
+    Stored beside the newest batch's version, which stays as it is: it sorts
+    after that version and before the next batch's.
+    """
+    found = [v for v in files.children(spark, path) if v.startswith("batch-")
+             and files.exists(spark, f"{path}/{v}/_SUCCESS")]
+    if found:
+        rest = read_pending(spark, path).filter(~F.col("rollup").isin(rollups)).collect()
+        target = f"{path}/{found[-1].removesuffix('-published')}-published"
+        spark.createDataFrame(rest, SCHEMA).coalesce(1).write.mode("overwrite").parquet(target)

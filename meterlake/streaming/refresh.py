@@ -91,11 +91,17 @@ def refresh_pending(spark: SparkSession, raw_table: str, rollups: Rollups, as_of
                     raw_width: str = "1 day", pending: str | None = None) -> list[str]:
     """Refresh without a batch: publish what the windows have reached since.
 
-    For times without new rows; run it while the stream is idle.
+    For times without new rows; run it while the stream is idle.  A rollup
+    given with policy None gets all its pending days, also those that its
+    window missed, and has none pending afterwards.
     """
     now = to_utc(as_of) if as_of is not None else datetime.now(timezone.utc)
     pending = pending or pending_path(spark, raw_table)
-    return _refresh_pending(spark, raw_table, rollups, raw_width, now, pending, P.read_pending(spark, pending), None)
+    done = _refresh_pending(spark, raw_table, rollups, raw_width, now, pending, P.read_pending(spark, pending), None)
+    whole = [name for name, (_, policy) in rollups.items() if policy is None]
+    if whole:
+        P.drop_published(spark, pending, whole)
+    return done
 
 
 def _refresh_pending(spark: SparkSession, raw_table: str, rollups: Rollups, raw_width: str, now: datetime,

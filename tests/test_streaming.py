@@ -193,6 +193,28 @@ def test_pending_state_does_not_pile_up(spark, make_readings):
     assert [r.day for r in P.read_pending(spark, path).collect()] == ["2999-01-01"]
 
 
+def test_missed_days_wait_for_a_refresh_without_policy(spark, make_readings):
+    """No batch for longer than the window: held-back buckets and old days of the catch-up stay pending."""
+    from meterlake.streaming import pending as P
+    from meterlake.streaming.refresh import pending_path, refresh_pending
+    raw, rollup = _tables(spark)
+    width, policy = R.TIERS["15min"]
+    tiers = {rollup: (width, policy)}
+    total = lambda: spark.table(rollup).agg(F.sum("reading_count")).first()[0]
+    ingest_batch(spark, make_readings(_hours("2024-01-01 00:00:00", 24)), 0, raw, tiers, as_of="2024-01-02")
+    assert total() == 23                  # the last hour is held back
+    late = make_readings(_hours("2024-01-02 00:00:00", 24) + _hours("2024-01-09 00:00:00", 12))
+    ingest_batch(spark, late, 1, raw, tiers, as_of="2024-01-10 02:00:00")
+    path = pending_path(spark, raw)
+    assert sorted(r.day for r in P.read_pending(spark, path).collect()) == ["2024-01-01", "2024-01-02"]
+    assert total() == 23 + 12
+    assert refresh_pending(spark, raw, {rollup: (width, None)}, as_of="2024-01-10") == ["2024-01-01", "2024-01-02"]
+    assert total() == 60
+    assert P.read_pending(spark, path).count() == 0
+    ingest_batch(spark, make_readings(_hours("2024-01-10 00:00:00", 1)), 2, raw, tiers, as_of="2024-01-11 02:00:00")
+    assert P.read_pending(spark, path).count() == 0 and total() == 61
+
+
 def test_rejected_rows_are_kept_and_rollups_are_optional(spark, make_readings):
     from meterlake.streaming.refresh import rejects_path
     raw, _ = _tables(spark)
