@@ -5,10 +5,12 @@ with a stronger codec; it is the Parquet counterpart of turning row chunks
 into compressed columnar ones.  The only lists that reach the driver are
 partition names and sizes from the file catalogue, never rows.
 
-A run writes each row once, into a folder of its own beside the dataset, and
-publishes the files as they are by renaming them.  A marker written before
-the first rename lists what is replaced, so a run that broke off is finished
-by the next one.  One compaction of a dataset runs at a time.
+A run writes each row once, into a folder of its own inside the table's, and
+publishes it partition by partition through the catalogue: ``ALTER TABLE ...
+PARTITION ... SET LOCATION``.  No file is moved; a reader finds a partition's
+old files or its new ones.  Replaced files stay until the next run, so a query
+that was planned before the switch still finds them.  One compaction of a
+table runs at a time.
 """
 
 from __future__ import annotations
@@ -24,15 +26,15 @@ from meterlake.functions.format import human_bytes, savings_pct, sorted_report
 from meterlake.functions.time import parse_label, to_utc, width_micros
 from meterlake.operators.rollups import TIERS, RefreshPolicy
 from meterlake.sources import files
-from meterlake.sources.catalog import list_partitions, location, partition_catalog
+from meterlake.sources.catalog import (
+    MERGED_BATCH, REWRITTEN, list_folders, list_partitions, location, partition_spec,
+)
 from meterlake.sources.layout import cluster_by_chunk
 from meterlake.sources.schema import READING_COLUMNS, is_table, stored_readings
 
 COMPACT_ORDER = ("-timestamp",)
-COMPACTED_BATCH = -1
-STATE_SCHEMA = ("chunk string, codec string, file_order string, before_bytes bigint, after_bytes bigint, "
+STATE_SCHEMA = ("chunk string, run string, codec string, file_order string, before_bytes bigint, after_bytes bigint, "
                 "after_files bigint, finished timestamp")
-MARKER_SCHEMA = "chunk string, ingest_batch bigint, n_files bigint, bytes bigint, codec string, file_order string"
 STATS_SCHEMA = "table string, chunk string, status string, before_bytes bigint, after_bytes bigint"
 
 
@@ -49,14 +51,12 @@ def _ended(chunk: str, width: str, age: str | None, as_of) -> bool:
 
 
 def _partition_columns(spark: SparkSession, handle: str) -> list[str]:
-    if not is_table(handle):
-        return ["chunk"]
     return [c.name for c in spark.catalog.listColumns(handle) if c.isPartition]
 
 
-def _home(spark: SparkSession, handle: str) -> str:
-    """Folder of a dataset's compaction runs and their statistics, beside it."""
-    return location(spark, handle).rstrip("/") + "__compaction"
+def _state_path(spark: SparkSession, handle: str) -> str:
+    """Folder of the statistics of a table's compactions (hidden from its readers)."""
+    return location(spark, handle).rstrip("/") + "/_compaction_state"
 
 
 def _by_chunk(rows: Iterable) -> dict[str, list]:
@@ -70,7 +70,12 @@ def _totals(rows: list) -> tuple[int, int]:
     return sum(r["n_files"] for r in rows), sum(r["bytes"] for r in rows)
 
 
-def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
+def _run_of(folder: str) -> str | None:
+    """Name of the run that wrote a partition's folder."""
+    return folder.split(f"/{REWRITTEN}/", 1)[1].split("/", 1)[0] if f"/{REWRITTEN}/" in folder else None
+
+
+def compact_partitions(spark: SparkSession, table: str, width: str = "1 day",
                        order_by: tuple[str, ...] = COMPACT_ORDER, codec: str = "zstd",
                        older_than: str | None = None, as_of=None,
                        name: str | None = None, committed_below: int | None = None) -> DataFrame:
@@ -79,116 +84,120 @@ def compact_partitions(spark: SparkSession, handle: str, width: str = "1 day",
     Returns the statistics of the partitions rewritten now (table, chunk,
     status, before_bytes, after_bytes); ``compaction_stats`` has those of all
     runs.  Partitions that an earlier run left in this order and codec, and
-    that have not changed since, are not touched.
+    that have not changed since, are not touched.  A plain folder has no
+    catalogue to publish through and is refused.
 
     A stream-fed table partitioned by (chunk, ingest_batch) has its batch
-    partitions of each eligible chunk merged into one (``ingest_batch = -1``).
-    Only batches below ``committed_below`` take part; by default the newest
-    batch of the table is left out, as it may be replayed.  Batches that
-    arrive meanwhile are other partitions and stay.  A partition of another
-    dataset that changed while it was rewritten is left for the next run.
+    partitions of each eligible chunk merged into one (``ingest_batch = -1``),
+    whose folder's name says below which batch.  Only batches below
+    ``committed_below`` take part; by default the newest batch of the table is
+    left out, as it may be replayed.  Batches that arrive meanwhile are other
+    partitions and stay.  A partition of another table that changed while it
+    was rewritten is left for the next run.
+
+    A run that breaks off leaves each partition old or new; the next one
+    rewrites what is still old.  Only where it broke between the two catalogue
+    calls of a merged chunk are rows there twice, until ``drop_merged``, with
+    which every run begins, has dropped the merged batches.
     """
-    parts = _partition_columns(spark, handle)
+    if not is_table(table):
+        raise ValueError("compaction switches partitions in the catalogue: it needs a table")
+    parts = _partition_columns(spark, table)
     if parts not in (["chunk"], ["chunk", "ingest_batch"]):
-        raise ValueError(f"cannot compact {handle}: partitioned by {parts}")
-    batched, home, file_order = len(parts) == 2, _home(spark, handle), ",".join(order_by)
-    finish_compactions(spark, handle)
-    listing = list_partitions(spark, handle)
+        raise ValueError(f"cannot compact {table}: partitioned by {parts}")
+    batched, file_order = len(parts) == 2, ",".join(order_by)
+    drop_merged(spark, table)
+    free_replaced(spark, table)
+    listing = list_partitions(spark, table)
     if batched and committed_below is None:
         committed_below = max((r["ingest_batch"] for r in listing), default=0)
     found = _by_chunk(r for r in listing if _ended(r["chunk"], width, older_than, as_of)
                       and (not batched or r["ingest_batch"] < committed_below))
-    done = {r["chunk"]: r for r in _state(spark, home).filter(
+    done = {r["chunk"]: r for r in _state(spark, table).filter(
         (F.col("codec") == codec) & (F.col("file_order") == file_order)).collect()}
-    chunks = [c for c, rows in sorted(found.items()) if not (
-        c in done and _totals(rows) == (done[c]["after_files"], done[c]["after_bytes"]))]
+    chunks = [c for c, rows in sorted(found.items()) if not (c in done and _as_left(rows, done[c]))]
     if not chunks:
         return spark.createDataFrame([], STATS_SCHEMA)
-    source = stored_readings(spark, handle).filter(F.col("chunk").isin(chunks))
+    source = stored_readings(spark, table).filter(F.col("chunk").isin(chunks))
     if batched:
         source = source.filter(F.col("ingest_batch") < committed_below)
-    run = f"{home}/run-{uuid.uuid4().hex[:12]}"
+    run = f"run-{uuid.uuid4().hex[:12]}"
+    root = f"{location(spark, table).rstrip('/')}/{REWRITTEN}/{run}" + (f"/below={committed_below}" if batched else "")
     # Default AQE sizing (not the small-write spread): compaction is about
     # fewer, larger files per partition.
     (cluster_by_chunk(source.select(*READING_COLUMNS, "chunk"), order_by)
-     .write.option("compression", codec).partitionBy("chunk").parquet(f"{run}/data"))
-    n_src, n_staged = source.count(), spark.read.schema(source.schema).parquet(f"{run}/data").count()
-    if n_src != n_staged:  # both counts come from file footers
-        files.delete(spark, run)
-        raise RuntimeError(f"compaction staged {n_staged} rows for {n_src}; nothing replaced")
-    marker = [(c, r["ingest_batch"], r["n_files"], r["bytes"], codec, file_order) for c in chunks for r in found[c]]
-    spark.createDataFrame(marker, MARKER_SCHEMA).coalesce(1).write.parquet(f"{run}/ready")
-    rewritten = _publish(spark, handle, run)
-    return spark.createDataFrame([(name or handle, c, "Compressed", before, after)
-                                  for c, before, after in rewritten], STATS_SCHEMA)
-
-
-def finish_compactions(spark: SparkSession, handle: str) -> None:
-    """Finish runs that broke off after their marker; drop those before it."""
-    home = _home(spark, handle)
-    for run in files.children(spark, home):
-        if run.startswith("run-"):
-            if files.exists(spark, f"{home}/{run}/ready/_SUCCESS"):
-                _publish(spark, handle, f"{home}/{run}")
-            else:
-                files.delete(spark, f"{home}/{run}")
-
-
-def _publish(spark: SparkSession, handle: str, run: str) -> list[tuple[str, int, int]]:
-    """Put a run's files in place of what its marker lists; may be repeated.
-
-    Replaced folders are moved aside and deleted at the end.  Returns chunk,
-    bytes before and after.
-    """
-    root, home = location(spark, handle).rstrip("/"), _home(spark, handle)
-    batched = len(_partition_columns(spark, handle)) == 2
-    frozen = _by_chunk(spark.read.schema(MARKER_SCHEMA).parquet(f"{run}/ready").collect())
-    now = _by_chunk(list_partitions(spark, handle))
-    skipped = set()
-    for chunk, rows in frozen.items():
-        staged, aside = f"{run}/data/chunk={chunk}", f"{run}/old/chunk={chunk}"
-        target = f"{root}/chunk={chunk}" + (f"/ingest_batch={COMPACTED_BATCH}" if batched else "")
-        waiting = files.exists(spark, staged)
-        if not batched and waiting and not files.exists(spark, aside) and \
-                _totals(now.get(chunk, [])) != _totals(rows):
-            skipped.add(chunk)  # rows came in since it was read
-            continue
-        for r in rows:
-            old = f"{root}/chunk={chunk}" + (f"/ingest_batch={r['ingest_batch']}" if batched else "")
-            aside_part = f"{aside}/{r['ingest_batch']}"
-            if files.exists(spark, old) and not files.exists(spark, aside_part) and (waiting or old != target):
-                files.move(spark, old, aside_part)
-        if waiting:
-            for f in files.children(spark, staged):
-                files.move(spark, f"{staged}/{f}", f"{target}/{f}")
-            files.delete(spark, staged)
-    chunks = [c for c in frozen if c not in skipped]
-    if is_table(handle):
-        if batched and chunks:
-            spec = lambda c, b: f"PARTITION (chunk='{c}', ingest_batch={b})"
-            merged = " ".join(spec(c, COMPACTED_BATCH) for c in chunks)
-            spark.sql(f"ALTER TABLE {handle} ADD IF NOT EXISTS {merged}")
-            gone = [spec(c, r["ingest_batch"]) for c in chunks for r in frozen[c] if r["ingest_batch"] != COMPACTED_BATCH]
-            if gone:
-                spark.sql(f"ALTER TABLE {handle} DROP IF EXISTS {', '.join(gone)}")
-        spark.catalog.refreshTable(handle)
-    else:
-        spark.catalog.refreshByPath(root)
-    after = _by_chunk(r for r in list_partitions(spark, handle)
-                      if not batched or r["ingest_batch"] == COMPACTED_BATCH)
+     .write.option("compression", codec).partitionBy("chunk").parquet(root))
+    n_src, n_written = source.count(), spark.read.schema(source.schema).parquet(root).count()
+    if n_src != n_written:  # both counts come from file footers
+        raise RuntimeError(f"compaction wrote {n_written} rows for {n_src}; nothing replaced")
+    written = {r["chunk"]: r for r in _rewritten(spark, table, run)}
+    now = _by_chunk(list_partitions(spark, table))
+    kept = [c for c in chunks if batched or _totals(now.get(c, [])) == _totals(found[c])]
     stamp = datetime.now(timezone.utc)
-    state = [(c, frozen[c][0]["codec"], frozen[c][0]["file_order"], _totals(frozen[c])[1],
-              _totals(after.get(c, []))[1], _totals(after.get(c, []))[0], stamp) for c in chunks]
-    if state:
-        (spark.createDataFrame(state, STATE_SCHEMA).coalesce(1).write.mode("overwrite")
-         .parquet(f"{home}/state/{run.rsplit('/', 1)[1]}"))
-    files.delete(spark, run)
-    return [(r[0], r[3], r[4]) for r in state]
+    state = [(c, run, codec, file_order, _totals(found[c])[1], written[c]["bytes"], written[c]["n_files"], stamp) for c in kept]
+    if state:  # before the switch: a row counts only while its run's folder is the partition's
+        (spark.createDataFrame(state, STATE_SCHEMA).coalesce(1).write
+         .parquet(f"{_state_path(spark, table)}/{run}"))
+    for c in kept:
+        batches = [r["ingest_batch"] for r in found[c]] if batched else [None]
+        _switch(spark, table, c, batches, written[c]["folder"])
+    return spark.createDataFrame([(name or table, r[0], "Compressed", r[4], r[5]) for r in state], STATS_SCHEMA)
+
+
+def _rewritten(spark: SparkSession, table: str, run: str) -> list:
+    """Files, bytes and folder of what a run wrote, by chunk."""
+    return [r for r in list_folders(spark, table) if _run_of(r["folder"]) == run]
+
+
+def _switch(spark: SparkSession, table: str, chunk: str, batches: list[int | None], folder: str) -> None:
+    """Let a partition's rows be those in ``folder``."""
+    place = f"'{folder}'"
+    if batches == [None]:
+        spark.sql(f"ALTER TABLE {table} {partition_spec(chunk)} SET LOCATION {place}")
+        return
+    merged = partition_spec(chunk, MERGED_BATCH)
+    if MERGED_BATCH in batches:
+        spark.sql(f"ALTER TABLE {table} {merged} SET LOCATION {place}")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD {merged} LOCATION {place}")
+    _drop_batches(spark, table, chunk, batches)
+
+
+def _drop_batches(spark: SparkSession, table: str, chunk: str, batches: Iterable[int]) -> None:
+    gone = [partition_spec(chunk, b) for b in batches if b != MERGED_BATCH]
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
+
 
+def drop_merged(spark: SparkSession, table: str) -> None:
+    """Drop batch partitions whose rows the chunk's merged partition holds: a run broke off before it did."""
+    for chunk, rows in _by_chunk(list_partitions(spark, table)).items():
+        below = [int(r["folder"].split("/below=", 1)[1].split("/", 1)[0]) for r in rows
+                 if r["ingest_batch"] == MERGED_BATCH and "/below=" in r["folder"]]
+        if below:
+            _drop_batches(spark, table, chunk, [r["ingest_batch"] for r in rows if r["ingest_batch"] < below[0]])
 
-def _state(spark: SparkSession, home: str) -> DataFrame:
+
+def free_replaced(spark: SparkSession, table: str) -> list[str]:
+    """Delete folders of rewritten chunks that the catalogue does not name:
+    replaced and merged partitions, runs that broke off.  Returns them.
+
+    Every compaction begins with it.  A query planned before the last switch
+    may still read them, so run it alone only when none is under way.
+    """
+    used = {r["folder"] for r in list_partitions(spark, table)}
+    folders = list_folders(spark, table)
+    rewritten = {r["chunk"] for r in folders if _run_of(r["folder"])}
+    gone = [r["folder"] for r in folders if r["chunk"] in rewritten and r["folder"] not in used]
+    for folder in gone:
+        files.delete(spark, folder)
+    return gone
+
+
+def _state(spark: SparkSession, table: str) -> DataFrame:
     """The newest statistics row of every chunk (one small file per run)."""
-    runs = [f"{home}/state/{r}" for r in files.children(spark, f"{home}/state")]
+    home = _state_path(spark, table)
+    runs = [f"{home}/{r}" for r in files.children(spark, home)]
     if not runs:
         return spark.createDataFrame([], STATE_SCHEMA)
     newest = Window.partitionBy("chunk").orderBy(F.col("finished").desc())
@@ -196,24 +205,23 @@ def _state(spark: SparkSession, home: str) -> DataFrame:
             .filter("n = 1").drop("n"))
 
 
+def _as_left(rows: list, state) -> bool:
+    """Whether a partition is what its last run left: that run's folder, no file more."""
+    return len(rows) == 1 and _run_of(rows[0]["folder"]) == state["run"] and \
+        _totals(rows) == (state["after_files"], state["after_bytes"])
+
+
 def compaction_stats(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    """Stored statistics of ``{name: handle}``: table, chunk, status, bytes before and after.
+    """Stored statistics of ``{name: table}``: table, chunk, status, bytes before and after.
 
     A partition counts as compressed while its files are those that its last
     run left; one that has received rows since has no row here.
     """
     rows = []
-    for name, handle in tables.items():
-        batched = len(_partition_columns(spark, handle)) == 2
-        now = _by_chunk(list_partitions(spark, handle))
-        for r in _state(spark, _home(spark, handle)).collect():
-            here = now.get(r["chunk"], [])
-            if batched:
-                whole = all(x["ingest_batch"] == COMPACTED_BATCH for x in here)
-            else:
-                whole = True
-            if whole and _totals(here) == (r["after_files"], r["after_bytes"]):
-                rows.append((name, r["chunk"], "Compressed", r["before_bytes"], r["after_bytes"]))
+    for name, table in tables.items():
+        now = _by_chunk(list_partitions(spark, table))
+        rows += [(name, r["chunk"], "Compressed", r["before_bytes"], r["after_bytes"])
+                 for r in _state(spark, table).collect() if _as_left(now.get(r["chunk"], []), r)]
     return spark.createDataFrame(rows, STATS_SCHEMA)
 
 
@@ -251,12 +259,6 @@ def compression_detail(catalog: DataFrame, stats: DataFrame) -> DataFrame:
     return sorted_report(out, "table", "range_start").drop("range_start")
 
 
-def _is_managed(spark: SparkSession, table: str) -> bool:
-    kind = (spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Type")
-            .select("data_type").take(1))
-    return bool(kind) and kind[0][0].upper() == "MANAGED"
-
-
 def drop_older_than(spark: SparkSession, table: str, retention: str, as_of, width: str = "1 day",
                     policies: Iterable[RefreshPolicy] | None = None) -> list[str]:
     """Drop raw partitions whose range ended ``retention`` before ``as_of``, and their files.
@@ -273,16 +275,13 @@ def drop_older_than(spark: SparkSession, table: str, retention: str, as_of, widt
         raise ValueError(f"retention {retention} is shorter than the refresh horizon {floor}")
     if not is_table(table):
         raise ValueError("retention drops partitions of a table")
-    root, parts = location(spark, table).rstrip("/"), _partition_columns(spark, table)
     expired = _by_chunk(r for r in list_partitions(spark, table) if _ended(r["chunk"], width, retention, as_of))
     if not expired:
         return []
-    specs = ", ".join(f"PARTITION ({s})" for c, rows in expired.items() for s in (
-        [f"chunk='{c}'"] if len(parts) == 1 else
-        [f"chunk='{c}', ingest_batch={r['ingest_batch']}" for r in rows]))
+    specs = ", ".join(partition_spec(c, r["ingest_batch"]) for c, rows in expired.items() for r in rows)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-    if not _is_managed(spark, table):
-        for c in expired:
-            files.delete(spark, f"{root}/chunk={c}")
+    for r in list_folders(spark, table):  # what the catalogue leaves: an external table's files, replaced ones
+        if r["chunk"] in expired:
+            files.delete(spark, r["folder"])
     spark.catalog.refreshTable(table)
     return sorted(expired)

@@ -25,12 +25,3 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     if fs.exists(p) and not fs.delete(p, True):
         raise OSError(f"cannot delete {path}")
-
-
-def move(spark: SparkSession, src: str, dst: str) -> None:
-    """Rename a file or folder; the parent of ``dst`` is made, ``dst`` must not exist."""
-    fs, p = _open(spark, src)
-    _, q = _open(spark, dst)
-    fs.mkdirs(q.getParent())
-    if fs.exists(q) or not fs.rename(p, q):
-        raise OSError(f"cannot move {src} to {dst}")

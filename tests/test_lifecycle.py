@@ -116,52 +116,121 @@ def _in_time_order(spark, handle):
     return all(t == sorted(t, reverse=True) for t in by_file.values())
 
 
-@pytest.mark.parametrize("fail_at", [1, 2, 3, 7])
-@pytest.mark.parametrize("as_table", [True, False])
-def test_broken_swap_is_finished_by_the_next_run(spark, monkeypatch, fail_at, as_table):
-    from meterlake.sources import files
-    path = scratch_path(spark, "t-swap")
-    handle = unique_table("t_swap") if as_table else path
-    write_partitioned(events_readings(spark, SF_SMALL), handle, "1 week", location=path if as_table else None)
-    before = _rows(spark, handle)
-    move, calls = files.move, []
+def _stream_table(spark, batches=3):
+    """A stream-fed table: every day has rows in each of the batches but the last."""
+    from meterlake.streaming.refresh import create_raw_table, ingest_batch
+    table = unique_table("t_batches")
+    create_raw_table(spark, table, scratch_path(spark, "t-batches"))
+    rows = events_readings(spark, SF_SMALL)
+    for b in range(batches):
+        ingest_batch(spark, rows.filter(F.pmod(F.xxhash64("timestamp"), F.lit(batches)) == b), b, table, {}, as_of="2024-02-01")
+    return table
+
+
+@pytest.mark.parametrize("fail_at", [1, 2, 5])
+@pytest.mark.parametrize("batched", [False, True])
+def test_broken_run_leaves_every_partition_old_or_new(spark, monkeypatch, fail_at, batched):
+    table = _stream_table(spark) if batched else _layout(spark, "1 week")
+    before = _rows(spark, table)
+    total = len({r["chunk"] for r in C.list_partitions(spark, table)})
+    switch, calls = L._switch, []
 
     def broken(*args):
         calls.append(args)
         if len(calls) == fail_at:
-            raise OSError("store is gone")
-        move(*args)
-    monkeypatch.setattr(files, "move", broken)
+            raise OSError("metastore is gone")
+        switch(*args)
+    monkeypatch.setattr(L, "_switch", broken)
     with pytest.raises(OSError):
-        L.compact_partitions(spark, handle, "1 week")
-    monkeypatch.setattr(files, "move", move)
-    assert L.compact_partitions(spark, handle, "1 week").count() == 0  # finishes the run, then finds all done
-    assert _rows(spark, handle) == before and _in_time_order(spark, handle)
-    assert L.compaction_stats(spark, {"t": handle}).count() == 5
+        L.compact_partitions(spark, table)
+    monkeypatch.setattr(L, "_switch", switch)
+    assert _rows(spark, table) == before
+    assert L.compaction_stats(spark, {"t": table}).count() == (0 if batched else fail_at - 1)
+    left = L.compact_partitions(spark, table).count()
+    assert left == total - (fail_at - 1)  # what was switched stays as it was left
+    assert _rows(spark, table) == before and L.compact_partitions(spark, table).count() == 0
 
 
-def test_run_without_marker_is_dropped(spark):
+def test_broken_between_the_two_calls_of_a_merged_chunk(spark, monkeypatch):
+    table = _stream_table(spark)
+    before = _rows(spark, table)
+    drop = L._drop_batches
+    monkeypatch.setattr(L, "_drop_batches", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        L.compact_partitions(spark, table)
+    monkeypatch.setattr(L, "_drop_batches", drop)
+    assert len(_rows(spark, table)) > len(before)  # one chunk's merged batches are there twice
+    L.drop_merged(spark, table)
+    assert _rows(spark, table) == before
+    L.compact_partitions(spark, table)
+    assert _rows(spark, table) == before
+
+
+def test_readers_planned_before_the_switch_still_read(spark):
+    table = _layout(spark, "1 week")
+    n = readings(spark, table).count()
+    old = readings(spark, table).select("timestamp", "meter_id")
+    old._jdf.queryExecution().executedPlan()  # planned: its partitions are looked up
+    L.compact_partitions(spark, table, "1 week")
+    assert old.count() == n
+    folders = {r["folder"] for r in C.list_folders(spark, table)}
+    used = {r["folder"] for r in C.list_partitions(spark, table)}
+    assert len(folders) == 10 and len(used) == 5 and all("/_compacted/" in f for f in used)
+    assert set(L.free_replaced(spark, table)) == folders - used
+    assert readings(spark, table).count() == n and L.free_replaced(spark, table) == []
+
+
+def test_no_file_is_moved_and_only_the_catalogue_changes(spark):
     from meterlake.sources import files
+    assert not hasattr(files, "move")
+    table = _layout(spark, "1 week")
+    old = {(r.path, r.length) for r in C.list_files(spark, table).collect()}
+    L.compact_partitions(spark, table, "1 week")
+    now = {(r.path, r.length) for r in C.list_files(spark, table).collect()}
+    assert old < now and len({C.partition_folder(spark, table, C.partition_spec(r["chunk"]))
+                              for r in C.list_partitions(spark, table)}) == 5
+
+
+def test_folder_of_a_broken_run_is_dropped(spark):
     table = _layout(spark, "1 week")
     before = _rows(spark, table)
-    home = L._home(spark, table)
-    readings(spark, table).limit(5).write.parquet(f"{home}/run-unfinished/data/chunk=2024-01-04-00")
-    L.finish_compactions(spark, table)
-    assert files.children(spark, home) == [] and _rows(spark, table) == before
+    stray = f"{C.location(spark, table)}/{C.REWRITTEN}/run-unfinished/chunk=2024-01-04-00"
+    readings(spark, table).limit(5).write.parquet(stray)
+    assert _rows(spark, table) == before and len(C.list_partitions(spark, table)) == 5
+    assert len(L.free_replaced(spark, table)) == 1 and _rows(spark, table) == before
+
+
+def test_folders_are_refused(spark):
+    with pytest.raises(ValueError):
+        L.compact_partitions(spark, scratch_path(spark, "no-table"))
+
+
+def test_managed_table_is_compacted_and_dropped_whole(spark):
+    from meterlake.sources import files
+    table = unique_table("t_managed")
+    write_partitioned(events_readings(spark, SF_SMALL), table, "1 week")
+    root, before = C.location(spark, table), _rows(spark, table)
+    assert L.compact_partitions(spark, table, "1 week").count() == 5 and _rows(spark, table) == before
+    extra = events_readings(spark, SF_SMALL).filter("timestamp < '2024-01-02'")
+    write_partitioned(extra, table, "1 week", mode="append")  # lands in the partition's new folder
+    assert readings(spark, table).count() == len(before) + extra.count()
+    assert L.compact_partitions(spark, table, "1 week").count() == 1
+    spark.sql(f"DROP TABLE {table}")
+    assert not files.exists(spark, root)
 
 
 def test_partition_that_changed_meanwhile_is_left(spark, monkeypatch):
     table = _layout(spark, "1 week")
     extra = events_readings(spark, SF_SMALL).filter("timestamp >= '2024-01-12' and timestamp < '2024-01-14'")
-    publish = L._publish
+    rewritten = L._rewritten
 
     def late(*args):
         write_partitioned(extra, table, "1 week", mode="append")
-        return publish(*args)
-    monkeypatch.setattr(L, "_publish", late)
+        return rewritten(*args)
+    monkeypatch.setattr(L, "_rewritten", late)
     n = readings(spark, table).count()
     assert L.compact_partitions(spark, table, "1 week").count() == 4
-    monkeypatch.setattr(L, "_publish", publish)
+    monkeypatch.setattr(L, "_rewritten", rewritten)
     assert readings(spark, table).count() == n + extra.count()
     assert L.compact_partitions(spark, table, "1 week").count() == 1
     assert readings(spark, table).count() == n + extra.count()
@@ -189,7 +258,7 @@ def test_several_files_per_partition_stay_in_order(spark):
         L.compact_partitions(spark, table, "1 week")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(C.list_files(spark, table).collect()) > 5
+    assert sum(r["n_files"] for r in C.list_partitions(spark, table)) > 5
     assert _in_time_order(spark, table)
 
 
