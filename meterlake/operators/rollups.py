@@ -24,10 +24,11 @@ from meterlake.functions.format import sorted_report
 from meterlake.operators.queries import region_of, tables_equal
 from meterlake.session import session_conf, staging_path, write_conf
 from meterlake.sources import files
-from meterlake.sources.layout import scan_days
+from meterlake.sources.layout import in_ranges, scan_ranges
 
 ROLLUP_COLUMNS = ["meter_id", "bucket", "sum_power", "power_count", "max_power",
                   "min_power", "total_energy", "reading_count", "day"]
+Ranges = list[tuple[datetime, datetime]]
 
 
 @dataclass(frozen=True)
@@ -210,66 +211,111 @@ def refresh_window(policy: RefreshPolicy, as_of, width: str) -> tuple[datetime,
     t = to_utc(as_of)
     lo = t - timedelta(microseconds=width_micros(policy.start_offset))
     hi = t - timedelta(microseconds=width_micros(policy.end_offset))
-    lo_floor = floor_to(lo, width)
-    lo = lo_floor if lo_floor == lo else lo_floor + timedelta(microseconds=width_micros(width))
-    return lo, floor_to(hi, width)
+    return _ceil_to(lo, width), floor_to(hi, width)
 
 
-def _days_between(lo: datetime, hi: datetime) -> list[str]:
-    """UTC days overlapping ``[lo, hi)``."""
-    out, d = [], floor_to(lo, "1 day")
-    while d < hi:
-        out.append(d.strftime("%Y-%m-%d"))
-        d += timedelta(days=1)
+def _days_of(ranges: Ranges) -> list[str]:
+    """UTC days overlapping half-open ranges."""
+    out = set()
+    for lo, hi in ranges:
+        d = floor_to(lo, "1 day")
+        while d < hi:
+            out.add(d.strftime("%Y-%m-%d"))
+            d += timedelta(days=1)
+    return sorted(out)
+
+
+def _ceil_to(t: datetime, width: str) -> datetime:
+    low = floor_to(t, width)
+    return low if low == t else low + timedelta(microseconds=width_micros(width))
+
+
+def whole_buckets(ranges: Ranges, width: str) -> Ranges:
+    """Ranges widened to whole buckets, those that meet joined, in time order."""
+    out: Ranges = []
+    for lo, hi in sorted((floor_to(a, width), _ceil_to(b, width)) for a, b in ranges):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
     return out
 
 
-def refresh_days(policy: RefreshPolicy | None, as_of, width: str,
-                 touched_days: list[str] | None) -> tuple[list[str], datetime | None,
-                                                      datetime | None]:
-    """Days a refresh rewrites and its window bounds (None without a policy)."""
+def refresh_ranges(policy: RefreshPolicy | None, as_of, width: str, touched: Ranges | None) -> Ranges:
+    """What a refresh recomputes: the buckets of the touched ranges (None: all)
+    that lie in the policy's window."""
     if policy is None:
-        return sorted(set(touched_days or [])), None, None
+        return whole_buckets(touched or [], width)
     if as_of is None:
         raise ValueError("a refresh policy needs as_of")
     lo, hi = refresh_window(policy, as_of, width)
-    if lo >= hi:
-        return [], lo, hi
-    window_days = _days_between(lo, hi)
-    days = sorted(set(window_days) & set(touched_days)) if touched_days is not None \
-        else window_days
-    return days, lo, hi
+    ranges = [(lo, hi)] if touched is None else whole_buckets(touched, width)
+    return [(max(a, lo), min(b, hi)) for a, b in ranges if max(a, lo) < min(b, hi)]
+
+
+def _split(ranges: Ranges, inner: tuple[datetime, datetime] | None, width: str) -> tuple[Ranges, Ranges]:
+    """Whole buckets of ``ranges`` inside ``inner`` (None: everywhere), and the rest."""
+    if inner is None:
+        return ranges, []
+    lo, hi = _ceil_to(inner[0], width), floor_to(inner[1], width)
+    inside = [(max(a, lo), min(b, hi)) for a, b in ranges if max(a, lo) < min(b, hi)]
+    rest = [r for a, b in ranges for r in ((a, min(b, lo)), (max(a, hi, lo), b)) if r[0] < r[1]]
+    return inside, rest
+
+
+@dataclass(frozen=True)
+class Finer:
+    """A finer tier that a refresh may merge from, refreshed just before.
+
+    ``window``: where its buckets are those of the raw rows (None: everywhere).
+    """
+    table: str
+    width: str
+    window: tuple[datetime, datetime] | None
+
+
+def refreshed_state(spark: SparkSession, raw_handle: str, width: str, ranges: Ranges, raw_width: str = "1 day",
+                    finer: Finer | None = None) -> DataFrame:
+    """State of the buckets in bucket-aligned ranges: merged from the finer
+    tier where that has them, else from raw rows, of which only these ranges
+    are read."""
+    merged, plain = [], ranges
+    if finer is not None and width_micros(width) % width_micros(finer.width) == 0:
+        merged, plain = _split(ranges, finer.window, width)
+    parts = []
+    if plain or not merged:
+        parts.append(rollup_state(scan_ranges(spark, raw_handle, plain, raw_width), width))
+    if merged:
+        rows = spark.table(finer.table).filter(F.col("day").isin(_days_of(merged)) & in_ranges(merged, "bucket"))
+        parts.append(merge_state(rows, width))
+    return reduce(DataFrame.unionByName, parts).select(*ROLLUP_COLUMNS)
 
 
 def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
                    raw_width: str = "1 day", policy: RefreshPolicy | None = None,
                    as_of=None, touched_days: list[str] | None = None,
-                   raw_rows: DataFrame | None = None) -> list[str]:
-    """Recompute the rollup for the days that changed; return the days rewritten.
-
-    * Only buckets inside the policy's window are recomputed; rows of the
-      same days outside it are carried over from the current rollup.
-    * The raw scan reads only the partitions overlapping those days (an
-      ``IN`` list on ``chunk``), and the day list is bounded by the window.
+                   touched: Ranges | None = None, finer: Finer | None = None) -> list[str]:
+    """Recompute the rollup's buckets that changed; return the days rewritten.
+
+    * ``touched`` are time ranges with new rows (``touched_days``: whole
+      days); only their buckets inside the policy's window are recomputed,
+      the other buckets of those days are carried over from the rollup.
+    * Raw rows are read from the partitions overlapping those ranges, with
+      the ranges pushed down; a coarse tier is merged from ``finer`` instead
+      wherever that has its buckets.
     * New rows are staged under the shared checkpoint folder, then swapped
       in with dynamic partition overwrite, so a failed or repeated run leaves
       the same result; days that come back empty are dropped.
-    * ``raw_rows`` may hand in raw readings already read for a superset of
-      the days (several tiers refreshed from one scan).
     """
-    days, lo, hi = refresh_days(policy, as_of, width, touched_days)
-    if not days:
+    if touched_days is not None:
+        touched = (touched or []) + [(to_utc(d), to_utc(d) + timedelta(days=1)) for d in touched_days]
+    ranges = refresh_ranges(policy, as_of, width, touched)
+    if not ranges:
         return []
-    if raw_rows is None:
-        raw = scan_days(spark, raw_handle, days, raw_width)
-    else:
-        raw = raw_rows.filter(day_label("timestamp").isin(days))
-    fresh = rollup_state(raw, width)
-    current = spark.table(table).filter(F.col("day").isin(days))
-    if lo is not None:
-        fresh = fresh.filter((F.col("bucket") >= F.lit(lo)) & (F.col("bucket") < F.lit(hi)))
-        kept = current.filter((F.col("bucket") < F.lit(lo)) | (F.col("bucket") >= F.lit(hi)))
-        fresh = fresh.select(*ROLLUP_COLUMNS).unionByName(kept.select(*ROLLUP_COLUMNS))
+    days = _days_of(ranges)
+    fresh = refreshed_state(spark, raw_handle, width, ranges, raw_width, finer)
+    kept = spark.table(table).filter(F.col("day").isin(days) & ~in_ranges(ranges, "bucket"))
+    fresh = fresh.unionByName(kept.select(*ROLLUP_COLUMNS))
     staging = staging_path(spark, "refresh", table)
     with write_conf(spark):
         (_clustered(fresh.select(*ROLLUP_COLUMNS)).write

@@ -9,7 +9,7 @@ whole partitions before any file is opened.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,19 +142,23 @@ def scan_range(spark: SparkSession, handle: str, start=None, end=None,
     return df.select(*READING_COLUMNS)
 
 
-def chunks_for_days(days: list[str], width: str = "1 day") -> list[str]:
-    """Labels of every ``width`` partition overlapping the given UTC days."""
+def chunks_for_ranges(ranges: list[tuple[datetime, datetime]], width: str = "1 day") -> list[str]:
+    """Labels of every ``width`` partition overlapping half-open time ranges."""
     w = timedelta(microseconds=width_micros(width))
     labels = set()
-    for day in days:
-        start = to_utc(day)
+    for start, end in ranges:
         c = floor_to(start, width)
-        while c < start + timedelta(days=1):
+        while c < end:
             labels.add(label_of(c))
             c += w
     return sorted(labels)
 
 
+def chunks_for_days(days: list[str], width: str = "1 day") -> list[str]:
+    """Labels of every ``width`` partition overlapping the given UTC days."""
+    return chunks_for_ranges([(to_utc(d), to_utc(d) + timedelta(days=1)) for d in days], width)
+
+
 def scan_days(spark: SparkSession, handle: str, days: list[str],
               width: str = "1 day") -> DataFrame:
     """Readings of the given UTC days, read only from the partitions that
@@ -165,6 +169,20 @@ def scan_days(spark: SparkSession, handle: str, days: list[str],
     return df.filter(in_days).select(*READING_COLUMNS)
 
 
+def in_ranges(ranges: list[tuple[datetime, datetime]], time_col: str = "timestamp") -> Column:
+    """Whether a time lies in one of some half-open ranges."""
+    return F.expr(" OR ".join(f"({' AND '.join(_time_sql(a, b, time_col))})" for a, b in ranges) or "false")
+
+
+def scan_ranges(spark: SparkSession, handle: str, ranges: list[tuple[datetime, datetime]],
+                width: str = "1 day") -> DataFrame:
+    """Readings of some time ranges: an ``IN`` list prunes the partitions, and
+    the ranges themselves are pushed down to the files' row groups."""
+    df = stored_readings(spark, handle)
+    wanted = F.col("chunk").isin(chunks_for_ranges(ranges, width)) & in_ranges(ranges)
+    return df.filter(wanted).select(*READING_COLUMNS)
+
+
 def scan_last(df: DataFrame, span: str = "1 day", as_of=None,
               time_col: str = "timestamp") -> DataFrame:
     """Rows of the last ``span`` before ``as_of`` (``NOW()`` when None)."""

@@ -1,25 +1,28 @@
-"""Days whose rollup rows are still to be published.
-
-A day touched by new rows stays pending for a rollup until a refresh whose
-window holds the whole day, so a bucket held back by the publish gap comes out
-later.  A day that falls below the window's start before such a refresh is
-missed: it stays in the table, and a refresh without a policy
-(``refresh_pending``) publishes it.  The state is one small table (rollup, day) per version; a version is written for every batch, from
-the newest one before it, so a replayed batch leaves the same state.
+"""Time ranges whose rollup rows are still to be published.
+
+New rows touch a range of each of their days.  What of it lies in a rollup's
+refresh window is recomputed at once; what lies above it (held back by the
+publish gap) stays pending and comes out when the window has reached it; what
+lies below it is missed, and waits for a refresh without a policy
+(``refresh_pending``).  The state is one small table (rollup, day, lo, hi) per
+version, times in microseconds; a version is written for every batch, from the
+newest one before it, so a replayed batch leaves the same state.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.functions.time import floor_to, to_utc
-from meterlake.operators.rollups import RefreshPolicy, refresh_window
+from meterlake.functions.time import day_label, to_utc
+from meterlake.operators.rollups import Ranges, RefreshPolicy, refresh_window
 from meterlake.sources import files
 
-SCHEMA = "rollup string, day string"
+SCHEMA = "rollup string, day string, lo bigint, hi bigint"
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 Rollups = dict[str, tuple[str, RefreshPolicy | None]]
 
 
@@ -36,40 +39,46 @@ def read_pending(spark: SparkSession, path: str, before: int | None = None) -> D
     return spark.read.schema(SCHEMA).parquet(f"{path}/{found[-1]}")
 
 
-def add_touched(pending: DataFrame, days: DataFrame, rollups: Rollups) -> DataFrame:
-    """Pending days with the days (column ``day``) of new rows, for every rollup."""
+def touched_ranges(rows: DataFrame, time_col: str = "timestamp") -> DataFrame:
+    """``day, lo, hi``: the half-open range of each day in which rows lie."""
+    at = F.unix_micros(time_col)
+    return rows.groupBy(day_label(time_col).alias("day")).agg(F.min(at).alias("lo"), (F.max(at) + 1).alias("hi"))
+
+
+def add_touched(pending: DataFrame, touched: DataFrame, rollups: Rollups) -> DataFrame:
+    """Pending ranges with those of new rows, for every rollup."""
     names = F.explode(F.array(*(F.lit(r) for r in rollups)))
-    return pending.unionByName(days.select(names.alias("rollup"), "day")).distinct()
+    return pending.unionByName(touched.select(names.alias("rollup"), "day", "lo", "hi"))
 
 
-def days_in_window(pending: DataFrame, rollup: str, width: str, policy: RefreshPolicy | None, as_of) -> list[str]:
-    """Pending days that meet the refresh window: at most as many as it has days."""
-    days = pending.filter(F.col("rollup") == rollup)
-    if policy is not None:
-        lo, hi = refresh_window(policy, as_of, width)
-        days = days.filter((F.col("day") >= floor_to(lo, "1 day").strftime("%Y-%m-%d"))
-                           & (F.col("day") < _ceiling(hi)))
-    return sorted(r[0] for r in days.select("day").collect())
+def _micros(t: datetime) -> int:
+    return (t - _EPOCH) // timedelta(microseconds=1)
 
 
-def _ceiling(hi) -> str:
-    """The first day that begins at or after ``hi``."""
-    day = floor_to(hi, "1 day")
-    return (day if day == hi else day + timedelta(days=1)).strftime("%Y-%m-%d")
+def ranges_in_window(pending: DataFrame, rollup: str, width: str, policy: RefreshPolicy | None, as_of) -> Ranges:
+    """Pending ranges of a rollup that meet its refresh window, a few per day of it."""
+    rows = pending.filter(F.col("rollup") == rollup)
+    if policy is not None:
+        lo, hi = refresh_window(policy, as_of, width)
+        rows = rows.filter((F.col("hi") > _micros(lo)) & (F.col("lo") < _micros(hi)))
+    at = lambda m: _EPOCH + timedelta(microseconds=m)
+    return [(at(r.lo), at(r.hi)) for r in rows.groupBy("day").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()]
 
 
 def still_pending(pending: DataFrame, rollups: Rollups, as_of) -> DataFrame:
-    """What a refresh of all rollups at ``as_of`` leaves: days not wholly
-    inside the window, be it that its end has not reached them or that its
-    start has passed them (missed)."""
-    done = F.lit(False)
+    """What a refresh of all rollups at ``as_of`` leaves of the ranges: at most
+    one held back and one missed per rollup and day."""
+    named = F.col("rollup")
+    rest = [pending.filter(~named.isin(list(rollups))).withColumn("held", F.lit(True))]
     for name, (width, policy) in rollups.items():
-        last = F.lit(True)
         if policy is not None:
-            lo, hi = refresh_window(policy, to_utc(as_of), width)
-            last = (F.col("day") >= _ceiling(lo)) & (F.col("day") < floor_to(hi, "1 day").strftime("%Y-%m-%d"))
-        done = done | ((F.col("rollup") == name) & last)
-    return pending.filter(~done)
+            lo, hi = map(_micros, refresh_window(policy, to_utc(as_of), width))
+            mine, top = pending.filter(named == name), F.lit(max(lo, hi))
+            held = mine.filter(F.col("hi") > top).withColumn("lo", F.greatest("lo", top))
+            missed = mine.filter(F.col("lo") < lo).withColumn("hi", F.least("hi", F.lit(lo)))
+            rest += [held.withColumn("held", F.lit(True)), missed.withColumn("held", F.lit(False))]
+    return (reduce(DataFrame.unionByName, rest).groupBy("rollup", "day", "held")
+            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("rollup", "day", "lo", "hi"))
 
 
 def write_pending(spark: SparkSession, path: str, batch_id: int, pending: DataFrame, keep: int = 3) -> None:

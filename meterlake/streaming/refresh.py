@@ -1,9 +1,9 @@
 """Structured Streaming jobs for the rollups.
 
 ``stream_refresh`` (main path) is the scheduled refresh: each micro-batch
-appends its rows to the raw table and refreshes the days that are pending
-(touched by this or an earlier batch) inside each rollup's window.  Raw rows land in partition ``(chunk, ingest_batch)``
-with dynamic overwrite, so replaying a batch id rewrites that batch's
+appends its rows to the raw table and refreshes the ranges that are pending
+(touched by this or an earlier batch) inside each rollup's window, finest tier
+first.  Raw rows land in partition ``(chunk, ingest_batch)`` with dynamic overwrite, so replaying a batch id rewrites that batch's
 partition instead of duplicating it, and the refresh itself is idempotent.
 Two late-data horizons (publish gap and correction window) stay exact,
 which a single watermark cannot express.
@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.functions.time import BUCKET_ORIGIN, day_label, to_utc, width_micros
-from meterlake.operators.rollups import ROLLUP_COLUMNS, refresh_days, refresh_rollup
+from meterlake.operators.rollups import ROLLUP_COLUMNS, Finer, refresh_rollup, refresh_window
 from meterlake.session import write_conf
 from meterlake.sources.catalog import location
-from meterlake.sources.layout import cluster_by_chunk, scan_days, with_chunk
+from meterlake.sources.layout import cluster_by_chunk, with_chunk
 from meterlake.sources.schema import READINGS, derive_measures, split_valid
 from meterlake.streaming import pending as P
 from meterlake.streaming.pending import Rollups
@@ -67,8 +67,8 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, raw_table
     Returns the days that were refreshed in some rollup.  ``rollups`` maps a
     rollup table to ``(width, policy)`` and may be empty; ``as_of`` defaults
     to the current time.  Rows that break a constraint are written to
-    ``rejects`` (by batch id), days whose buckets the refresh window does not
-    reach yet stay in ``pending``; both default to folders beside the table.
+    ``rejects`` (by batch id), ranges that the refresh window does not reach
+    yet stay in ``pending``; both default to folders beside the table.
     """
     now = to_utc(as_of) if as_of is not None else datetime.now(timezone.utc)
     good, bad = split_valid(batch)
@@ -82,9 +82,11 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, raw_table
     if not rollups:
         return []
     pending = pending or pending_path(spark, raw_table)
-    days = good.select(day_label("timestamp").alias("day")).distinct()
-    state = P.add_touched(P.read_pending(spark, pending, before=batch_id), days, rollups)
-    return _refresh_pending(spark, raw_table, rollups, raw_width, now, pending, state, batch_id)
+    state = P.add_touched(P.read_pending(spark, pending, before=batch_id), P.touched_ranges(good), rollups).persist()
+    try:
+        return _refresh_pending(spark, raw_table, rollups, raw_width, now, pending, state, batch_id)
+    finally:
+        state.unpersist()
 
 
 def refresh_pending(spark: SparkSession, raw_table: str, rollups: Rollups, as_of=None,
@@ -106,21 +108,22 @@ def refresh_pending(spark: SparkSession, raw_table: str, rollups: Rollups, as_of
 
 def _refresh_pending(spark: SparkSession, raw_table: str, rollups: Rollups, raw_width: str, now: datetime,
                      pending: str, state: DataFrame, batch_id: int | None) -> list[str]:
-    wanted = {name: P.days_in_window(state, name, width, policy, now) for name, (width, policy) in rollups.items()}
-    needed = sorted({d for name, (width, policy) in rollups.items()
-                     for d in refresh_days(policy, now, width, wanted[name])[0]})
-    if needed:
-        # Read the raw rows of every day any tier rewrites once, for all tiers.
-        raw_rows = scan_days(spark, raw_table, needed, raw_width).persist()
-        try:
-            for name, (width, policy) in rollups.items():
-                refresh_rollup(spark, raw_table, name, width, raw_width, policy, now, wanted[name],
-                               raw_rows=raw_rows)
-        finally:
-            raw_rows.unpersist()
-    if batch_id is not None:  # without a batch the next one finds the same days, and refreshes them again
+    """Refresh the pending ranges in each window, finest tier first.
+
+    A coarser tier is merged from the one refreshed before it where that
+    tier's window has its buckets, so raw rows are read once, in the touched
+    ranges only.  This holds as long as each rollup has the state of all raw
+    rows inside its window: build a tier in full before adding it to a stream.
+    """
+    days: set[str] = set()
+    finer = None
+    for name, (width, policy) in sorted(rollups.items(), key=lambda r: width_micros(r[1][0])):
+        touched = P.ranges_in_window(state, name, width, policy, now)
+        days.update(refresh_rollup(spark, raw_table, name, width, raw_width, policy, now, touched=touched, finer=finer))
+        finer = Finer(name, width, refresh_window(policy, now, width) if policy else None)
+    if batch_id is not None:  # without a batch the next one finds the same ranges, and refreshes them again
         P.write_pending(spark, pending, batch_id, P.still_pending(state, rollups, now))
-    return needed
+    return sorted(days)
 
 
 def stream_refresh(spark: SparkSession, source: str, raw_table: str,

@@ -232,14 +232,14 @@ def test_compaction_leaves_uncommitted_and_later_batches(spark, make_readings, m
     tiers = {rollup: ("1 day", None)}
     for i in range(3):
         ingest_batch(spark, make_readings(_grid("2024-01-01 00:00:00", 8, float(i))), i, raw, tiers)
-    publish = L._publish
+    rewritten = L._rewritten
 
     def late(*args):
         ingest_batch(spark, make_readings(_grid("2024-01-01 08:00:00", 4, 9.0)), 3, raw, tiers)
-        return publish(*args)
-    monkeypatch.setattr(L, "_publish", late)
+        return rewritten(*args)
+    monkeypatch.setattr(L, "_rewritten", late)
     assert L.compact_partitions(spark, raw, "1 day").count() == 1
-    monkeypatch.setattr(L, "_publish", publish)
+    monkeypatch.setattr(L, "_rewritten", rewritten)
     batches = lambda: {r[0] for r in spark.sql(f"select distinct ingest_batch from {raw}").collect()}
     assert batches() == {-1, 2, 3} and spark.table(raw).count() == 28
     # the newest batch is replayed after compaction: nothing is counted twice
@@ -248,3 +248,81 @@ def test_compaction_leaves_uncommitted_and_later_batches(spark, make_readings, m
     assert spark.table(rollup).agg(F.sum("reading_count")).first()[0] == 28
     assert L.compact_partitions(spark, raw, "1 day", committed_below=4).count() == 1
     assert batches() == {-1} and spark.table(raw).count() == 28
+
+
+def _three_tiers(spark):
+    tiers = {}
+    for name, (width, policy) in R.TIERS.items():
+        table = unique_table(f"s_tier_{name}")
+        create_rollup_table(spark, table, scratch_path(spark, "s-tier"))
+        tiers[table] = (width, policy)
+    return tiers
+
+
+def _files_by_day(spark, table):
+    out = {}
+    for f in spark.table(table).inputFiles():
+        out.setdefault(f.split("/day=")[1].split("/")[0], set()).add(f)
+    return out
+
+
+def test_a_late_row_costs_its_range_and_one_day_per_tier(spark, make_readings, monkeypatch):
+    """Five days of rows, then one late row: raw rows are read once, in its
+    15 minutes; the other tiers are merged, and one day of each is rewritten."""
+    from meterlake.streaming import refresh as S
+    raw, _ = _tables(spark)
+    tiers = _three_tiers(spark)
+    ingest_batch(spark, make_readings(_grid("2024-01-01 00:00:00", 120 * 4, 2.0, 15)), 0, raw, tiers, as_of="2024-01-06")
+    before = {t: _files_by_day(spark, t) for t in tiers}
+    scans, scan = [], R.scan_ranges
+
+    def seen(spark, handle, ranges, width):
+        df = scan(spark, handle, ranges, width)
+        scans.append((ranges, df))
+        return df
+    monkeypatch.setattr(R, "scan_ranges", seen)
+    late = make_readings([("2024-01-04 10:20:00", "1000000001", 9.0)])
+    assert S.ingest_batch(spark, late, 1, raw, tiers, as_of="2024-01-06") == ["2024-01-04"]
+    (ranges, df), = scans
+    assert [(a.isoformat(), b.isoformat()) for a, b in ranges] == [("2024-01-04T10:15:00+00:00", "2024-01-04T10:30:00+00:00")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "chunk" in plan and "PushedFilters: [" in plan and "GreaterThanOrEqual(timestamp,2024-01-04 10:15:00" in plan
+    assert {f.split("/chunk=")[1][:13] for f in df.inputFiles()} <= {"2024-01-04-00"} and df.count() == 2
+    for t in tiers:
+        after = _files_by_day(spark, t)
+        assert [d for d in after if after[d] != before[t].get(d)] == ["2024-01-04"]
+        width, policy = tiers[t]
+        lo, hi = R.refresh_window(policy, "2024-01-06", width)
+        want = R.rollup_state(spark.table(raw), width).filter((F.col("bucket") >= F.lit(lo)) & (F.col("bucket") < F.lit(hi)))
+        cols = ["meter_id", "bucket", "reading_count", "power_count", "max_power", "min_power", "sum_power"]
+        assert sorted(spark.table(t).select(*cols).collect()) == sorted(want.select(*cols).collect())
+
+
+def test_random_batches_leave_what_a_rebuild_gives(spark, make_readings):
+    """Late and early rows in any order: within its window each tier equals its rebuild."""
+    import random
+    from datetime import timedelta
+    from meterlake.functions.time import to_utc
+    rng = random.Random(2)
+    raw, _ = _tables(spark)
+    tiers, now = _three_tiers(spark), to_utc("2024-01-10")
+    for i in range(5):
+        now += timedelta(hours=rng.choice([1, 5, 26]))
+        rows = [((now - timedelta(minutes=rng.choice([-30, 5, 50, 300, 4000, 9000, 40000, 50000]) + rng.randint(0, 400)))
+                 .strftime("%Y-%m-%d %H:%M:%S"), f"100000000{rng.randint(0, 3)}", float(rng.randint(1, 9))) for _ in range(40)]
+        ingest_batch(spark, make_readings(rows), i, raw, tiers, as_of=now)
+        cols = ["meter_id", "bucket", "reading_count", "max_power", "min_power", "sum_power"]
+        for t, (width, policy) in tiers.items():
+            lo, hi = R.refresh_window(policy, now, width)
+            inside = (F.col("bucket") >= F.lit(lo)) & (F.col("bucket") < F.lit(hi))
+            want = R.rollup_state(spark.table(raw), width).filter(inside).select(*cols)
+            assert sorted(spark.table(t).filter(inside).select(*cols).collect()) == sorted(want.collect())
+
+
+def test_ranges_are_split_at_the_finer_window():
+    from meterlake.functions.time import to_utc
+    t = lambda h: to_utc(f"2024-01-01 {h:02d}:00:00")
+    assert R._split([(t(0), t(10))], (t(3), t(7)), "1 hour") == ([(t(3), t(7))], [(t(0), t(3)), (t(7), t(10))])
+    assert R._split([(t(0), t(2)), (t(4), t(5))], (t(3), t(7)), "1 hour") == ([(t(4), t(5))], [(t(0), t(2))])
+    assert R._split([(t(0), t(2))], None, "1 hour") == ([(t(0), t(2))], [])
+    assert R.whole_buckets([(t(1), t(2)), (t(4), t(5)), (t(2), t(3))], "2 hours") == [(t(0), t(6))]
