@@ -223,6 +223,28 @@ def completeness(df: DataFrame, per_day: int = 288, key_col: str = KEY,
             .withColumn("missing", F.lit(per_day) - F.col("readings")))
 
 
+def completeness_calendar(df: DataFrame, per_day: int = 288, start=None, end=None, key_col: str = KEY,
+                          time_col: str = TS) -> DataFrame:
+    """Readings per meter and day of its calendar, days without any included.
+
+    A meter's calendar runs from its first to its last day with readings, or
+    over the days of ``[start, end)`` where given; a meter without any reading
+    does not appear.  Only the meter-day counts are grouped and joined again:
+    readings are shuffled once, as partial counts.
+    """
+    one_day = F.expr("INTERVAL 1 DAY")
+    bounds = time_bounds(start, end, time_col)
+    counts = (df if bounds is None else df.filter(bounds)).filter(F.col(time_col).isNotNull())
+    counts = counts.groupBy(F.col(key_col), time_bucket("1 day", time_col).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    first = F.min("day") if start is None else time_bucket("1 day", F.lit(to_utc(start)))
+    last = F.max("day") if end is None else time_bucket("1 day", F.lit(to_utc(end) - timedelta(microseconds=1)))
+    calendar = (counts.groupBy(key_col).agg(first.alias("first"), last.alias("last"))
+                .select(key_col, F.explode(F.sequence("first", "last", one_day)).alias("day")))
+    return (calendar.join(counts, [key_col, "day"], "left")
+            .select(key_col, "day", F.coalesce("n", F.lit(0)).cast("bigint").alias("readings"))
+            .withColumn("missing", F.lit(per_day) - F.col("readings")))
+
+
 # --- W1 / W2: windows over small grouped results -----------------------------
 
 def ranked_peaks(df: DataFrame, start=None, k: int = 10, **kw) -> DataFrame:

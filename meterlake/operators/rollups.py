@@ -199,6 +199,41 @@ def peak_hours(rollup_hourly: DataFrame, weighted: bool = False) -> DataFrame:
     return sorted_report(out, "hour_of_day")
 
 
+# --- distinct meters, mergeable -----------------------------------------------------
+
+def meter_sets(df: DataFrame, day: str = "day", key_col: str = "meter_id") -> DataFrame:
+    """Exact sets of meters per day, as bitmaps that merge by OR.
+
+    Columns ``day, id_length, bucket, other_id, meters``: ids of digits only
+    are bits at their number, a bitmap per 32,768 neighbouring numbers of one
+    length (so that ``01`` and ``1`` stay two meters); any other id is a row
+    of its own.  From readings or, cheaper, from a rollup tier.
+    """
+    digits = F.col(key_col).rlike("^[0-9]{1,18}$")
+    number = F.when(digits, F.col(key_col).try_cast("bigint"))
+    rows = df.filter(F.col(key_col).isNotNull()).select(
+        F.col(day).alias("day"), F.when(digits, F.length(key_col)).alias("id_length"),
+        F.bitmap_bucket_number(number + 1).alias("bucket"), F.bitmap_bit_position(number + 1).alias("bit"),
+        F.when(~digits, F.col(key_col)).alias("other_id"))
+    return (rows.groupBy("day", "id_length", "bucket", "other_id")
+            .agg(F.bitmap_construct_agg(F.coalesce("bit", F.lit(0).cast("bigint"))).alias("meters")))
+
+
+def distinct_meters(sets: DataFrame, *by: Column) -> DataFrame:
+    """Distinct meters of the sets' days, in groups ``by`` (all days: none)."""
+    names = [f"g{i}" for i in range(len(by))]
+    merged = (sets.select(*(c.alias(n) for c, n in zip(by, names)), "id_length", "bucket", "other_id", "meters")
+              .groupBy(*names, "id_length", "bucket", "other_id").agg(F.bitmap_or_agg("meters").alias("meters")))
+    return merged.groupBy(*names).agg(F.coalesce(F.sum(F.bitmap_count("meters")), F.lit(0)).cast("bigint").alias("n_meters"))
+
+
+def headline_from_rollup(daily: DataFrame, sets: DataFrame) -> DataFrame:
+    """Readings, meters and days spanned, without reading raw rows."""
+    return daily.agg(F.coalesce(F.sum("reading_count"), F.lit(0)).alias("readings"),
+                     distinct_meters(sets).scalar().alias("meters"),
+                     F.datediff(F.max(F.to_date("day")), F.min(F.to_date("day"))).alias("days"))
+
+
 def rollup_vs_raw(raw_answer: DataFrame, rollup_answer: DataFrame) -> DataFrame:
     """Rows only in the raw answer and only in the rollup answer (both 0: same), and the rows of each."""
     return tables_equal(raw_answer, rollup_answer.select(*raw_answer.columns))

@@ -333,6 +333,24 @@ def completeness(spark, sf_dir):
     return shape(Q.completeness(readings_of(spark, sf_dir), 288), ("day",))
 
 
+SQL_CALENDAR = READINGS_CTE + """
+, kept as (select meter_id, time_bucket(interval '1 day', "timestamp") as day from r
+           where (extract(day from "timestamp") + substr(meter_id, 8)::int) % 4 <> 0),
+spans as (select meter_id, min(day) as a, max(day) as b from kept group by 1),
+calendar as (select meter_id, unnest(generate_series(a, b, interval '1 day')) as day from spans)
+select c.meter_id, c.day, count(k.day) as readings, 288 - count(k.day) as missing
+from calendar c left join kept k on c.meter_id = k.meter_id and c.day = k.day group by 1, 2"""
+
+
+@register("completeness_calendar", SQL_CALENDAR)
+def completeness_calendar(spark, sf_dir):
+    """Readings per meter and calendar day, with planted empty days (each
+    meter loses every fourth day): those have 0 readings and 288 missing."""
+    kept = readings_of(spark, sf_dir).filter(
+        (F.dayofmonth("timestamp") + F.substring("meter_id", 8, 3).cast("int")) % 4 != 0)
+    return shape(Q.completeness_calendar(kept, 288), ("day",))
+
+
 # --- W1 / W2 / J6 ------------------------------------------------------------------
 
 SQL_REGION_SHARE = READINGS_CTE + """

@@ -20,7 +20,7 @@ from meterlake.operators import queries as Q
 from meterlake.operators import rollups as R
 from meterlake.plans.registry import (
     PROFILE_END, PROFILE_METER, PROFILE_START, Q1_START, Q2_START, READINGS_CTE,
-    SQL_HOURLY_AVG, SQL_METER_PROFILE, SQL_MONTHLY, SQL_PEAK_PERIODS, SQL_TABLE_STATS,
+    SQL_HEADLINE, SQL_HOURLY_AVG, SQL_METER_PROFILE, SQL_MONTHLY, SQL_PEAK_PERIODS, SQL_TABLE_STATS,
     readings_cte, readings_of, register, shape,
 )
 from meterlake.session import scratch_path, unique_table
@@ -290,6 +290,37 @@ def retention_partitions(spark, sf_dir):
         "chunk", F.lit(len(again)).cast("bigint").alias("dropped_again"))
 
 
+# --- A9 / A19: distinct meters from a rollup ------------------------------------------
+
+@register("distinct_meters_rollup", READINGS_CTE + """
+, d as (select time_bucket(interval '1 day', "timestamp") as day, meter_id from r)
+select 'day' as span, strftime(day, '%Y-%m-%d') as first_day, count(distinct meter_id) as n_meters from d group by day
+union all
+select 'week', strftime(date_trunc('week', day), '%Y-%m-%d'), count(distinct meter_id) from d group by date_trunc('week', day)
+union all
+select 'all', strftime(min(day), '%Y-%m-%d'), count(distinct meter_id) from d""")
+def distinct_meters_rollup(spark, sf_dir):
+    """Distinct meters of days, weeks and the whole span, merged
+    from the daily tier's sets of meters (raw rows are not counted again)."""
+    tables = {w: unique_table("energy_readings_rollup") for w in ("1 hour", "1 day")}
+    R.build_rollups(readings_of(spark, sf_dir), {t: w for w, t in tables.items()},
+                    locations={t: scratch_path(spark, "distinct-rollup") for t in tables.values()})
+    sets = R.meter_sets(spark.table(tables["1 day"]))
+    week = F.date_format(F.date_trunc("week", F.to_timestamp("day")), "yyyy-MM-dd")
+    parts = [R.distinct_meters(sets, F.lit("day"), F.col("day")), R.distinct_meters(sets, F.lit("week"), week)]
+    whole = R.distinct_meters(sets).select(F.lit("all").alias("g0"), sets.agg(F.min("day")).scalar().alias("g1"), "n_meters")
+    return reduce(DataFrame.unionByName, [*parts, whole]).select(
+        F.col("g0").alias("span"), F.col("g1").alias("first_day"), "n_meters")
+
+
+@register("headline_rollup", SQL_HEADLINE)
+def headline_rollup(spark, sf_dir):
+    """A19 from the daily tier and its sets of meters."""
+    table = unique_table("energy_readings_daily")
+    R.build_rollup(readings_of(spark, sf_dir), table, "1 day", location=scratch_path(spark, "headline-rollup"))
+    return R.headline_from_rollup(spark.table(table), R.meter_sets(spark.table(table)))
+
+
 # --- S2 / S3 / S8 / P4 / P5: ingest ---------------------------------------------------
 
 SQL_INGEST = READINGS_CTE + """

@@ -170,3 +170,31 @@ def test_bounded_range_report_keeps_every_bucket(spark, make_readings):
     got = Q.hourly_avg(raw, "2024-01-04", "2024-01-05").collect()
     assert [r.hour for r in got] == [ts("2024-01-04 00:00:00") + timedelta(hours=h)
                                      for h in range(24)]
+
+
+def test_meter_sets_are_exact_and_merge(spark):
+    """Leading zeros, other ids, neighbours over a bitmap's edge, NULLs."""
+    ids = ["1", "01", "001", "0", "00", "32767", "32768", "32769", "99999", "A1", "a1", "é", "", None, "-5", "9999999999"]
+    rows = [(f"2024-01-{1 + i % 3:02d}", m) for i, m in enumerate(ids)] + [("2024-01-01", "1"), ("2024-01-02", "1"), ("2024-01-05", None)]
+    df = spark.createDataFrame(rows, "day string, meter_id string")
+    sets = R.meter_sets(df)
+    assert R.distinct_meters(sets).first().n_meters == len({m for _, m in rows if m is not None})
+    got = {r.g0: r.n_meters for r in R.distinct_meters(sets, F.col("day")).collect()}
+    assert got == {d: len({m for e, m in rows if e == d and m is not None}) for d in got}
+    two = sets.filter("day <= '2024-01-02'")
+    assert R.distinct_meters(two).first().n_meters == len({m for d, m in rows if d <= "2024-01-02" and m is not None})
+    assert R.distinct_meters(sets.limit(0)).first().n_meters == 0
+
+
+def test_calendar_fills_days_without_readings(make_readings):
+    from datetime import datetime
+    rows = [("2024-01-02 10:00:00", "1000000001", 1.0), ("2024-01-02 11:00:00", "1000000001", 1.0),
+            ("2024-01-05 00:00:00", "1000000001", 1.0), ("2024-01-04 23:59:59", "2000000002", 1.0), (None, "3000000003", 1.0)]
+    df = make_readings(rows)
+    got = lambda out: sorted((r.meter_id[0], r.day.day, r.readings, r.missing) for r in out.collect())
+    assert got(Q.completeness_calendar(df, 3)) == [
+        ("1", 2, 2, 1), ("1", 3, 0, 3), ("1", 4, 0, 3), ("1", 5, 1, 2), ("2", 4, 1, 2)]
+    ranged = got(Q.completeness_calendar(df, 3, "2024-01-01", "2024-01-05"))
+    assert [x for x in ranged if x[0] == "1"] == [("1", 1, 0, 3), ("1", 2, 2, 1), ("1", 3, 0, 3), ("1", 4, 0, 3)]
+    assert [x[1:3] for x in ranged if x[0] == "2"] == [(1, 0), (2, 0), (3, 0), (4, 1)]
+    assert isinstance(Q.completeness_calendar(df, 3).first().day, datetime)
