@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 from meterlake.functions.format import human_bytes, savings_pct, sorted_report
 from meterlake.functions.time import parse_label, to_utc, width_micros
 from meterlake.operators.rollups import TIERS, RefreshPolicy
+from meterlake.session import TIME_CONF, session_conf
 from meterlake.sources import files
 from meterlake.sources.catalog import (
     MERGED_BATCH, REWRITTEN, list_folders, list_partitions, location, partition_spec,
 )
-from meterlake.sources.layout import cluster_by_chunk
+from meterlake.sources.layout import Z_ORDER, cluster_by_chunk, cluster_by_z
 from meterlake.sources.schema import READING_COLUMNS, is_table, stored_readings
 
 COMPACT_ORDER = ("-timestamp",)
@@ -78,9 +79,14 @@ def _run_of(folder: str) -> str | None:
 def compact_partitions(spark: SparkSession, table: str, width: str = "1 day",
                        order_by: tuple[str, ...] = COMPACT_ORDER, codec: str = "zstd",
                        older_than: str | None = None, as_of=None,
-                       name: str | None = None, committed_below: int | None = None) -> DataFrame:
+                       name: str | None = None, committed_below: int | None = None,
+                       row_group_bytes: int | None = None) -> DataFrame:
     """Rewrite eligible partitions sorted by ``order_by`` with ``codec``.
 
+    ``order_by=Z_ORDER`` sorts along a curve through time and meters, for
+    tables that are asked by both; ``row_group_bytes`` sets how fine readers
+    can skip.
+
     Returns the statistics of the partitions rewritten now (table, chunk,
     status, before_bytes, after_bytes); ``compaction_stats`` has those of all
     runs.  Partitions that an earlier run left in this order and codec, and
@@ -125,8 +131,13 @@ def compact_partitions(spark: SparkSession, table: str, width: str = "1 day",
     root = f"{location(spark, table).rstrip('/')}/{REWRITTEN}/{run}" + (f"/below={committed_below}" if batched else "")
     # Default AQE sizing (not the small-write spread): compaction is about
     # fewer, larger files per partition.
-    (cluster_by_chunk(source.select(*READING_COLUMNS, "chunk"), order_by)
-     .write.option("compression", codec).partitionBy("chunk").parquet(root))
+    rows = source.select(*READING_COLUMNS, "chunk")
+    rows = cluster_by_z(rows, width) if tuple(order_by) == Z_ORDER else cluster_by_chunk(rows, order_by)
+    writer = rows.write.option("compression", codec)
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    with session_conf(spark, TIME_CONF):
+        writer.partitionBy("chunk").parquet(root)
     n_src, n_written = source.count(), spark.read.schema(source.schema).parquet(root).count()
     if n_src != n_written:  # both counts come from file footers
         raise RuntimeError(f"compaction wrote {n_written} rows for {n_src}; nothing replaced")

@@ -22,7 +22,7 @@ from meterlake.functions.time import (
 )
 from meterlake.functions.format import sorted_report
 from meterlake.operators.queries import region_of, tables_equal
-from meterlake.session import session_conf, staging_path, write_conf
+from meterlake.session import TIME_CONF, session_conf, staging_path, write_conf
 from meterlake.sources import files
 from meterlake.sources.layout import in_ranges, scan_ranges
 
@@ -357,7 +357,7 @@ def refresh_rollup(spark: SparkSession, raw_handle: str, table: str, width: str,
          .partitionBy("day").parquet(staging))
     staged = spark.read.schema(spark.table(table).schema).parquet(staging)
     written = {r[0] for r in staged.select("day").distinct().collect()}
-    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic", **TIME_CONF}):
         staged.select(*ROLLUP_COLUMNS).write.insertInto(table, overwrite=True)
     empty = [d for d in days if d not in written]
     if empty:

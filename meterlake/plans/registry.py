@@ -19,6 +19,7 @@ from meterlake.functions.format import sorted_report
 from meterlake.functions.time import as_ntz
 from meterlake.operators import queries as Q
 from meterlake.session import configure
+from meterlake.sources.layout import scan_last
 from meterlake.sources.schema import events_readings
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -351,6 +352,24 @@ def completeness_calendar(spark, sf_dir):
     return shape(Q.completeness_calendar(kept, 288), ("day",))
 
 
+SQL_LAST_DAY = READINGS_CTE + """
+select substring(meter_id, 1, 1) as region, count(*) as readings, round(avg(power), 9) as avg_power
+from r where "timestamp" >= (select max(ts) from events) - interval '1 day' group by 1"""
+
+
+@register("last_day_now", SQL_LAST_DAY)
+def last_day_now(spark, sf_dir):
+    """The last day before the real clock, on readings shifted so
+    that the newest one is from now."""
+    df = readings_of(spark, sf_dir)
+    newest = df.agg(F.max(F.unix_micros("timestamp"))).scalar()
+    shift = F.unix_micros(F.current_timestamp()) - newest
+    shifted = df.withColumn("timestamp", F.timestamp_micros(F.unix_micros("timestamp") + shift))
+    out = scan_last(shifted, "1 day").groupBy(Q.region_of("meter_id").alias("region")).agg(
+        F.count(F.lit(1)).alias("readings"), F.avg("power").alias("avg_power"))
+    return shape(out, rounded=("avg_power",))
+
+
 # --- W1 / W2 / J6 ------------------------------------------------------------------
 
 SQL_REGION_SHARE = READINGS_CTE + """

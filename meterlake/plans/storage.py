@@ -25,7 +25,7 @@ from meterlake.plans.registry import (
 )
 from meterlake.session import scratch_path, unique_table
 from meterlake.sources import catalog as C
-from meterlake.sources.layout import append_readings, relayout, scan_range, write_partitioned
+from meterlake.sources.layout import Z_ORDER, append_readings, relayout, scan_range, write_partitioned
 from meterlake.sources.schema import derive_measures, readings, readings_from_events
 
 # The reference's three layouts (table name, partition width).
@@ -159,6 +159,15 @@ def compacted_table_stats(spark, sf_dir):
     return shape(Q.table_stats(readings(spark, table)), rounded=("avg_power",))
 
 
+@register("compacted_z_profile", SQL_METER_PROFILE)
+def compacted_z_profile(spark, sf_dir):
+    """A5 after compacting along time and meters at once (same answer)."""
+    table = write_layout(spark, sf_dir, "1w", as_table=True)
+    L.compact_partitions(spark, table, "1 week", order_by=Z_ORDER)
+    rows = scan_range(spark, table, PROFILE_START, PROFILE_END, "1 week")
+    return shape(Q.meter_profile(rows, PROFILE_METER, PROFILE_START, PROFILE_END), ("bucket",), ("avg_power",))
+
+
 def _compacted_layouts(spark: SparkSession, sf_dir: str) -> dict[str, tuple[str, str]]:
     """The three layouts with everything older than 24 hours at ``COMPACT_AS_OF`` compacted."""
     tables = {LAYOUTS[k][0]: (write_layout(spark, sf_dir, k, as_table=True), LAYOUTS[k][1]) for k in LAYOUTS}

@@ -47,6 +47,45 @@ def cluster_by_chunk(df: DataFrame, order: tuple[str, ...] = DEFAULT_SORT,
     return parts.sortWithinPartitions(F.col("chunk"), *_sort_cols(order))
 
 
+# Order of rows along a curve through time and meters, in place of column names.
+Z_ORDER = ("z",)
+Z_BITS = 5
+
+
+def _spread(x: Column, bits: int) -> Column:
+    """A number with a zero between any two of its ``bits`` bits."""
+    out = F.lit(0)
+    for i in range(bits):
+        out = out + F.shiftleft(F.shiftright(x, i).bitwiseAND(F.lit(1)), 2 * i)
+    return out
+
+
+def z_value(df: DataFrame, width: str, bits: int = Z_BITS) -> Column:
+    """Interleaved bits of a row's place in its partition's time range and of
+    its meter's rank: neighbours in both are neighbours in number.
+
+    Ranks come from ``2**bits - 1`` quantiles of the ids (numbers, or the
+    first bytes of other ids), which is all that reaches the driver.
+    """
+    w = width_micros(width)
+    image = F.coalesce(F.col("meter_id").try_cast("bigint"),
+                       F.conv(F.hex(F.substring(F.rpad("meter_id", 7, " "), 1, 7)), 16, 10).try_cast("bigint"), F.lit(0))
+    cuts = [i / 2 ** bits for i in range(1, 2 ** bits)]
+    bounds = sorted(set(df.agg(F.percentile_approx(image, cuts, 100 * 2 ** bits)).first()[0] or []))
+    rank = sum(((image > F.lit(b)).cast("int") for b in bounds), F.lit(0))
+    at = F.coalesce(F.pmod(F.unix_micros("timestamp"), F.lit(w)), F.lit(0))
+    place = F.floor(at * 2 ** bits / F.lit(w)).cast("int")
+    return _spread(rank, bits) * 2 + _spread(place, bits)
+
+
+def cluster_by_z(df: DataFrame, width: str, bits: int = Z_BITS) -> DataFrame:
+    """Like ``cluster_by_chunk``, along the curve: a file, and each row group
+    of it, covers a small range of meters and of times."""
+    rows = df.withColumn("z", z_value(df, width, bits))
+    return (rows.repartitionByRange("chunk", "z", "meter_id", "timestamp")
+            .sortWithinPartitions("chunk", "z", "meter_id", F.col("timestamp").desc()).drop("z"))
+
+
 def with_chunk(df: DataFrame, width: str) -> DataFrame:
     return df.select(*READING_COLUMNS).withColumn("chunk", chunk_label(width, "timestamp"))
 

@@ -321,3 +321,53 @@ def test_shared_folder_is_needed_off_local(monkeypatch):
         conf, sparkContext = Conf(), Context()
     with pytest.raises(RuntimeError):
         session.checkpoint_root(Session())
+
+
+def _row_groups(spark, table, column, low, high):
+    """Row groups whose range of a column meets [low, high], and all of them."""
+    import pyarrow.parquet as pq
+    from urllib.parse import unquote, urlparse
+    hit = total = 0
+    for f in spark.table(table).inputFiles():
+        meta = pq.ParquetFile(unquote(urlparse(f).path)).metadata
+        k = meta.schema.names.index(column)
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(k).statistics
+            total += 1
+            hit += stats.min <= high and stats.max >= low
+    return hit, total
+
+
+def test_z_order_serves_time_and_meter(spark):
+    """One week-wide table, compacted three ways: row groups that a reader of
+    one meter, and of six hours, cannot skip."""
+    from datetime import datetime
+    from meterlake.sources.layout import Z_ORDER
+    rows = spark.range(120_000).select(
+        F.timestamp_micros(F.lit(1704326400000000) + F.pmod(F.xxhash64("id"), F.lit(7 * 86400)) * 1000000).alias("timestamp"),
+        F.lpad((F.pmod(F.xxhash64("id", F.lit(1)), F.lit(500))).cast("string"), 10, "0").alias("meter_id"),
+        *(F.rand(3).alias(c) for c in ("power", "voltage", "current", "frequency", "energy")))
+    hits, answers = {}, set()
+    for name, order in (("time", L.COMPACT_ORDER), ("meter", ("meter_id", "-timestamp")), ("z", Z_ORDER)):
+        table = unique_table("t_z")
+        write_partitioned(rows, table, "1 week", location=scratch_path(spark, "t-z"))
+        assert L.compact_partitions(spark, table, "1 week", order_by=order, row_group_bytes=40_000).count() == 1
+        one, total = _row_groups(spark, table, "meter_id", "0000000250", "0000000250")
+        hours, _ = _row_groups(spark, table, "timestamp", datetime(2024, 1, 6).astimezone(), datetime(2024, 1, 6, 6).astimezone())
+        hits[name] = one / total, hours / total
+        assert total > 40
+        df = readings(spark, table)
+        answers.add((df.filter("meter_id = '0000000250'").count(), df.filter("timestamp < '2024-01-06'").count(), df.count()))
+        assert L.compact_partitions(spark, table, "1 week", order_by=order).count() == 0
+    assert len(answers) == 1
+    assert hits["time"][0] > 0.9 and hits["meter"][1] > 0.9  # each order serves one question only
+    assert hits["z"][0] < 0.3 and hits["z"][1] < 0.3
+
+
+def test_z_order_of_odd_ids(spark, make_readings):
+    from meterlake.sources.layout import Z_ORDER
+    table = unique_table("t_odd_z")
+    rows = make_readings([("2024-01-01 00:00:00", m, 1.0) for m in ("A", "9999999999", "é", "", "-4", "0000000001")])
+    write_partitioned(rows, table, "1 day", location=scratch_path(spark, "t-odd-z"))
+    before = _rows(spark, table)
+    assert L.compact_partitions(spark, table, order_by=Z_ORDER).count() == 1 and _rows(spark, table) == before
