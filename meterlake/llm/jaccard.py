@@ -242,72 +242,90 @@ def verified(pairs: DataFrame, arrays: DataFrame, percent: int = PERCENT, bounde
     return _both(pairs, arrays, set="shingles").transform(by_batch, _exact_rows(percent), "a bigint, b bigint")
 
 
-def _cell_pairs(nearest: bool, percent: int):
-    """Pairs of a cell's two blocks that are still apart and may be similar.
+def _apart(cell: dict[str, np.ndarray], maps: np.ndarray, forest: bool, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of rows of a cell that are apart and may be similar.
 
-    ``nearest``: for a set and another component only the pair with the
-    fewest differing bits.
+    Rows of two blocks meet crosswise.  ``forest``: a pair joins its two
+    components for the rest of the cell, so there are fewer pairs than
+    components; of two components the row's nearest pair is taken.
     """
-    def pairs(rows: list[dict]) -> list[tuple[int, int]]:
-        maps = narrowed([r["bits"] for r in rows])
-        col = lambda c: np.array([r[c] for r in rows])
-        sizes, root, node, upper, block = map(col, ("n", "root", "node", "is_upper", "block"))
+    root, block = cell["root"].copy(), cell["block"]
+    upper, pivot = cell["is_upper"] > 0, cell["is_pivot"] > 0
+    crosswise = cell["i"][0] != cell["j"][0]
+    for k in range(1, len(root)):
+        ok, bits = may_link(maps[:k + 1], cell["n"][:k + 1], k, percent)
+        ok = ok[:k] & (root[:k] != root[k]) & ~(upper[:k] & upper[k]) & ~(pivot[:k] | pivot[k])
+        if crosswise:
+            ok &= block[:k] != block[k]
+        hits = np.flatnonzero(ok)
+        if forest and len(hits):
+            hits = hits[np.lexsort((bits[hits], root[hits]))]
+            hits = hits[np.append(True, np.diff(root[hits]) != 0)]
+            root[np.isin(root, root[hits])] = root[k]
+        yield from ((int(h), k) for h in hits)
+
+
+def _cell_pairs(forest: bool, percent: int):
+    numbers = ("key", "i", "j", "block", "node", "is_upper", "is_pivot", "root", "n")
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        """Pairs of whole cells."""
+        col = {c: rows.column(c).to_numpy() for c in numbers}
+        bits = rows.column("bits").to_pylist()
+        new = np.flatnonzero(np.any([np.diff(col[c]) != 0 for c in ("key", "i", "j")], axis=0)) + 1
         out = []
-        same_block = rows[0]["i"] == rows[0]["j"]
-        for k in range(len(rows)):
-            ok, bits = may_link(maps, sizes, k, percent)
-            ok &= (root != root[k]) & ~(upper & upper[k])
-            ok &= (np.arange(len(rows)) < k) if same_block else (block > block[k])
-            hits = np.flatnonzero(ok)
-            if nearest and len(hits):
-                hits = hits[np.lexsort((bits[hits], root[hits]))]
-                hits = hits[np.append(True, np.diff(root[hits]) != 0)]
-            out += [(min(int(node[k]), int(node[h])), max(int(node[k]), int(node[h]))) for h in hits]
-        return out
+        for s, e in zip([0, *new.tolist()], [*new.tolist(), len(bits)]):
+            cell = {c: x[s:e] for c, x in col.items()}
+            if e - s > 1 and (cell["root"] != cell["root"][0]).any():
+                out += [(col["node"][s + a], col["node"][s + b])
+                        for a, b in _apart(cell, narrowed(bits[s:e]), forest, percent)]
+        ends = np.sort(np.array(out, np.int64).reshape(-1, 2), axis=1)
+        return pa.record_batch([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            a, b = zip(*found) if found else ((), ())
-            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-        cell, held = None, []
+        held: list[pa.RecordBatch] = []  # rows of the open cell
         for batch in batches:
-            for r in batch.to_pylist():
-                if (r["key"], r["i"], r["j"]) != cell:
-                    if len(held) > 1:
-                        yield batch_of(pairs(held))
-                    cell, held = (r["key"], r["i"], r["j"]), []
-                held.append(r)
-        if len(held) > 1:
-            yield batch_of(pairs(held))
+            if not batch.num_rows:
+                continue
+            col = [batch.column(c).to_numpy() for c in ("key", "i", "j")]
+            last = len(col[0]) - int(np.argmin(np.append(np.all([x[::-1] == x[-1] for x in col], axis=0), False)))
+            ends = not held or any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in ("key", "i", "j"))
+            if last or (held and ends):
+                yield pairs(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield pairs(pa.Table.from_batches(held))
     return run
 
 
-def apart_pairs(tiles: DataFrame, links: DataFrame, arrays: DataFrame, nearest: bool, percent: int = PERCENT) -> DataFrame:
+def apart_pairs(tiles: DataFrame, links: DataFrame, arrays: DataFrame, forest: bool, percent: int = PERCENT) -> DataFrame:
     """Pairs ``a, b`` of tiles that ``links`` do not connect and that may be similar.
 
+    Pairs with a tile's first set have been tested, so tiles of two are done.
     A tile is cut into blocks of about ``BLOCK`` sets by a hash; every two
     blocks meet in a cell of their own.
     """
     roots = saved(components(links), "roots").select(F.col("node").alias("linked"), "root")
     rows = tiles.join(roots, F.col("node") == F.col("linked"), "left").select(
-        "key", "node", "is_upper", F.coalesce("root", "node").alias("root"))
+        "key", "node", "is_upper", (F.col("node") == F.col("pivot")).alias("is_pivot"), F.coalesce("root", "node").alias("root"))
     rows = saved(rows, "tile-roots")
-    open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("r"), F.max("root").alias("s"))
+    open_ = rows.filter("not is_pivot").groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("r"), F.max("root").alias("s"))
     open_ = open_.filter("r <> s").select(F.col("key").alias("k"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(open_, F.col("key") == F.col("k")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                       "block", "node", "is_upper", "root")
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node",
+                       F.col("is_upper").cast("int").alias("is_upper"), F.col("is_pivot").cast("int").alias("is_pivot"), "root")
     rows = rows.join(arrays.select(F.col("node").alias("node_"), "n", "bits"), F.col("node") == F.col("node_")).drop("node_")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.transform(by_batch, _cell_pairs(nearest, percent), "a bigint, b bigint").distinct()
+    return rows.transform(by_batch, _cell_pairs(forest, percent), "a bigint, b bigint").distinct()
 
 
 def similar_links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links ``a, b`` between sets that connect all sets linked by similarity.
 
-    First each tile's sets with one of them; then, among sets of a tile that
-    are still apart, the nearest of each other component; then all that are
+    First each tile's sets with one of them; then, among a tile's sets that
+    are still apart, as few pairs as could connect them; then all that are
     apart even so.  Each pair is tested exactly, and a similar pair is either
     tested or connected already.
     """
@@ -315,8 +333,8 @@ def similar_links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> D
     arrays = saved(set_arrays(docs, sets, shared.select("node").distinct()), "set-arrays")
     star = shared.filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     links = saved(verified(star, arrays, percent), "links")
-    for nearest in (True, False):
-        pairs = saved(apart_pairs(shared, links, arrays, nearest, percent), "apart-pairs")
+    for forest in (True, False):
+        pairs = saved(apart_pairs(shared, links, arrays, forest, percent), "apart-pairs")
         links = saved(links.unionByName(verified(pairs, arrays, percent, bounded=True)), "links")
     return links
 
