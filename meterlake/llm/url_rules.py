@@ -1,24 +1,23 @@
 """URL filter by listed and mined rules (operator 1).
 
 Listed rules (host and path prefix) decide first.  Other urls are judged by
-association rules: FP-growth mines combinations of url tokens that go with
-the label "block", rules are pruned by support, confidence and redundancy,
-and matched through an inverted index from each rule's rarest token.
+association rules: FP-growth mines combinations of url tokens in the rows
+labelled "block"; their antecedents are counted over all labelled rows; rules
+are pruned by support, confidence and redundancy, and matched through an
+inverted index from each rule's rarest token.  Itemsets, rules and the index
+are tables, so their number is not bounded by the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.shared import fresh, pick, saved, ship, table
+from meterlake.llm.shared import fresh, pick, saved, table
 
-BLOCK_ITEM = "label=block"
 # The listed rules of the registered query: fixed values.
 LISTED = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
           ("net/es/", "block"), ("net/fr/", "block"))
@@ -71,90 +70,107 @@ def url_tokens(host: Column, path: Column, tail: Column) -> Column:
         named(segments, "path", number), named(F.array(ending), "end"), named(keys, "key")))
 
 
-@dataclass(frozen=True)
-class MinedRule:
-    tokens: tuple[str, ...]
-    confidence: float
-    support: int
+def merged_tokens(rows: DataFrame) -> DataFrame:
+    """``token, item``: tokens that stand in the same rows of ``id, tokens`` are one item.
 
-    def __str__(self) -> str:
-        return " & ".join(self.tokens)
-
-
-def mine_rules(labelled: DataFrame, tokens: str = "tokens", block: str = "block", min_support: float = 0.002,
-               min_count: int = 20, min_confidence: float = 0.5, min_lift: float = 1.5,
-               max_tokens: int = 3) -> list[MinedRule]:
-    """Rules "these tokens, so block" from labelled token arrays (``block`` 0/1).
-
-    Kept: rules of at most ``max_tokens`` tokens on ``min_support`` of the rows
-    and ``min_count`` rows, with the confidence and lift asked for, of which no
-    part has at least the same confidence.  ``min_support`` bounds the number
-    of frequent tokens (tokens per url / ``min_support``), and so the rules
-    that reach the driver, whatever the input.  Rows with NULL label or
-    without tokens say nothing; no rows: no rules.
+    Rows are compared by two sums of row hashes; an item is named by its least
+    token.  A rule needs one token of an item only, as the others always come
+    with it.
     """
-    rows = labelled.filter(F.col(block).isNotNull() & (F.size(tokens) > 0))
-    items = F.when(F.col(block) == 1, F.concat(F.col(tokens), F.array(F.lit(BLOCK_ITEM)))).otherwise(F.col(tokens))
-    rows = saved(rows.select(items.alias("items")), "url-items")
-    n = rows.count()
-    if not n:
-        return []
-    least = max(min_support, min_count / n)
-    if least >= 1:
-        return []
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(rows)
-    got = (model.associationRules
-           .filter((F.size("consequent") == 1) & (F.col("consequent")[0] == BLOCK_ITEM)
-                   & (F.size("antecedent") <= max_tokens) & (F.col("lift") >= min_lift))
-           .select("antecedent", "confidence", F.round(F.col("support") * n).cast("long").alias("support")).collect())
-    found = {tuple(sorted(r.antecedent)): r for r in got}
-    parts = lambda t: (t[:i] + t[i + 1:] for i in range(len(t)))
-    best: dict[tuple, float] = {}
-    out = []
-    for t in sorted(found, key=lambda t: (len(t), t)):
-        lower = max((best.get(p, 0.0) for p in parts(t) if p), default=0.0)
-        best[t] = max(lower, found[t].confidence)
-        if found[t].confidence > lower:
-            out.append(MinedRule(t, found[t].confidence, found[t].support))
-    return out
+    one = rows.select("id", F.explode("tokens").alias("token"))
+    by_token = one.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("h1"),
+                                        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h2"))
+    names = by_token.groupBy("n", "h1", "h2").agg(F.min("token").alias("item"))
+    return by_token.join(names, ["n", "h1", "h2"]).select("token", "item")
+
+
+def _with_items(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """``rows`` (``id, tokens`` ...) with their distinct items; a token that is not listed is none."""
+    got = rows.select("id", F.explode("tokens").alias("token")).join(items, "token")
+    got = got.groupBy("id").agg(F.collect_set("item").alias("items"))
+    return rows.join(got, "id")
+
+
+def mine_rules(labelled: DataFrame, tokens: str = "tokens", block: str = "block", min_count: int = 20,
+               min_confidence: float = 0.5, min_lift: float = 1.5, max_tokens: int = 3) -> DataFrame:
+    """``tokens, confidence, support``: rules "these tokens, so block".
+
+    ``labelled`` has token arrays and ``block`` 0/1.  Kept: rules of at most
+    ``max_tokens`` items on at least ``min_count`` bad rows, whatever the
+    number of rows, with the confidence and lift asked for, of which no part
+    has at least the same confidence.
+
+    Only bad rows are mined.  Tokens with equal row sets are one item; a token
+    on fewer bad rows than ``min_count`` is none.  So tokens that always come
+    together cost FP-growth one item, and a site with very many of them no
+    more than one.  What is found is then counted over all rows.  Rows with
+    NULL label or without tokens say nothing; no rows: no rules.
+    """
+    spark = labelled.sparkSession
+    rows = labelled.filter(F.col(block).isNotNull() & (F.size(tokens) > 0)).select(
+        F.monotonically_increasing_id().alias("id"), F.array_distinct(tokens).alias("tokens"), F.col(block).cast("int").alias("block"))
+    rows = saved(rows, "url-rows")
+    n, n_bad = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("block"), F.lit(0))).first()
+    nothing = spark.createDataFrame([], "tokens array<string>, confidence double, support bigint")
+    if n_bad < min_count:
+        return nothing
+    bad = rows.filter("block = 1")
+    frequent = bad.select(F.explode("tokens").alias("token")).groupBy("token").count().filter(F.col("count") >= min_count)
+    items = merged_tokens(rows).join(frequent.select("token"), "token", "left_semi")
+    rows = saved(_with_items(rows, saved(items, "url-items")).select("id", "items", "block"), "url-item-rows")
+    if rows.filter("block = 1").isEmpty():
+        return nothing
+    mined = rows.filter("block = 1").select("items")
+    model = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n_bad).fit(mined)
+    sets = model.freqItemsets.filter((F.size("items") <= max_tokens) & (F.col("freq") >= min_count))
+    sets = saved(sets.select(F.sort_array("items").alias("tokens"), F.col("freq").alias("support")), "url-itemsets")
+    seen = contained(rows.select("id", F.col("items").alias("have")), sets, "id")
+    counted = seen.groupBy("tokens", "support").agg(F.count(F.lit(1)).alias("n"))
+    rules = saved(counted.select("tokens", (F.col("support") / F.col("n")).alias("confidence"), "support"), "url-rules")
+    fit = rules.filter((F.col("confidence") >= min_confidence) & (F.col("confidence") / F.lit(n_bad / n) >= min_lift))
+    # Proper parts: the masks between nothing and all of a rule's few items.
+    masks = F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("tokens")) - 2)
+    part = lambda m: F.filter("tokens", lambda _, i: F.call_function("getbit", m, i) == 1)
+    parts = fit.filter("size(tokens) > 1").select("tokens", "confidence", F.explode(F.transform(masks, part)).alias("part"))
+    better = fit.select(F.col("tokens").alias("part"), F.col("confidence").alias("of_part"))
+    redundant = parts.join(better, "part").filter("of_part >= confidence").select("tokens").distinct()
+    return saved(fit.join(redundant, "tokens", "left_anti").select("tokens", "confidence", "support"), "url-rules")
+
+
+def contained(rows: DataFrame, sets: DataFrame, key: str) -> DataFrame:
+    """Pairs of a row (``key, have``) and a set (``tokens`` ...) that lies in it.
+
+    An inverted index: a set stands under its rarest token, by the sets that
+    use it; a row looks under each of its tokens, and the rest of the set is
+    tested where they meet.
+    """
+    uses = sets.select("tokens", F.explode("tokens").alias("token"))
+    count = uses.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+    rare = uses.join(count, "token").groupBy("tokens").agg(F.min(F.struct("uses", "token")).alias("rare"))
+    index = sets.join(rare, "tokens").withColumn("under", F.col("rare.token")).drop("rare")
+    look = rows.select(key, "have", F.explode("have").alias("at"))
+    inside = (look["at"] == index["under"]) & (F.size(F.array_except("tokens", "have")) == 0)
+    return look.join(index, inside).drop("at", "under", "have")
 
 
-def rule_index(rules: list[MinedRule], counts: dict[str, int] | None = None) -> dict[str, list[MinedRule]]:
-    """Inverted index: each rule under its rarest token, best rules first.
+def match_rules(rows: DataFrame, rules: DataFrame, tokens: str, name: str) -> DataFrame:
+    """``rows`` with the mined rule of highest confidence (then greatest name)
+    whose tokens are all there, as a column ``name``; NULL where none is.
 
-    ``counts``: rows per token; without it, the rules that use a token.
+    Equal token arrays are matched once, by the tokens that rules use.
     """
-    if counts is None:
-        counts = {}
-        for r in rules:
-            for t in r.tokens:
-                counts[t] = counts.get(t, 0) + 1
-    index: dict[str, list[MinedRule]] = {}
-    for r in sorted(rules, key=lambda r: (-r.confidence, len(r.tokens), r.tokens)):
-        index.setdefault(min(r.tokens, key=lambda t: (counts.get(t, 0), t)), []).append(r)
-    return index
-
-
-def match_rules(spark: SparkSession, rules: list[MinedRule], tokens: Column) -> Column:
-    """The mined rule of highest confidence whose tokens are all there, else NULL."""
-    ship(spark)
-    index = spark.sparkContext.broadcast({k: [(r.confidence, str(r), frozenset(r.tokens)) for r in v]
-                                          for k, v in rule_index(rules).items()})
-
-    @F.pandas_udf("string")
-    def fire(column: pd.Series) -> pd.Series:
-        def one(tokens):
-            if tokens is None:
-                return None
-            have, best = set(tokens), None
-            for t in have:
-                for confidence, name, need in index.value.get(t, ()):
-                    if (best is None or (confidence, name) > best) and need <= have:
-                        best = confidence, name
-            return best and best[1]
-        return column.map(one).astype(object)
-
-    return fire(tokens)
+    if rules.isEmpty():
+        return rows.withColumn(name, F.lit(None).cast("string"))
+    key, have, rule = fresh(rows, "token_key", "token_have", "token_rule")
+    rows = rows.withColumn(key, F.xxhash64(F.col(f"`{tokens}`")))
+    arrays = rows.filter(F.size(f"`{tokens}`") > 0).groupBy(F.col(key).alias("id")).agg(F.first(f"`{tokens}`").alias("tokens"))
+    used = rules.select(F.explode("tokens").alias("token")).distinct().select("token", F.col("token").alias("item"))
+    arrays = _with_items(arrays, used).select(F.col("id").alias("key"), F.col("items").alias("have"))
+    hits = contained(arrays, rules, "key")
+    text = F.array_join("tokens", " & ")
+    best = hits.groupBy("key").agg(F.max(F.struct("confidence", text.alias("rule"))).alias("best"))
+    best = best.select(F.col("key").alias(have), F.col("best.rule").alias(rule))
+    return rows.join(best, F.col(key) == F.col(have), "left").withColumn(name, F.col(rule)).drop(key, have, rule)
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url: str = "url",
@@ -164,10 +180,11 @@ def judge_urls(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", ur
     ``labels`` are matched by id; a page is a "block" example if one of its
     labels has quality 0 or toxic 1.  NULL or odd urls have empty host and
     path, fit no rule and are allowed, as is every url that no rule blocks.
-    Repeated rows and NULL ids are judged like others; extra columns are left
-    out.
+    Repeated rows and NULL ids are judged like others; a very long url is read
+    whole, with all its tokens; of equally confident rules the greatest name
+    wins.  Extra columns are left out; an empty table gives no rows, and
+    without labels there is no mined rule.
     """
-    spark = pages.sparkSession
     p = pick(pages, page_id=page_id, url=url)
     host, path, tail = url_parts(F.col("url"))
     p = p.select("page_id", host.alias("host"), path.alias("path"), tail.alias("tail"))
@@ -177,7 +194,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", ur
     rules = mine_rules(p.join(seen, p.page_id == seen.label_id).select("tokens", "block"), **options)
     fits, mined = fresh(p, "fits", "mined")
     p = p.withColumn(fits, listed_rule(F.col("host"), F.col("path"), listed))
-    p = p.withColumn(mined, match_rules(spark, rules, F.col("tokens")))
+    p = match_rules(p, rules, "tokens", mined)
     mined_verdict = F.when(F.col(mined).isNotNull(), "block").otherwise("allow")
     return p.select("page_id", "host", "path", F.col(f"{fits}.rule").alias("rule"),
                     F.coalesce(F.col(f"{fits}.verdict"), mined_verdict).alias("verdict"),

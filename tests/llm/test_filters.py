@@ -59,7 +59,7 @@ def test_url_query(spark):
         assert r.verdict == (listed or ("block" if r.mined_rule else "allow"))
 
 
-def plain_rules(rows, min_support, min_count, min_confidence, min_lift, max_tokens):
+def plain_rules(rows, min_count, min_confidence, min_lift, max_tokens):
     n = len(rows)
     base = sum(b for _, b in rows) / n
     counts, bad = {}, {}
@@ -69,7 +69,7 @@ def plain_rules(rows, min_support, min_count, min_confidence, min_lift, max_toke
                 counts[s] = counts.get(s, 0) + 1
                 bad[s] = bad.get(s, 0) + b
     fit = {s: bad[s] / c for s, c in counts.items()
-           if bad[s] >= max(min_support * n, min_count) and bad[s] / c >= min_confidence and bad[s] / c / base >= min_lift}
+           if bad[s] >= min_count and bad[s] / c >= min_confidence and bad[s] / c / base >= min_lift}
     below = lambda s: max((fit[t] for k in range(1, len(s)) for t in itertools.combinations(s, k) if t in fit), default=0.0)
     return {s: c for s, c in fit.items() if c > below(s)}
 
@@ -82,21 +82,48 @@ def test_mined_rules_equal_brute_force(spark):
         p = 0.9 if {"a", "b"} <= set(tokens) else 0.75 if "e" in tokens else 0.1
         rows.append((tokens, int(rng.random() < p)))
     frame = spark.createDataFrame(rows + [(None, 1), ([], 1), (["a"], None)], "tokens array<string>, block int")
-    options = dict(min_support=0.01, min_count=5, min_confidence=0.6, min_lift=1.2, max_tokens=3)
+    options = dict(min_count=5, min_confidence=0.6, min_lift=1.2, max_tokens=3)
     rules = url_rules.mine_rules(frame, **options)
     want = plain_rules(rows, **options)
-    assert {r.tokens: round(r.confidence, 9) for r in rules} == {k: round(v, 9) for k, v in want.items()}
-    hit = url_rules.match_rules(spark, rules, F.col("tokens"))
-    for r in frame.withColumn("rule", hit).collect():
+    assert {tuple(r.tokens): round(r.confidence, 9) for r in rules.collect()} == {k: round(v, 9) for k, v in want.items()}
+    for r in url_rules.match_rules(frame, rules, "tokens", "rule").collect():
         fits = [(c, " & ".join(t)) for t, c in want.items() if r.tokens and set(t) <= set(r.tokens)]
         assert r.rule == (max(fits)[1] if fits else None)
 
 
+def test_tokens_that_come_together_are_one_item(spark):
+    """40 tokens shared by all pages of a site, beside single ones: one rule, in little time."""
+    import time
+    shared = [f"path:p{i:02d}" for i in range(40)]
+    rows = [([*shared, f"path:x{i}"], 1) for i in range(200)] + [([f"host:h{i % 7}", "path:p00x"], 0) for i in range(600)]
+    frame = spark.createDataFrame(rows, "tokens array<string>, block int")
+    start = time.time()
+    rules = url_rules.mine_rules(frame).collect()
+    assert [(r.tokens, r.confidence, r.support) for r in rules] == [(["path:p00"], 1.0, 200)]
+    assert time.time() - start < 120
+
+
+def test_merging_is_by_equal_row_sets(spark):
+    rows = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["a", "b"]), (3, ["c", "d", "e"]), (4, ["d", "e", "f"])], "id long, tokens array<string>")
+    got = {r.token: r.item for r in url_rules.merged_tokens(rows).collect()}
+    assert got == {"a": "a", "b": "a", "c": "c", "d": "d", "e": "d", "f": "f"}
+
+
+@pytest.mark.parametrize("n", [3_000, 60_000])
+def test_a_pure_site_is_blocked_at_every_size(spark, n):
+    """100 bad pages of one site among any number of others."""
+    tokens = F.when(F.col("id") < 100, F.array(F.lit("site:evil"), F.lit("path:a"))).otherwise(
+        F.array(F.concat(F.lit("site:s"), (F.col("id") % 900).cast("string")), F.lit("path:a")))
+    block = (F.col("id") < 100) | (F.pmod(F.xxhash64("id"), F.lit(5)) == 0)
+    rules = url_rules.mine_rules(spark.range(n).select(tokens.alias("tokens"), block.cast("int").alias("block"))).collect()
+    assert ["site:evil"] in [r.tokens for r in rules]
+
+
 def test_url_odd_tables(spark):
     pages = spark.createDataFrame([(1, "http://evil.org/x", "t"), (1, "http://evil.org/x", "t"), (None, None, None)],
                                   "page_id long, url string, tokens string")
     labels = spark.createDataFrame([(1, 0, None), (1, 1, 1), (None, 0, 1)], "doc_id long, quality int, toxic int")
-    got = url_rules.judge_urls(pages, labels, min_support=0.1, min_count=1, min_lift=0.5).collect()
+    got = url_rules.judge_urls(pages, labels, min_count=1, min_lift=0.5).collect()
     assert sorted((r.page_id or 0, r.host, r.verdict) for r in got) == [
         (0, "", "allow"), (1, "evil.org", "block"), (1, "evil.org", "block")]
     assert url_rules.judge_urls(pages.limit(0), labels).count() == 0
