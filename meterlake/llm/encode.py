@@ -3,7 +3,7 @@
 The pre-tokenizer of these tokenizers never joins a word to what stands
 before the single blank in front of it, so a text can be encoded chunk by
 chunk; each worker remembers the ids of the chunks it has met, in a store of
-bounded size.  Texts with unusual white space or with a special token's
+bounded size in bytes.  Texts with unusual white space or with a special token's
 string are encoded as one piece.  Either way the ids are those the
 ``tokenizers`` library gives for the whole text.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,16 +34,19 @@ _CHUNK = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]++(?!\w)| ?[^ \t\n\r\x0b\f]+"
 _ODD_SPACE = re.compile(r"[^\S \t\n\r\x0b\f]")
 # Characters of texts, and new chunks in one string, that are handled at once.
 _PART, _JOIN = 1 << 20, 2000
+# A longer chunk is not remembered; bytes that an entry of the store takes besides its chunk and ids.
+_LONG, _ENTRY = 100, 137
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    ``room``: chunks kept in each of two generations; a chunk that was not
-    used for a whole generation is forgotten.
+    ``room``: bytes of chunks, ids and their entries kept in each of two
+    generations; a chunk that was not used for a whole generation is
+    forgotten.  What is forgotten is encoded again, so ids never depend on it.
     """
 
-    def __init__(self, path: str, room: int = 350_000):
+    def __init__(self, path: str, room: int = 72 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -51,16 +55,18 @@ class Encoder:
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # byte-level: a character stands for a byte
             self.n_bytes[i] = len(token)
-        self.room, self.young, self.old = room, {}, {}
+        self.room, self.held, self.young, self.old = room, 0, {}, {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in got]
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: set[str]) -> list[str]:
+        """Hold the ids of all these chunks; returns the long ones, not to be kept."""
         young, old = self.young, self.old
         plain, odd = [], []
-        for c in chunks.difference(young):
+        new = chunks.difference(young)
+        for c in new:
             ids = old.get(c)
             if ids is not None:
                 young[c] = ids
@@ -78,6 +84,15 @@ class Encoder:
             for c, cut in zip(group, (4 * cuts).tolist()):
                 young[c] = data[at:cut]
                 at = cut
+        self.held += sum(map(sys.getsizeof, new)) + sum(map(len, map(young.__getitem__, new))) + _ENTRY * len(new)
+        return [c for c in new if len(c) > _LONG]
+
+    def _forget(self, chunks: list[str]) -> None:
+        """Drop these chunks; begin a new generation when this one is full."""
+        for c in chunks:
+            self.held -= sys.getsizeof(c) + len(self.young.pop(c)) + _ENTRY
+        if self.held > self.room:
+            self.young, self.old, self.held = {}, self.young, 0
 
     def _whole(self, text: str) -> bool:
         return bool(_ODD_SPACE.search(text)) or any(s in text for s in self.special)
@@ -95,12 +110,11 @@ class Encoder:
 
     def _part(self, texts: list[str]) -> Iterator[bytes]:
         chunks = [None if self._whole(t) else _CHUNK.findall(t) for t in texts]
-        self._learn(set().union(*(c for c in chunks if c)))
+        long = self._learn(set().union(*(c for c in chunks if c)))
         known = self.young.__getitem__
         for text, c in zip(texts, chunks):
             yield self._ids([text])[0].tobytes() if c is None else b"".join(map(known, c))
-        if len(self.young) > self.room:
-            self.young, self.old = {}, self.young
+        self._forget(long)
 
 
 def encoder(path: str) -> Encoder:

@@ -10,6 +10,7 @@ number of pieces.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,8 @@ from meterlake.llm.shared import by_batch, kept, pick, table
 BLANK_MARK = "▁"
 # The tokenizer's penalty, below the worst piece, for a character no piece covers.
 UNKNOWN_PENALTY = 10.0
+# A longer word is not remembered; bytes that an entry takes besides its word.
+LONG, _ENTRY = 100, 184
 
 
 def vocabulary_path() -> str:
@@ -39,9 +42,13 @@ def read_vocabulary(path: str) -> list[tuple[str, float]]:
 
 
 class Counter:
-    """Counts of words, remembered in a store of bounded size (``room`` words)."""
+    """Counts of words, remembered in a store of bounded size (``room`` bytes).
 
-    def __init__(self, vocabulary: list[tuple[str, float]], room: int = 400_000):
+    Words of more than ``LONG`` characters are counted each time, a text's own
+    repeats aside.
+    """
+
+    def __init__(self, vocabulary: list[tuple[str, float]], room: int = 96 << 20):
         import ahocorasick
         self.find = ahocorasick.Automaton()
         for piece, score in vocabulary:
@@ -50,7 +57,7 @@ class Counter:
         self.single = {piece for piece, _ in vocabulary if len(piece) == 1}
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
         self.known: dict[str, tuple[int, float]] = {}
-        self.room = room
+        self.room, self.held = room, 0
 
     def word(self, word: str) -> tuple[int, float]:
         """Pieces and score of the best path through one word.
@@ -94,11 +101,18 @@ class Counter:
         if words[0] == "":
             del words[0]  # the text starts with a blank: no mark is put before it
         known = self.known
-        for w in set(words).difference(known):
+        new = set(words).difference(known)
+        for w in new:
             known[w] = self.word(BLANK_MARK + w)
         got = list(map(known.__getitem__, words))
-        if len(known) > self.room:
+        for w in new:
+            if len(w) > LONG:
+                del known[w]
+            else:
+                self.held += sys.getsizeof(w) + _ENTRY
+        if self.held > self.room:
             known.clear()
+            self.held = 0
         return sum(c for c, _ in got), sum(s for _, s in got)
 
 
@@ -112,7 +126,9 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``doc_id, n_chars, n_tokens, score`` of every row, no shuffle.
 
     ``score``: sum of the best path's piece scores.  NULL and empty texts have
-    0 tokens; repeated rows and NULL ids stay; an empty table gives no rows.
+    0 tokens; long texts and long words are counted whole; repeated rows and
+    NULL ids stay; other columns are left out, whatever their names; an empty
+    table gives no rows.
     """
     path = vocabulary or vocabulary_path()
     kind = docs.schema[doc_id].dataType.simpleString()
