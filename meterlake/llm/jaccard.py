@@ -143,7 +143,7 @@ def document_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
         by_batch, _set_rows(percent), f"doc_id {kind}, node bigint, n bigint, own array<bigint>, upper array<bigint>")
 
 
-def _shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of the tiles with several sets, with the tile's first set.
 
     Rows come by key, those of the own band first.  Of a tile only the first
@@ -181,7 +181,7 @@ def tiles(sets: DataFrame) -> DataFrame:
     rows = nodes.select("node", F.size("own").alias("n_own"), F.posexplode(F.concat("own", "upper")).alias("at", "key"))
     rows = rows.select("key", (F.col("at") >= F.col("n_own")).alias("is_upper"), "node")
     rows = rows.repartition("key").sortWithinPartitions("key", "is_upper", "node")
-    return rows.transform(by_batch, _shared_tiles, "key bigint, node bigint, pivot bigint, is_upper boolean")
+    return rows.transform(by_batch, shared_tiles, "key bigint, node bigint, pivot bigint, is_upper boolean")
 
 
 def _array_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,8 @@
 A fingerprint is the least value of each of ``N_HASHES`` universal hash
 functions over a text's 5-word shingles.  The share of equal values estimates
 the Jaccard similarity of two texts' shingle sets; equal texts have equal
-fingerprints.
+fingerprints.  Texts that share a band of their fingerprints are compared
+exactly, and form classes of near-duplicates.
 """
 
 from __future__ import annotations
@@ -16,8 +17,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from xxhash import xxh64_intdigest
 
-from meterlake.llm.shared import by_batch, pick, saved, table
+from meterlake.llm import jaccard as tiles
+from meterlake.llm.components import components
+from meterlake.llm.shared import by_batch, id_filter, maybe_in, pick, release, saved, table
 from meterlake.llm.shingles import constants, window_hashes, word_hashes
 
 SHINGLE_WORDS = 5
@@ -76,13 +81,18 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=1)
 
 
+def text_node(text: str) -> int | None:
+    """Signed 64-bit hash of a text; None for one without words."""
+    return int(np.uint64(xxh64_intdigest(text.encode())).view(np.int64)) if text.strip(" \t\n\r\x0b\x0c") else None
+
+
 def edited_text(text: str, following: str) -> str:
     """The last half of the code points gives way to the first as many of the next text."""
     half = len(text) // 2
     return text[:len(text) - half] + following[:half]
 
 
-_SCHEMA = ("n_chars bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
+_SCHEMA = ("n_chars bigint, node bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
            "near_edited double, near_next double, part int, first_text string, last_text string")
 _NAMES = [c.split()[0] for c in _SCHEMA.split(", ")]
 
@@ -96,7 +106,7 @@ def _compared(ids: list, texts: list[str], following: list[str], next_signature:
     other = signatures(edited)
     none = pa.nulls(len(texts))
     return pa.record_batch([
-        pa.array(ids, kind), pa.array([len(t) for t in texts], pa.int64()),
+        pa.array(ids, kind), pa.array([len(t) for t in texts], pa.int64()), pa.array([text_node(t) for t in texts], pa.int64()),
         pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited]),
         pa.array([r.tobytes() for r in own], pa.binary()), pa.array([r.tobytes() for r in other], pa.binary()),
         pa.array(likeness(own, other)), pa.array(likeness(own, nxt)),
@@ -109,7 +119,7 @@ def _chain(kind: pa.DataType):
     The last row's follower is in another partition: it comes out as an edge
     row, with the partition's number and its first and last text.
     """
-    schema = pa.schema([("doc_id", kind), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
+    schema = pa.schema([("doc_id", kind), ("n_chars", pa.int64()), ("node", pa.int64()), ("edited_sha256", pa.string()),
                         ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
                         ("near_edited", pa.float64()), ("near_next", pa.float64()), ("part", pa.int32()),
                         ("first_text", pa.string()), ("last_text", pa.string())])
@@ -155,18 +165,20 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprint of every row's text and of its edited text.
+    """Fingerprint of every row's text and of its edited text, and the text's ``node``.
 
     The next document is the next row by ``doc_id`` (NULL first), rows of one
     id by text hash and text; after the last comes the first, a single row is
-    its own next.  NULL text: empty; texts without words are alike.
+    its own next.  NULL text: empty; texts without words are alike.  Long texts are read whole;
+    other columns are left out, whatever their names; an empty table gives no
+    rows.
 
     Rows are dealt by id ranges and sorted, so a row's follower is at hand in
     the same task; only one row per task meets its follower afterwards, by way
     of a table with two texts per task.
     """
     kind = docs.schema[doc_id].dataType
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind.simpleString()]
+    arrow = to_arrow_type(kind)
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("h", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
     schema = f"doc_id {kind.simpleString()}, {_SCHEMA}"
@@ -180,49 +192,82 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         "part", "first_text", "last_text")
 
 
-def near_duplicate_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                         threshold: float = 0.8) -> DataFrame:
-    """Pairs ``a < b, similarity`` of classes of equal texts at or above a Jaccard threshold.
+def band_buckets(nodes: DataFrame) -> DataFrame:
+    """``key, node, pivot, is_upper`` from ``node, fingerprint``: the nodes of
+    each bucket of each band (``BANDS`` of ``N_HASHES // BANDS`` values) that
+    has several, with the bucket's first.  A bucket may have any number."""
+    width = 2 * (N_HASHES // BANDS)
+    band = lambda k: F.xxhash64(F.lit(k), F.substring("fingerprint", width * k + 1, width))
+    keys = nodes.select("node", F.explode(F.array(*map(band, range(BANDS)))).alias("key"))
+    keys = keys.select("key", F.lit(False).alias("is_upper"), "node").repartition("key").sortWithinPartitions("key", "node")
+    return keys.transform(by_batch, tiles.shared_tiles, "key bigint, node bigint, pivot bigint, is_upper boolean")
 
-    A class is named by its least id.  Signature bands (``BANDS`` of
-    ``N_HASHES // BANDS`` values) are joined on their hash in Spark; the
-    shingle sets of the candidates are then compared exactly.  Texts without
-    words and rows with a NULL id are in no pair.  All pairs that share a band
-    are candidates, k * (k - 1) / 2 for k different near copies, each joined
-    with two whole shingle sets.
-    """
-    d = pick(docs, doc_id=doc_id, text=text).filter(F.col("doc_id").isNotNull())
-    d = d.groupBy(F.coalesce("text", F.lit("")).alias("text")).agg(F.min("doc_id").alias("doc_id"))
-    d = saved(d.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")), "distinct-texts")
-    rows = N_HASHES // BANDS
-    bands = F.explode(F.array(*(F.struct(F.lit(k).alias("band"), F.xxhash64(F.substring("fingerprint", 2 * rows * k + 1, 2 * rows)).alias("h"))
-                                for k in range(BANDS))))
-    keys = fingerprints(d).select("doc_id", bands.alias("b")).select("doc_id", "b.band", "b.h")
-    keys = saved(keys, "bands")
-    pairs = (keys.withColumnRenamed("doc_id", "a").join(keys.withColumnRenamed("doc_id", "b"), ["band", "h"])
-             .filter("a < b").select("a", "b").distinct())
-    shingles = saved(shingle_sets(d), "shingles")
-    both = (pairs.join(shingles.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(shingles.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return (both.withColumn("similarity", common / (F.size("sa") + F.size("sb") - common))
-            .filter(F.col("similarity") >= threshold).select("a", "b", "similarity"))
-
-
-def shingle_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, s``: the distinct shingles of every text, as 64-bit hashes."""
-    kind = docs.schema[doc_id].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [np.unique(shingle_hashes(t or "")).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(got, pa.list_(pa.int64()))], names=["doc_id", "s"])
-    return pick(docs, doc_id=doc_id, text=text).transform(by_batch, run, f"doc_id {kind}, s array<bigint>")
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [t for t in batch.column("text").to_pylist() if t and text_node(t) is not None]
+        got = [np.unique(shingle_hashes(t)) for t in texts]
+        yield pa.record_batch([pa.array([text_node(t) for t in texts], pa.int64()), pa.array([len(x) for x in got], pa.int64()),
+                               pa.array([tiles.bitmap(x) for x in got], pa.binary()), pa.array([x.tobytes() for x in got], pa.binary())],
+                              names=["node", "n", "bits", "shingles"])
+
+
+def near_duplicate_links(docs: DataFrame, nodes: DataFrame, percent: int = 80) -> DataFrame:
+    """``a, b``: links that connect all ``nodes`` (``node, doc_id, fingerprint``)
+    that share a bucket and are similar, each compared exactly.
+
+    A bucket's nodes are compared with its first, then as few as could connect
+    those still apart, then all that are apart even so: a family of k near
+    copies gives some k candidates a band, not k * k.  The shingle sets are
+    made anew from one document per node that shares a bucket.
+    """
+    buckets = saved(band_buckets(nodes), "buckets")
+    wanted = saved(nodes.select("node", "doc_id").join(buckets.select("node").distinct(), "node"), "bucket-nodes")
+    texts, _ = maybe_in(docs, "doc_id", id_filter(wanted, "doc_id"))
+    sets = texts.select("text").transform(by_batch, _shingle_rows, "node bigint, n bigint, bits binary, shingles binary")
+    sets, _ = maybe_in(sets, "node", id_filter(wanted, "node"))
+    sets = saved(sets.dropDuplicates(["node"]), "shingle-sets")
+    star = buckets.filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    links = saved(tiles.verified(star.distinct(), sets, percent), "links")
+    for forest in (True, False):
+        pairs = saved(tiles.apart_pairs(buckets, links, sets, forest, percent), "apart-pairs")
+        links = saved(links.unionByName(tiles.verified(pairs, sets, percent, bounded=True)), "links")
+    return links
+
+
+def with_classes(rows: DataFrame, docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``rows`` (of ``compare_with_next``) with ``class_id``.
+
+    Classes are joined by verified links of at least ``percent`` hundredths
+    in Jaccard similarity of 5-word shingles; ``class_id`` is the least id
+    among their rows (NULL only where all are NULL).  Equal texts are of one
+    class; one without words has its own id.  The bands miss a pair at the
+    threshold once in 20,000.
+    """
+    some = rows.filter("node is not null")
+    nodes = some.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("fingerprint").alias("fingerprint"))
+    nodes = saved(nodes, "text-nodes")
+    links = near_duplicate_links(pick(docs, doc_id="doc_id", text="text"), nodes, percent)
+    roots = components(links).select(F.col("node").alias("linked"), "root")
+    nodes = saved(nodes.select("node", "doc_id").join(roots, F.col("node") == F.col("linked"), "left").select(
+        F.col("node").alias("of"), "doc_id", F.coalesce("root", "node").alias("root")), "class-roots")
+    least = nodes.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    nodes = nodes.join(least, "root").select("of", "class_id")
+    none = rows.filter("node is null").select("*", F.col("doc_id").alias("class_id"))
+    return some.join(nodes, F.col("node") == F.col("of")).drop("of").unionByName(none).drop("node")
+
+
+def fingerprints_and_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
+    """``compare_with_next`` with the classes of near-duplicates (``with_classes``)."""
+    docs = pick(docs, doc_id=doc_id, text=text)
+    rows = saved(compare_with_next(docs), "fingerprint-rows")
+    release(docs.sparkSession)
+    return with_classes(rows, docs, percent)
 
 
 def op7_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and their edited texts."""
-    got = compare_with_next(table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents and their edited texts, and classes of near-duplicates."""
+    got = fingerprints_and_classes(table(spark, sf_dir, "documents"))
     show = lambda c: F.lower(F.hex(c)).alias(c)
     return got.select("doc_id", "n_chars", "edited_sha256", show("fingerprint"), show("edited_fingerprint"),
-                      "near_edited", "near_next")
+                      "near_edited", "near_next", "class_id")

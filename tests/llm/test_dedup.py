@@ -91,7 +91,25 @@ def test_signature_blocks_do_not_matter(monkeypatch):
     assert whole[3].tolist() == slow
 
 
-def test_near_duplicate_pairs(spark, documents, odd, empty):
+def classes_of(rows, links):
+    """Least id of each row's class; rows of equal text, or linked texts, are one class."""
+    texts = sorted({r.text for r in rows if shingles(r.text)})
+    root = union(len(texts), links(texts))
+    at = {t: k for t, k in zip(texts, root)}
+    ids = {}
+    for r in rows:
+        if r.text in at:
+            ids.setdefault(at[r.text], []).append(r.doc_id)
+    least = {k: min((x for x in v if x is not None), default=None) for k, v in ids.items()}
+    return sorted(((r.doc_id, least[at[r.text]] if r.text in at else r.doc_id) for r in rows), key=repr)
+
+
+def similar_links(texts):
+    sets = [shingles(t) for t in texts]
+    return [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+
+
+def test_near_duplicate_classes(spark, documents, odd, empty):
     rng = random.Random(9)
     base = [rng.choices([f"w{i}" for i in range(300)], k=rng.randint(5, 120)) for _ in range(12)]
     rows = []
@@ -103,13 +121,33 @@ def test_near_duplicate_pairs(spark, documents, odd, empty):
             rows.append((len(rows), " ".join(copy)))
     made = spark.createDataFrame(rows, "doc_id long, text string")
     for docs in (documents, odd, made, empty):
-        least = {}
-        for r in sorted((r for r in docs.collect() if r.doc_id is not None), key=lambda r: r.doc_id):
-            if shingles(r.text):
-                least.setdefault(r.text, r.doc_id)
-        items = sorted((i, t) for t, i in least.items())
-        want = {(a, b) for k, (a, s) in enumerate(items) for b, t in items[k + 1:] if a < b and jaccard(s, t) >= 0.8}
-        assert {(r.a, r.b) for r in minhash.near_duplicate_pairs(docs).collect()} == want
+        want = classes_of(docs.collect(), similar_links)
+        got = minhash.fingerprints_and_classes(docs).collect()
+        assert sorted(((r.doc_id, r.class_id) for r in got), key=repr) == want
+
+
+def test_a_family_gives_about_as_many_candidates_as_members(spark):
+    rng = random.Random(10)
+    words = [f"w{i}" for i in range(2000)]
+    base = rng.choices(words, k=200)
+    rows = []
+    for i in range(600):
+        copy = list(base)
+        copy[rng.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.compare_with_next(docs)
+    nodes = got.select("node", "doc_id", "fingerprint").cache()
+    buckets = minhash.band_buckets(nodes)
+    assert buckets.filter("node <> pivot").select("node", "pivot").distinct().count() < 10 * 600
+    assert {r.class_id for r in minhash.with_classes(got, docs).collect()} == {0}
+
+
+def test_fingerprints_of_other_id_types(spark):
+    for kind in ("smallint", "decimal(10,0)", "string"):
+        docs = spark.range(4).selectExpr(f"cast(id as {kind}) as doc_id", "concat('a b c d e ', id) as text")
+        assert dict(minhash.fingerprints_and_classes(docs).dtypes)["doc_id"] == kind
+        assert minhash.fingerprints_and_classes(docs).count() == 4
 
 
 # --- SimHash ------------------------------------------------------------------------

@@ -120,7 +120,7 @@ def test_tiles_over_batches(step):
             (5, False, 1), (6, False, 2), (6, False, 3), (6, False, 6), (6, False, 8), (6, True, 9), (7, False, 1)]
     schema = pa.schema([("key", pa.int64()), ("is_upper", pa.bool_()), ("node", pa.int64())])
     cut = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows[i:i + step]], schema) for i in range(0, len(rows), step)]
-    got = [tuple(r.values()) for b in jaccard._shared_tiles(iter(cut)) for r in b.to_pylist()]
+    got = [tuple(r.values()) for b in jaccard.shared_tiles(iter(cut)) for r in b.to_pylist()]
     want = []
     for key in {r[0] for r in rows}:
         mine = [r for r in rows if r[0] == key]
