@@ -55,7 +55,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other, each written as Parquet and read again."""
+    """The stages one after the other, each written as Parquet and read again.
+
+    Pieces of all that is kept.  NULL and empty texts fail the quality limits;
+    rows with NULL id have no labels, may be near-duplicates, and neither give
+    nor lose passages; repeated rows are one group of near-duplicates, of
+    which one stays; long texts are read whole; further columns are carried
+    through, whatever their names, up to the last stage.  An empty table gives
+    no pieces.
+    """
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

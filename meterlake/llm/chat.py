@@ -70,7 +70,9 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
     its own, an empty table gives no rows.  Every turn is rendered, parsed and
     compared with its source, and its text escaped until both agree; this
     happens row by row before the turns meet, and the whole conversation is
-    compared once more.  A turn that never agrees raises an error.
+    compared once more.  A turn that never agrees raises an error.  Long
+    texts are formatted whole; other columns are left out, whatever their
+    names.
     """
     t = pick(turns, conv_id=conv_id, turn=turn, role=role, text=text).withColumns(
         {"role": F.coalesce("role", F.lit("")), "text": F.coalesce("text", F.lit("")).cast("string")})

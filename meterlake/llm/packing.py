@@ -157,6 +157,8 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     one length are numbered in groups of about ``PER_GROUP`` by a hash of
     their key, so a frequent length does not meet in one task.  Pieces of
     length 0 (empty text without end id) take no place: both columns NULL.
+    Columns ``g, r, p, n, base, sequence_id, offset`` of the pieces are
+    overwritten.
     """
     spark = pieces.sparkSession
     groups = max(1, pieces.count() // PER_GROUP)
@@ -201,8 +203,9 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    end_id: int | None = END_ID, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Tokenize, cut and pack all rows; one row per piece with its place.
 
-    Repeated rows are packed once each.  NULL text: empty.  NULL or repeated
-    ids are kept.  ``with_ids`` keeps the token ids (for ``packed_sequences``).
+    Repeated rows are packed once each.  NULL text: empty.  A long text is cut
+    into as many pieces as it needs.  NULL or repeated ids are kept; other
+    columns are left out, whatever their names.  ``with_ids`` keeps the token ids (for ``packed_sequences``).
     An empty table gives no pieces.
     """
     pieces = token_pieces(docs, doc_id, text, tokenizer, end_id, capacity)

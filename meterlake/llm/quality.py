@@ -261,7 +261,9 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     The list is learned from rows within the base limits whose id ``labels``
     has (``doc_id``, ``label`` 0/1, 0 is bad); several labels of one id count
-    once each.  NULL ids have no label, NULL text fails the base limits.
+    once each.  NULL ids have no label, NULL text fails the base limits.  Long
+    texts are read whole; repeated rows are judged each; other columns are
+    left out, whatever their names; an empty table gives no rows.
     """
     stats = saved(text_stats(pick(docs, doc_id=doc_id, text=text)).drop("text"), "text-stats")
     return _verdicts(stats, labels, doc_id, label, options)

@@ -290,8 +290,9 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     ``spans``: ``array<struct<start, end>>``, word numbers (end exclusive) of
     maximal runs covered by windows that also start in a row with a smaller
     id.  Rows of one id are no references for each other; rows with NULL id
-    neither give nor lose words; NULL, empty and short texts have none.  An
-    empty table gives no rows.  ``docs`` is read twice.
+    neither give nor lose words; NULL, empty and short texts have none.  Ids
+    are numbers; text that is none raises.  Long texts are read whole; other
+    columns may have any name.  An empty table gives no rows.  ``docs`` is read twice.
     """
     spark = docs.sparkSession
     rows = pick(docs, doc_id=doc_id, text=text).filter("doc_id is not null and text is not null")
