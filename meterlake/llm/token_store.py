@@ -19,9 +19,10 @@ from meterlake.llm.encode import END_ID, encoder, end_mark, tokenizer_path
 from meterlake.llm.shared import by_batch, pick, saved, table
 from meterlake.session import scratch_path
 
-# Format settings of the files.
+# Format settings of the files.  Integers are run length encoded already, so
+# a quick codec is enough on top.
 ORC_OPTIONS = {
-    "compression": "zstd",
+    "compression": "lz4",
     "orc.create.index": "true",
     "orc.row.index.stride": "1000",
     "orc.stripe.size": str(16 << 20),
@@ -63,7 +64,9 @@ def write_token_store(docs: DataFrame, path: str, doc_id: str = "doc_id", text:
     Rows are dealt by ranges of (document id, text hash), so one id with very
     many rows still spreads over files; text is shuffled, not ids, as it is
     smaller.  NULL ids come first, rows of one id by text.  ``row_id`` numbers
-    the rows in that order (not gapless).  No rows: files without rows.
+    the rows in that order (not gapless).  Ids keep their type.  Long texts
+    are stored whole; repeated rows and NULL ids stay; other columns are left
+    out, whatever their names.  No rows: files without rows.
     """
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("h", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
@@ -73,8 +76,12 @@ def write_token_store(docs: DataFrame, path: str, doc_id: str = "doc_id", text:
 
 
 def read_token_store(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, ids, row_id`` of a token store."""
-    return spark.read.schema("doc_id bigint, ids array<int>, row_id bigint").orc(path)
+    """``doc_id, ids, row_id`` of a token store, the id in the type it was written in."""
+    got = spark.read.orc(path)
+    kinds = dict(got.dtypes)
+    if kinds.get("ids") != "array<int>" or kinds.get("row_id") != "bigint" or "doc_id" not in kinds:
+        raise ValueError(f"no token store: {got.schema.simpleString()}")
+    return got.select("doc_id", "ids", "row_id")
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,8 +101,9 @@ def store_digest(spark: SparkSession, path: str) -> DataFrame:
     ``start`` counts the ids of all rows before this one.  It is summed within
     each writing task's rows, and over the tasks' totals (one row each).
     """
-    light = saved(read_token_store(spark, path).transform(
-        by_batch, _digest_rows, "doc_id bigint, row_id bigint, n_tokens bigint, ids_crc32 bigint", owner="encode"), "token-digest")
+    store = read_token_store(spark, path)
+    light = saved(store.transform(
+        by_batch, _digest_rows, f"doc_id {dict(store.dtypes)['doc_id']}, row_id bigint, n_tokens bigint, ids_crc32 bigint", owner="encode"), "token-digest")
     light = light.withColumn("task", F.shiftright("row_id", 33))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     totals = (light.groupBy("task").agg(F.sum("n_tokens").alias("total"))

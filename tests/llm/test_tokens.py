@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 
 from conftest import SF_SMALL
 from odd_documents import documents, empty, odd  # noqa: F401
-from meterlake.llm import packing, token_counts, token_store
+from meterlake.llm import encode, packing, token_counts, token_store
 from meterlake.llm.encode import Encoder, tokenizer_path
 from meterlake.session import scratch_path
 
@@ -191,3 +192,44 @@ def test_unigram_ties():
     counter = token_counts.Counter(vocabulary)
     for text in ("▁ab", "▁aba", "▁bab", "▁ababab", "▁bbaa"):
         assert counter.word(text)[0] == len(library.encode(text).ids), text
+
+
+def test_long_words_are_not_remembered():
+    """Distinct words of 20 KB leave the stores as they were; results do not change."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghijklmnop0123456789+/", k=20_000)) for _ in range(300)]
+    enc = encode.Encoder(encode.tokenizer_path())
+    whole = enc.tokenizer
+    for at in range(0, 300, 50):
+        got = list(enc.encode([f"see {w} and {w[:90]}" for w in words[at:at + 50]]))
+        text = f"see {words[at]} and {words[at][:90]}"
+        assert np.frombuffer(got[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert max(map(len, [*enc.young, *enc.old])) <= 101 and enc.held < 1 << 20
+    counter = token_counts.Counter(token_counts.read_vocabulary(token_counts.vocabulary_path()))
+    for w in words[:20]:
+        first = counter.text(f"a {w} b {w}")
+        assert counter.text(f"a {w} b {w}") == first
+    assert max(map(len, counter.known)) < 100 and counter.held < 1 << 20
+
+
+def test_stores_stay_within_their_bytes():
+    rng = random.Random(12)
+    enc = encode.Encoder(encode.tokenizer_path(), room=1 << 20)
+    counter = token_counts.Counter(token_counts.read_vocabulary(token_counts.vocabulary_path()), room=1 << 20)
+    for _ in range(30):
+        text = " ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 60))) for _ in range(2000))
+        ids, = enc.encode([text])
+        assert np.frombuffer(ids, "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+        counter.text(text)
+        real = sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in enc.young.items()) + sys.getsizeof(enc.young)
+        assert real < 2 << 20 and enc.held < 1 << 20 and counter.held < 1 << 20
+
+
+def test_store_keeps_the_type_of_its_ids(spark, tmp_path):
+    docs = spark.createDataFrame([("b", "one two"), ("a", "x"), (None, "y"), ("a", None)], "doc_id string, text string")
+    token_store.write_token_store(docs, str(tmp_path / "s"))
+    got = token_store.store_digest(spark, str(tmp_path / "s")).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, "a", "a", "b"]
+    spark.range(3).write.orc(str(tmp_path / "other"))
+    with pytest.raises(ValueError):
+        token_store.read_token_store(spark, str(tmp_path / "other"))
