@@ -29,7 +29,7 @@ from meterlake.plans.registry import (  # noqa: E402
     PROFILE_END, PROFILE_METER, PROFILE_START, Q1_START, Q2_START,
 )
 from meterlake.session import get_session, scratch_path, unique_table  # noqa: E402
-from meterlake.sources.layout import scan_range, write_partitioned  # noqa: E402
+from meterlake.sources.layout import Z_ORDER, scan_range, write_partitioned  # noqa: E402
 from meterlake.sources.schema import readings, readings_from_events  # noqa: E402
 
 WIDTHS = {"3h": "3 hours", "1d": "1 day", "1w": "1 week"}
@@ -108,6 +108,15 @@ def main() -> None:
     for q, fn in questions(compacted, "1 day").items():
         runs[f"{q}_1d_compressed"] = fn
 
+    # The same along a curve through time and meters (Q3 and the point query).
+    curve = unique_table("bench_1d_z")
+    write_partitioned(raw, curve, "1 day", location=scratch_path(spark, "bench-1d-z"))
+    setup["compact_1d_z"] = timed(lambda: L.compact_partitions(spark, curve, "1 day", order_by=Z_ORDER))
+    runs["q3_1d_z"] = questions(curve, "1 day")["q3"]
+    for name, table in (("compressed", compacted), ("z", curve)):
+        runs[f"point_raw_{name}"] = lambda t=table: Q.meter_profile(
+            scan_range(spark, t, PROFILE_START, PROFILE_END, "1 day"), PROFILE_METER, PROFILE_START, PROFILE_END).collect()
+
     # Raw vs rollup: one meter, one day, 15-minute and hourly buckets.  The
     # three tiers are built with one raw scan (coarser tiers merged from finer).
     tiers = {unique_table("bench_rollup_15min"): "15 minutes",

@@ -267,7 +267,7 @@ def compression_detail(catalog: DataFrame, stats: DataFrame) -> DataFrame:
                    human_bytes("after_bytes").alias("after_size"),
                    savings_pct("before_bytes", "after_bytes", on_zero=0.0).alias("savings_pct"),
                    "range_start"))
-    return sorted_report(out, "table", "range_start").drop("range_start")
+    return out.orderBy("table", "range_start").drop("range_start")
 
 
 def drop_older_than(spark: SparkSession, table: str, retention: str, as_of, width: str = "1 day",

@@ -187,7 +187,7 @@ def region_daily(rollup_daily: DataFrame, weighted: bool = False,
                                 F.col("bucket").alias("day"))
            .agg(F.sum("total_energy").alias("region_energy"),
                 _mean(weighted).alias("region_avg_power")))
-    out = sorted_report(out, "day", "region")
+    out = out.orderBy("day", "region")
     return out.limit(limit) if limit is not None else out
 
 

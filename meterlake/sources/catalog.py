@@ -157,7 +157,7 @@ def partition_sizes(catalog: DataFrame) -> DataFrame:
     out = catalog.select("table", "chunk", F.to_date("range_start").alias("start_date"),
                          F.to_date("range_end").alias("end_date"), "n_files", "bytes",
                          human_bytes("bytes").alias("chunk_size"))
-    return sorted_report(out, "table", "chunk")
+    return out.orderBy("table", "chunk")
 
 
 def table_catalog(catalog: DataFrame) -> DataFrame:

@@ -116,6 +116,29 @@ def write_partitioned(df: DataFrame, handle: str, width: str = "1 day",
             writer.parquet(handle)
 
 
+# Bytes of stored readings per bucket: what one task reads of a bucketed table.
+BUCKET_BYTES = 2 << 30
+
+
+def write_bucketed(df: DataFrame, table: str, buckets: int, location: str | None = None,
+                   sort: tuple[str, ...] = ("meter_id", "timestamp"), mode: str = "errorifexists") -> None:
+    """Readings in ``buckets`` files by a hash of the meter, each sorted.
+
+    Questions grouped by meter (monthly totals, per-meter rollups) need no
+    shuffle on such a table: each task has all rows of its meters.  For tables
+    whose meters are about equally busy; a bucket is one task, so a single
+    meter with a large share of all rows belongs in the time-partitioned
+    layout, whose partial aggregates split it.  Choose ``buckets`` by stored
+    size (``BUCKET_BYTES`` each).
+    """
+    rows = df.select(*READING_COLUMNS).repartition(buckets, "meter_id")
+    writer = rows.write.mode(mode).format("parquet").bucketBy(buckets, "meter_id").sortBy(*sort)
+    if location:
+        writer = writer.option("path", location)
+    with write_conf(df.sparkSession):
+        writer.saveAsTable(table)
+
+
 def append_readings(df: DataFrame, handle: str, width: str = "1 day",
                     minutes: float = 5.0) -> DataFrame:
     """Append valid rows (derived measures filled); return the rejected rows.

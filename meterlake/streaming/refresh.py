@@ -73,7 +73,8 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, raw_table
     now = to_utc(as_of) if as_of is not None else datetime.now(timezone.utc)
     good, bad = split_valid(batch)
     rejects = rejects or rejects_path(spark, raw_table)
-    bad.write.mode("overwrite").parquet(f"{rejects}/ingest_batch={batch_id}")
+    if not bad.isEmpty():  # a stream without bad rows leaves no files
+        bad.write.mode("overwrite").parquet(f"{rejects}/ingest_batch={batch_id}")
     rows = (with_chunk(derive_measures(good, minutes), raw_width)
             .withColumn("ingest_batch", F.lit(batch_id).cast("bigint")))
     cols = [f.name for f in READINGS.fields] + ["chunk", "ingest_batch"]

@@ -163,3 +163,21 @@ def test_scan_days_prunes_scattered_days(spark):
     assert files and all(("chunk=2024-01-02-" in f) or ("chunk=2024-01-29-" in f) for f in files)
     want = raw.filter(F.to_date("timestamp").isin("2024-01-02", "2024-01-29")).count()
     assert df.count() == want
+
+
+def test_bucketed_table_is_grouped_by_meter_without_a_shuffle(spark):
+    from meterlake.operators import queries as Q
+    from meterlake.operators import rollups as R
+    from meterlake.sources.layout import write_bucketed
+    table, plain = unique_table("t_bucketed"), unique_table("t_plain")
+    rows = events_readings(spark, SF_MID)
+    write_bucketed(rows, table, 8, location=scratch_path(spark, "t-bucketed"))
+    write_partitioned(rows, plain, "1 week", location=scratch_path(spark, "t-plain"))
+
+    def shuffles(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    questions = (lambda t: Q.monthly_per_key(readings(spark, t), 20), lambda t: R.rollup_state(readings(spark, t), "1 hour"))
+    for question in questions:
+        assert shuffles(question(table)) == 0 and shuffles(question(plain)) > 0
+        near = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect())
+        assert near(question(table)) == near(question(plain))
