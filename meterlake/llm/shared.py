@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import gc
 import os
 from collections.abc import Callable, Iterator
@@ -56,10 +58,20 @@ def kept(owner: str, key: str, make: Callable) -> object:
     """An operator's tables in a worker, made once; those of other operators go."""
     forget(owner)
     if (owner, key) not in _KEPT:
+        give_back()
         _KEPT[owner, key] = make(key)
     return _KEPT[owner, key]
 
 
+def give_back() -> None:
+    """Hand memory that earlier operators' batches took in this worker back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    if libc and hasattr(ctypes.CDLL(libc), "malloc_trim"):
+        ctypes.CDLL(libc).malloc_trim(0)
+
+
 def by_batch(df: DataFrame, run: Callable, schema, owner: str | None = None) -> DataFrame:
     """``mapInArrow`` in small parts, with this package on the workers' path.
 
