@@ -179,5 +179,7 @@ def test_bucketed_table_is_grouped_by_meter_without_a_shuffle(spark):
     questions = (lambda t: Q.monthly_per_key(readings(spark, t), 20), lambda t: R.rollup_state(readings(spark, t), "1 hour"))
     for question in questions:
         assert shuffles(question(table)) == 0 and shuffles(question(plain)) > 0
-        near = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect())
-        assert near(question(table)) == near(question(plain))
+        rows = lambda t: sorted((tuple(r) for r in question(t).collect()), key=lambda r: (r[0], str(r[1])))  # noqa: E731,B023
+        for one, other in zip(rows(table), rows(plain), strict=True):
+            for x, y in zip(one, other):  # sums differ in the last bit by file order
+                assert abs(x - y) < 1e-6 if isinstance(x, float) else x == y
