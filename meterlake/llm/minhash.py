@@ -183,6 +183,8 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
     schema = f"doc_id {kind.simpleString()}, {_SCHEMA}"
     got = saved(rows.select("doc_id", "text").transform(by_batch, _chain(arrow), schema), "fingerprints")
+    del rows
+    release(docs.sparkSession)  # the shuffled texts
     edges = got.filter("part is not null")
     after = Window.orderBy("part")  # one row per task
     following = F.coalesce(F.lead("first_text").over(after),
@@ -260,9 +262,7 @@ def with_classes(rows: DataFrame, docs: DataFrame, percent: int = 80) -> DataFra
 def fingerprints_and_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """``compare_with_next`` with the classes of near-duplicates (``with_classes``)."""
     docs = pick(docs, doc_id=doc_id, text=text)
-    rows = saved(compare_with_next(docs), "fingerprint-rows")
-    release(docs.sparkSession)
-    return with_classes(rows, docs, percent)
+    return with_classes(compare_with_next(docs), docs, percent)
 
 
 def op7_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
