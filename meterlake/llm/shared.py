@@ -7,6 +7,7 @@ import ctypes.util
 import gc
 import os
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import meterlake
 import pyarrow as pa
@@ -64,12 +65,22 @@ def kept(owner: str, key: str, make: Callable) -> object:
 
 
 def give_back() -> None:
-    """Hand memory that earlier operators' batches took in this worker back to the system."""
+    """Hand memory that earlier operators' tables and batches took in this worker back to the system."""
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """The same without a search for garbage in cycles: quick enough for the end of every task."""
     pa.default_memory_pool().release_unused()
+    if (malloc_trim := _malloc_trim()) is not None:
+        malloc_trim(0)
+
+
+@cache
+def _malloc_trim() -> Callable | None:
     libc = ctypes.util.find_library("c")
-    if libc and hasattr(ctypes.CDLL(libc), "malloc_trim"):
-        ctypes.CDLL(libc).malloc_trim(0)
+    return getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
 
 
 def by_batch(df: DataFrame, run: Callable, schema, owner: str | None = None) -> DataFrame:
@@ -88,13 +99,17 @@ def by_batch(df: DataFrame, run: Callable, schema, owner: str | None = None) ->
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget(owner)
         yield from run(parts(batches))
+        trim()
     return df.mapInArrow(small, schema)
 
 
 def forget(owner: str | None) -> None:
-    """Drop what this worker keeps for operators other than ``owner``."""
-    for other in [k for k in _KEPT if k[0] != owner]:
+    """Drop what this worker keeps for operators other than ``owner``, and free its memory."""
+    others = [k for k in _KEPT if k[0] != owner]
+    for other in others:
         del _KEPT[other]
+    if others:
+        give_back()
 
 
 def release(spark: SparkSession) -> None:
