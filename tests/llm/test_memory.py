@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tracemalloc
+import zlib
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from meterlake.llm import shared
+from meterlake.llm import shared, token_store
 
 
 @pytest.fixture
@@ -49,3 +54,18 @@ def test_end_of_a_task_trims(spark, tmp_path):
 def test_give_back_runs():
     shared.give_back()
     shared.trim()
+
+
+def test_digest_does_not_copy_the_ids_of_a_batch():
+    """Parts of a batch share its ids; reading one small part allocates little."""
+    n = 1000
+    ids = np.arange(n * n, dtype=np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * n + 1, n, dtype=np.int32)), pa.array(ids))
+    batch = pa.record_batch([pa.array(range(n)), lists, pa.array(range(n))], names=["doc_id", "ids", "row_id"])
+    tracemalloc.start()
+    got = list(token_store._digest_rows(batch.slice(at, 10) for at in range(0, n, 10)))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    crc = [x for b in got for x in b.column("ids_crc32").to_pylist()]
+    assert crc == [zlib.crc32(ids[at:at + n].tobytes()) for at in range(0, n * n, n)]
+    assert most < 1 << 20
