@@ -32,7 +32,7 @@ def tokenizer_path() -> str:
 _CHUNK = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]++\b|[A-Za-zÀ-ÖØ-öø-ÿ]++\b| ?[^ \t\n\r\x0b\f]+"
                     r"|[ \t\n\r\x0b\f]+(?![^ \t\n\r\x0b\f])|[ \t\n\r\x0b\f]")
 # All other white space, spelled out as that is searched faster than a class.
-_ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
+_ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Characters of texts, and new chunks in one string, that are handled at once.
 _PART, _JOIN = 1 << 20, 2000
 # A longer chunk is not remembered; bytes that an entry of the store takes besides its chunk and ids.
