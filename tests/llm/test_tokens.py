@@ -39,6 +39,22 @@ def test_encoder_equals_library(library):
     assert got == [np.array(ids_of(library, t)[:-1], "<u4").tobytes() for t in texts]
 
 
+def test_encoder_looks_distinct_chunks_up_once(library):
+    """However often a chunk occurs in texts encoded together, its ids are fetched once."""
+    class Counted(dict):
+        looked = 0
+
+        def get(self, key, default=None):
+            Counted.looked += 1
+            return super().get(key, default)
+    enc = Encoder(tokenizer_path())
+    enc.young = Counted()
+    texts = ["the cat's naïve. " * 400, "a-b\n\n  the " * 300, None]
+    got = list(enc.encode(texts))
+    assert got == [np.array(ids_of(library, t)[:-1], "<u4").tobytes() for t in texts]
+    assert Counted.looked < 20
+
+
 def check_store(rows, docs, library):
     docs = sorted(docs, key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     want = {}
