@@ -57,7 +57,7 @@ class Encoder:
     forgotten.  What is forgotten is encoded again, so ids never depend on it.
     """
 
-    def __init__(self, path: str, room: int = 72 << 20):
+    def __init__(self, path: str, room: int = 66 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -145,11 +145,15 @@ class Encoder:
         names, young = chunks.dictionary.to_numpy(zero_copy_only=False).tolist(), self.young
         ids = list(map(young.get, names))
         holes = [i for i, x in enumerate(ids) if x is None]
+        which = chunks.indices
+        del raw, data, chunks  # before new chunks are encoded
         long = self._learn([names[i] for i in holes])
         for i in holes:
             ids[i] = young[names[i]]
-        got = pa.array(ids, pa.large_binary()).take(chunks.indices)
+        got = pa.array(ids, pa.large_binary()).take(which)
+        del names, ids, which
         self._forget(long)
+        pa.default_memory_pool().release_unused()
         _, ends, values = got.buffers()
         cuts = np.frombuffer(ends, np.int64)[np.searchsorted(starts, bounds)].tolist() if len(got) else [0] * len(bounds)
         values = memoryview(values or b"")
